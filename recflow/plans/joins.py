@@ -1,0 +1,27 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it has at most this many rows (checked by a
+# bounded ``limit(n + 1).count()``).  Beyond it the join stays a shuffle join
+# and AQE may still pick a broadcast from runtime statistics.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its size is checked to be small, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def fixed_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast for tables whose size is fixed by a parameter, not by data
+    (weight tables, config grids, k-row lists)."""
+    return F.broadcast(df)

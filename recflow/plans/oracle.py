@@ -275,3 +275,81 @@ SELECT user_id, product_id, round(sum(score), 6) AS value FROM interactions GROU
 SQL["user_means"] = W("""m AS (SELECT user_id, product_id, avg(score) AS value FROM interactions GROUP BY ALL)""") + """
 SELECT user_id, round(sum(value) / (SELECT count(DISTINCT product_id) FROM m), 6) AS mean_value
 FROM m GROUP BY user_id"""
+
+# --- collaborative filtering (direct user-user / item-item forms) -------------
+
+SQL["user_cf"] = W("""m AS (SELECT user_id, product_id, avg(score) AS v FROM interactions GROUP BY ALL)""",
+                   """nrm AS (SELECT user_id, sqrt(sum(v * v)) AS nr FROM m GROUP BY user_id)""",
+                   """nm AS (SELECT m.user_id, product_id, CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END AS n
+                             FROM m JOIN nrm ON m.user_id = nrm.user_id)""",
+                   """us AS (SELECT DISTINCT user_id FROM m)""",
+                   """dots AS (SELECT a.user_id AS u, b.user_id AS w, sum(a.n * b.n) AS s
+                               FROM nm a JOIN nm b ON a.product_id = b.product_id AND a.user_id <> b.user_id
+                               GROUP BY ALL)""",
+                   """sims AS (SELECT x.user_id AS u, y.user_id AS w, coalesce(d.s, 0.0) AS s
+                               FROM us x JOIN us y ON x.user_id <> y.user_id
+                               LEFT JOIN dots d ON d.u = x.user_id AND d.w = y.user_id)""",
+                   """nb AS (SELECT u, w FROM sims
+                             QUALIFY row_number() OVER (PARTITION BY u ORDER BY round(s, 9) DESC, w) <= 5)""",
+                   """its AS (SELECT DISTINCT nb.u AS user_id, m.product_id FROM nb JOIN m ON m.user_id = nb.w
+                              WHERE m.v > 0)""") + """
+SELECT user_id, product_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY product_id) AS BIGINT) AS rank
+FROM its QUALIFY rank <= 10"""
+
+SQL["item_cf"] = W("""m AS (SELECT user_id, product_id, avg(score) AS v FROM interactions GROUP BY ALL)""",
+                   """nrm AS (SELECT product_id, sqrt(sum(v * v)) AS nr FROM m GROUP BY product_id)""",
+                   """its AS (SELECT DISTINCT product_id FROM m)""",
+                   """dots AS (SELECT a.product_id AS a, b.product_id AS b, sum(a.v * b.v) AS s
+                               FROM m a JOIN m b ON a.user_id = b.user_id AND a.product_id <> b.product_id
+                               GROUP BY ALL)""",
+                   """sims AS (SELECT x.product_id AS a, y.product_id AS b,
+                                      coalesce(d.s / (na.nr * nb.nr), 0.0) AS s
+                               FROM its x JOIN its y ON x.product_id <> y.product_id
+                               LEFT JOIN dots d ON d.a = x.product_id AND d.b = y.product_id
+                               LEFT JOIN nrm na ON na.product_id = x.product_id
+                               LEFT JOIN nrm nb ON nb.product_id = y.product_id)""") + """
+SELECT a AS product_id, b AS similar_product_id, CAST(rank AS BIGINT) AS rank, round(s, 6) AS similarity
+FROM (SELECT a, b, s, row_number() OVER (PARTITION BY a ORDER BY CASE WHEN s > 0 THEN round(s, 9) ELSE 0 END DESC, b)
+                   AS rank FROM sims)
+WHERE rank <= 10"""
+
+CF_PRED = """sm AS (SELECT user_id, product_id, sum(score) AS v FROM interactions GROUP BY ALL),
+cnrm AS (SELECT user_id, sqrt(sum(v * v)) AS nr FROM sm GROUP BY user_id),
+cnm AS (SELECT sm.user_id, product_id, CASE WHEN nr > 0 THEN v / nr ELSE 0.0 END AS n
+        FROM sm JOIN cnrm ON sm.user_id = cnrm.user_id),
+S AS (SELECT a.user_id AS u, b.user_id AS w, sum(a.n * b.n) AS s
+      FROM cnm a JOIN cnm b ON a.product_id = b.product_id AND a.user_id <> b.user_id GROUP BY ALL),
+den AS (SELECT u, sum(s) AS d FROM S GROUP BY u),
+num AS (SELECT S.u, sm.product_id AS j, sum(S.s * sm.v) AS x FROM S JOIN sm ON sm.user_id = S.w GROUP BY ALL),
+cu AS (SELECT DISTINCT user_id FROM sm),
+ci AS (SELECT DISTINCT product_id FROM sm),
+pred AS (SELECT g.user_id, g.product_id,
+                coalesce(num.x, 0.0) / greatest(coalesce(den.d, 0.0), 1e-8) AS p,
+                coalesce(sm.v, 0.0) > 0 AS seen
+         FROM (SELECT cu.user_id, ci.product_id FROM cu CROSS JOIN ci) g
+         LEFT JOIN sm ON sm.user_id = g.user_id AND sm.product_id = g.product_id
+         LEFT JOIN num ON num.u = g.user_id AND num.j = g.product_id
+         LEFT JOIN den ON den.u = g.user_id)"""
+
+SQL["cf_predict_topk"] = W(CF_PRED) + """
+SELECT user_id, product_id, rank, round(p, 6) AS score FROM (
+  SELECT user_id, product_id, p,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(p, 9) DESC, product_id) AS BIGINT) AS rank
+  FROM pred WHERE NOT seen) WHERE rank <= 20"""
+
+SQL["cf_scores"] = W(CF_PRED,
+                     """pop AS (SELECT product_id, sum(score) AS popularity FROM interactions GROUP BY product_id)""",
+                     """top AS (SELECT product_id FROM pop ORDER BY popularity DESC, product_id LIMIT 20)""",
+                     """cand AS (SELECT u.user_id, t.product_id FROM (SELECT DISTINCT user_id FROM interactions) u
+                                 CROSS JOIN top t)""",
+                     """rng AS (SELECT min(p) AS lo, max(p) AS hi FROM pred WHERE NOT seen)""",
+                     """cj AS (SELECT c.user_id, c.product_id, pr.p, pr.seen, coalesce(pop.popularity, 0.0) AS pp
+                               FROM cand c LEFT JOIN pred pr ON pr.user_id = c.user_id AND pr.product_id = c.product_id
+                               LEFT JOIN pop ON pop.product_id = c.product_id)""") + """
+SELECT user_id, product_id,
+       round(CASE WHEN p IS NOT NULL AND NOT seen THEN (CASE WHEN hi <= lo THEN 0.0 ELSE (p - lo) / (hi - lo) END)
+                  ELSE (CASE WHEN max(pp) OVER (PARTITION BY user_id) <= min(pp) OVER (PARTITION BY user_id) THEN 0.0
+                             ELSE (pp - min(pp) OVER (PARTITION BY user_id))
+                                  / (max(pp) OVER (PARTITION BY user_id) - min(pp) OVER (PARTITION BY user_id)) END)
+             END, 6) AS cf_score
+FROM cj CROSS JOIN rng"""

@@ -137,3 +137,45 @@ QUERIES = {
     "user_item_sum": q_user_item_sum,
     "user_means": q_user_means,
 }
+
+
+# --- step 3: collaborative filtering -------------------------------------------
+
+from recflow.operators import cf as CF  # noqa: E402
+
+
+def q_user_cf(spark, d):
+    return CF.user_based(_interactions(spark, d), n=10, neighbours=5)
+
+
+def q_item_cf(spark, d):
+    return rounded(CF.item_based(_interactions(spark, d), n=10))
+
+
+def q_cf_predict_topk(spark, d):
+    inter = _interactions(spark, d)
+    model = CF.fit_cf(inter)
+    users = model.matrix.select("user_id").distinct()
+    return rounded(CF.cf_recommend(model, users, n=20))
+
+
+def popular_candidates(spark, inter, k: int = 20):
+    """Candidate rows: every user of the interactions x the k most popular
+    products (k fixed by a parameter, expanded from a k-element literal)."""
+    top = [r["product_id"] for r in I.popularity_topk(inter, k).select("product_id").collect()]
+    arr = F.array(*[F.lit(int(p)).cast("bigint") for p in top])
+    return inter.select("user_id").distinct().select("user_id", F.explode(arr).alias("product_id"))
+
+
+def q_cf_scores(spark, d):
+    inter = _interactions(spark, d)
+    model = CF.fit_cf(inter)
+    return rounded(CF.cf_scores(model, popular_candidates(spark, inter, 20)))
+
+
+QUERIES.update({
+    "user_cf": q_user_cf,
+    "item_cf": q_item_cf,
+    "cf_predict_topk": q_cf_predict_topk,
+    "cf_scores": q_cf_scores,
+})

@@ -25,6 +25,6 @@ def norm(a) -> Column:
 
 
 def l2_normalize(a, floor: float = 1e-12) -> Column:
-    """Divide by the L2 norm, the norm floored at ``floor``."""
+    """Divide by the L2 norm, the norm floored at ``floor`` (double)."""
     n = F.greatest(norm(a), F.lit(floor))
-    return F.transform(_c(a), lambda v: (v.cast("double") / n).cast("float"))
+    return F.transform(_c(a), lambda v: v.cast("double") / n)

@@ -353,3 +353,72 @@ SELECT user_id, product_id,
                                   / (max(pp) OVER (PARTITION BY user_id) - min(pp) OVER (PARTITION BY user_id)) END)
              END, 6) AS cf_score
 FROM cj CROSS JOIN rng"""
+
+# --- vectors and search (brute force over all pairs) ---------------------------
+
+VCAT = """vn AS (SELECT vec_id, embedding,
+                 sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))) AS nr
+          FROM embeddings),
+vcat AS (SELECT c.*, list_transform(vn.embedding, lambda x: CAST(x AS DOUBLE) / greatest(vn.nr, 1e-12)) AS vec
+         FROM catalog c JOIN vn ON c.product_id = vn.vec_id)"""
+
+SQL["knn_exact"] = W(VCAT, """pr AS (SELECT a.product_id AS q, b.product_id AS n, list_inner_product(a.vec, b.vec) AS s
+                                     FROM vcat a JOIN vcat b ON a.product_id <> b.product_id)""") + """
+SELECT q AS query_id, n AS neighbor_id, rank, round(s, 6) AS score FROM (
+  SELECT q, n, s, CAST(row_number() OVER (PARTITION BY q ORDER BY round(s, 9) DESC, n) AS BIGINT) AS rank FROM pr)
+WHERE rank <= 10"""
+
+PAIRS = """pairs AS (
+  SELECT a.product_id AS left_id, b.product_id AS right_id, list_inner_product(a.vec, b.vec) AS score,
+         a.category = b.category AS sc, a.material = b.material AS sm, a.style = b.style AS ss, a.color = b.color AS sco
+  FROM vcat a JOIN vcat b ON a.product_id < b.product_id)"""
+
+SQL["similar_pairs_top"] = W(VCAT, PAIRS) + """
+SELECT left_id, right_id, round(score, 6) AS score FROM pairs
+ORDER BY round(score, 9) DESC, left_id, right_id LIMIT 5"""
+
+SQL["pair_stats"] = W(VCAT, PAIRS, """cls AS (
+  SELECT 'overall' AS pair_class, score FROM pairs
+  UNION ALL SELECT 'same_category', score FROM pairs WHERE sc
+  UNION ALL SELECT 'structured_relevance', score FROM pairs WHERE sc AND (sm OR ss OR sco)
+  UNION ALL SELECT 'exact_attribute_match', score FROM pairs WHERE sc AND sm AND ss AND sco
+  UNION ALL SELECT 'different_category', score FROM pairs WHERE NOT sc)""") + """
+SELECT pair_class, CAST(count(*) AS BIGINT) AS count, round(min(score), 4) AS min, round(max(score), 4) AS max,
+       round(avg(score), 4) AS mean, round(stddev_pop(score), 4) AS std,
+       round(quantile_cont(score, 0.1), 4) AS p10, round(quantile_cont(score, 0.25), 4) AS p25,
+       round(quantile_cont(score, 0.5), 4) AS p50, round(quantile_cont(score, 0.75), 4) AS p75,
+       round(quantile_cont(score, 0.9), 4) AS p90
+FROM cls GROUP BY pair_class"""
+
+SQL["filtered_search"] = W(VCAT, """fq AS (SELECT product_id AS qid, vec, lower(trim(category)) AS fc,
+                                                price - 50 AS lo, price + 50 AS hi FROM vcat)""",
+                           """fs AS (SELECT fq.qid, c.product_id, list_inner_product(fq.vec, c.vec) AS sc
+                                     FROM fq JOIN vcat c ON lower(trim(c.category)) = fq.fc AND c.price >= fq.lo
+                                          AND c.price <= fq.hi AND c.product_id <> fq.qid)""",
+                           """fr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(sc, 9) DESC, product_id)
+                                            AS rank FROM fs)""") + """
+SELECT fr.qid AS query_id, CAST(fr.rank AS BIGINT) AS rank, round(fr.sc, 4) AS score, c.product_id, c.title, c.category,
+       c.style, c.color, c.material, round(c.price, 6) AS price, round(c.rating, 6) AS rating, c.description,
+       c.catalog_description
+FROM fr JOIN catalog c ON c.product_id = fr.product_id WHERE fr.rank <= 5"""
+
+SQL["user_content_recs"] = W(VCAT,
+    """pur AS (SELECT DISTINCT user_id, product_id AS source_id FROM interactions WHERE event_type = 'purchase')""",
+    """um AS (SELECT user_id, count(*) AS m FROM pur GROUP BY user_id)""",
+    """ncat AS (SELECT count(*) AS n FROM vcat)""",
+    """allsc AS (SELECT p.user_id, p.source_id, c.product_id AS cand, list_inner_product(v.vec, c.vec) AS s
+                 FROM pur p JOIN vcat v ON v.product_id = p.source_id CROSS JOIN vcat c)""",
+    """exs AS (SELECT a.* FROM allsc a ANTI JOIN pur x ON x.user_id = a.user_id AND x.source_id = a.cand)""",
+    """rk AS (SELECT exs.*, row_number() OVER (PARTITION BY user_id, source_id ORDER BY round(s, 9) DESC, cand) AS pos
+              FROM exs)""",
+    """kept AS (SELECT rk.* FROM rk JOIN um ON rk.user_id = um.user_id CROSS JOIN ncat
+                WHERE pos <= least(n, greatest(50, 5 + m)))""",
+    """agg AS (SELECT user_id, cand, max(s) AS smax, sum(s) AS ssum, count(*) AS cnt,
+                      string_agg(CAST(source_id AS VARCHAR), ',' ORDER BY CAST(source_id AS VARCHAR)) AS srcs
+               FROM kept GROUP BY user_id, cand)""",
+    """fin AS (SELECT *, ssum / cnt AS mean,
+                      row_number() OVER (PARTITION BY user_id ORDER BY round(smax, 9) DESC, cnt DESC,
+                                         round(ssum / cnt, 9) DESC, cand) AS rank FROM agg)""") + """
+SELECT user_id, CAST(rank AS BIGINT) AS rank, cand AS product_id, round(smax, 4) AS score,
+       round(mean, 4) AS mean_score, CAST(cnt AS BIGINT) AS support_count, srcs AS matched_from_product_ids
+FROM fin WHERE rank <= 5"""

@@ -179,3 +179,53 @@ QUERIES.update({
     "cf_predict_topk": q_cf_predict_topk,
     "cf_scores": q_cf_scores,
 })
+
+
+# --- step 4: vectors and search -------------------------------------------------
+
+from recflow.operators import knn as KNN, search as SE  # noqa: E402
+
+
+def unit_catalog(spark, d):
+    return SE.unit_catalog(src.searchable_catalog(spark, d))
+
+
+def q_knn_exact(spark, d):
+    cat = unit_catalog(spark, d)
+    nb = KNN.knn(cat.select("product_id", "embedding"), 10)
+    return rounded(nb.select("query_id", "neighbor_id", "rank", "score"))
+
+
+def q_similar_pairs_top(spark, d):
+    cat = unit_catalog(spark, d)
+    return rounded(SE.top_pairs(KNN.all_pairs(cat), 5))
+
+
+def q_pair_stats(spark, d):
+    return SE.pair_stats(SE.pair_table(unit_catalog(spark, d)))
+
+
+def q_filtered_search(spark, d):
+    """Every catalog product searches its own category within +-50 of its
+    price, itself excluded, k = 5."""
+    cat = unit_catalog(spark, d)
+    qs = cat.select(F.col("product_id").alias("query_id"), F.col("embedding").alias("vec"), "category",
+                    (F.col("price") - 50).alias("min_price"), (F.col("price") + 50).alias("max_price"),
+                    F.array(F.col("product_id")).alias("exclude_ids"))
+    hits = SE.vector_search(qs, cat, 5)
+    return rounded(SE.result_records(hits, cat))
+
+
+def q_user_content_recs(spark, d):
+    cat = unit_catalog(spark, d)
+    purchases = P.purchased_items(_interactions(spark, d))
+    return SE.user_content_recs(purchases, cat, 5)
+
+
+QUERIES.update({
+    "knn_exact": q_knn_exact,
+    "similar_pairs_top": q_similar_pairs_top,
+    "pair_stats": q_pair_stats,
+    "filtered_search": q_filtered_search,
+    "user_content_recs": q_user_content_recs,
+})

@@ -422,3 +422,79 @@ SQL["user_content_recs"] = W(VCAT,
 SELECT user_id, CAST(rank AS BIGINT) AS rank, cand AS product_id, round(smax, 4) AS score,
        round(mean, 4) AS mean_score, CAST(cnt AS BIGINT) AS support_count, srcs AS matched_from_product_ids
 FROM fin WHERE rank <= 5"""
+
+# --- metrics --------------------------------------------------------------------
+
+SQL["precision_recall_map"] = W(ITEM_STATS,
+    """top10 AS (SELECT product_id, row_number() OVER (ORDER BY historical_ctr DESC, purchase_rate DESC,
+                                                      interaction_score DESC, product_id) AS rank
+                 FROM item_stats QUALIFY rank <= 10)""",
+    """pred AS (SELECT u.user_id, t.product_id, t.rank FROM (SELECT DISTINCT user_id FROM interactions) u
+                CROSS JOIN top10 t)""",
+    """act AS (SELECT DISTINCT user_id, product_id FROM interactions WHERE event_type = 'purchase')""",
+    """na AS (SELECT user_id, count(*) AS n FROM act GROUP BY user_id)""",
+    """ph AS (SELECT p.user_id, p.rank, CASE WHEN a.product_id IS NULL THEN 0 ELSE 1 END AS hit
+              FROM pred p LEFT JOIN act a ON a.user_id = p.user_id AND a.product_id = p.product_id)""",
+    """pc AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS cum FROM ph)""",
+    """per AS (SELECT user_id, sum(hit) AS hits, sum(CASE WHEN hit = 1 THEN cum / rank END) AS aps
+               FROM pc GROUP BY user_id)""") + """
+SELECT na.user_id, round(coalesce(hits, 0) / 10.0, 6) AS precision_at_k, round(coalesce(hits, 0) / n, 6) AS recall_at_k,
+       round(coalesce(aps, 0.0) / least(n, 10), 6) AS ap_at_k
+FROM na LEFT JOIN per ON na.user_id = per.user_id"""
+
+SQL["rmse"] = W("""m AS (SELECT user_id, product_id, avg(score) AS v FROM interactions GROUP BY ALL)""",
+                """um AS (SELECT user_id, sum(v) / (SELECT count(DISTINCT product_id) FROM m) AS mv
+                          FROM m GROUP BY user_id)""") + """
+SELECT round(sqrt(avg(pow(v - mv, 2))), 6) AS rmse FROM m JOIN um ON m.user_id = um.user_id"""
+
+RETRIEVAL = """rpr AS (
+  SELECT a.product_id AS q, b.product_id AS n, list_inner_product(a.vec, b.vec) AS s,
+         CAST(a.category = b.category AS INTEGER) AS sc,
+         CAST(a.category = b.category AND (a.material = b.material OR a.style = b.style OR a.color = b.color) AS INTEGER)
+           AS hit,
+         CAST(a.category = b.category AND a.material = b.material AND a.style = b.style AND a.color = b.color AS INTEGER)
+           AS ex,
+         CAST(a.category = b.category AS INTEGER) + CAST(a.material = b.material AS INTEGER)
+           + CAST(a.style = b.style AS INTEGER) + CAST(a.color = b.color AS INTEGER) AS ov
+  FROM vcat a JOIN vcat b ON a.product_id <> b.product_id),
+rrk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(s, 9) DESC, n) AS rank,
+               row_number() OVER (PARTITION BY q ORDER BY ov DESC, n) AS irank FROM rpr),
+perq AS (
+  SELECT q, sum(hit) AS total_rel, sum(ex) AS total_exact,
+         sum(hit) FILTER (WHERE rank <= 5) AS h5, sum(sc) FILTER (WHERE rank <= 5) AS c5,
+         sum(s) FILTER (WHERE rank <= 5) AS s5, count(*) FILTER (WHERE rank <= 5) AS n5,
+         sum(ov) FILTER (WHERE rank <= 5) AS o5,
+         sum(hit) FILTER (WHERE rank <= 10) AS h10, sum(sc) FILTER (WHERE rank <= 10) AS c10,
+         sum(s) FILTER (WHERE rank <= 10) AS s10, count(*) FILTER (WHERE rank <= 10) AS n10,
+         sum(ov) FILTER (WHERE rank <= 10) AS o10,
+         min(rank) FILTER (WHERE hit = 1 AND rank <= 10) AS fh,
+         sum((pow(2.0, ov) - 1) / log2(rank + 1.0)) FILTER (WHERE rank <= 10) AS dcg,
+         sum((pow(2.0, ov) - 1) / log2(irank + 1.0)) FILTER (WHERE irank <= 10) AS idcg
+  FROM rrk GROUP BY q)"""
+
+_RM = [("queries_with_relevant_neighbors", "CAST(count(*) FILTER (WHERE total_rel > 0) AS DOUBLE)"),
+       ("average_relevant_neighbors_per_query", "avg(total_rel)"),
+       ("average_exact_attribute_matches_per_query", "avg(total_exact)")]
+for _k in (5, 10):
+    _RM += [(f"precision_at_{_k}", f"avg(h{_k} / {_k}.0)"),
+            (f"recall_at_{_k}", f"avg(CASE WHEN total_rel > 0 THEN h{_k} / total_rel END)"),
+            (f"category_match_rate_at_{_k}", f"sum(c{_k}) / sum(n{_k})"),
+            (f"mean_similarity_at_{_k}", f"sum(s{_k}) / sum(n{_k})"),
+            (f"mean_attribute_overlap_at_{_k}", f"sum(o{_k}) / sum(n{_k})")]
+_RM += [("mrr_at_10", "avg(coalesce(1.0 / fh, 0.0))"),
+        ("ndcg_at_10", "avg(CASE WHEN idcg = 0 OR idcg IS NULL THEN 0.0 ELSE dcg / idcg END)")]
+
+SQL["retrieval_metrics"] = W(VCAT, RETRIEVAL) + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS metric, round(CAST({expr} AS DOUBLE), 4) AS value FROM perq" for name, expr in _RM)
+
+SQL["mrr_ndcg"] = W(VCAT, RETRIEVAL) + """
+SELECT q AS query_id, round(coalesce(1.0 / fh, 0.0), 6) AS reciprocal_rank,
+       round(CASE WHEN idcg = 0 OR idcg IS NULL THEN 0.0 ELSE coalesce(dcg, 0.0) / idcg END, 6) AS ndcg_at_10
+FROM perq"""
+
+SQL["diversity"] = W(VCAT, SEEDS,
+    """sv AS (SELECT s.user_id, s.recency_rank AS r, v.vec FROM seeds s JOIN vcat v ON v.product_id = s.product_id)""",
+    """dv AS (SELECT a.user_id, avg(1.0 - list_inner_product(a.vec, b.vec)) AS d
+              FROM sv a JOIN sv b ON a.user_id = b.user_id AND a.r < b.r GROUP BY a.user_id)""") + """
+SELECT u.user_id, round(coalesce(dv.d, 0.0), 6) AS diversity
+FROM (SELECT DISTINCT user_id FROM seeds) u LEFT JOIN dv ON dv.user_id = u.user_id"""

@@ -229,3 +229,53 @@ QUERIES.update({
     "filtered_search": q_filtered_search,
     "user_content_recs": q_user_content_recs,
 })
+
+
+# --- step 5: metrics --------------------------------------------------------------
+
+from recflow.operators import metrics as M  # noqa: E402
+
+
+def q_precision_recall_map(spark, d):
+    inter = _interactions(spark, d)
+    users = inter.select("user_id").distinct()
+    pred = S.item_stats_recommend(S.item_stats(inter), users, 10)
+    actual = P.purchased_items(inter)
+    return rounded(M.list_metrics(pred, actual, 10))
+
+
+def q_rmse(spark, d):
+    m = I.user_item_matrix(_interactions(spark, d), "mean")
+    pairs = m.join(I.user_means(m), "user_id").select(F.col("value").alias("actual"),
+                                                      F.col("mean_value").alias("predicted"))
+    return rounded(M.rmse(pairs))
+
+
+def _catalog_knn(spark, d, k=10):
+    cat = unit_catalog(spark, d)
+    return cat, KNN.knn(cat.select("product_id", "embedding"), k)
+
+
+def q_retrieval_metrics(spark, d):
+    cat, nb = _catalog_knn(spark, d, 10)
+    return M.retrieval_metrics(nb, cat, (5, 10))
+
+
+def q_mrr_ndcg(spark, d):
+    cat, nb = _catalog_knn(spark, d, 10)
+    return rounded(M.per_query_rank_quality(nb, cat, 10))
+
+
+def q_diversity(spark, d):
+    seeds = P.seed_items(_interactions(spark, d), 5).select("user_id", "product_id",
+                                                            F.col("recency_rank").alias("rank"))
+    return rounded(M.intra_list_diversity(seeds, unit_catalog(spark, d), 5))
+
+
+QUERIES.update({
+    "precision_recall_map": q_precision_recall_map,
+    "rmse": q_rmse,
+    "retrieval_metrics": q_retrieval_metrics,
+    "mrr_ndcg": q_mrr_ndcg,
+    "diversity": q_diversity,
+})

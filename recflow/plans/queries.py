@@ -279,3 +279,109 @@ QUERIES.update({
     "mrr_ndcg": q_mrr_ndcg,
     "diversity": q_diversity,
 })
+
+
+# --- steps 6-8: ranking data, hybrid, ranker, sweep ---------------------------------
+
+from recflow.operators import hybrid as H, ranker as RK, ranking_data as RD, sweep as SW  # noqa: E402
+
+SEED = 42
+
+
+def _ranking_setup(spark, d):
+    beh = src.behavior(spark, d)
+    targets = RD.assign_splits(RD.holdout_targets(beh), SEED)
+    observed = RD.truncate_history(beh, targets)
+    cat = unit_catalog(spark, d)
+    models = H.fit_models(I.build_interactions(observed), cat)
+    return beh, targets, observed, cat, models
+
+
+def q_holdout_targets(spark, d):
+    return RD.holdout_targets(src.behavior(spark, d))
+
+
+def q_truncated_events(spark, d):
+    beh = src.behavior(spark, d)
+    return RD.truncate_history(beh, RD.holdout_targets(beh))
+
+
+def q_user_split(spark, d):
+    return RD.assign_splits(RD.holdout_targets(src.behavior(spark, d)), SEED)
+
+
+def q_random_negatives(spark, d):
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    knocked = models.purchased.unionByName(
+        targets.select("user_id", F.col("target_product_id").alias("product_id")))
+    return RD.random_negatives(targets.select("user_id"), cat.select("product_id"), knocked, 25, SEED)
+
+
+def q_ranking_candidates_hard(spark, d):
+    """Hard candidates of every eligible user: positive, CF 25, history
+    content 25, item-stats popularity 10 -- ordered union."""
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    users = targets.select("user_id")
+    pos = targets.select("user_id", F.col("target_product_id").alias("product_id"),
+                         F.lit(1).cast("bigint").alias("rank"))
+    ex = models.purchased.join(users, "user_id", "left_semi") \
+        .join(pos.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+    cf = CF.cf_recommend(models.cf, users, 25, exclude=ex)
+    from recflow.operators import content as CT
+    ct = CT.recommend_from_history(models.seeds, users, models.catalog, 25, exclude=ex, min_similarity=0.0)
+    pop = S.item_stats_recommend(models.stats, users, 10)
+    return RD.ordered_union([pos, cf, ct, pop])
+
+
+def q_hybrid_features(spark, d):
+    """Feature frame (default weights) over the full training candidate set."""
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    frame = H.ranking_frame(models, targets, cat.select("product_id"), SEED)
+    return rounded(frame.select("user_id", "product_id", "split", "label", *H.FEATURE_COLUMNS))
+
+
+def q_hybrid_topk(spark, d):
+    """Heuristic hybrid top-5 for every user of the behaviour table."""
+    inter = _interactions(spark, d)
+    models = H.fit_models(inter, unit_catalog(spark, d))
+    return rounded(H.hybrid_topk(models, inter.select("user_id"), 5))
+
+
+def _frame_and_targets(spark, d):
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    frame = H.ranking_frame(models, targets, cat.select("product_id"), SEED).persist()
+    return frame, cat
+
+
+def q_signal_sweep(spark, d):
+    """20 signal configs evaluated on the validation split in one job."""
+    frame, cat = _frame_and_targets(spark, d)
+    return rounded(SW.evaluate_configs(frame.where(F.col("split") == "val"), SW.draw_configs(20, SEED)))
+
+
+def q_pairwise_ranker(spark, d):
+    """Ranker fit on train+val, model comparison on test."""
+    frame, cat = _frame_and_targets(spark, d)
+    rk = RK.fit_pairwise(frame.where(F.col("split").isin("train", "val")))
+    test = rk.score(frame.where(F.col("split") == "test"))
+    return SW.compare_models(test, cat, "ranker_score")
+
+
+def q_feature_importance(spark, d):
+    frame, cat = _frame_and_targets(spark, d)
+    train = frame.where(F.col("split").isin("train", "val"))
+    return RK.feature_importance(RK.fit_pairwise(train), train)
+
+
+QUERIES.update({
+    "holdout_targets": q_holdout_targets,
+    "truncated_events": q_truncated_events,
+    "user_split": q_user_split,
+    "random_negatives": q_random_negatives,
+    "ranking_candidates_hard": q_ranking_candidates_hard,
+    "hybrid_features": q_hybrid_features,
+    "hybrid_topk": q_hybrid_topk,
+    "signal_sweep": q_signal_sweep,
+    "pairwise_ranker": q_pairwise_ranker,
+    "feature_importance": q_feature_importance,
+})

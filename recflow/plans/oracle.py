@@ -498,3 +498,22 @@ SQL["diversity"] = W(VCAT, SEEDS,
               FROM sv a JOIN sv b ON a.user_id = b.user_id AND a.r < b.r GROUP BY a.user_id)""") + """
 SELECT u.user_id, round(coalesce(dv.d, 0.0), 6) AS diversity
 FROM (SELECT DISTINCT user_id FROM seeds) u LEFT JOIN dv ON dv.user_id = u.user_id"""
+
+# --- ranking dataset -------------------------------------------------------------
+
+HOLDOUT = """hp AS (SELECT user_id, product_id, timestamp FROM behavior WHERE event_type = 'purchase'),
+hpp AS (SELECT user_id, product_id, count(*) AS n FROM hp GROUP BY ALL),
+hpu AS (SELECT user_id, count(*) AS np FROM hpp GROUP BY user_id),
+honce AS (SELECT hpp.user_id, hpp.product_id FROM hpp JOIN hpu ON hpp.user_id = hpu.user_id
+          WHERE n = 1 AND np >= 2),
+targets AS (SELECT hp.user_id, hp.product_id AS target_product_id, hp.timestamp AS cutoff_timestamp
+            FROM hp JOIN honce ON hp.user_id = honce.user_id AND hp.product_id = honce.product_id
+            QUALIFY row_number() OVER (PARTITION BY hp.user_id ORDER BY hp.timestamp DESC NULLS LAST,
+                                       hp.product_id) = 1)"""
+
+SQL["holdout_targets"] = W(HOLDOUT) + "SELECT user_id, target_product_id, cutoff_timestamp FROM targets"
+
+SQL["truncated_events"] = W(HOLDOUT) + """
+SELECT b.user_id, b.product_id, b.event_type, b.timestamp
+FROM behavior b LEFT JOIN targets t ON b.user_id = t.user_id
+WHERE t.cutoff_timestamp IS NULL OR b.timestamp < t.cutoff_timestamp"""

@@ -385,3 +385,41 @@ QUERIES.update({
     "pairwise_ranker": q_pairwise_ranker,
     "feature_importance": q_feature_importance,
 })
+
+
+# --- low-rank, ANN, PCA, text search (rows-only; checked by pytest) ---------------
+
+from recflow.operators import ann as ANN, lowrank as LR  # noqa: E402
+
+
+def q_svd_topk(spark, d):
+    return rounded(LR.svd_topk(_interactions(spark, d), 10, 50))
+
+
+def q_als_topk(spark, d):
+    return rounded(LR.als_topk(_interactions(spark, d), 10))
+
+
+def q_lsh_recall(spark, d):
+    return ANN.lsh_report(unit_catalog(spark, d).select("product_id", "embedding"), 10, SEED)
+
+
+def q_pca_report(spark, d):
+    return ANN.pca_report(unit_catalog(spark, d))
+
+
+def q_text_search(spark, d):
+    """Every distinct product title is a query against the P6 descriptions."""
+    cat = src.catalog(spark, d)
+    queries = cat.groupBy("title").agg(F.min("product_id").alias("query_id")).select(
+        "query_id", F.col("title").alias("text"))
+    return rounded(ANN.text_search(cat, queries, 5))
+
+
+QUERIES.update({
+    "svd_topk": q_svd_topk,
+    "als_topk": q_als_topk,
+    "lsh_recall": q_lsh_recall,
+    "pca_report": q_pca_report,
+    "text_search": q_text_search,
+})

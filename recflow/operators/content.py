@@ -40,6 +40,7 @@ def recommend_from_history(seeds: DataFrame, users: DataFrame, catalog: DataFram
     similarity ties)."""
     users = users.select("user_id").distinct()
     vec = catalog.select("product_id", "embedding")
+    seeds = seeds.join(users, "user_id", "left_semi")
     sv = seeds.select("user_id", F.col("product_id").alias("seed_id")).join(
         vec.select(F.col("product_id").alias("seed_id"), "embedding"), "seed_id")
     if exclude is not None:

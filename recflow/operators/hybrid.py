@@ -27,6 +27,7 @@ FEATURE_COLUMNS = (
 # Baseline models and the score column each ranks by.
 BASELINE_SCORE_COLUMNS = {"cf_only": "cf_score", "content_only": "embedding_similarity",
                           "heuristic_hybrid": "hybrid_signal_score"}
+ORDER_DIGITS = 9
 SERVING_COLUMNS = ("rank", "product_id", "title", "category", "material", "style", "price", "cf_score",
                    "embedding_similarity", "price_sensitivity_match", "historical_ctr", "hybrid_signal_score",
                    "ltr_score")
@@ -121,12 +122,13 @@ def candidate_pool(models: FittedModels, users: DataFrame, pool: int = 50) -> Da
 def rank_frame(frame: DataFrame, ranker_score: str | None = None) -> DataFrame:
     """With a ranker score: (ltr, hybrid, ctr) desc; else
     ``ltr_score = hybrid`` and (hybrid, ctr, cf) desc; ties by id."""
+    r = lambda c: F.round(c, ORDER_DIGITS).desc()  # noqa: E731  (stable order under float noise)
     if ranker_score is None:
         frame = frame.withColumn("ltr_score", F.col("hybrid_signal_score"))
-        order = [F.col("hybrid_signal_score").desc(), F.col("historical_ctr").desc(), F.col("cf_score").desc()]
+        order = [r("hybrid_signal_score"), r("historical_ctr"), r("cf_score")]
     else:
         frame = frame.withColumn("ltr_score", F.col(ranker_score))
-        order = [F.col("ltr_score").desc(), F.col("hybrid_signal_score").desc(), F.col("historical_ctr").desc()]
+        order = [r("ltr_score"), r("hybrid_signal_score"), r("historical_ctr")]
     w = Window.partitionBy("user_id").orderBy(*order, F.col("product_id"))
     return frame.withColumn("rank", F.row_number().over(w).cast("bigint"))
 

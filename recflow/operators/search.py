@@ -56,7 +56,7 @@ def _search_fn(k: int):
         ok &= np.isnan(hi)[:, None] | (price[None, :] <= hi[:, None])
         th = qs["f_threshold"].to_numpy(dtype="float64")
         ok &= np.isnan(th)[:, None] | (S >= th[:, None])
-        qid = qs["query_id"].to_numpy(dtype="int64")
+        qid = qs["id"].to_numpy(dtype="int64")
         cid = cs["id"].to_numpy(dtype="int64")
         ex = qs["exclude_ids"].to_numpy(dtype=object)
         for r in range(len(qid)):
@@ -93,13 +93,14 @@ def vector_search(queries: DataFrame, catalog: DataFrame, k: int) -> DataFrame:
         q = q.withColumn(f"f_{a}", F.col(a).cast("double") if a in queries.columns else F.lit(None).cast("double"))
     if "exclude_ids" not in queries.columns:
         q = q.withColumn("exclude_ids", F.lit(None).cast("array<bigint>"))
-    qsel = q.select("query_id", "vec", *[f"f_{a}" for a in FILTER_ATTRS], "f_min_price", "f_max_price",
-                    "f_threshold", "exclude_ids")
+    # both sides carry their key in ``id`` (never null), so Arrow keeps it int64
+    qsel = q.select(F.col("query_id").alias("id"), "vec", *[f"f_{a}" for a in FILTER_ATTRS], "f_min_price",
+                    "f_max_price", "f_threshold", "exclude_ids")
     csel = catalog.select(F.col("product_id").alias("id"), F.col("embedding").alias("vec"),
                           *[T.filter_value(a).alias(a) for a in FILTER_ATTRS], F.col("price").cast("double"))
     nq = K.n_blocks_for(qsel.count(), 1024)
     nc = K.n_blocks_for(csel.count())
-    qb = qsel.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(nq)).cast("int")) \
+    qb = qsel.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")) \
         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).withColumn("side", F.lit(0))
     cb = csel.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc)).cast("int")) \
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).withColumn("side", F.lit(1))

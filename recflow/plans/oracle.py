@@ -517,3 +517,83 @@ SQL["truncated_events"] = W(HOLDOUT) + """
 SELECT b.user_id, b.product_id, b.event_type, b.timestamp
 FROM behavior b LEFT JOIN targets t ON b.user_id = t.user_id
 WHERE t.cutoff_timestamp IS NULL OR b.timestamp < t.cutoff_timestamp"""
+
+# --- hybrid heuristic top-k (R18-R22) ---------------------------------------------
+
+from recflow.functions.weights import normalize_signal_weights as _nsw  # noqa: E402
+
+_W = _nsw(None)
+
+HYBRID_POOL = """husers AS (SELECT DISTINCT user_id FROM interactions),
+hex AS (SELECT DISTINCT user_id, product_id FROM interactions WHERE event_type = 'purchase'),
+cfrec AS (SELECT pred.user_id, pred.product_id,
+                 row_number() OVER (PARTITION BY pred.user_id ORDER BY round(pred.p, 9) DESC, pred.product_id) AS rank
+          FROM pred ANTI JOIN hex ON hex.user_id = pred.user_id AND hex.product_id = pred.product_id
+          WHERE NOT pred.seen QUALIFY rank <= 25),
+sv AS (SELECT s.user_id, v.vec FROM seeds s JOIN vcat v ON v.product_id = s.product_id),
+hsc AS (SELECT sv.user_id, c.product_id, max(list_inner_product(sv.vec, c.vec)) AS mx,
+               avg(list_inner_product(sv.vec, c.vec)) AS mn
+        FROM sv CROSS JOIN vcat c GROUP BY sv.user_id, c.product_id),
+ctrec AS (SELECT hsc.user_id, hsc.product_id,
+                 row_number() OVER (PARTITION BY hsc.user_id ORDER BY round(mx, 9) DESC, round(mn, 9) DESC,
+                                    hsc.product_id) AS rank
+          FROM hsc ANTI JOIN hex ON hex.user_id = hsc.user_id AND hex.product_id = hsc.product_id
+          WHERE mx >= 0 QUALIFY rank <= 25
+          UNION ALL
+          SELECT u.user_id, c.product_id, row_number() OVER (PARTITION BY u.user_id ORDER BY c.product_id) AS rank
+          FROM (SELECT user_id FROM husers WHERE user_id NOT IN (SELECT user_id FROM sv)) u CROSS JOIN vcat c
+          ANTI JOIN hex ON hex.user_id = u.user_id AND hex.product_id = c.product_id
+          QUALIFY rank <= 25),
+strank AS (SELECT product_id, row_number() OVER (ORDER BY historical_ctr DESC, purchase_rate DESC,
+                                                 interaction_score DESC, product_id) AS g FROM item_stats),
+strec AS (SELECT u.user_id, s.product_id, row_number() OVER (PARTITION BY u.user_id ORDER BY s.g) AS rank
+          FROM husers u CROSS JOIN strank s ANTI JOIN hex ON hex.user_id = u.user_id AND hex.product_id = s.product_id
+          QUALIFY rank <= 12),
+hun AS (SELECT user_id, product_id, 0 AS src, rank FROM cfrec
+        UNION ALL SELECT user_id, product_id, 1, rank FROM ctrec
+        UNION ALL SELECT user_id, product_id, 2, rank FROM strec),
+pool AS (SELECT user_id, product_id FROM (
+           SELECT user_id, product_id, min(src * 1000000 + rank) AS o FROM hun GROUP BY user_id, product_id)
+         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY o) <= 50)"""
+
+HYBRID_FEATURES = f"""hrng AS (SELECT min(p) AS lo, max(p) AS hi FROM pred WHERE NOT seen),
+hpop AS (SELECT product_id, sum(score) AS popularity FROM interactions GROUP BY product_id),
+hmean_ctr AS (SELECT avg(historical_ctr) AS mc FROM item_stats),
+hhist AS (SELECT pl.user_id, pl.product_id, max(list_inner_product(sv.vec, c.vec)) AS hmax
+          FROM pool pl JOIN sv ON sv.user_id = pl.user_id JOIN vcat c ON c.product_id = pl.product_id
+          GROUP BY pl.user_id, pl.product_id),
+fj AS (SELECT pl.user_id, pl.product_id, c.title, c.category, c.material, c.style, c.price,
+              pr.p, pr.seen, coalesce(hp.popularity, 0.0) AS pp, greatest(coalesce(hh.hmax, 0.0), 0.0) AS emb,
+              pp_.avg_price, pp_.price_std, coalesce(ist.historical_ctr, hmc.mc) AS ctr,
+              coalesce(sc.share, 0.0) AS cat_s, coalesce(sm_.share, 0.0) AS mat_s, coalesce(ss.share, 0.0) AS sty_s
+       FROM pool pl
+       LEFT JOIN vcat c ON c.product_id = pl.product_id
+       LEFT JOIN pred pr ON pr.user_id = pl.user_id AND pr.product_id = pl.product_id
+       LEFT JOIN hpop hp ON hp.product_id = pl.product_id
+       LEFT JOIN hhist hh ON hh.user_id = pl.user_id AND hh.product_id = pl.product_id
+       LEFT JOIN price_profile pp_ ON pp_.user_id = pl.user_id
+       LEFT JOIN item_stats ist ON ist.product_id = pl.product_id
+       LEFT JOIN shares sc ON sc.user_id = pl.user_id AND sc.attribute = 'category' AND sc.value = c.category
+       LEFT JOIN shares sm_ ON sm_.user_id = pl.user_id AND sm_.attribute = 'material' AND sm_.value = c.material
+       LEFT JOIN shares ss ON ss.user_id = pl.user_id AND ss.attribute = 'style' AND ss.value = c.style
+       CROSS JOIN hmean_ctr hmc),
+hfs AS (SELECT fj.*,
+              CASE WHEN p IS NOT NULL AND NOT seen THEN (CASE WHEN hi <= lo THEN 0.0 ELSE (p - lo) / (hi - lo) END)
+                   ELSE (CASE WHEN max(pp) OVER (PARTITION BY user_id) <= min(pp) OVER (PARTITION BY user_id) THEN 0.0
+                              ELSE (pp - min(pp) OVER (PARTITION BY user_id))
+                                   / (max(pp) OVER (PARTITION BY user_id) - min(pp) OVER (PARTITION BY user_id)) END)
+              END AS cf_score,
+              exp(-abs(price - avg_price) / greatest(price_std, 1.0)) AS pm
+       FROM fj CROSS JOIN hrng),
+hf AS (SELECT hfs.*, {_W['cf']!r} * cf_score + {_W['embedding']!r} * (CASE WHEN emb >= 0.0 THEN emb ELSE 0.0 END)
+                    + {_W['price']!r} * pm + {_W['style']!r} * sty_s + {_W['ctr']!r} * ctr AS hybrid
+       FROM hfs)"""
+
+SQL["hybrid_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, HYBRID_POOL, HYBRID_FEATURES) + """
+SELECT user_id, rank, product_id, title, category, material, style, round(price, 6) AS price,
+       round(cf_score, 6) AS cf_score, round(emb, 6) AS embedding_similarity,
+       round(pm, 6) AS price_sensitivity_match, round(ctr, 6) AS historical_ctr,
+       round(hybrid, 6) AS hybrid_signal_score, round(hybrid, 6) AS ltr_score
+FROM (SELECT hf.*, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(hybrid, 9) DESC, round(ctr, 9) DESC,
+                                           round(cf_score, 9) DESC, product_id) AS BIGINT) AS rank FROM hf)
+WHERE rank <= 5"""

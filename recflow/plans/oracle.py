@@ -597,3 +597,57 @@ SELECT user_id, rank, product_id, title, category, material, style, round(price,
 FROM (SELECT hf.*, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(hybrid, 9) DESC, round(ctr, 9) DESC,
                                            round(cf_score, 9) DESC, product_id) AS BIGINT) AS rank FROM hf)
 WHERE rank <= 5"""
+
+# --- training candidates (M18 hard part) on the truncated history ----------------
+
+TRUNC_INTERACTIONS = """interactions AS (
+  SELECT b.*, CASE b.event_type WHEN 'view' THEN 3.0 WHEN 'wishlist' THEN 5.0 WHEN 'cart' THEN 7.0
+                                WHEN 'purchase' THEN 20.0 ELSE 0.0 END::DOUBLE AS score
+  FROM behavior b LEFT JOIN targets t ON b.user_id = t.user_id
+  WHERE t.cutoff_timestamp IS NULL OR b.timestamp < t.cutoff_timestamp)"""
+
+HARD = """tex AS (SELECT DISTINCT i.user_id, i.product_id FROM interactions i JOIN targets t ON t.user_id = i.user_id
+             WHERE i.event_type = 'purchase' AND i.product_id <> t.target_product_id),
+tpop AS (SELECT product_id, sum(score) AS popularity FROM interactions GROUP BY product_id),
+tcf AS (SELECT pred.user_id, pred.product_id,
+               row_number() OVER (PARTITION BY pred.user_id ORDER BY round(pred.p, 9) DESC, pred.product_id) AS rank
+        FROM pred JOIN targets t ON t.user_id = pred.user_id
+        ANTI JOIN tex ON tex.user_id = pred.user_id AND tex.product_id = pred.product_id
+        WHERE NOT pred.seen QUALIFY rank <= 25
+        UNION ALL
+        SELECT t.user_id, tp.product_id,
+               row_number() OVER (PARTITION BY t.user_id ORDER BY tp.popularity DESC, tp.product_id) AS rank
+        FROM targets t CROSS JOIN tpop tp
+        ANTI JOIN tex ON tex.user_id = t.user_id AND tex.product_id = tp.product_id
+        WHERE t.user_id NOT IN (SELECT user_id FROM sm) QUALIFY rank <= 25),
+tsv AS (SELECT s.user_id, v.vec FROM seeds s JOIN targets t ON t.user_id = s.user_id
+        JOIN vcat v ON v.product_id = s.product_id),
+thsc AS (SELECT tsv.user_id, c.product_id, max(list_inner_product(tsv.vec, c.vec)) AS mx,
+                avg(list_inner_product(tsv.vec, c.vec)) AS mn
+         FROM tsv CROSS JOIN vcat c GROUP BY tsv.user_id, c.product_id),
+tct AS (SELECT thsc.user_id, thsc.product_id,
+               row_number() OVER (PARTITION BY thsc.user_id ORDER BY round(mx, 9) DESC, round(mn, 9) DESC,
+                                  thsc.product_id) AS rank
+        FROM thsc ANTI JOIN tex ON tex.user_id = thsc.user_id AND tex.product_id = thsc.product_id
+        WHERE mx >= 0 QUALIFY rank <= 25
+        UNION ALL
+        SELECT t.user_id, c.product_id, row_number() OVER (PARTITION BY t.user_id ORDER BY c.product_id) AS rank
+        FROM (SELECT user_id FROM targets WHERE user_id NOT IN (SELECT user_id FROM tsv)) t CROSS JOIN vcat c
+        ANTI JOIN tex ON tex.user_id = t.user_id AND tex.product_id = c.product_id
+        QUALIFY rank <= 25),
+tst AS (SELECT t.user_id, s.product_id, s.g AS rank
+        FROM targets t CROSS JOIN (SELECT product_id, row_number() OVER (ORDER BY historical_ctr DESC,
+                                   purchase_rate DESC, interaction_score DESC, product_id) AS g FROM item_stats) s
+        WHERE s.g <= 10),
+tun AS (SELECT user_id, target_product_id AS product_id, 0 AS src, 1 AS rank FROM targets
+        UNION ALL SELECT user_id, product_id, 1, rank FROM tcf
+        UNION ALL SELECT user_id, product_id, 2, rank FROM tct
+        UNION ALL SELECT user_id, product_id, 3, rank FROM tst),
+hard AS (SELECT user_id, product_id,
+                CAST(row_number() OVER (PARTITION BY user_id ORDER BY o) AS BIGINT) AS position,
+                CAST(o // 1000000 AS INTEGER) AS source
+         FROM (SELECT user_id, product_id, min(src * 1000000 + rank) AS o FROM tun GROUP BY user_id, product_id))"""
+
+SQL["ranking_candidates_hard"] = with_(RAW_PRODUCTS, CATALOG, RAW_BEHAVIOR, BEHAVIOR, HOLDOUT, TRUNC_INTERACTIONS,
+                                       CF_PRED, ITEM_STATS, VCAT, SEEDS, HARD) + \
+    "SELECT user_id, product_id, position, source FROM hard"

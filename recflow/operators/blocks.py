@@ -59,12 +59,15 @@ def _block_product(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a_ids[ia].astype("int64"), "b": b_ids[ib].astype("int64"), "v": acc[ia, ib]})
 
 
-def n_blocks_for(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> int:
-    n = df.count()
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+def blocks_for_rows(n: int, spark, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
     return max(parts, int(math.ceil(n / rows_per_block)))
 
 
+def n_blocks_for(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> int:
+    return blocks_for_rows(df.count(), df.sparkSession, rows_per_block)
+
+
 def gram(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
          left_val: str, right_val: str, n_blocks: int | None = None) -> DataFrame:
     """``(a, b, v)`` with ``v = sum over key of left * right`` (non-zeros only)."""

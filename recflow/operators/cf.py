@@ -104,12 +104,14 @@ class CFModel:
 def fit_cf(interactions: DataFrame) -> CFModel:
     """R5 over **all** users: predictions for unseen cells, popularity and
     the global finite range."""
-    m = user_item_matrix(interactions, "sum")
-    n_items = m.select("product_id").distinct().count()
-    n_users = m.select("user_id").distinct().count()
+    m = user_item_matrix(interactions, "sum").persist()
+    dims = m.agg(F.count_distinct("product_id").alias("i"), F.count_distinct("user_id").alias("u"),
+                 F.count_if(F.col("value") > 0).alias("seen"), F.count(F.lit(1)).alias("cells")).first()
+    n_items, n_users, n_seen = dims["i"], dims["u"], dims["seen"]
     blocks.check_gram_side(n_items)
     nm = _normalized_rows(m)
-    g = blocks.gram(nm, m, "user_id", "product_id", "product_id", "n", "value")   # (a=i, b=j, v)
+    g = blocks.gram(nm, m, "user_id", "product_id", "product_id", "n", "value",
+                    n_blocks=blocks.blocks_for_rows(2 * dims["cells"], nm.sparkSession))   # (a=i, b=j, v)
     colsum = nm.groupBy("product_id").agg(F.sum("n").alias("c"))
     den = nm.join(colsum, "product_id").groupBy("user_id").agg(
         (F.sum(F.col("n") * F.col("c")) - F.max(F.col("nonzero").cast("double"))).alias("den"))
@@ -122,7 +124,6 @@ def fit_cf(interactions: DataFrame) -> CFModel:
                 (F.col("num") / F.greatest(F.col("den"), F.lit(1e-8))).alias("pred"))
     pred = pred.where(F.col("pred") != 0).persist()
     stats = pred.agg(F.count(F.lit(1)).alias("n"), F.min("pred").alias("lo"), F.max("pred").alias("hi")).first()
-    n_seen = seen.count()
     n_unseen = n_users * n_items - n_seen
     zero_cells = n_unseen > stats["n"]
     lo = stats["lo"] if stats["lo"] is not None else 0.0
@@ -131,7 +132,7 @@ def fit_cf(interactions: DataFrame) -> CFModel:
         lo, hi = min(lo, 0.0), max(hi, 0.0)
     if n_unseen == 0:
         lo, hi = 0.0, 1.0
-    return CFModel(m, pred, popularity(interactions), float(lo), float(hi))
+    return CFModel(m, pred, popularity(interactions).persist(), float(lo), float(hi))
 
 
 def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFrame | None = None) -> DataFrame:

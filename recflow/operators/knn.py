@@ -42,22 +42,24 @@ def _dense(pdf: pd.DataFrame, sel) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _topk_rows(qids, nids, S, k, exclude_self):
-    out_q, out_n, out_s = [], [], []
+    """Per row the first k columns by (score desc, id asc), vectorised:
+    columns are put in id order, then a stable argsort on the negated,
+    rounded scores keeps id order inside ties."""
     if S.size == 0:
-        return out_q, out_n, out_s
+        return [], [], []
+    col_order = np.argsort(nids, kind="stable")
+    nids = nids[col_order]
+    S = S[:, col_order]
     Sr = np.round(S, SCORE_DIGITS)
     if exclude_self:
         Sr = np.where(qids[:, None] == nids[None, :], -np.inf, Sr)
     kk = min(k, S.shape[1])
-    for r in range(S.shape[0]):
-        row = Sr[r]
-        # order by score desc then id asc (lexsort: last key is primary)
-        order = np.lexsort((nids, -row))
-        order = [j for j in order if np.isfinite(row[j])][:kk]
-        out_q.extend([qids[r]] * len(order))
-        out_n.extend(nids[order].tolist())
-        out_s.extend(S[r, order].tolist())
-    return out_q, out_n, out_s
+    order = np.argsort(-Sr, axis=1, kind="stable")[:, :kk]
+    rows = np.repeat(np.arange(S.shape[0]), kk)
+    cols = order.ravel()
+    keep = np.isfinite(Sr[rows, cols])
+    rows, cols = rows[keep], cols[keep]
+    return qids[rows].tolist(), nids[cols].tolist(), S[rows, cols].tolist()
 
 
 def _make_knn_fn(k: int, exclude_self: bool):

@@ -62,15 +62,9 @@ def _search_fn(k: int):
         for r in range(len(qid)):
             if ex[r] is not None and len(ex[r]):
                 ok[r] &= ~np.isin(cid, np.asarray(ex[r], dtype="int64"))
-        Sr = np.where(ok, np.round(S, K.SCORE_DIGITS), -np.inf)
-        oq, oc, os_, orank = [], [], [], []
-        for r in range(len(qid)):
-            order = np.lexsort((cid, -Sr[r]))
-            order = [j for j in order if np.isfinite(Sr[r, j])][:k]
-            oq.extend([qid[r]] * len(order))
-            oc.extend(cid[order].tolist())
-            os_.extend(S[r, order].tolist())
-            orank.extend(range(1, len(order) + 1))
+        S = np.where(ok, S, -np.inf)
+        oq, oc, os_ = K._topk_rows(qid, cid, S, k, exclude_self=False)
+        orank = [0] * len(oq)
         return pd.DataFrame({"query_id": np.asarray(oq, dtype="int64"), "product_id": np.asarray(oc, dtype="int64"),
                              "score": np.asarray(os_, dtype="float64"), "rank": np.asarray(orank, dtype="int64")})
     return fn

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from recflow.session import cut_lineage
 
+# global_rank uses a single ordered window only below this checked row count
+SMALL_RANK_ROWS = 200_000
+
 
 def topk_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                    k: int | None, name: str = "rank") -> DataFrame:
@@ -35,6 +38,12 @@ def global_rank(df: DataFrame, sort_cols: Sequence[str], descending: Sequence[bo
     """Exact 1-based position of every row in the total order of
     ``sort_cols`` (the last column should be a unique key)."""
     descending = list(descending or [False] * len(sort_cols))
+    from recflow.plans.joins import row_count_at_most
+    if row_count_at_most(df, SMALL_RANK_ROWS):
+        # checked to be small (catalog-sized lists): one ordered window is cheaper
+        # than range partitioning + checkpoint, and its size is bounded
+        order = [F.col(c).desc() if d else F.col(c).asc() for c, d in zip(sort_cols, descending)]
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     keyed = df
     keys = []
     for c, d in zip(sort_cols, descending):

@@ -227,3 +227,20 @@ def pair_stats(pairs: DataFrame, digits: int = 4) -> DataFrame:
 def top_pairs(pairs: DataFrame, n: int = 5) -> DataFrame:
     """L4: the n most similar unordered pairs overall."""
     return pairs.orderBy(F.round("score", K.SCORE_DIGITS).desc(), "left_id", "right_id").limit(n)
+
+
+def show_products(ids: DataFrame, catalog: DataFrame, fields=("product_id", "title", "category")) -> DataFrame:
+    """Catalog rows of the listed ids (semi-join, no duplicates)."""
+    return catalog.select(*fields).join(ids.select("product_id").distinct(), "product_id", "left_semi")
+
+
+def sample_batch_recommendations(catalog: DataFrame, k: int = 5, limit: int = 3) -> DataFrame:
+    """The sample shopper table (R9) run through R8."""
+    profiles = sample_user_profiles(catalog, limit)
+    purchases = profiles.select("user_id", F.explode("purchased_product_ids").alias("product_id"))
+    # R8 keys users by a numeric id; the shopper name is carried alongside
+    ids = profiles.select("user_id", F.xxhash64("user_id").alias("uid"))
+    recs = user_content_recs(purchases.join(ids, "user_id").select(F.col("uid").alias("user_id"), "product_id"),
+                             catalog, k)
+    return recs.join(ids.withColumnRenamed("user_id", "shopper").withColumnRenamed("uid", "user_id"), "user_id") \
+        .drop("user_id").withColumnRenamed("shopper", "user_id")

@@ -564,7 +564,9 @@ hhist AS (SELECT pl.user_id, pl.product_id, max(list_inner_product(sv.vec, c.vec
           GROUP BY pl.user_id, pl.product_id),
 fj AS (SELECT pl.user_id, pl.product_id, c.title, c.category, c.material, c.style, c.price,
               pr.p, pr.seen, coalesce(hp.popularity, 0.0) AS pp, greatest(coalesce(hh.hmax, 0.0), 0.0) AS emb,
-              pp_.avg_price, pp_.price_std, coalesce(ist.historical_ctr, hmc.mc) AS ctr,
+              coalesce(pp_.avg_price, gv.g) AS avg_price,
+              coalesce(pp_.price_std, greatest(coalesce(pp_.avg_price, gv.g) * 0.15, 1.0)) AS price_std,
+              coalesce(ist.historical_ctr, hmc.mc) AS ctr,
               coalesce(sc.share, 0.0) AS cat_s, coalesce(sm_.share, 0.0) AS mat_s, coalesce(ss.share, 0.0) AS sty_s
        FROM pool pl
        LEFT JOIN vcat c ON c.product_id = pl.product_id
@@ -576,7 +578,7 @@ fj AS (SELECT pl.user_id, pl.product_id, c.title, c.category, c.material, c.styl
        LEFT JOIN shares sc ON sc.user_id = pl.user_id AND sc.attribute = 'category' AND sc.value = c.category
        LEFT JOIN shares sm_ ON sm_.user_id = pl.user_id AND sm_.attribute = 'material' AND sm_.value = c.material
        LEFT JOIN shares ss ON ss.user_id = pl.user_id AND ss.attribute = 'style' AND ss.value = c.style
-       CROSS JOIN hmean_ctr hmc),
+       CROSS JOIN hmean_ctr hmc CROSS JOIN gavg gv),
 hfs AS (SELECT fj.*,
               CASE WHEN p IS NOT NULL AND NOT seen THEN (CASE WHEN hi <= lo THEN 0.0 ELSE (p - lo) / (hi - lo) END)
                    ELSE (CASE WHEN max(pp) OVER (PARTITION BY user_id) <= min(pp) OVER (PARTITION BY user_id) THEN 0.0
@@ -651,3 +653,19 @@ hard AS (SELECT user_id, product_id,
 SQL["ranking_candidates_hard"] = with_(RAW_PRODUCTS, CATALOG, RAW_BEHAVIOR, BEHAVIOR, HOLDOUT, TRUNC_INTERACTIONS,
                                        CF_PRED, ITEM_STATS, VCAT, SEEDS, HARD) + \
     "SELECT user_id, product_id, position, source FROM hard"
+
+SQL["hybrid_features_hard"] = with_(
+    RAW_PRODUCTS, CATALOG, RAW_BEHAVIOR, BEHAVIOR, HOLDOUT, TRUNC_INTERACTIONS, CF_PRED, ITEM_STATS, VCAT, SEEDS,
+    PRICE_PROFILE, SHARES, HISTORY_COUNTS, HARD,
+    """pool AS (SELECT user_id, product_id FROM hard)""",
+    """sv AS (SELECT s.user_id, v.vec FROM seeds s JOIN vcat v ON v.product_id = s.product_id)""",
+    HYBRID_FEATURES) + """
+SELECT hf.user_id, hf.product_id, CAST(hf.product_id = t.target_product_id AS INTEGER) AS label,
+       round(cf_score, 6) AS cf_score, round(emb, 6) AS embedding_similarity,
+       round(price - avg_price, 6) AS price_delta_from_user_avg, round(pm, 6) AS price_sensitivity_match,
+       round(cat_s, 6) AS category_match_score, round(mat_s, 6) AS material_preference_score,
+       round(sty_s, 6) AS style_affinity_score, round(ctr, 6) AS historical_ctr,
+       coalesce(hc.purchase_history_count, 0) AS purchase_history_count,
+       coalesce(hc.interaction_history_count, 0) AS interaction_history_count,
+       round(hybrid, 6) AS hybrid_signal_score
+FROM hf JOIN targets t ON t.user_id = hf.user_id LEFT JOIN history_counts hc ON hc.user_id = hf.user_id"""

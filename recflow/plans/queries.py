@@ -321,16 +321,7 @@ def q_ranking_candidates_hard(spark, d):
     """Hard candidates of every eligible user: positive, CF 25, history
     content 25, item-stats popularity 10 -- ordered union."""
     beh, targets, observed, cat, models = _ranking_setup(spark, d)
-    users = targets.select("user_id")
-    pos = targets.select("user_id", F.col("target_product_id").alias("product_id"),
-                         F.lit(1).cast("bigint").alias("rank"))
-    ex = models.purchased.join(users, "user_id", "left_semi") \
-        .join(pos.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
-    cf = CF.cf_recommend(models.cf, users, 25, exclude=ex)
-    from recflow.operators import content as CT
-    ct = CT.recommend_from_history(models.seeds, users, models.catalog, 25, exclude=ex, min_similarity=0.0)
-    pop = S.item_stats_recommend(models.stats, users, 10)
-    return RD.ordered_union([pos, cf, ct, pop])
+    return _hard_candidates(targets, models)
 
 
 def q_hybrid_features(spark, d):
@@ -423,3 +414,31 @@ QUERIES.update({
     "pca_report": q_pca_report,
     "text_search": q_text_search,
 })
+
+
+def q_hybrid_features_hard(spark, d):
+    """R19 on the hard training candidates (positive, CF, content, item
+    stats) of every eligible user, default weights, with the label."""
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    hard = _hard_candidates(targets, models)
+    frame = H.feature_frame(models, hard.select("user_id", "product_id"), None, 0.0)
+    frame = frame.join(targets.select("user_id", "target_product_id"), "user_id") \
+        .withColumn("label", (F.col("product_id") == F.col("target_product_id")).cast("int"))
+    return rounded(frame.select("user_id", "product_id", "label", *H.FEATURE_COLUMNS))
+
+
+def _hard_candidates(targets, models):
+    from recflow.operators import content as CT
+    users = targets.select("user_id")
+    pos = targets.select("user_id", F.col("target_product_id").alias("product_id"),
+                         F.lit(1).cast("bigint").alias("rank"))
+    ex = models.purchased.join(users, "user_id", "left_semi") \
+        .join(pos.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+    cf = CF.cf_recommend(models.cf, users, 25, exclude=ex)
+    ct = CT.recommend_from_history(models.seeds, users, models.catalog, 25, exclude=ex, min_similarity=0.0)
+    pop = S.item_stats_recommend(models.stats, users, 10)
+    from recflow.session import cut_lineage
+    return cut_lineage(RD.ordered_union([pos, cf, ct, pop]))
+
+
+QUERIES["hybrid_features_hard"] = q_hybrid_features_hard

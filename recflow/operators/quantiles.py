@@ -2,10 +2,8 @@
 
 Spark's exact ``percentile`` merges every value of a group into one buffer;
 with a hot group that is one task holding a third of the data.  Here the
-values are range-partitioned (ties split by a row id, so even one repeated
-value spreads over many partitions), pinned with a reliable checkpoint, and
-ranked as ``partition offset + local row number``.  Only the rows at the
-needed ranks are kept; everything else stays distributed.
+order statistics are located with a per-group histogram (a small table) and
+only the rows of the few buckets that hold a needed rank are ranked.
 """
 
 from __future__ import annotations
@@ -16,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.session import cut_lineage
 
 
 def _suffix(q: float) -> str:
@@ -24,56 +21,66 @@ def _suffix(q: float) -> str:
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
-                      by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+                      by: Sequence[str] = (), names: Sequence[str] | None = None,
+                      buckets: int = 4096) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Matches ``numpy.percentile`` / SQL ``quantile_cont``: position q*(n-1),
     linear interpolation between the two neighbouring order statistics.
-    Groups without values are absent.
+
+    Selection by histogram: per group an equal-width histogram (count, min,
+    max per bucket; a small table) locates the bucket of every needed order
+    statistic.  A bucket holding a single distinct value answers directly
+    (so a hot value costs nothing); only rows of the few other needed buckets
+    are ranked, inside their bucket.  Groups without values are absent.
     """
     by = list(by)
     names = list(names) if names else [_suffix(q) for q in probs]
-    spark = df.sparkSession
+    grouped = bool(by)
+    if not grouped:   # one constant group key: every join below stays an equi-join
+        df = df.withColumn("_all", F.lit(0))
+        by = ["_all"]
     vals = (df.select(*by, F.col(value).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .withColumn("_tb", F.monotonically_increasing_id()))
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 1)
-    ordered = cut_lineage(vals.repartitionByRange(n_parts, *by, "_v", "_tb")
-                          .withColumn("_pid", F.spark_partition_id()))
-
-    counts = ordered.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*by).orderBy("_pid") if by else Window.orderBy("_pid")
-    offsets = counts.select(
-        "_pid", *by, "_cnt",
-        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
-    )
-    # needed ranks per group (small: groups x probabilities x 2)
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    rng = vals.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    width = F.col("_hi") - F.col("_lo")
+    bucket = F.when(width <= 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1))).cast("bigint")
+    # one row per group: broadcast (the group count is the size of ``by``'s domain)
+    tagged = vals.join(F.broadcast(rng), by)
+    tagged = tagged.withColumn("_b", bucket)
+    hist = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                                         F.max("_v").alias("_bmax"))
+    w = Window.partitionBy(*by).orderBy("_b")
+    hist = hist.withColumn("_cum", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
     per_q = []
     for i, q in enumerate(probs):
         pos = F.lit(float(q)) * (F.col("_n") - 1)
         per_q.append(F.struct(F.lit(i).alias("qi"), F.floor(pos).cast("bigint").alias("lo"),
-                              F.ceil(pos).cast("bigint").alias("hi"),
-                              (pos - F.floor(pos)).alias("frac")))
-    group_n = offsets.select(*by, "_n").distinct()
-    needed = (group_n.select(*by, F.explode(F.array(*per_q)).alias("q"))
-              .select(*by, "q.qi", "q.frac", F.explode(F.array("q.lo", "q.hi")).alias("_rank"))
-              .distinct())
-
-    lw = Window.partitionBy("_pid", *by).orderBy("_v", "_tb")
-    ranked = (ordered.withColumn("_lr", F.row_number().over(lw) - 1)
-              .join(F.broadcast(offsets.select("_pid", *by, "_off")), ["_pid", *by])
-              .select(*by, "_v", (F.col("_lr") + F.col("_off")).alias("_rank")))
-    picked = ranked.join(F.broadcast(needed.select(*by, "_rank").distinct()), [*by, "_rank"])
-    lohi = needed.join(picked, [*by, "_rank"])
-    interp = lohi.groupBy(*by, "qi").agg(
-        F.min("_v").alias("_lo_v"), F.max("_v").alias("_hi_v"), F.first("frac").alias("_frac"))
-    # the value at rank lo is <= the value at rank hi (sorted), so min/max pick them
+                              F.ceil(pos).cast("bigint").alias("hi"), (pos - F.floor(pos)).alias("frac")))
+    needed = (rng.select(*by, F.explode(F.array(*per_q)).alias("q"))
+              .select(*by, "q.qi", "q.frac", F.explode(F.array("q.lo", "q.hi")).alias("_rank")))
+    # locate the bucket of every needed rank (small x small)
+    loc = needed.join(hist, by, "inner")
+    loc = loc.where((F.col("_rank") >= F.col("_cum")) & (F.col("_rank") < F.col("_cum") + F.col("_c"))) \
+        .select(*by, "qi", "frac", "_rank", "_b", (F.col("_rank") - F.col("_cum")).alias("_lr"), "_bmin", "_bmax")
+    direct = loc.where(F.col("_bmin") == F.col("_bmax")).select(*by, "qi", "frac", "_rank", F.col("_bmin").alias("_v"))
+    open_b = loc.where(F.col("_bmin") < F.col("_bmax"))
+    keys = open_b.select(*by, "_b").distinct()
+    rows = tagged.join(F.broadcast(keys), [*by, "_b"], "left_semi")
+    lw = Window.partitionBy(*by, "_b").orderBy("_v")
+    ranked = rows.withColumn("_lr", F.row_number().over(lw) - 1).select(*by, "_b", "_lr", "_v")
+    found = open_b.join(ranked, [*by, "_b", "_lr"]).select(*by, "qi", "frac", "_rank", "_v")
+    lohi = direct.unionByName(found)
+    interp = lohi.groupBy(*by, "qi").agg(F.min("_v").alias("_lo_v"), F.max("_v").alias("_hi_v"),
+                                         F.first("frac").alias("_frac"))
     interp = interp.select(*by, "qi", (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("_frac")).alias("_q"))
+    keep = by if grouped else []
     if not probs:
-        return group_n.select(*by)
+        return rng.select(*keep)
     wide = interp.groupBy(*by).pivot("qi", list(range(len(probs)))).agg(F.first("_q"))
-    return wide.select(*by, *[F.col(str(i)).alias(names[i]) for i in range(len(probs))])
+    return wide.select(*keep, *[F.col(str(i)).alias(names[i]) for i in range(len(probs))])
 
 
 def exact_median(df: DataFrame, value: str) -> float | None:

@@ -208,6 +208,48 @@ def pair_table(catalog: DataFrame) -> DataFrame:
         sum(same[a].cast("int") for a in ("category", "material", "style", "color")).alias("attribute_overlap"))
 
 
+_ATTR4 = ("category", "material", "style", "color")
+
+
+def _pair_class_fn():
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pa, pb = int(pdf["pa"].iloc[0]), int(pdf["pb"].iloc[0])
+        codes = {x: pd.factorize(pdf[x])[0] for x in _ATTR4}   # integer compare, not objects
+        ma = (pdf["blk"] == pa).to_numpy()
+        mb = ma if pa == pb else (pdf["blk"] == pb).to_numpy()
+        a, b = pdf[ma], pdf[mb]
+        A = np.stack([np.asarray(v, dtype="float64") for v in a["vec"].to_numpy()])
+        B = A if pa == pb else np.stack([np.asarray(v, dtype="float64") for v in b["vec"].to_numpy()])
+        S = A @ B.T
+        if pa == pb:
+            r, c = np.triu_indices(len(a), k=1)
+        else:
+            r, c = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(len(b)), indexing="ij"))
+        same = [codes[x][ma][r] == codes[x][mb][c] for x in _ATTR4]
+        mask = sum(same[i].astype("int64") << i for i in range(4))
+        return pd.DataFrame({"score": S[r, c], "mask": mask.astype("int64")})
+    return fn
+
+
+def pair_class_scores(catalog: DataFrame, nb: int | None = None) -> DataFrame:
+    """E3 + E13 for the statistics: the score of every unordered pair with a
+    4-bit agreement mask (category, material, style, color) computed inside
+    the block product -- no ids and no attribute joins on the pair rows."""
+    q = catalog.select(F.col("product_id").alias("id"), F.col("embedding").alias("vec"), *_ATTR4)
+    nb = nb or K.n_blocks_for(q.count())
+    return K._pair_groups(q, nb).groupBy("pa", "pb").applyInPandas(_pair_class_fn(), "score double, mask long")
+
+
+def pair_flags(pairs: DataFrame) -> DataFrame:
+    """Relevance flags from the agreement mask."""
+    bit = lambda i: (F.col("mask").bitwiseAND(F.lit(1 << i)) != 0)
+    cat, mat, sty, col = bit(0), bit(1), bit(2), bit(3)
+    return pairs.select("score", cat.alias("same_category"),
+                        (cat & (mat | sty | col)).alias("structured_relevance"),
+                        (cat & mat & sty & col).alias("exact_attribute_match"),
+                        (~cat).alias("different_category"))
+
+
 def pair_stats(pairs: DataFrame, digits: int = 4) -> DataFrame:
     """E14 + A16: score distribution per pair class -- count, min, max, mean,
     population std and p10/25/50/75/90 (linear), rounded."""

@@ -202,7 +202,7 @@ def q_similar_pairs_top(spark, d):
 
 
 def q_pair_stats(spark, d):
-    return SE.pair_stats(SE.pair_table(unit_catalog(spark, d)))
+    return SE.pair_stats(SE.pair_flags(SE.pair_class_scores(unit_catalog(spark, d))))
 
 
 def q_filtered_search(spark, d):

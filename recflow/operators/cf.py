@@ -115,14 +115,17 @@ def fit_cf(interactions: DataFrame) -> CFModel:
     colsum = nm.groupBy("product_id").agg(F.sum("n").alias("c"))
     den = nm.join(colsum, "product_id").groupBy("user_id").agg(
         (F.sum(F.col("n") * F.col("c")) - F.max(F.col("nonzero").cast("double"))).alias("den"))
-    gb = bounded_broadcast(g.select(F.col("a").alias("product_id"), F.col("b").alias("j"), "v"))
-    num = nm.where(F.col("n") != 0).join(gb, "product_id").groupBy("user_id", "j").agg(
-        F.sum(F.col("n") * F.col("v")).alias("num"))
-    seen = m.where(F.col("value") > 0).select("user_id", F.col("product_id").alias("j"))
-    pred = num.join(seen, ["user_id", "j"], "left_anti").join(den, "user_id") \
-        .select("user_id", F.col("j").alias("product_id"),
-                (F.col("num") / F.greatest(F.col("den"), F.lit(1e-8))).alias("pred"))
-    pred = pred.where(F.col("pred") != 0).persist()
+    if n_items <= DENSE_PRED_ITEMS:
+        pred = _dense_block_pred(nm, g, colsum, n_users).persist()
+    else:
+        gb = bounded_broadcast(g.select(F.col("a").alias("product_id"), F.col("b").alias("j"), "v"))
+        num = nm.where(F.col("n") != 0).join(gb, "product_id").groupBy("user_id", "j").agg(
+            F.sum(F.col("n") * F.col("v")).alias("num"))
+        seen = m.where(F.col("value") > 0).select("user_id", F.col("product_id").alias("j"))
+        pred = num.join(seen, ["user_id", "j"], "left_anti").join(den, "user_id") \
+            .select("user_id", F.col("j").alias("product_id"),
+                    (F.col("num") / F.greatest(F.col("den"), F.lit(1e-8))).alias("pred"))
+        pred = pred.where(F.col("pred") != 0).persist()
     stats = pred.agg(F.count(F.lit(1)).alias("n"), F.min("pred").alias("lo"), F.max("pred").alias("hi")).first()
     n_unseen = n_users * n_items - n_seen
     zero_cells = n_unseen > stats["n"]
@@ -135,6 +138,47 @@ def fit_cf(interactions: DataFrame) -> CFModel:
     return CFModel(m, pred, popularity(interactions).persist(), float(lo), float(hi))
 
 
+# Up to this many items the item Gram (<= 4M entries) is shipped to the user
+# blocks and predictions are dense NumPy products per block; above it the
+# sparse join N x G is used.
+DENSE_PRED_ITEMS = 2000
+USERS_PER_PRED_BLOCK = 4096
+
+
+def _dense_block_pred(nm: DataFrame, g: DataFrame, colsum: DataFrame, n_users: int) -> DataFrame:
+    """pred for unseen cells with a non-zero value, per user block:
+    (N_b G - delta R_b) / max(N_b c - delta, 1e-8), masked to R_b <= 0."""
+    import numpy as np
+    import pandas as pd
+    items = np.array(sorted(r[0] for r in colsum.select("product_id").collect()), dtype="int64")
+    pos = {int(p): i for i, p in enumerate(items)}
+    G = np.zeros((len(items), len(items)))
+    for r in g.collect():
+        G[pos[r["a"]], pos[r["b"]]] = r["v"]
+    c = np.zeros(len(items))
+    for r in colsum.collect():
+        c[pos[r["product_id"]]] = r["c"]
+    nb = max(1, -(-n_users // USERS_PER_PRED_BLOCK))
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        users, uinv = np.unique(pdf["user_id"].to_numpy(), return_inverse=True)
+        cols = np.array([pos[int(p)] for p in pdf["product_id"].to_numpy()], dtype="int64")
+        N = np.zeros((len(users), len(items)))
+        R = np.zeros((len(users), len(items)))
+        N[uinv, cols] = pdf["n"].to_numpy(dtype="float64")
+        R[uinv, cols] = pdf["value"].to_numpy(dtype="float64")
+        delta = np.zeros(len(users))
+        delta[uinv] = pdf["nonzero"].to_numpy(dtype="float64")
+        num = N @ G - delta[:, None] * R
+        den = np.maximum(N @ c - delta, 1e-8)
+        P = num / den[:, None]
+        a, b = np.nonzero((R <= 0) & (P != 0))
+        return pd.DataFrame({"user_id": users[a].astype("int64"), "product_id": items[b], "pred": P[a, b]})
+
+    blocked = nm.withColumn("_blk", F.pmod(F.xxhash64("user_id"), F.lit(nb)))
+    return blocked.groupBy("_blk").applyInPandas(fn, "user_id long, product_id long, pred double")
+
+
 def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFrame | None = None) -> DataFrame:
     """Unseen items by prediction desc (ties by id) minus excluded, first
     n; short lists complete with zero-prediction unseen items in id order.

@@ -51,6 +51,7 @@ class FittedModels:
 
 def fit_models(interactions: DataFrame, catalog: DataFrame) -> FittedModels:
     inter = interactions.persist()
+    catalog = catalog.persist()   # re-read by every search, join and broadcast check
     return FittedModels(
         interactions=inter,
         catalog=catalog,

@@ -205,10 +205,8 @@ def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFra
         .select("user_id", F.col("item").alias("product_id"),
                 (F.coalesce(F.col("k"), F.lit(0)) + F.col("fill_pos")).cast("bigint").alias("rank"),
                 F.lit(0.0).alias("score"))
-    out = top.unionByName(fill)
-    if unknown.limit(1).count():
-        out = out.unionByName(popularity_recommend(model.popularity, unknown, n, exclude))
-    return out
+    # users unknown to the model: popularity order (an empty table when all are known)
+    return top.unionByName(fill).unionByName(popularity_recommend(model.popularity, unknown, n, exclude))
 
 
 def popularity_recommend(pop: DataFrame, users: DataFrame, n: int, exclude: DataFrame | None) -> DataFrame:
@@ -223,8 +221,7 @@ def popularity_recommend(pop: DataFrame, users: DataFrame, n: int, exclude: Data
             "user_id", "product_id", F.col("g").alias("rank"), F.col("popularity").alias("score"))
     ex = exclude.select("user_id", "product_id").distinct().join(users, "user_id", "left_semi")
     ec = users.join(ex.groupBy("user_id").agg(F.count(F.lit(1)).alias("e")), "user_id", "left").fillna({"e": 0})
-    cap = n + int(ec.agg(F.max("e")).first()[0] or 0)
-    head = ranked.where(F.col("g") <= cap)
+    head = ranked
     slots = ec.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                       (F.lit(n) + F.col("e")).cast("bigint"))).alias("g"))
     cand = slots.join(bounded_broadcast(head), "g").join(ex, ["user_id", "product_id"], "left_anti")

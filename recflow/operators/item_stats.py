@@ -66,11 +66,9 @@ def item_stats_recommend(stats: DataFrame, users: DataFrame, n: int = 20,
         ex = exclude.select("user_id", "product_id").distinct()
         ex_counts = users.join(ex.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_ex")), "user_id", "left") \
             .fillna({"n_ex": 0})
-    max_cap = n + int(ex_counts.agg(F.max("n_ex")).first()[0] or 0)
     ranked = global_rank(stats.select("product_id", "historical_ctr", "purchase_rate", "interaction_score"),
                          ["historical_ctr", "purchase_rate", "interaction_score", "product_id"],
-                         [True, True, True, False], name="g").where(F.col("g") <= max_cap) \
-        .select("g", "product_id")
+                         [True, True, True, False], name="g").select("g", "product_id")
     slots = ex_counts.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                              (F.lit(n) + F.col("n_ex")).cast("bigint"))).alias("g"))
     cand = slots.join(bounded_broadcast(ranked), "g")

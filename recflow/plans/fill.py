@@ -25,10 +25,8 @@ def complete_in_id_order(need: DataFrame, knocked: DataFrame, universe: DataFram
     kn = knocked.select(q, item).distinct()
     kc = kn.groupBy(q).agg(F.count(F.lit(1)).alias("_kc"))
     nd = need.where(F.col("need") > 0).join(kc, q, "left").fillna({"_kc": 0})
-    cap = nd.agg(F.max(F.col("need") + F.col("_kc"))).first()[0]
-    if not cap:
-        return need.sparkSession.createDataFrame([], f"{q} long, {item} long, fill_pos long")
-    ranked = global_rank(universe.select(item).distinct(), [item], name="_g").where(F.col("_g") <= cap)
+    # the universe is id-ranked once; slots join it on the position (no action on ``need``)
+    ranked = global_rank(universe.select(item).distinct(), [item], name="_g")
     slots = nd.select(q, "need", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                       (F.col("need") + F.col("_kc")).cast("bigint"))).alias("_g"))
     cand = slots.join(bounded_broadcast(ranked), "_g").join(kn, [q, item], "left_anti")

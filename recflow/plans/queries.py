@@ -288,7 +288,19 @@ from recflow.operators import hybrid as H, ranker as RK, ranking_data as RD, swe
 SEED = 42
 
 
+_SETUP_CACHE: dict = {}
+
+
 def _ranking_setup(spark, d):
+    """Fitted ranking inputs, built once per application and table folder:
+    the ranking queries share them (their tables are persisted/checkpointed)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SETUP_CACHE:
+        _SETUP_CACHE[key] = _build_ranking_setup(spark, d)
+    return _SETUP_CACHE[key]
+
+
+def _build_ranking_setup(spark, d):
     beh = src.behavior(spark, d)
     targets = RD.assign_splits(RD.holdout_targets(beh), SEED)
     observed = RD.truncate_history(beh, targets)
@@ -326,8 +338,7 @@ def q_ranking_candidates_hard(spark, d):
 
 def q_hybrid_features(spark, d):
     """Feature frame (default weights) over the full training candidate set."""
-    beh, targets, observed, cat, models = _ranking_setup(spark, d)
-    frame = H.ranking_frame(models, targets, cat.select("product_id"), SEED)
+    frame, cat = _frame_and_targets(spark, d)
     return rounded(frame.select("user_id", "product_id", "split", "label", *H.FEATURE_COLUMNS))
 
 
@@ -339,9 +350,11 @@ def q_hybrid_topk(spark, d):
 
 
 def _frame_and_targets(spark, d):
-    beh, targets, observed, cat, models = _ranking_setup(spark, d)
-    frame = H.ranking_frame(models, targets, cat.select("product_id"), SEED).persist()
-    return frame, cat
+    key = ("frame", spark.sparkContext.applicationId, d)
+    if key not in _SETUP_CACHE:
+        beh, targets, observed, cat, models = _ranking_setup(spark, d)
+        _SETUP_CACHE[key] = (H.ranking_frame(models, targets, cat.select("product_id"), SEED), cat)
+    return _SETUP_CACHE[key]
 
 
 def q_signal_sweep(spark, d):

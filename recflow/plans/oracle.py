@@ -669,3 +669,46 @@ SELECT hf.user_id, hf.product_id, CAST(hf.product_id = t.target_product_id AS IN
        coalesce(hc.interaction_history_count, 0) AS interaction_history_count,
        round(hybrid, 6) AS hybrid_signal_score
 FROM hf JOIN targets t ON t.user_id = hf.user_id LEFT JOIN history_counts hc ON hc.user_id = hf.user_id"""
+
+from recflow.operators.sweep import draw_configs as _draw  # noqa: E402
+
+_CFG_ROWS = ",\n".join(
+    f"({c['config_id']}, {c['w_cf']!r}, {c['w_embedding']!r}, {c['w_price']!r}, {c['w_style']!r}, {c['w_ctr']!r}, "
+    f"{c['similarity_threshold']!r})" for c in _draw(20, 42))
+
+SQL["signal_sweep_hard"] = with_(
+    RAW_PRODUCTS, CATALOG, RAW_BEHAVIOR, BEHAVIOR, HOLDOUT, TRUNC_INTERACTIONS, CF_PRED, ITEM_STATS, VCAT, SEEDS,
+    PRICE_PROFILE, SHARES, HARD,
+    """pool AS (SELECT user_id, product_id FROM hard)""",
+    """sv AS (SELECT s.user_id, v.vec FROM seeds s JOIN vcat v ON v.product_id = s.product_id)""",
+    HYBRID_FEATURES,
+    f"""cfgs AS (SELECT * FROM (VALUES {_CFG_ROWS}) AS v(config_id, w_cf, w_embedding, w_price, w_style, w_ctr,
+                                                       similarity_threshold))""",
+    """sx AS (SELECT c.config_id, hf.user_id, hf.product_id,
+                     CAST(hf.product_id = t.target_product_id AS DOUBLE) AS label,
+                     c.w_cf * hf.cf_score
+                     + c.w_embedding * (CASE WHEN hf.emb >= c.similarity_threshold THEN hf.emb ELSE 0.0 END)
+                     + c.w_price * hf.pm + c.w_style * hf.sty_s + c.w_ctr * hf.ctr AS h
+              FROM hf JOIN targets t ON t.user_id = hf.user_id CROSS JOIN cfgs c)""",
+    """sr AS (SELECT *, row_number() OVER (PARTITION BY config_id, user_id ORDER BY round(h, 9) DESC, product_id) AS rk,
+                    row_number() OVER (PARTITION BY config_id, user_id ORDER BY label DESC, product_id) AS irk
+              FROM sx)""",
+    """sper AS (SELECT config_id, user_id,
+                       coalesce(sum(label) FILTER (WHERE rk <= 5), 0) AS pos5,
+                       coalesce(sum((pow(2.0, label) - 1) / log2(rk + 1.0)) FILTER (WHERE rk <= 5), 0) AS dcg5,
+                       coalesce(sum((pow(2.0, label) - 1) / log2(irk + 1.0)) FILTER (WHERE irk <= 5), 0) AS idcg5,
+                       coalesce(sum(label) FILTER (WHERE rk <= 10), 0) AS pos10,
+                       coalesce(sum((pow(2.0, label) - 1) / log2(rk + 1.0)) FILTER (WHERE rk <= 10), 0) AS dcg10,
+                       coalesce(sum((pow(2.0, label) - 1) / log2(irk + 1.0)) FILTER (WHERE irk <= 10), 0) AS idcg10
+                FROM sr GROUP BY config_id, user_id)""") + """
+SELECT c.config_id, round(c.w_cf, 6) AS w_cf, round(c.w_embedding, 6) AS w_embedding, round(c.w_price, 6) AS w_price,
+       round(c.w_style, 6) AS w_style, round(c.w_ctr, 6) AS w_ctr,
+       round(c.similarity_threshold, 6) AS similarity_threshold,
+       round(avg(pos5 / 5.0), 4) AS precision_at_5,
+       round(avg(CASE WHEN idcg5 = 0 THEN 0.0 ELSE dcg5 / idcg5 END), 4) AS ndcg_at_5,
+       round(avg(CAST(pos5 > 0 AS DOUBLE)), 4) AS hit_rate_at_5,
+       round(avg(pos10 / 10.0), 4) AS precision_at_10,
+       round(avg(CASE WHEN idcg10 = 0 THEN 0.0 ELSE dcg10 / idcg10 END), 4) AS ndcg_at_10,
+       round(avg(CAST(pos10 > 0 AS DOUBLE)), 4) AS hit_rate_at_10
+FROM sper JOIN cfgs c ON c.config_id = sper.config_id
+GROUP BY c.config_id, c.w_cf, c.w_embedding, c.w_price, c.w_style, c.w_ctr, c.similarity_threshold"""

@@ -455,3 +455,17 @@ def _hard_candidates(targets, models):
 
 
 QUERIES["hybrid_features_hard"] = q_hybrid_features_hard
+
+
+def q_signal_sweep_hard(spark, d):
+    """O1/O2 on the hard candidates of every eligible user: the 20 drawn
+    configs re-blend the hybrid signal and are ranked by M9, in one job."""
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    hard = _hard_candidates(targets, models)
+    frame = H.feature_frame(models, hard.select("user_id", "product_id"), None, 0.0)
+    frame = frame.join(targets.select("user_id", "target_product_id"), "user_id") \
+        .withColumn("label", (F.col("product_id") == F.col("target_product_id")).cast("int"))
+    return rounded(SW.evaluate_configs(frame, SW.draw_configs(20, SEED)))
+
+
+QUERIES["signal_sweep_hard"] = q_signal_sweep_hard

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from recflow.operators import blocks, knn
 from recflow.operators.interactions import popularity, user_item_matrix
 from recflow.plans.fill import complete_in_id_order
-from recflow.plans.joins import bounded_broadcast
 
 ORDER_DIGITS = knn.SCORE_DIGITS
 
@@ -118,7 +117,7 @@ def fit_cf(interactions: DataFrame) -> CFModel:
     if n_items <= DENSE_PRED_ITEMS:
         pred = _dense_block_pred(nm, g, colsum, n_users).persist()
     else:
-        gb = bounded_broadcast(g.select(F.col("a").alias("product_id"), F.col("b").alias("j"), "v"))
+        gb = g.select(F.col("a").alias("product_id"), F.col("b").alias("j"), "v")
         num = nm.where(F.col("n") != 0).join(gb, "product_id").groupBy("user_id", "j").agg(
             F.sum(F.col("n") * F.col("v")).alias("num"))
         seen = m.where(F.col("value") > 0).select("user_id", F.col("product_id").alias("j"))
@@ -217,14 +216,14 @@ def popularity_recommend(pop: DataFrame, users: DataFrame, n: int, exclude: Data
         head = ranked.where(F.col("g") <= n)
         slots = users.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(n).cast("bigint")))
                              .alias("g"))
-        return slots.join(bounded_broadcast(head), "g").select(
+        return slots.join(head, "g").select(
             "user_id", "product_id", F.col("g").alias("rank"), F.col("popularity").alias("score"))
     ex = exclude.select("user_id", "product_id").distinct().join(users, "user_id", "left_semi")
     ec = users.join(ex.groupBy("user_id").agg(F.count(F.lit(1)).alias("e")), "user_id", "left").fillna({"e": 0})
     head = ranked
     slots = ec.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                       (F.lit(n) + F.col("e")).cast("bigint"))).alias("g"))
-    cand = slots.join(bounded_broadcast(head), "g").join(ex, ["user_id", "product_id"], "left_anti")
+    cand = slots.join(head, "g").join(ex, ["user_id", "product_id"], "left_anti")
     w = Window.partitionBy("user_id").orderBy("g")
     return cand.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n) \
         .select("user_id", "product_id", "rank", F.col("popularity").alias("score"))

@@ -15,7 +15,6 @@ from recflow.operators import content as C
 from recflow.operators import item_stats as S
 from recflow.operators import preferences as P
 from recflow.operators import ranking_data as RD
-from recflow.plans.joins import bounded_broadcast
 from recflow.session import cut_lineage
 
 # The 11 ranker features, in order.
@@ -89,7 +88,7 @@ def feature_frame(models: FittedModels, candidates: DataFrame, weights: dict[str
     cands = candidates
     cat = models.catalog.select("product_id", "title", "category", "material", "color", "style", "price", "rating",
                                 "description", "catalog_description")
-    f = cands.join(bounded_broadcast(cat), "product_id", "left")
+    f = cands.join(cat, "product_id", "left")
     f = f.join(CF.cf_scores(models.cf, cands.select("user_id", "product_id")), ["user_id", "product_id"], "left")
     hist = C.history_similarity(models.seeds, cands.select("user_id", "product_id"), models.catalog)
     f = f.join(hist.select("user_id", "product_id", F.col("embedding_similarity").alias("_hist")),

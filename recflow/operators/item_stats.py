@@ -58,7 +58,6 @@ def item_stats_recommend(stats: DataFrame, users: DataFrame, n: int = 20,
     (``sequence``), joins the ranked list on the position (an equi-join), and
     drops excluded pairs with an anti-join -- no user x catalog grid."""
     from recflow.plans.ranking import global_rank
-    from recflow.plans.joins import bounded_broadcast
     users = users.select("user_id").distinct()
     if exclude is None:
         ex_counts = users.withColumn("n_ex", F.lit(0).cast("bigint"))
@@ -71,7 +70,7 @@ def item_stats_recommend(stats: DataFrame, users: DataFrame, n: int = 20,
                          [True, True, True, False], name="g").select("g", "product_id")
     slots = ex_counts.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                              (F.lit(n) + F.col("n_ex")).cast("bigint"))).alias("g"))
-    cand = slots.join(bounded_broadcast(ranked), "g")
+    cand = slots.join(ranked, "g")
     if exclude is not None:
         cand = cand.join(ex, ["user_id", "product_id"], "left_anti")
     w = Window.partitionBy("user_id").orderBy("g")

@@ -161,8 +161,7 @@ def sparse_to_dense_rows(cells: DataFrame, row: str, col: str, val: str) -> Data
     n = idx.count()
     from recflow.operators.blocks import check_gram_side
     check_gram_side(n)
-    from recflow.plans.joins import bounded_broadcast
-    c = cells.join(bounded_broadcast(idx), col)
+    c = cells.join(idx, col)
     per_row = c.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(F.col("_ci") - 1, F.col(val).cast("double"))))
                                  .alias("_m"))
     vec = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")),

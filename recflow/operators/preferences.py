@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.functions.numeric import price_match
-from recflow.plans.joins import bounded_broadcast
 
 HIGH_INTENT = ("purchase", "cart", "wishlist")
 ATTRIBUTES = ("category", "material", "style")
 
 
 def _with_catalog(interactions: DataFrame, catalog: DataFrame) -> DataFrame:
-    cat = bounded_broadcast(catalog.select("product_id", "category", "material", "style", "price"))
+    cat = catalog.select("product_id", "category", "material", "style", "price")
     return interactions.join(cat, "product_id", "left")
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.plans.joins import bounded_broadcast
 from recflow.plans.ranking import global_rank
 
 
@@ -108,7 +107,7 @@ def random_negatives(users: DataFrame, catalog_ids: DataFrame, knocked: DataFram
     walk = walk.select("user_id", "j", F.pmod(F.col("a") * F.col("j") + F.col("b"), F.lit(p)).alias("_g0")) \
         .where(F.col("_g0") < n).withColumn("_g", F.col("_g0") + 1)
     ranked = global_rank(catalog_ids.select("product_id").distinct(), ["product_id"], name="_g")
-    cand = walk.join(bounded_broadcast(ranked), "_g").join(kn, ["user_id", "product_id"], "left_anti")
+    cand = walk.join(ranked, "_g").join(kn, ["user_id", "product_id"], "left_anti")
     w = Window.partitionBy("user_id").orderBy("j")
     return cand.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= size) \
         .select("user_id", "product_id", "rank")

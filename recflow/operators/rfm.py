@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions.numeric import days_between
-from recflow.plans.joins import bounded_broadcast
 
 # Fills for users without purchases.
 RFM_FILLS = {"recency": 999, "frequency": 0, "monetary": 0.0}
@@ -27,7 +26,7 @@ def rfm(behavior: DataFrame, reference_date: str, products: DataFrame | None = N
     else:
         if products is None:
             raise ValueError("behaviour has no price column: pass the product catalog")
-        prices = bounded_broadcast(products.select("product_id", F.col("price").cast("double").alias("price")))
+        prices = products.select("product_id", F.col("price").cast("double").alias("price"))
         rows = behavior.select("user_id", "product_id", "event_type", "timestamp") \
             .join(prices, "product_id", "left")
     agg = rows.groupBy("user_id").agg(

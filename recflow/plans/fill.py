@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.plans.joins import bounded_broadcast
 from recflow.plans.ranking import global_rank
 
 
@@ -29,7 +28,7 @@ def complete_in_id_order(need: DataFrame, knocked: DataFrame, universe: DataFram
     ranked = global_rank(universe.select(item).distinct(), [item], name="_g")
     slots = nd.select(q, "need", F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                       (F.col("need") + F.col("_kc")).cast("bigint"))).alias("_g"))
-    cand = slots.join(bounded_broadcast(ranked), "_g").join(kn, [q, item], "left_anti")
+    cand = slots.join(ranked, "_g").join(kn, [q, item], "left_anti")
     w = Window.partitionBy(q).orderBy("_g")
     return cand.withColumn("fill_pos", F.row_number().over(w).cast("bigint")) \
         .where(F.col("fill_pos") <= F.col("need")).select(q, item, "fill_pos")

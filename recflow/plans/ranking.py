@@ -3,23 +3,21 @@
 * ``topk_per_group`` -- ``row_number() <= k`` over a partitioned window; Spark
   plans it as ``WindowGroupLimit`` so each map task keeps only its local k
   rows per group before the shuffle.
-* ``global_rank`` -- a dense 1..n position over the whole table without a
+* ``prefix_sums`` -- running sums over the whole table without a
   single-partition window: range partitioning, a reliable checkpoint, and
   per-partition offsets.
+* ``global_rank`` -- a dense 1..n position, the prefix sum of ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.session import cut_lineage
 
-# global_rank uses a single ordered window only below this checked row count
-SMALL_RANK_ROWS = 200_000
-
 
 def topk_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                    k: int | None, name: str = "rank") -> DataFrame:
@@ -28,9 +26,20 @@ def topk_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     return out.where(F.col(name) <= k) if k is not None else out
 
 
-def small_rank(df: DataFrame, order_cols: Sequence[Column | str], name: str = "rank") -> DataFrame:
-    """Rank column for a result already cut to k rows (``orderBy().limit(k)``)."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
+def prefix_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """Inclusive running sums in the total order of ``keys`` (the last key should make
+    rows unique): ``sums`` maps a numeric column to the name of its running sum."""
+    n_parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
+    ordered = cut_lineage(df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id()))
+    totals = ordered.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    # one row per partition: the window over it is tiny
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                      for c in sums])
+    inside = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ordered.withColumns({f"_s_{c}": F.sum(c).over(inside) for c in sums}).join(F.broadcast(offsets), "_pid")
+    out = out.withColumns({name: F.col(f"_s_{c}") + F.col(f"_o_{c}") for c, name in sums.items()})
+    return out.drop("_pid", *[f"_s_{c}" for c in sums], *[f"_o_{c}" for c in sums])
 
 
 def global_rank(df: DataFrame, sort_cols: Sequence[str], descending: Sequence[bool] | None = None,
@@ -38,13 +47,7 @@ def global_rank(df: DataFrame, sort_cols: Sequence[str], descending: Sequence[bo
     """Exact 1-based position of every row in the total order of
     ``sort_cols`` (the last column should be a unique key)."""
     descending = list(descending or [False] * len(sort_cols))
-    from recflow.plans.joins import row_count_at_most
-    if row_count_at_most(df, SMALL_RANK_ROWS):
-        # checked to be small (catalog-sized lists): one ordered window is cheaper
-        # than range partitioning + checkpoint, and its size is bounded
-        order = [F.col(c).desc() if d else F.col(c).asc() for c, d in zip(sort_cols, descending)]
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    keyed = df
+    keyed = df.withColumn("_one", F.lit(1).cast("bigint"))
     keys = []
     for c, d in zip(sort_cols, descending):
         if d:
@@ -52,13 +55,4 @@ def global_rank(df: DataFrame, sort_cols: Sequence[str], descending: Sequence[bo
             keys.append(f"_k_{c}")
         else:
             keys.append(c)
-    n_parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
-    ordered = cut_lineage(keyed.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id()))
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: the window over it is tiny
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    lw = Window.partitionBy("_pid").orderBy(*keys)
-    out = ordered.withColumn("_lr", F.row_number().over(lw)).join(F.broadcast(offsets), "_pid") \
-        .withColumn(name, (F.col("_lr") + F.col("_off")).cast("bigint"))
-    return out.drop("_pid", "_lr", "_off", *[k for k in keys if k.startswith("_k_")])
+    return prefix_sums(keyed, keys, {"_one": name}).drop("_one", *[k for k in keys if k.startswith("_k_")])

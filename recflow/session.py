@@ -1,8 +1,8 @@
 """Spark session helpers.
 
-The library never changes the configuration of a session it is handed; these
-helpers only build a session for scripts/tests and resolve the shared
-checkpoint folder named by ``spark.checkpoint.dir``.
+The library sets no Spark option of a session it is handed.  These helpers build a
+session for scripts and tests, resolve the shared checkpoint folder named by
+``spark.checkpoint.dir``, and ship the package to the executors.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used as is.  Only when nothing is configured (local tests) a
-    scratch folder is created.
+    and is used as is.  Only a session with a local master, whose tasks all run
+    in this process, may go without: it gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="recflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -28,8 +28,5 @@ def whitespace_words(text: Column) -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z lower-cased.  ``lower`` differs from that only for non-ASCII
-    letters; the two of them whose lower case holds ASCII letters take the
-    slower ``translate``."""
-    odd = F.contains(text, F.lit("İ")) | F.contains(text, F.lit("K"))
-    return F.when(odd, F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())).otherwise(F.lower(text))
+    """A-Z lower-cased and nothing else changed."""
+    return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

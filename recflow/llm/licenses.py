@@ -80,9 +80,16 @@ def _kgrams(words: Column, k: int) -> Column:
     return F.slice(each, 1, F.greatest(F.size(words) - (k - 1), F.lit(0)))
 
 
+def _lower(text: Column) -> Column:
+    """Lower case by ``lower`` where that cannot change which ASCII words there are: two
+    non-ASCII letters have a lower case with ASCII letters in it, and take the slower way."""
+    odd = F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212A"))
+    return F.when(odd, lower_ascii(text)).otherwise(F.lower(text))
+
+
 def license_words(text: Column) -> Column:
     parts = F.split(F.coalesce(text, F.lit("")), SEPARATORS)
-    return F.array_remove(F.split(lower_ascii(F.array_join(F.array_remove(parts, ""), " ")), " "), "")
+    return F.array_remove(F.split(_lower(F.array_join(F.array_remove(parts, ""), " ")), " "), "")
 
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:

@@ -229,7 +229,8 @@ def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR) -> DataF
 def digest_columns(found: DataFrame) -> DataFrame:
     """n_assign, n_access, n_hex, n_random, base_sha256 and spans from ``secret_spans``."""
     spans = F.col("secret_spans")
-    counts = {f"n_{k}": F.size(F.filter(spans, lambda s, i=i: s["kind"] == i)).cast("long") for i, k in enumerate(KINDS)}
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = {f"n_{k}": (F.size(spans) - F.size(F.array_remove(kinds, i))).cast("long") for i, k in enumerate(KINDS)}
     base = F.filter(spans, lambda s: s["kind"] < 3)
     return found.withColumns({**counts, "base_sha256": F.sha2(_joined(base).cast("binary"), 256), "spans": _joined(spans)})
 

@@ -78,14 +78,13 @@ def decide(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def grams(text: Column, max_order: int = MAX_ORDER) -> Column:
     """Array of the n-grams of 1 to max_order + 1 characters, one per order and
     predicted character (the start mark is never predicted)."""
+    def of_order(chars: Column, order: int) -> Column:
+        ends = F.sequence(F.lit(max(order, 1) + 1), F.size(chars))
+        each = F.transform(ends, lambda i: F.array_join(F.slice(chars, i - order, order + 1), ""))
+        return F.when(F.size(chars) >= max(order, 1) + 1, each).otherwise(F.array().cast("array<string>"))
+
     def of(chars: Column) -> Column:
-        each = [F.transform(
-            F.sequence(F.lit(max(o, 1) + 1), F.size(chars)),
-            lambda i, o=o: F.array_join(F.slice(chars, i - F.lit(o), F.lit(o + 1)), ""))
-            for o in range(max_order + 1)]
-        safe = [F.when(F.size(chars) >= max(o, 1) + 1, e).otherwise(F.array().cast("array<string>"))
-                for o, e in enumerate(each)]
-        return F.concat(*safe)
+        return F.concat(*[of_order(chars, o) for o in range(max_order + 1)])
 
     return let(F.split(F.concat(F.lit(START), text, F.lit(END)), ""), of)
 
@@ -136,20 +135,22 @@ def score_texts(texts: DataFrame, weights: DataFrame, max_order: int = MAX_ORDER
 
 
 def threshold_of(scored: DataFrame) -> DataFrame:
-    """One row ``threshold``: the score bin edge with the best balanced accuracy on
-    (score, rule_verdict) rows; 0 if there are none of one kind."""
+    """One row ``threshold``: the cut with the best balanced accuracy on (score, rule_verdict)
+    rows, in the middle between two score bins; 0 if there are none of one kind."""
     at = F.greatest(F.lit(-BIN_LIMIT), F.least(F.lit(BIN_LIMIT), F.floor(F.col("score") / BIN))).cast("int")
     bins = scored.groupBy(at.alias("bin")).agg(F.count_if(F.col("rule_verdict") == "allow").alias("a"),
                                                F.count_if(F.col("rule_verdict") == "block").alias("r"))
     every = Window.partitionBy(F.lit(0))  # at most 2 * BIN_LIMIT + 1 rows
     below = every.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     rated = bins.select(
-        "bin", F.sum("a").over(every).alias("ta"), F.sum("r").over(every).alias("tr"),
+        "bin", F.coalesce(F.lag("bin").over(every.orderBy("bin")) + 1, F.col("bin")).alias("free"),
+        F.sum("a").over(every).alias("ta"), F.sum("r").over(every).alias("tr"),
         F.coalesce(F.sum("a").over(below), F.lit(0)).alias("la"), F.coalesce(F.sum("r").over(below), F.lit(0)).alias("lr"))
     rated = rated.where("ta > 0 and tr > 0").withColumn(
         "quality", F.round((F.col("ta") - F.col("la")) / F.col("ta") + F.col("lr") / F.col("tr"), 9))
-    best = rated.agg(F.max_by("bin", F.struct("quality", -F.abs("bin"), "bin")).alias("bin"))
-    return best.select(F.coalesce(F.col("bin") * BIN, F.lit(0.0)).alias("threshold"))
+    middle = (F.col("bin") + F.col("free")) / 2 * BIN
+    best = rated.agg(F.max_by(middle, F.struct("quality", -F.abs("bin"), "bin")).alias("middle"))
+    return best.select(F.coalesce("middle", F.lit(0.0)).alias("threshold"))
 
 
 def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:

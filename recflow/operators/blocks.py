@@ -1,21 +1,21 @@
-"""Sparse x sparse products reduced per key block (Gram matrices).
-
-``gram(left, right, key)`` computes ``sum_key left[key, a] * right[key, b]``
-for every (a, b) pair.  Rows are hashed into key blocks; inside each block a
-dense NumPy product over the block's own rows/columns (in chunks of keys)
-is accumulated, and only the block's non-zero sums leave the task, then a
-``groupBy(a, b).sum`` combines the blocks.  No per-key pair rows are ever
-emitted, so a hot key costs one dense vector, not deg^2 rows.
-
-Block count grows with the data so a block stays a bounded slice of it.
-The output is at most ``|A| x |B|`` per block: this is the item-Gram used by
-neighbourhood CF and the low-rank model, meant for catalogs up to about 10^4
-items (the same limit MLlib's local Gram/PCA has); larger catalogs use ALS.
+"""Sparse x sparse products in blocks.
+
+``gram(left, right, key)`` computes ``sum_key left[key, a] * right[key, b]`` for every
+(a, b) pair.  Keys are hashed into key blocks and both sides into tiles of about
+``SIDE_PER_TILE`` ids; a task holds one key block of one pair of tiles, multiplies it in
+chunks of keys and returns the non-zero sums, which a ``groupBy(a, b).sum`` combines.  No per-key
+pair rows are emitted, so a hot key costs one dense vector per tile, not deg^2 rows, and
+no task holds a whole side.
+
+``tiled_product`` computes the rows of ``left x right`` per (row block, column tile) with
+every key in the task, and hands the dense tile to a function that keeps what is
+wanted of it (a top-n, single cells, a range), so the full product is never a table.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 400_000
 KEYS_PER_CHUNK = 1024
-MAX_GRAM_SIDE = 20_000
+SIDE_PER_TILE = 2048
+ROWS_PER_TILE = 2048
 
 _SCHEMA = "a long, b long, v double"
 
@@ -68,21 +69,93 @@ def n_blocks_for(df: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> int:
     return blocks_for_rows(df.count(), df.sparkSession, rows_per_block)
 
 
+def tiles_for(n: int, per_tile: int = SIDE_PER_TILE) -> int:
+    return max(1, math.ceil(n / per_tile))
+
+
+def _tile(column: str, tiles: int):
+    return F.pmod(F.xxhash64(column), F.lit(tiles)).cast("int")
+
+
+def _every(tiles: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+
+
 def gram(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col: str,
-         left_val: str, right_val: str, n_blocks: int | None = None) -> DataFrame:
-    """``(a, b, v)`` with ``v = sum over key of left * right`` (non-zeros only)."""
+         left_val: str, right_val: str, n_blocks: int | None = None, tiles: int = 1) -> DataFrame:
+    """``(a, b, v)`` with ``v = sum over key of left * right`` (non-zeros only); ``tiles``: the
+    number of tiles of each side (``tiles_for`` the number of ids)."""
     lsel = left.select(F.col(key).alias("k"), F.col(left_col).cast("bigint").alias("c"),
                        F.col(left_val).cast("double").alias("x"), F.lit(0).alias("side"))
     rsel = right.select(F.col(key).alias("k"), F.col(right_col).cast("bigint").alias("c"),
                         F.col(right_val).cast("double").alias("x"), F.lit(1).alias("side"))
-    both = lsel.unionByName(rsel).where(F.col("x") != 0)
-    nb = n_blocks or n_blocks_for(both)
-    blocked = both.withColumn("blk", F.pmod(F.xxhash64("k"), F.lit(nb)))
-    partial = blocked.groupBy("blk").applyInPandas(_block_product, _SCHEMA)
+    nb = n_blocks or n_blocks_for(lsel.unionByName(rsel).where(F.col("x") != 0))
+    lsel = lsel.withColumn("ta", _tile("c", tiles)).withColumn("tb", _every(tiles))
+    rsel = rsel.withColumn("tb", _tile("c", tiles)).withColumn("ta", _every(tiles)).select(*lsel.columns)
+    both = lsel.unionByName(rsel).where(F.col("x") != 0).withColumn("blk", F.pmod(F.xxhash64("k"), F.lit(nb)))
+    partial = both.groupBy("blk", "ta", "tb").applyInPandas(_block_product, _SCHEMA)
     return partial.groupBy("a", "b").agg(F.sum("v").alias("v"))
 
 
-def check_gram_side(n: int, what: str = "items") -> None:
-    if n > MAX_GRAM_SIDE:
-        raise ValueError(f"{n} {what}: the dense item Gram would exceed {MAX_GRAM_SIDE}^2 entries; "
-                         "use the ALS path for catalogs of this size")
+def tiled_product(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int, keep: Callable, schema: str,
+                  marks: DataFrame | None = None) -> DataFrame:
+    """``left`` (row, key, x, and any of y, z, d) times ``right`` (key, col, v), per tile.
+
+    ``marks`` (row, col, mark) are cells that the tile's function needs to know.  ``keep`` is
+    called with (rows, cols, product, left rows of the tile, row numbers of these, marks) and returns a
+    frame of ``schema``."""
+    tr, tc = tiles_for(n_rows, ROWS_PER_TILE), tiles_for(n_cols)
+    wide = [c if c in left.columns else F.lit(0.0).alias(c) for c in ("y", "z", "d")]
+    parts = left.select(F.lit(0).alias("side"), "row", F.col("key").alias("other"), "x", *wide) \
+        .withColumn("ti", _tile("row", tr)).withColumn("tj", _every(tc))
+    zero = [F.lit(0.0).alias(c) for c in ("y", "z", "d")]
+    r = right.select(F.lit(1).alias("side"), F.col("col").alias("row"), F.col("key").alias("other"), F.col("v").alias("x"), *zero)
+    parts = parts.unionByName(r.withColumn("tj", _tile("row", tc)).withColumn("ti", _every(tr)).select(*parts.columns))
+    if marks is not None:
+        m = marks.select(F.lit(2).alias("side"), "row", F.col("col").alias("other"), F.col("mark").cast("double").alias("x"), *zero)
+        parts = parts.unionByName(m.withColumn("ti", _tile("row", tr)).withColumn("tj", _tile("other", tc)).select(*parts.columns))
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["side"].to_numpy()
+        own, g, m = pdf[side == 0], pdf[side == 1], pdf[side == 2]
+        rows, ri = np.unique(own["row"].to_numpy(), return_inverse=True)
+        cols, ci = np.unique(g["row"].to_numpy(), return_inverse=True)
+        keys, ki = np.unique(np.concatenate([own["other"].to_numpy(), g["other"].to_numpy()]), return_inverse=True)
+        lk, rk = ki[:len(own)], ki[len(own):]
+        lx, rx = own["x"].to_numpy(dtype="float64"), g["x"].to_numpy(dtype="float64")
+        product = np.zeros((len(rows), len(cols)))
+        for start in range(0, len(keys), KEYS_PER_CHUNK):
+            lm = (lk >= start) & (lk < start + KEYS_PER_CHUNK)
+            rm = (rk >= start) & (rk < start + KEYS_PER_CHUNK)
+            if not lm.any() or not rm.any():
+                continue
+            width = min(KEYS_PER_CHUNK, len(keys) - start)
+            a, b = np.zeros((len(rows), width)), np.zeros((width, len(cols)))
+            np.add.at(a, (ri[lm], lk[lm] - start), lx[lm])
+            np.add.at(b, (rk[rm] - start, ci[rm]), rx[rm])
+            product += a @ b
+        return keep(rows, cols, product, own, ri, m)
+
+    return parts.groupBy("ti", "tj").applyInPandas(fn, schema)
+
+
+def top_cells(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, allowed: np.ndarray, n: int,
+              digits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, column numbers) of each row's n best allowed cells: score rounded to ``digits``
+    descending, then column id."""
+    i, j = np.nonzero(allowed)
+    order = np.lexsort((cols[j], -np.round(scores[i, j], digits), i))
+    i, j = i[order], j[order]
+    first = np.searchsorted(i, i, side="left")
+    keep = np.arange(len(i)) - first < n
+    return i[keep], j[keep]
+
+
+def cells_at(rows: np.ndarray, cols: np.ndarray, r: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row numbers, column numbers, which of the given cells are in the tile)."""
+    i = np.minimum(np.searchsorted(rows, r), max(len(rows) - 1, 0))
+    j = np.minimum(np.searchsorted(cols, c), max(len(cols) - 1, 0))
+    if len(rows) == 0 or len(cols) == 0:
+        return i[:0], j[:0], np.zeros(len(r), dtype=bool)
+    ok = (rows[i] == r) & (cols[j] == c)
+    return i[ok], j[ok], ok

@@ -6,23 +6,27 @@ non-zero rows,
 
     pred = (N . (N^T R) - delta * R) / max(N . colsum(N) - delta, 1e-8)
 
-``N^T R`` is an item x item Gram computed per user block (``blocks.gram``);
-``N . G`` is a sparse join of N with G on the item.  Unseen cells without a
-non-zero prediction are never materialised: they predict 0, which enters the
-global range when such cells exist, and they complete short lists in id
-order (``plans.fill``).
+``G = N^T R`` is a table of non-zero item pairs (``blocks.gram``).  ``N . G`` is computed per
+(user block, item tile) by ``blocks.tiled_product``; a tile returns only what is asked
+for: each user's best n, the predictions of given cells, and the range of its unseen cells.  There is
+no users x items table and no bound on the catalog.  Cells without a prediction
+predict 0, which enters the global range when such cells exist, and they complete
+short lists in id order (``plans.fill``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.operators import blocks, knn
 from recflow.operators.interactions import popularity, user_item_matrix
 from recflow.plans.fill import complete_in_id_order
+from recflow.session import cut_lineage
 
 ORDER_DIGITS = knn.SCORE_DIGITS
 
@@ -43,20 +47,28 @@ def user_based(interactions: DataFrame, n: int = 10, neighbours: int = 5) -> Dat
     of the reference is replaced by id order; own items are kept)."""
     m = user_item_matrix(interactions, "mean")
     nm = _normalized_rows(m)
-    rows = knn.sparse_to_dense_rows(nm, "user_id", "product_id", "n")
-    nb = knn.knn(rows, neighbours, id_col="id", vec_col="vec", exclude_self=True)
+    left = nm.select(F.col("user_id").alias("row"), F.col("product_id").alias("key"), F.col("n").alias("x"))
+    users = m.agg(F.count_distinct("user_id")).first()[0]
+
+    def best(rows, cols, product, own, ri, marks):
+        i, j = blocks.top_cells(rows, cols, product, rows[:, None] != cols[None, :], neighbours, ORDER_DIGITS)
+        return pd.DataFrame({"user_id": rows[i], "neighbor_id": cols[j], "score": product[i, j]})
+
+    near = blocks.tiled_product(left, left.select("key", F.col("row").alias("col"), F.col("x").alias("v")), users, users, best,
+                                "user_id long, neighbor_id long, score double")
+    w = Window.partitionBy("user_id").orderBy(F.round("score", ORDER_DIGITS).desc(), "neighbor_id")
+    nb = near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= neighbours)
     liked = m.where(F.col("value") > 0).select(F.col("user_id").alias("neighbor_id"), "product_id")
-    items = nb.select(F.col("query_id").alias("user_id"), "neighbor_id").join(liked, "neighbor_id") \
-        .select("user_id", "product_id").distinct()
+    items = nb.select("user_id", "neighbor_id").join(liked, "neighbor_id").select("user_id", "product_id").distinct()
     w = Window.partitionBy("user_id").orderBy("product_id")
     return items.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
 
 
 # --- R3: item-based (W2) ------------------------------------------------------
 
-def item_similarity(matrix: DataFrame) -> DataFrame:
+def item_similarity(matrix: DataFrame, n_items: int) -> DataFrame:
     """Cosine between item columns: Gram ``R^T R`` per user block / norms."""
-    g = blocks.gram(matrix, matrix, "user_id", "product_id", "product_id", "value", "value")
+    g = blocks.gram(matrix, matrix, "user_id", "product_id", "product_id", "value", "value", tiles=blocks.tiles_for(n_items))
     norms = matrix.groupBy("product_id").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("nrm"))
     na = norms.select(F.col("product_id").alias("a"), F.col("nrm").alias("na"))
     nb_ = norms.select(F.col("product_id").alias("b"), F.col("nrm").alias("nb"))
@@ -70,8 +82,7 @@ def item_based(interactions: DataFrame, n: int = 10) -> DataFrame:
     id, T3); items without overlap fill by id with similarity 0."""
     m = user_item_matrix(interactions, "mean")
     items = m.select("product_id").distinct()
-    blocks.check_gram_side(items.count())
-    sim = item_similarity(m).where(F.col("product_id") != F.col("similar_product_id")) \
+    sim = item_similarity(m, items.count()).where(F.col("product_id") != F.col("similar_product_id")) \
         .where(F.col("similarity") > 0)
     w = Window.partitionBy("product_id").orderBy(F.round("similarity", ORDER_DIGITS).desc(),
                                                  F.col("similar_product_id"))
@@ -94,88 +105,82 @@ def item_based(interactions: DataFrame, n: int = 10) -> DataFrame:
 @dataclass
 class CFModel:
     matrix: DataFrame        # (user_id, product_id, value) sum matrix, all cells
-    pred: DataFrame          # (user_id, product_id, pred) unseen cells with non-zero numerator
+    left: DataFrame          # (row=user, key=item, x=n, y=value, z=nonzero, d=denominator)
+    gram: DataFrame          # (key=item, col=item, v)
     popularity: DataFrame    # (product_id, popularity)
-    global_min: float
-    global_max: float
+    n_users: int
+    n_items: int
 
 
 def fit_cf(interactions: DataFrame) -> CFModel:
-    """R5 over **all** users: predictions for unseen cells, popularity and
-    the global finite range."""
-    m = user_item_matrix(interactions, "sum").persist()
+    """R5 over **all** users.  The matrix, its normalised rows and the Gram are written to the
+    checkpoint folder: every later step reads them."""
+    m = cut_lineage(user_item_matrix(interactions, "sum"))
     dims = m.agg(F.count_distinct("product_id").alias("i"), F.count_distinct("user_id").alias("u"),
-                 F.count_if(F.col("value") > 0).alias("seen"), F.count(F.lit(1)).alias("cells")).first()
-    n_items, n_users, n_seen = dims["i"], dims["u"], dims["seen"]
-    blocks.check_gram_side(n_items)
-    nm = _normalized_rows(m)
+                 F.count(F.lit(1)).alias("cells")).first()
+    nm = cut_lineage(_normalized_rows(m))
     g = blocks.gram(nm, m, "user_id", "product_id", "product_id", "n", "value",
-                    n_blocks=blocks.blocks_for_rows(2 * dims["cells"], nm.sparkSession))   # (a=i, b=j, v)
+                    n_blocks=blocks.blocks_for_rows(2 * dims["cells"], nm.sparkSession), tiles=blocks.tiles_for(dims["i"]))
     colsum = nm.groupBy("product_id").agg(F.sum("n").alias("c"))
     den = nm.join(colsum, "product_id").groupBy("user_id").agg(
-        (F.sum(F.col("n") * F.col("c")) - F.max(F.col("nonzero").cast("double"))).alias("den"))
-    if n_items <= DENSE_PRED_ITEMS:
-        pred = _dense_block_pred(nm, g, colsum, n_users).persist()
-    else:
-        gb = g.select(F.col("a").alias("product_id"), F.col("b").alias("j"), "v")
-        num = nm.where(F.col("n") != 0).join(gb, "product_id").groupBy("user_id", "j").agg(
-            F.sum(F.col("n") * F.col("v")).alias("num"))
-        seen = m.where(F.col("value") > 0).select("user_id", F.col("product_id").alias("j"))
-        pred = num.join(seen, ["user_id", "j"], "left_anti").join(den, "user_id") \
-            .select("user_id", F.col("j").alias("product_id"),
-                    (F.col("num") / F.greatest(F.col("den"), F.lit(1e-8))).alias("pred"))
-        pred = pred.where(F.col("pred") != 0).persist()
-    stats = pred.agg(F.count(F.lit(1)).alias("n"), F.min("pred").alias("lo"), F.max("pred").alias("hi")).first()
-    n_unseen = n_users * n_items - n_seen
-    zero_cells = n_unseen > stats["n"]
-    lo = stats["lo"] if stats["lo"] is not None else 0.0
-    hi = stats["hi"] if stats["hi"] is not None else 0.0
-    if zero_cells:
-        lo, hi = min(lo, 0.0), max(hi, 0.0)
-    if n_unseen == 0:
-        lo, hi = 0.0, 1.0
-    return CFModel(m, pred, popularity(interactions).persist(), float(lo), float(hi))
-
-
-# Up to this many items the item Gram (<= 4M entries) is shipped to the user
-# blocks and predictions are dense NumPy products per block; above it the
-# sparse join N x G is used.
-DENSE_PRED_ITEMS = 2000
-USERS_PER_PRED_BLOCK = 4096
-
-
-def _dense_block_pred(nm: DataFrame, g: DataFrame, colsum: DataFrame, n_users: int) -> DataFrame:
-    """pred for unseen cells with a non-zero value, per user block:
-    (N_b G - delta R_b) / max(N_b c - delta, 1e-8), masked to R_b <= 0."""
-    import numpy as np
-    import pandas as pd
-    items = np.array(sorted(r[0] for r in colsum.select("product_id").collect()), dtype="int64")
-    pos = {int(p): i for i, p in enumerate(items)}
-    G = np.zeros((len(items), len(items)))
-    for r in g.collect():
-        G[pos[r["a"]], pos[r["b"]]] = r["v"]
-    c = np.zeros(len(items))
-    for r in colsum.collect():
-        c[pos[r["product_id"]]] = r["c"]
-    nb = max(1, -(-n_users // USERS_PER_PRED_BLOCK))
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        users, uinv = np.unique(pdf["user_id"].to_numpy(), return_inverse=True)
-        cols = np.array([pos[int(p)] for p in pdf["product_id"].to_numpy()], dtype="int64")
-        N = np.zeros((len(users), len(items)))
-        R = np.zeros((len(users), len(items)))
-        N[uinv, cols] = pdf["n"].to_numpy(dtype="float64")
-        R[uinv, cols] = pdf["value"].to_numpy(dtype="float64")
-        delta = np.zeros(len(users))
-        delta[uinv] = pdf["nonzero"].to_numpy(dtype="float64")
-        num = N @ G - delta[:, None] * R
-        den = np.maximum(N @ c - delta, 1e-8)
-        P = num / den[:, None]
-        a, b = np.nonzero((R <= 0) & (P != 0))
-        return pd.DataFrame({"user_id": users[a].astype("int64"), "product_id": items[b], "pred": P[a, b]})
-
-    blocked = nm.withColumn("_blk", F.pmod(F.xxhash64("user_id"), F.lit(nb)))
-    return blocked.groupBy("_blk").applyInPandas(fn, "user_id long, product_id long, pred double")
+        (F.sum(F.col("n") * F.col("c")) - F.max(F.col("nonzero").cast("double"))).alias("d"))
+    left = nm.join(den, "user_id").select(
+        F.col("user_id").alias("row"), F.col("product_id").alias("key"), F.col("n").alias("x"), F.col("value").alias("y"),
+        F.col("nonzero").cast("double").alias("z"), F.greatest("d", F.lit(1e-8)).alias("d"))
+    return CFModel(m, cut_lineage(left), cut_lineage(g.select(F.col("a").alias("key"), F.col("b").alias("col"), "v")),
+                   popularity(interactions), dims["u"], dims["i"])
+
+
+def _predictions(rows, cols, product, own, ri):
+    """(predictions, unseen mask) of a tile."""
+    value, nonzero, den = np.zeros(product.shape), np.zeros(len(rows)), np.ones(len(rows))
+    i, j, ok = blocks.cells_at(rows, cols, own["row"].to_numpy(), own["other"].to_numpy())
+    value[i, j] = own["y"].to_numpy(dtype="float64")[ok]
+    nonzero[ri], den[ri] = own["z"].to_numpy(dtype="float64"), own["d"].to_numpy(dtype="float64")
+    return (product - nonzero[:, None] * value) / den[:, None], value <= 0
+
+
+def predicted_top(model: CFModel, n: int, exclude: DataFrame | None = None) -> DataFrame:
+    """(user_id, product_id, pred): each user's n best unseen, not excluded cells with a prediction,
+    per item tile (a window over these gives the overall best n)."""
+    def best(rows, cols, product, own, ri, marks):
+        pred, unseen = _predictions(rows, cols, product, own, ri)
+        i, j, _ = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())
+        unseen[i, j] = False
+        i, j = blocks.top_cells(rows, cols, pred, unseen & (pred != 0), n, ORDER_DIGITS)
+        return pd.DataFrame({"user_id": rows[i], "product_id": cols[j], "pred": pred[i, j]})
+
+    marks = None if exclude is None else exclude.select(
+        F.col("user_id").alias("row"), F.col("product_id").alias("col"), F.lit(1).alias("mark")).distinct()
+    return blocks.tiled_product(model.left, model.gram, model.n_users, model.n_items, best,
+                                "user_id long, product_id long, pred double", marks)
+
+
+def predicted_cells(model: CFModel, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(predictions of the unseen ones of ``cells``, one row (lo, hi): the range of all unseen cells)."""
+    def pick(rows, cols, product, own, ri, marks):
+        pred, unseen = _predictions(rows, cols, product, own, ri)
+        i, j, _ = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())
+        ok = unseen[i, j]
+        out = pd.DataFrame({"user_id": rows[i[ok]], "product_id": cols[j[ok]], "pred": pred[i[ok], j[ok]]})
+        some = pred[unseen & (pred != 0)]
+        if len(some):
+            out = pd.concat([out, pd.DataFrame({"lo": [some.min()], "hi": [some.max()], "cells": [len(some)]})])
+        return out.reindex(columns=["user_id", "product_id", "pred", "lo", "hi", "cells"]).astype(
+            {"user_id": "Int64", "product_id": "Int64", "cells": "Int64"})
+
+    marks = None if cells is None else cells.select(
+        F.col("user_id").alias("row"), F.col("product_id").alias("col"), F.lit(1).alias("mark")).distinct()
+    both = cut_lineage(blocks.tiled_product(
+        model.left, model.gram, model.n_users, model.n_items, pick,
+        "user_id long, product_id long, pred double, lo double, hi double, cells long", marks))
+    seen = model.matrix.agg((F.lit(model.n_users * model.n_items) - F.count_if(F.col("value") > 0)).alias("unseen"))
+    span = both.agg(F.coalesce(F.min("lo"), F.lit(0.0)).alias("lo"), F.coalesce(F.max("hi"), F.lit(0.0)).alias("hi"),
+                    F.coalesce(F.sum("cells"), F.lit(0)).alias("cells")).crossJoin(F.broadcast(seen))
+    zero = F.col("unseen") > F.col("cells")
+    lo = F.when(F.col("unseen") == 0, 0.0).when(zero, F.least("lo", F.lit(0.0))).otherwise(F.col("lo"))
+    hi = F.when(F.col("unseen") == 0, 1.0).when(zero, F.greatest("hi", F.lit(0.0))).otherwise(F.col("hi"))
+    return both.where("user_id is not null").select("user_id", "product_id", "pred"), span.select(lo.alias("lo"), hi.alias("hi"))
 
 
 def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFrame | None = None) -> DataFrame:
@@ -185,18 +190,16 @@ def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFra
     users = users.select("user_id").distinct()
     known = users.join(model.matrix.select("user_id").distinct(), "user_id", "left_semi")
     unknown = users.join(known, "user_id", "left_anti")
-    cand = model.pred.join(known, "user_id", "left_semi")
-    if exclude is not None:
-        cand = cand.join(exclude.select("user_id", "product_id"), ["user_id", "product_id"], "left_anti")
+    cand = predicted_top(model, n, exclude).join(known, "user_id", "left_semi")
     w = Window.partitionBy("user_id").orderBy(F.round("pred", ORDER_DIGITS).desc(), F.col("product_id"))
-    top = cand.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n) \
-        .select("user_id", "product_id", "rank", F.col("pred").alias("score"))
+    top = cut_lineage(cand.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
+                      .select("user_id", "product_id", "rank", F.col("pred").alias("score")))
     found = top.groupBy("user_id").agg(F.count(F.lit(1)).alias("k"))
     need = known.join(found, "user_id", "left").select(
         "user_id", (F.lit(n) - F.coalesce(F.col("k"), F.lit(0))).alias("need"))
+    # a list is short only if it holds all of the user's predictions that are not excluded
     knock = model.matrix.where(F.col("value") > 0).select("user_id", F.col("product_id").alias("item")) \
-        .unionByName(model.pred.join(known, "user_id", "left_semi")
-                     .select("user_id", F.col("product_id").alias("item")))
+        .unionByName(top.select("user_id", F.col("product_id").alias("item")))
     if exclude is not None:
         knock = knock.unionByName(exclude.select("user_id", F.col("product_id").alias("item")))
     items = model.matrix.select(F.col("product_id").alias("item")).distinct()
@@ -234,18 +237,18 @@ def cf_scores(model: CFModel, candidates: DataFrame) -> DataFrame:
     cell of a known user and item -> its prediction (0 when not stored)
     scaled by the global range; seen cells, unknown items and unknown users
     -> popularity min-max scaled inside the user's candidate set (T8)."""
-    lo, hi = model.global_min, model.global_max
+    pred, span = predicted_cells(model, candidates)
     users = model.matrix.select("user_id").distinct().withColumn("_ku", F.lit(True))
     items = model.matrix.select("product_id").distinct().withColumn("_ki", F.lit(True))
     seen = model.matrix.where(F.col("value") > 0).select("user_id", "product_id").withColumn("_seen", F.lit(True))
     c = candidates.select("user_id", "product_id").join(users, "user_id", "left").join(items, "product_id", "left") \
-        .join(seen, ["user_id", "product_id"], "left").join(model.pred, ["user_id", "product_id"], "left") \
-        .join(model.popularity, "product_id", "left")
+        .join(seen, ["user_id", "product_id"], "left").join(pred, ["user_id", "product_id"], "left") \
+        .join(model.popularity, "product_id", "left").crossJoin(F.broadcast(span))
     pop = F.coalesce(F.col("popularity"), F.lit(0.0))
     wu = Window.partitionBy("user_id")
     pmin, pmax = F.min(pop).over(wu), F.max(pop).over(wu)
     pop_scaled = F.when(pmax <= pmin, F.lit(0.0)).otherwise((pop - pmin) / (pmax - pmin))
     finite = F.col("_ku").isNotNull() & F.col("_ki").isNotNull() & F.col("_seen").isNull()
     p = F.coalesce(F.col("pred"), F.lit(0.0))
-    scaled = F.lit(0.0) if hi <= lo else (p - F.lit(lo)) / F.lit(hi - lo)
+    scaled = F.when(F.col("hi") <= F.col("lo"), F.lit(0.0)).otherwise((p - F.col("lo")) / (F.col("hi") - F.col("lo")))
     return c.select("user_id", "product_id", F.when(finite, scaled).otherwise(pop_scaled).alias("cf_score"))

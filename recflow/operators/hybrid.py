@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.functions.numeric import gate
-from recflow.functions.weights import DEFAULT_SIGNAL_WEIGHTS, normalize_signal_weights
+from recflow.functions.weights import DEFAULT_SIGNAL_WEIGHTS, signal_weights
 from recflow.operators import cf as CF
 from recflow.operators import content as C
 from recflow.operators import item_stats as S
@@ -69,7 +69,7 @@ def hybrid_signal(weights: dict[str, float] | None = None, threshold: float = 0.
     """Sum of weight x (cf, gated embedding, price match, style, ctr).
     With ``w_prefix`` the weights and threshold come from config columns."""
     if w_prefix is None:
-        w = {k: F.lit(v) for k, v in normalize_signal_weights(weights).items()}
+        w = signal_weights(weights)
         t = F.lit(float(threshold))
     else:
         w = {k: F.col(w_prefix + k) for k in DEFAULT_SIGNAL_WEIGHTS}
@@ -159,12 +159,12 @@ def training_candidates(models: FittedModels, targets: DataFrame, catalog_ids: D
     cf = CF.cf_recommend(models.cf, users, cf_top_k, exclude=ex)
     ct = C.recommend_from_history(models.seeds, users, models.catalog, content_top_k, exclude=ex, min_similarity=0.0)
     pop = S.item_stats_recommend(models.stats, users, popularity_top_k, exclude=None)
-    hard = RD.ordered_union([cf, ct, pop])
+    # written once: the random negatives and the union both read it
+    hard = cut_lineage(RD.ordered_union([pos, cf, ct, pop]))
     knocked = ex.unionByName(pos.select("user_id", "product_id")) \
         .unionByName(hard.select("user_id", "product_id"))
-    hard = cut_lineage(hard)
     rnd = RD.random_negatives(users, catalog_ids, knocked, negatives, seed)
-    return cut_lineage(RD.ordered_union([pos, cf, ct, pop, rnd]))
+    return cut_lineage(RD.ordered_union([hard.withColumnRenamed("position", "rank"), rnd]))
 
 
 def ranking_frame(models: FittedModels, targets_split: DataFrame, catalog_ids: DataFrame, seed: int = 42,

@@ -149,21 +149,3 @@ def all_pairs(rows: DataFrame, id_col: str = "product_id", vec_col: str = "embed
     nb = nb or n_blocks_for(q.count())
     return _pair_groups(q, nb).groupBy("pa", "pb").applyInPandas(
         _make_pairs_fn(), "left_id long, right_id long, score double")
-
-
-def sparse_to_dense_rows(cells: DataFrame, row: str, col: str, val: str) -> DataFrame:
-    """Sparse cells (row, col, val) -> one dense vector per row over the
-    column domain (ordered by column id).  For CF user rows over a catalog of
-    bounded size; zero rows stay zero vectors."""
-    cols = cells.select(col).distinct()
-    from recflow.plans.ranking import global_rank
-    idx = global_rank(cols, [col], name="_ci")
-    n = idx.count()
-    from recflow.operators.blocks import check_gram_side
-    check_gram_side(n)
-    c = cells.join(idx, col)
-    per_row = c.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(F.col("_ci") - 1, F.col(val).cast("double"))))
-                                 .alias("_m"))
-    vec = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")),
-                      lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)))
-    return per_row.select(F.col(row).alias("id"), vec.alias("vec"))

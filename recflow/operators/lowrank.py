@@ -24,13 +24,16 @@ from recflow.operators import blocks
 from recflow.operators.interactions import user_item_matrix
 
 USERS_PER_BLOCK = 2048
+#: the item x item eigenproblem is solved in one place; beyond this side ``als_recommend`` is the low-rank model
+MAX_EIGEN_SIDE = 20_000
 
 
 def fit_svd(matrix: DataFrame, n_components: int = 50) -> tuple[np.ndarray, np.ndarray, DataFrame]:
     """Returns (item ids, V [items x k], user means table)."""
     items = np.array(sorted(r[0] for r in matrix.select("product_id").distinct().collect()), dtype="int64")
     n_items = len(items)
-    blocks.check_gram_side(n_items)
+    if n_items > MAX_EIGEN_SIDE:
+        raise ValueError(f"{n_items} items: the eigenproblem is limited to {MAX_EIGEN_SIDE}; use ALS")
     means = matrix.groupBy("user_id").agg((F.sum("value") / F.lit(float(n_items))).alias("m"))
     g = blocks.gram(matrix, matrix, "user_id", "product_id", "product_id", "value", "value").collect()
     r = matrix.join(means, "user_id").groupBy("product_id").agg(F.sum(F.col("value") * F.col("m")).alias("r")).collect()

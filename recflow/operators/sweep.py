@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.functions.weights import SIGNAL_KEYS, normalize_signal_weights
+from recflow.functions.weights import SIGNAL_KEYS
 from recflow.operators.hybrid import BASELINE_SCORE_COLUMNS, hybrid_signal
 from recflow.operators.metrics import grouped_ranking, intra_list_diversity
 
@@ -39,8 +39,8 @@ def draw_configs(n: int, seed: int = 42) -> list[dict]:
         u = [_radical_inverse(i + 1 + seed, b) for b in _BASES]
         raw = {k: lo + (hi - lo) * u[j] for j, (k, (lo, hi)) in enumerate(WEIGHT_RANGES.items())}
         t_lo, t_hi = THRESHOLD_RANGE
-        w = normalize_signal_weights(raw)
-        out.append({"config_id": i, **{f"w_{k}": w[k] for k in SIGNAL_KEYS},
+        whole = sum(raw.values())  # the ranges are positive
+        out.append({"config_id": i, **{f"w_{k}": raw[k] / whole for k in SIGNAL_KEYS},
                     "similarity_threshold": t_lo + (t_hi - t_lo) * u[5]})
     return out
 

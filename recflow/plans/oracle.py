@@ -520,9 +520,9 @@ WHERE t.cutoff_timestamp IS NULL OR b.timestamp < t.cutoff_timestamp"""
 
 # --- hybrid heuristic top-k (R18-R22) ---------------------------------------------
 
-from recflow.functions.weights import normalize_signal_weights as _nsw  # noqa: E402
+from recflow.functions.weights import DEFAULT_SIGNAL_WEIGHTS  # noqa: E402
 
-_W = _nsw(None)
+_W = {k: v / sum(DEFAULT_SIGNAL_WEIGHTS.values()) for k, v in DEFAULT_SIGNAL_WEIGHTS.items()}
 
 HYBRID_POOL = """husers AS (SELECT DISTINCT user_id FROM interactions),
 hex AS (SELECT DISTINCT user_id, product_id FROM interactions WHERE event_type = 'purchase'),

@@ -18,40 +18,67 @@ def _random_interactions(spark, seed=3, users=12, items=9):
     return build_interactions(df), rows
 
 
-def _dense(rows, users, items):
-    w = {"view": 3.0, "wishlist": 5.0, "cart": 7.0, "purchase": 20.0}
-    R = np.zeros((users, items))
-    for u, i, e in rows:
-        R[u, i] += w.get(e, 0.0)
-    return R
+def _weighted_means(rows):
+    """{user: {unseen item: prediction}} by definition: for every other user, how alike the two are, and
+    the mean of what they gave the item, weighted by that."""
+    scores = {"view": 3.0, "wishlist": 5.0, "cart": 7.0, "purchase": 20.0}
+    table = {}
+    for user, item, event in rows:
+        own = table.setdefault(user, {})
+        own[item] = own.get(item, 0.0) + scores.get(event, 0.0)
+    catalog = sorted({i for own in table.values() for i in own})
 
+    def length(user):
+        return sum(x * x for x in table[user].values()) ** 0.5
 
-def test_cf_predictions_match_dense(spark):
+    def alike(one, two):
+        if not length(one) or not length(two):
+            return 0.0
+        return sum(x * table[two].get(i, 0.0) for i, x in table[one].items()) / (length(one) * length(two))
+
+    out = {}
+    for user in table:
+        near = {other: alike(user, other) for other in table if other != user}
+        whole = sum(near.values())
+        out[user] = {item: sum(a * table[other].get(item, 0.0) for other, a in near.items()) / whole if whole else 0.0
+                     for item in catalog if table[user].get(item, 0.0) <= 0}
+    return out
+
+
+@pytest.mark.parametrize("side", [2048, 3])
+def test_cf_predictions_match_the_definition(spark, monkeypatch, side):
+    from recflow.operators import blocks
+    monkeypatch.setattr(blocks.tiles_for, "__defaults__", (side,))
+    monkeypatch.setattr(blocks, "ROWS_PER_TILE", side)
     inter, rows = _random_interactions(spark)
-    users = sorted({r[0] for r in rows})
-    items = sorted({r[1] for r in rows})
-    R = _dense(rows, max(users) + 1, max(items) + 1)[np.ix_(users, items)]
-    nr = np.linalg.norm(R, axis=1, keepdims=True)
-    N = np.divide(R, nr, out=np.zeros_like(R), where=nr > 0)
-    Sm = N @ N.T
-    np.fill_diagonal(Sm, 0.0)
-    pred = Sm @ R / np.clip(np.abs(Sm).sum(axis=1, keepdims=True), 1e-8, None)
-    pred = np.where(R > 0, -np.inf, pred)
+    want = _weighted_means(rows)
     model = CF.fit_cf(inter)
-    got = {(r["user_id"], r["product_id"]): r["pred"] for r in model.pred.collect()}
-    for a, u in enumerate(users):
-        for b, i in enumerate(items):
-            if np.isfinite(pred[a, b]):
-                assert got.get((u, i), 0.0) == pytest.approx(pred[a, b], abs=1e-12)
-    fin = pred[np.isfinite(pred)]
-    assert model.global_min == pytest.approx(fin.min()) and model.global_max == pytest.approx(fin.max())
-    # recommend: ordered by prediction, zero cells complete in id order
+    items = sorted({r[1] for r in rows})
+    cells, span = CF.predicted_cells(model, inter.select("user_id").distinct().crossJoin(inter.select("product_id").distinct()))
+    got = {(r["user_id"], r["product_id"]): r["pred"] for r in cells.collect()}
+    for user, own in want.items():
+        for item, value in own.items():
+            assert got.get((user, item), 0.0) == pytest.approx(value, abs=1e-12)
+    every = [v for own in want.values() for v in own.values()]
+    ends = span.first()
+    assert ends["lo"] == pytest.approx(min(every)) and ends["hi"] == pytest.approx(max(every))
+    # recommend: ordered by prediction, cells without one complete in id order
     rec = CF.cf_recommend(model, inter.select("user_id"), n=len(items)).collect()
-    for a, u in enumerate(users):
-        mine = sorted([r for r in rec if r["user_id"] == u], key=lambda r: r["rank"])
-        order = sorted([b for b in range(len(items)) if np.isfinite(pred[a, b])],
-                       key=lambda b: (-round(pred[a, b], 9), items[b]))
-        assert [r["product_id"] for r in mine] == [items[b] for b in order]
+    for user, own in want.items():
+        mine = [r["product_id"] for r in sorted((r for r in rec if r["user_id"] == user), key=lambda r: r["rank"])]
+        assert mine == sorted(own, key=lambda i: (-round(own[i], 9), i))
+
+
+def test_cf_takes_a_large_catalog(spark):
+    """More items than one tile or the former bound of 20,000."""
+    inter = spark.range(25_000).selectExpr("id div 5 as user_id", "id as product_id", "'view' as event_type", "3.0D as score")
+    inter = inter.unionByName(spark.range(10, 15).selectExpr("id as user_id", "7L as product_id", "'view' as event_type", "3.0D as score"))
+    model = CF.fit_cf(inter)
+    assert model.n_items == 25_000
+    rec = CF.cf_recommend(model, inter.select("user_id").where("user_id < 15"), n=3).collect()
+    assert len(rec) == 45
+    # user 1 (items 5 to 9) is near users 10 to 14 through item 7: each gives a fifth of its items
+    assert [r["product_id"] for r in sorted(rec, key=lambda r: r["rank"]) if r["user_id"] == 1] == [50, 51, 52]
 
 
 def test_knn_blocked_matches_bruteforce(spark):

@@ -39,13 +39,17 @@ def test_event_score_unknown_zero(spark):
     assert [r[0] for r in df.select(Wt.event_score("e")).collect()] == [3.0, 5.0, 7.0, 20.0, 0.0]
 
 
-def test_signal_weights():
-    w = Wt.normalize_signal_weights({"cf": -1.0})
-    assert w["cf"] == 0.0 and abs(sum(w.values()) - 1.0) < 1e-12
-    assert Wt.normalize_signal_weights({k: 0.0 for k in Wt.SIGNAL_KEYS}) == Wt.DEFAULT_SIGNAL_WEIGHTS
+def test_signal_weights(spark):
     import pytest
+
+    def shares(overrides):
+        return spark.range(1).select(*[c.alias(k) for k, c in Wt.signal_weights(overrides).items()]).first().asDict()
+
+    got = shares({"cf": -1.0})
+    assert got["cf"] == 0.0 and abs(sum(got.values()) - 1.0) < 1e-12
+    assert shares({k: 0.0 for k in Wt.SIGNAL_KEYS}) == Wt.DEFAULT_SIGNAL_WEIGHTS
     with pytest.raises(ValueError):
-        Wt.normalize_signal_weights({"bogus": 1.0})
+        Wt.signal_weights({"bogus": 1.0})
 
 
 def test_round_half_up(spark):

@@ -34,7 +34,7 @@ def assign_splits(targets: DataFrame, seed: int = 42, train_ratio: float = 0.70,
     n = targets.count()
     train_end = int(n * train_ratio)
     val_end = train_end + int(n * val_ratio)
-    keyed = targets.withColumn("_h", F.xxhash64(F.lit(seed), F.col("user_id")))
+    keyed = targets.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col("user_id").cast("string"))))
     ranked = global_rank(keyed, ["_h", "user_id"], name="_pos")
     split = F.when(F.col("_pos") <= train_end, F.lit("train")).when(F.col("_pos") <= val_end, F.lit("val")) \
         .otherwise(F.lit("test"))
@@ -82,6 +82,12 @@ def _next_prime(n: int) -> int:
     return m
 
 
+def _draw(seed: int, name: str):
+    """60 bits of md5 text per user, the same in every engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), F.col("user_id").cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 def random_negatives(users: DataFrame, catalog_ids: DataFrame, knocked: DataFrame, size: int = 25,
                      seed: int = 42) -> DataFrame:
     """Per user ``size`` catalog products drawn without replacement,
@@ -99,8 +105,8 @@ def random_negatives(users: DataFrame, catalog_ids: DataFrame, knocked: DataFram
     kn = knocked.select("user_id", "product_id").distinct()
     kc = users.select("user_id").distinct().join(kn.groupBy("user_id").agg(F.count(F.lit(1)).alias("e")),
                                                  "user_id", "left").fillna({"e": 0})
-    a = F.pmod(F.xxhash64(F.lit(seed), F.col("user_id"), F.lit("a")), F.lit(p - 1)) + 1
-    b = F.pmod(F.xxhash64(F.lit(seed), F.col("user_id"), F.lit("b")), F.lit(p))
+    a = _draw(seed, "a") % F.lit(p - 1) + 1
+    b = _draw(seed, "b") % F.lit(p)
     steps = F.least(F.lit(p), F.lit(size) + F.col("e") + F.lit(p - n)).cast("bigint")
     walk = kc.select("user_id", a.alias("a"), b.alias("b"),
                      F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("j"))

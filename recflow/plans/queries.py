@@ -409,15 +409,7 @@ def q_lsh_recall(spark, d):
 
 
 def q_pca_report(spark, d):
-    return ANN.pca_report(unit_catalog(spark, d))
-
-
-def q_text_search(spark, d):
-    """Every distinct product title is a query against the P6 descriptions."""
-    cat = src.catalog(spark, d)
-    queries = cat.groupBy("title").agg(F.min("product_id").alias("query_id")).select(
-        "query_id", F.col("title").alias("text"))
-    return rounded(ANN.text_search(cat, queries, 5))
+    return ANN.pca_report(unit_catalog(spark, d), dims=(16, 32))
 
 
 QUERIES.update({
@@ -425,7 +417,6 @@ QUERIES.update({
     "als_topk": q_als_topk,
     "lsh_recall": q_lsh_recall,
     "pca_report": q_pca_report,
-    "text_search": q_text_search,
 })
 
 

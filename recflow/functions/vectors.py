@@ -1,7 +1,8 @@
 """Vector expressions over ``ARRAY<FLOAT|DOUBLE>`` columns.
 
 Spark 4.1 has no built-in vector dot product, so these are higher-order
-array expressions; they stay inside whole-stage codegen.
+array expressions.  They are evaluated row by row outside generated code: use them for
+candidate rows, and the block products of ``operators.knn`` for whole tables.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ from recflow.functions.vectors import dot
 from recflow.operators import knn as K
 from recflow.operators.search import vector_search
 from recflow.plans.fill import complete_in_id_order
+from recflow.session import cut_lineage
 
 
 def history_similarity(seeds: DataFrame, candidates: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -46,9 +47,10 @@ def recommend_from_history(seeds: DataFrame, users: DataFrame, catalog: DataFram
     if exclude is not None:
         ex_arr = exclude.groupBy("user_id").agg(F.collect_set(F.col("product_id").cast("bigint")).alias("exclude_ids"))
         sv = sv.join(ex_arr, "user_id", "left")
-    qid = F.xxhash64("user_id", "seed_id")
-    queries = sv.select(qid.alias("query_id"), "user_id", "seed_id", F.col("embedding").alias("vec"),
-                        *(["exclude_ids"] if exclude is not None else []))
+    # one written table, so the numbers stay with their rows
+    queries = cut_lineage(sv.select(F.monotonically_increasing_id().alias("query_id"), "user_id", "seed_id",
+                                    F.col("embedding").alias("vec"),
+                                    *(["exclude_ids"] if exclude is not None else [])))
     hits = vector_search(queries.drop("user_id", "seed_id"), catalog, n)
     cands = hits.join(queries.select("query_id", "user_id"), "query_id").select("user_id", "product_id").distinct()
     sims = history_similarity(seeds, cands, catalog)

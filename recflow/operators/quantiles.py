@@ -22,15 +22,15 @@ def _suffix(q: float) -> str:
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
                       by: Sequence[str] = (), names: Sequence[str] | None = None,
-                      buckets: int = 4096) -> DataFrame:
+                      buckets: int = 64) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Matches ``numpy.percentile`` / SQL ``quantile_cont``: position q*(n-1),
     linear interpolation between the two neighbouring order statistics.
 
-    Selection by histogram: per group an equal-width histogram (count, min,
-    max per bucket; a small table) locates the bucket of every needed order
-    statistic.  A bucket holding a single distinct value answers directly
+    Selection by histogram: per group the buckets between approximate quantiles hold about
+    equally many values wherever these lie, so an outlier cannot fill one bucket; exact counts, minima
+    and maxima per bucket (a small table) locate the bucket of every needed order statistic.  A bucket holding a single distinct value answers directly
     (so a hot value costs nothing); only rows of the few other needed buckets
     are ranked, inside their bucket.  Groups without values are absent.
     """
@@ -42,13 +42,13 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
         by = ["_all"]
     vals = (df.select(*by, F.col(value).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
-    rng = vals.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    width = F.col("_hi") - F.col("_lo")
-    bucket = F.when(width <= 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets), F.lit(buckets - 1))).cast("bigint")
-    # one row per group: broadcast (the group count is the size of ``by``'s domain)
-    tagged = vals.join(F.broadcast(rng), by)
-    tagged = tagged.withColumn("_b", bucket)
+    cuts = F.array_distinct(F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10_000))
+    rng = vals.groupBy(*by).agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    # a value that equals a cut has a bucket of its own
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    bucket = (2 * below + F.array_contains("_cuts", F.col("_v")).cast("int")).cast("bigint")
+    # one row in all: broadcast; a row per group: the join strategy follows its measured size
+    tagged = vals.join(rng if grouped else F.broadcast(rng), by).withColumn("_b", bucket).drop("_cuts")
     hist = tagged.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
                                          F.max("_v").alias("_bmax"))
     w = Window.partitionBy(*by).orderBy("_b")
@@ -68,7 +68,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float],
     direct = loc.where(F.col("_bmin") == F.col("_bmax")).select(*by, "qi", "frac", "_rank", F.col("_bmin").alias("_v"))
     open_b = loc.where(F.col("_bmin") < F.col("_bmax"))
     keys = open_b.select(*by, "_b").distinct()
-    rows = tagged.join(F.broadcast(keys), [*by, "_b"], "left_semi")
+    rows = tagged.join(keys, [*by, "_b"], "left_semi")
     lw = Window.partitionBy(*by, "_b").orderBy("_v")
     ranked = rows.withColumn("_lr", F.row_number().over(lw) - 1).select(*by, "_b", "_lr", "_v")
     found = open_b.join(ranked, [*by, "_b", "_lr"]).select(*by, "qi", "frac", "_rank", "_v")

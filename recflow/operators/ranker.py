@@ -21,9 +21,14 @@ from pyspark.sql import functions as F
 from recflow.operators.hybrid import FEATURE_COLUMNS
 
 
+def _filled(name: str):
+    """A feature as double; missing counts 0 in training and in scoring."""
+    return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+
+
 def prepare_inputs(frame: DataFrame, features=FEATURE_COLUMNS) -> DataFrame:
     """Features as double, label as int (grouping is by key, no sort)."""
-    return frame.select("user_id", "product_id", *[F.col(c).cast("double").alias(c) for c in features],
+    return frame.select("user_id", "product_id", *[_filled(c).alias(c) for c in features],
                         F.col("label").cast("int").alias("label"))
 
 
@@ -47,7 +52,7 @@ class PairwiseRanker:
     def score(self, frame: DataFrame, out: str = "ranker_score") -> DataFrame:
         s = None
         for c in self.features:
-            term = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * F.lit(float(self.coefficients[c]))
+            term = _filled(c) * F.lit(float(self.coefficients[c]))
             s = term if s is None else s + term
         return frame.withColumn(out, s)
 

@@ -225,7 +225,8 @@ def _pair_class_fn():
             r, c = np.triu_indices(len(a), k=1)
         else:
             r, c = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(len(b)), indexing="ij"))
-        same = [codes[x][ma][r] == codes[x][mb][c] for x in _ATTR4]
+        # a missing attribute (code -1) equals nothing
+        same = [(codes[x][ma][r] == codes[x][mb][c]) & (codes[x][ma][r] >= 0) for x in _ATTR4]
         mask = sum(same[i].astype("int64") << i for i in range(4))
         return pd.DataFrame({"score": S[r, c], "mask": mask.astype("int64")})
     return fn

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recflow.functions.weights import SIGNAL_KEYS
-from recflow.operators.hybrid import BASELINE_SCORE_COLUMNS, hybrid_signal
+from recflow.operators.hybrid import BASELINE_SCORE_COLUMNS, ORDER_DIGITS, hybrid_signal
 from recflow.operators.metrics import grouped_ranking, intra_list_diversity
 
 # Draw ranges of the five weights and the similarity threshold.
@@ -85,7 +85,7 @@ def compare_models(test_frame: DataFrame, catalog: DataFrame, ranker_col: str |
     rows = None
     for name, col in models.items():
         m = grouped_ranking(test_frame, col, ks)
-        w = Window.partitionBy("user_id").orderBy(F.col(col).desc(), F.col("product_id"))
+        w = Window.partitionBy("user_id").orderBy(F.round(col, ORDER_DIGITS).desc(), F.col("product_id"))
         lists = test_frame.withColumn("rank", F.row_number().over(w)).select("user_id", "product_id", "rank")
         div = intra_list_diversity(lists, catalog, 5).agg(F.round(F.avg("diversity"), 4).alias("value"))
         longm = m.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))

@@ -93,3 +93,33 @@ def test_histogram_max_in_last_bin(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,)], "price double")
     h = {r["bin"]: r["count"] for r in V.histogram(df, "price", 5).collect()}
     assert h == {1: 1, 2: 0, 3: 1, 4: 0, 5: 1}
+
+
+def test_percentiles_with_one_huge_outlier(spark):
+    """Nearly all values far from the largest: buckets still hold small shares, and the answer is exact."""
+    import numpy as np
+    from pyspark.sql import functions as F
+    from recflow.operators.quantiles import exact_percentiles
+    rng = np.random.default_rng(1)
+    values = np.append(rng.random(20_000), [1e9, 0.5, 0.5, 0.5])
+    df = spark.createDataFrame([(float(v), i % 2) for i, v in enumerate(values)], "v double, g int")
+    got = exact_percentiles(df, "v", [0.0, 0.1, 0.5, 0.99, 1.0], names=list("abcde")).first()
+    want = np.percentile(values, [0, 10, 50, 99, 100])
+    assert np.allclose([got[c] for c in "abcde"], want, rtol=1e-12)
+    by = {r["g"]: r["m"] for r in exact_percentiles(df, "v", [0.5], by=["g"], names=["m"]).collect()}
+    for g in (0, 1):
+        own = [v for i, v in enumerate(values) if i % 2 == g]
+        assert abs(by[g] - np.percentile(own, 50)) < 1e-12
+    assert exact_percentiles(df.where(F.lit(False)), "v", [0.5], names=["m"]).count() == 0
+
+
+def test_ranker_takes_missing_features(spark):
+    from recflow.operators import ranker as RK
+    cols = list(RK.FEATURE_COLUMNS)
+    rows = [(u, p, 1 if p == 0 else 0, None if p == 2 else float(p == 0)) for u in range(6) for p in range(3)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, label int, x double").selectExpr(
+        "user_id", "product_id", "label", *[f"x as {c}" for c in cols])
+    fitted = RK.fit_pairwise(df)
+    got = {(r["user_id"], r["product_id"]): r["ranker_score"] for r in fitted.score(df).collect()}
+    assert all(v == v for v in fitted.coefficients.values())
+    assert all(got[u, 0] > got[u, 2] == 0.0 for u in range(6))

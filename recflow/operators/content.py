@@ -1,4 +1,4 @@
-"""Content scores from seed items (R12, R14) and query vectors."""
+"""Content scores from seed items (R12, R14); query texts are in ``text_index``."""
 
 from __future__ import annotations
 
@@ -69,26 +69,3 @@ def recommend_from_history(seeds: DataFrame, users: DataFrame, catalog: DataFram
     fill = complete_in_id_order(need, knocked, catalog.select(F.col("product_id").alias("item")), "user_id", "item")
     return top.unionByName(fill.select("user_id", F.col("item").alias("product_id"),
                                        F.col("fill_pos").alias("rank"), F.lit(0.0).alias("score")))
-
-
-def query_similarity(queries: DataFrame, candidates: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Similarity of candidate rows (user_id, product_id) to the user's
-    query vector (user_id, qvec); no vector -> 0."""
-    c = candidates.select("user_id", "product_id").join(vectors.select("product_id", "embedding"), "product_id") \
-        .join(queries.select("user_id", "qvec"), "user_id")
-    s = c.select("user_id", "product_id", dot("embedding", "qvec").alias("query_similarity"))
-    return candidates.select("user_id", "product_id").join(s, ["user_id", "product_id"], "left") \
-        .fillna({"query_similarity": 0.0})
-
-
-def recommend_from_query(queries: DataFrame, catalog: DataFrame, n: int = 20, exclude: DataFrame | None = None,
-                         min_similarity: float = 0.0) -> DataFrame:
-    """Catalog products by similarity to each user's query vector,
-    excluded removed, >= min_similarity, first n."""
-    q = queries.select(F.col("user_id").alias("query_id"), F.col("qvec").alias("vec"),
-                       F.lit(float(min_similarity)).alias("threshold"))
-    if exclude is not None:
-        ex_arr = exclude.groupBy("user_id").agg(F.collect_set(F.col("product_id").cast("bigint")).alias("exclude_ids"))
-        q = q.join(ex_arr.withColumnRenamed("user_id", "query_id"), "query_id", "left")
-    hits = vector_search(q, catalog, n)
-    return hits.select(F.col("query_id").alias("user_id"), "product_id", "rank", "score")

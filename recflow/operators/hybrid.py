@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recflow.functions.numeric import gate
 from recflow.functions.weights import DEFAULT_SIGNAL_WEIGHTS, signal_weights
-from recflow.operators import cf as CF
+from recflow.operators import cf as CF, text_index as TI
 from recflow.operators import content as C
 from recflow.operators import item_stats as S
 from recflow.operators import preferences as P
@@ -105,18 +105,20 @@ def feature_frame(models: FittedModels, candidates: DataFrame, weights: dict[str
     return f.withColumn("hybrid_signal_score", hybrid_signal(weights, threshold))
 
 
-def candidate_pool(models: FittedModels, users: DataFrame, pool: int = 50) -> DataFrame:
-    """R18 for a user table: CF (max(pool/2, 10)), history content (same),
-    item statistics (max(pool/4, 10)), each without the user's purchases;
-    ordered union cut at ``pool`` (U2)."""
+def candidate_pool(models: FittedModels, users: DataFrame, pool: int = 50, index: TI.TextIndex | None = None,
+                   queries: DataFrame | None = None) -> DataFrame:
+    """R18 for a user table: CF (max(pool/2, 10)), history content (same), query content (same, for
+    users with a text in ``queries``), item statistics (max(pool/4, 10)), each without the user's
+    purchases; ordered union cut at ``pool`` (U2)."""
     users = users.select("user_id").distinct()
     half, quarter = max(pool // 2, 10), max(pool // 4, 10)
     ex = models.purchased.join(users, "user_id", "left_semi")
     cf = CF.cf_recommend(models.cf, users, half, exclude=ex)
     ct = C.recommend_from_history(models.seeds, users, models.catalog, half, exclude=ex, min_similarity=0.0)
     st = S.item_stats_recommend(models.stats, users, quarter, exclude=ex)
+    asked = [] if queries is None else [TI.recommend_from_query(index, queries, half, exclude=ex)]
     # the pool is re-read by every feature join: pin it in the shared checkpoint folder
-    return cut_lineage(RD.ordered_union([cf, ct, st], pool))
+    return cut_lineage(RD.ordered_union([cf, ct, *asked, st], pool))
 
 
 def rank_frame(frame: DataFrame, ranker_score: str | None = None) -> DataFrame:
@@ -134,10 +136,14 @@ def rank_frame(frame: DataFrame, ranker_score: str | None = None) -> DataFrame:
 
 
 def hybrid_topk(models: FittedModels, users: DataFrame, k: int = 5, weights: dict[str, float] | None = None,
-                threshold: float = 0.0, ranker=None) -> DataFrame:
-    """Pool max(10k, 40) -> features -> rank -> first k, 13 columns."""
-    pool = candidate_pool(models, users, max(k * 10, 40))
-    frame = feature_frame(models, pool.select("user_id", "product_id"), weights, threshold)
+                threshold: float = 0.0, ranker=None, index: TI.TextIndex | None = None,
+                queries: DataFrame | None = None) -> DataFrame:
+    """Pool max(10k, 40) -> features -> rank -> first k, 13 columns.  ``queries`` (user_id, text): what
+    users ask for, scored by the text index; users without a row are served from their history."""
+    pool = candidate_pool(models, users, max(k * 10, 40), index, queries)
+    pairs = pool.select("user_id", "product_id")
+    scores = None if queries is None else TI.candidate_scores(index, queries, pairs)
+    frame = feature_frame(models, pairs, weights, threshold, scores)
     score = None
     if ranker is not None:
         frame = ranker.score(frame)

@@ -8,6 +8,8 @@ frequent words cost nothing.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,24 +41,66 @@ def unit_postings(counts: DataFrame, idf: DataFrame, ident: str) -> DataFrame:
     return w.join(norm, F.col(ident) == F.col("_id")).select(ident, "token", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def text_search(catalog: DataFrame, queries: DataFrame, k: int = 5, text: str = "description") -> DataFrame:
-    """First k catalog rows (product_id, ``text``) for each query (query_id, text) by cosine, ties by id:
-    (query_id, product_id, score, rank).  Short lists complete with score 0 in id order."""
+@dataclass
+class TextIndex:
+    """The fitted encoder (E1): unit postings of the catalog texts and the token weights."""
+
+    ids: DataFrame       # (product_id)
+    postings: DataFrame  # (product_id, token, w)
+    idf: DataFrame       # (token, idf)
+
+    def encode(self, texts: DataFrame, ident: str) -> DataFrame:
+        """(ident, token, qw): unit postings of other texts, known tokens only."""
+        return unit_postings(term_counts(texts, ident), self.idf, ident).withColumnRenamed("w", "qw")
+
+
+def fit_index(catalog: DataFrame, text: str = "description") -> TextIndex:
     docs = catalog.select("product_id", F.col(text).alias("text"))
-    counts = term_counts(docs, "product_id")
-    idf = inverse_frequencies(counts, docs)
-    own = unit_postings(counts, idf, "product_id")
-    asked = unit_postings(term_counts(queries, "query_id"), idf, "query_id").withColumnRenamed("w", "qw")
-    scores = asked.join(own, "token").groupBy("query_id", "product_id").agg(F.sum(F.col("w") * F.col("qw")).alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.round("score", SCORE_DIGITS).desc(), "product_id")
-    top = cut_lineage(scores.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
-                      .select("query_id", "product_id", "score", "rank"))
-    found = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("k"))
-    need = queries.select("query_id").distinct().join(found, "query_id", "left").select(
-        "query_id", (F.lit(k) - F.coalesce("k", F.lit(0))).alias("need"))
-    # a short list holds every row with a score
-    fill = complete_in_id_order(need, top.select("query_id", F.col("product_id").alias("item")),
-                                docs.select(F.col("product_id").alias("item")), "query_id", "item")
-    return top.unionByName(fill.join(found, "query_id", "left").select(
-        "query_id", F.col("item").alias("product_id"), F.lit(0.0).alias("score"),
+    counts = cut_lineage(term_counts(docs, "product_id"))
+    idf = cut_lineage(inverse_frequencies(counts, docs))
+    return TextIndex(docs.select("product_id"), cut_lineage(unit_postings(counts, idf, "product_id")), idf)
+
+
+def all_scores(index: TextIndex, queries: DataFrame, ident: str) -> DataFrame:
+    """(ident, product_id, score): cosine of every query and product that share a weighted token."""
+    return index.encode(queries, ident).join(index.postings, "token").groupBy(ident, "product_id").agg(
+        F.sum(F.col("w") * F.col("qw")).alias("score"))
+
+
+def candidate_scores(index: TextIndex, queries: DataFrame, candidates: DataFrame, ident: str = "user_id") -> DataFrame:
+    """(ident, product_id, query_similarity) for given pairs; 0 without a shared token."""
+    pairs = candidates.select(ident, "product_id").distinct()
+    hits = pairs.join(index.encode(queries, ident), ident).join(index.postings, ["product_id", "token"]).groupBy(
+        ident, "product_id").agg(F.sum(F.col("w") * F.col("qw")).alias("query_similarity"))
+    return pairs.join(hits, [ident, "product_id"], "left").fillna({"query_similarity": 0.0})
+
+
+def recommend_from_query(index: TextIndex, queries: DataFrame, n: int = 20, exclude: DataFrame | None = None,
+                         min_similarity: float = 0.0, ident: str = "user_id") -> DataFrame:
+    """R15 for a table (ident, text): first n products by cosine (ties by id), excluded pairs removed, none
+    under min_similarity: (ident, product_id, score, rank).  At min_similarity 0 or less short lists
+    complete with score 0 in id order."""
+    scores = all_scores(index, queries, ident).where(F.col("score") >= min_similarity)
+    if exclude is not None:
+        scores = scores.join(exclude.select(ident, "product_id"), [ident, "product_id"], "left_anti")
+    order = Window.partitionBy(ident).orderBy(F.round("score", SCORE_DIGITS).desc(), "product_id")
+    top = cut_lineage(scores.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= n)
+                      .select(ident, "product_id", "score", "rank"))
+    if min_similarity > 0:
+        return top
+    found = top.groupBy(ident).agg(F.count(F.lit(1)).alias("k"))
+    need = queries.select(ident).distinct().join(found, ident, "left").select(
+        ident, (F.lit(n) - F.coalesce("k", F.lit(0))).alias("need"))
+    # a short list holds every product with a score that is not excluded
+    knocked = top.select(ident, F.col("product_id").alias("item"))
+    if exclude is not None:
+        knocked = knocked.unionByName(exclude.select(ident, F.col("product_id").alias("item")))
+    fill = complete_in_id_order(need, knocked, index.ids.select(F.col("product_id").alias("item")), ident, "item")
+    return top.unionByName(fill.join(found, ident, "left").select(
+        ident, F.col("item").alias("product_id"), F.lit(0.0).alias("score"),
         (F.coalesce("k", F.lit(0)) + F.col("fill_pos")).cast("bigint").alias("rank")))
+
+
+def text_search(catalog: DataFrame, queries: DataFrame, k: int = 5, text: str = "description") -> DataFrame:
+    """First k catalog rows for each query (query_id, text): (query_id, product_id, score, rank)."""
+    return recommend_from_query(fit_index(catalog, text), queries, k, ident="query_id")

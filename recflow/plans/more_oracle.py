@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from recflow.plans.oracle import (BEHAVIOR, CATALOG, CF_PRED, HARD, HISTORY_COUNTS, HOLDOUT, HYBRID_FEATURES, ITEM_STATS,
+from recflow.plans.oracle import (BEHAVIOR, CATALOG, CF_PRED, HARD, HISTORY_COUNTS, HOLDOUT, HYBRID_FEATURES, HYBRID_POOL,
+                                  ITEM_STATS,
                                   PRICE_PROFILE, RAW_BEHAVIOR, RAW_PRODUCTS, SEEDS, SHARES, SQL, TRUNC_INTERACTIONS, VCAT, W,
                                   _describe, clean, label, price_text, with_)
 
@@ -131,3 +132,30 @@ UNION ALL SELECT 'candidate_pool_mean', round(avg(n), 2) FROM sizes
 UNION ALL SELECT 'candidate_pool_min', min(n)::DOUBLE FROM sizes
 UNION ALL SELECT 'candidate_pool_max', max(n)::DOUBLE FROM sizes
 UNION ALL SELECT 'split_' || split || '_users', count(*)::DOUBLE FROM tsplit GROUP BY split"""
+
+
+# --- hybrid with a query text -------------------------------------------------------
+
+QUERY_TEXT = r"""dt AS (SELECT product_id, token, count(*) AS tf FROM (SELECT product_id, unnest(regexp_extract_all(lower(description), '\w+')) AS token
+               FROM vcat) GROUP BY ALL),
+idf AS (SELECT token, ln(((SELECT count(*) FROM vcat) + 1)::DOUBLE / (count(*) + 1)) AS v FROM dt GROUP BY token),
+dw AS (SELECT product_id, dt.token, tf * v AS w FROM dt JOIN idf ON dt.token = idf.token WHERE v > 0),
+dn AS (SELECT product_id, sqrt(sum(w * w)) AS n FROM dw GROUP BY product_id),
+qs AS (SELECT i.user_id, arg_min(c.title, c.product_id) AS text FROM interactions i JOIN vcat c ON c.product_id = i.product_id GROUP BY i.user_id),
+qt AS (SELECT user_id, token, count(*) AS tf FROM (SELECT user_id, unnest(regexp_extract_all(lower(text), '\w+')) AS token FROM qs) GROUP BY ALL),
+qw AS (SELECT user_id, qt.token, tf * v AS w FROM qt JOIN idf ON qt.token = idf.token WHERE v > 0),
+qn AS (SELECT user_id, sqrt(sum(w * w)) AS n FROM qw GROUP BY user_id),
+qsim AS (SELECT qw.user_id, dw.product_id, sum((qw.w / qn.n) * (dw.w / dn.n)) AS s FROM qw JOIN dw ON qw.token = dw.token
+         JOIN qn ON qn.user_id = qw.user_id JOIN dn ON dn.product_id = dw.product_id GROUP BY ALL),
+qrec AS (SELECT q.user_id, c.product_id, row_number() OVER (PARTITION BY q.user_id ORDER BY round(coalesce(qsim.s, 0.0), 9) DESC, c.product_id) AS rank
+         FROM qs q CROSS JOIN vcat c LEFT JOIN qsim ON qsim.user_id = q.user_id AND qsim.product_id = c.product_id
+         ANTI JOIN (SELECT DISTINCT user_id, product_id FROM interactions WHERE event_type = 'purchase') hx
+           ON hx.user_id = q.user_id AND hx.product_id = c.product_id QUALIFY rank <= 25)"""
+
+_POOL = HYBRID_POOL.replace("UNION ALL SELECT user_id, product_id, 2, rank FROM strec",
+                            "UNION ALL SELECT user_id, product_id, 2, rank FROM qrec UNION ALL SELECT user_id, product_id, 3, rank FROM strec")
+_FEATURES = HYBRID_FEATURES.replace("greatest(coalesce(hh.hmax, 0.0), 0.0) AS emb", "greatest(coalesce(hh.hmax, 0.0), coalesce(qm.s, 0.0)) AS emb") \
+    .replace("LEFT JOIN price_profile pp_", "LEFT JOIN qsim qm ON qm.user_id = pl.user_id AND qm.product_id = pl.product_id\n       LEFT JOIN price_profile pp_")
+_TOPK = SQL["hybrid_topk"]
+SQL["hybrid_query_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, QUERY_TEXT, _POOL, _FEATURES) + \
+    _TOPK[_TOPK.rindex("SELECT user_id, rank, product_id, title"):]

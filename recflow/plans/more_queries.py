@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
-from recflow.operators import clean, profile as V, ranking_data as RD, search as SE, text_index as TI
-from recflow.plans.queries import QUERIES, _frame_and_targets, _ranking_setup, rounded, unit_catalog
+from recflow.operators import clean, hybrid as H, profile as V, ranking_data as RD, search as SE, text_index as TI
+from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
 from recflow.sources import files, tables as src
 
 
@@ -84,7 +84,19 @@ def q_data_summary(spark, d):
     return rounded(RD.data_summary(targets, observed, frame, cat))
 
 
+def q_hybrid_query_topk(spark, d):
+    """R13, R15, R18-R22 with a text: every user asks for the title of the first product (by id) they
+    touched that has a vector."""
+    cat = unit_catalog(spark, d)
+    inter = _interactions(spark, d)
+    asked = inter.join(cat.select("product_id", "title"), "product_id").groupBy("user_id").agg(
+        F.min_by("title", "product_id").alias("text"))
+    models = H.fit_models(inter, cat)
+    return rounded(H.hybrid_topk(models, inter.select("user_id"), 5, index=TI.fit_index(cat), queries=asked))
+
+
 MORE = {
+    "hybrid_query_topk": q_hybrid_query_topk,
     "catalog_rounded": q_catalog_rounded,
     "catalog_assembled": q_catalog_assembled,
     "events_schema": q_events_schema,

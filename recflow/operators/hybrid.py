@@ -35,7 +35,7 @@ SERVING_COLUMNS = ("rank", "product_id", "title", "category", "material", "style
 @dataclass
 class FittedModels:
     """R16 + R5 + A8 fitted once over an interaction table (R23: the tables
-    are the model; they are persisted while in use)."""
+    are the model; ``tuning`` stores and loads them)."""
     interactions: DataFrame
     catalog: DataFrame          # unit vectors attached (product_id, ..., embedding)
     cf: CF.CFModel
@@ -49,18 +49,19 @@ class FittedModels:
 
 
 def fit_models(interactions: DataFrame, catalog: DataFrame) -> FittedModels:
-    inter = interactions.persist()
-    catalog = catalog.persist()   # re-read by every search, join and broadcast check
+    """Every table is written once to the checkpoint folder: later steps read it from there, and nothing
+    stays in the executors' memory after its last use."""
+    inter, catalog = cut_lineage(interactions), cut_lineage(catalog)
     return FittedModels(
         interactions=inter,
         catalog=catalog,
         cf=CF.fit_cf(inter),
-        stats=S.item_stats(inter).persist(),
-        price_profile=P.user_price_profile(inter, catalog).persist(),
-        shares=P.attribute_share(inter, catalog).persist(),
-        counts=P.history_counts(inter).persist(),
-        seeds=P.seed_items(inter, 5).persist(),
-        purchased=P.purchased_items(inter).persist(),
+        stats=cut_lineage(S.item_stats(inter)),
+        price_profile=cut_lineage(P.user_price_profile(inter, catalog)),
+        shares=cut_lineage(P.attribute_share(inter, catalog)),
+        counts=cut_lineage(P.history_counts(inter)),
+        seeds=cut_lineage(P.seed_items(inter, 5)),
+        purchased=cut_lineage(P.purchased_items(inter)),
         global_avg_price=P.global_avg_price(catalog),
     )
 

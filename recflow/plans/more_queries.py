@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
-from recflow.operators import clean, hybrid as H, profile as V, ranking_data as RD, search as SE, text_index as TI
+from recflow.operators import clean, hybrid as H, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
 from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
+from recflow.session import ensure_checkpoint_dir
 from recflow.sources import files, tables as src
 
 
@@ -95,7 +98,19 @@ def q_hybrid_query_topk(spark, d):
     return rounded(H.hybrid_topk(models, inter.select("user_id"), 5, index=TI.fit_index(cat), queries=asked))
 
 
+def q_tuned_hybrid_topk(spark, d):
+    """Tune, refit, store, load, and serve everybody with the stored ranker."""
+    _, _, _, cat, _ = _ranking_setup(spark, d)
+    frame, _ = _frame_and_targets(spark, d)
+    tuned = TU.tune(frame, cat)
+    inter = _interactions(spark, d)
+    folder = f"{ensure_checkpoint_dir(spark)}/tuned-{uuid.uuid4().hex}"
+    TU.save(H.fit_models(inter, cat), tuned, folder)
+    return rounded(TU.serve(*TU.load(spark, folder), inter.select("user_id"), 5))
+
+
 MORE = {
+    "tuned_hybrid_topk": q_tuned_hybrid_topk,
     "hybrid_query_topk": q_hybrid_query_topk,
     "catalog_rounded": q_catalog_rounded,
     "catalog_assembled": q_catalog_assembled,

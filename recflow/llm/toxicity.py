@@ -31,7 +31,7 @@ from recflow.llm.kernels import NOT_WORD, batches, hash_words, mix64
 SLOTS = 1 << 18
 PREFIXES = (5, 6, 7, 8)
 MAX_TRAIN_ROWS = 10_000
-MAX_TRAIN_CHARS = 100_000
+MAX_TRAIN_CHARS = 20_000
 MIN_ROWS_PER_FEATURE = 3
 #: sentences of fewer words join the next
 SHORT = 8
@@ -137,7 +137,9 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", ident:
     rows = labelled.where(F.col(label).isNotNull() & (F.char_length(text) <= max_chars)).select(
         F.xxhash64(F.col(ident), F.lit(17)).alias("h"), F.col(ident).alias("i"), F.col(text).alias("t"),
         F.col(label).cast("int").alias("y"))
-    sample = rows.orderBy("h", "i").limit(max_rows)
+    # the sample is drawn on thin rows; at most max_rows of them pick the texts
+    drawn = rows.select("h", "i").orderBy("h", "i").limit(max_rows).distinct()
+    sample = rows.join(F.broadcast(drawn), ["h", "i"], "left_semi")
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(frames)

@@ -207,8 +207,11 @@ def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFra
         .select("user_id", F.col("item").alias("product_id"),
                 (F.coalesce(F.col("k"), F.lit(0)) + F.col("fill_pos")).cast("bigint").alias("rank"),
                 F.lit(0.0).alias("score"))
-    # users unknown to the model: popularity order (an empty table when all are known)
-    return top.unionByName(fill).unionByName(popularity_recommend(model.popularity, unknown, n, exclude))
+    out = top.unionByName(fill)
+    if unknown.isEmpty():
+        return out
+    # users unknown to the model: popularity order
+    return out.unionByName(popularity_recommend(model.popularity, unknown, n, exclude))
 
 
 def popularity_recommend(pop: DataFrame, users: DataFrame, n: int, exclude: DataFrame | None) -> DataFrame:

@@ -20,7 +20,11 @@ def complete_in_id_order(need: DataFrame, knocked: DataFrame, universe: DataFram
                          q: str, item: str) -> DataFrame:
     """``need``: (q, need) rows with need > 0; ``knocked``: (q, item) pairs
     that may not be used; ``universe``: (item,) distinct.  Returns
-    (q, item, fill_pos) with fill_pos 1..need."""
+    (q, item, fill_pos) with fill_pos 1..need.  ``need`` should come from a written table: it
+    is asked first whether any list is short, and if none is, the universe is not ranked."""
+    need = need.where(F.col("need") > 0)
+    if need.isEmpty():
+        return need.select(q, F.col(q).alias(item), F.lit(0).cast("bigint").alias("fill_pos")).limit(0)
     kn = knocked.select(q, item).distinct()
     kc = kn.groupBy(q).agg(F.count(F.lit(1)).alias("_kc"))
     nd = need.where(F.col("need") > 0).join(kc, q, "left").fillna({"_kc": 0})

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows between Spark and Python for the jobs run inside, which bounds
+    what a worker holds where rows carry whole texts or sets; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(own), rows) if int(own) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also where the
     body uses it inside a lambda."""

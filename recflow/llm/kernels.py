@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

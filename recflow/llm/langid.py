@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recflow.llm.common import arrow_rows
 from recflow.llm.kernels import batches
 
 SLOTS = 1 << 16
@@ -34,6 +35,8 @@ STRENGTH = 2.0
 ROUNDS = 8
 PENALTY = 2.0
 UNKNOWN_BITS = 6.0
+#: rows per batch sent to Python while counting
+ARROW_ROWS = 1_000
 _LETTER = re.compile(r"[^\W\d_]")
 #: letters (ASCII, lower-cased by the caller) and bytes of non-ASCII characters
 _IS_LETTER = np.zeros(256, dtype=bool)
@@ -91,7 +94,8 @@ def count_ngrams(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """The model; at most 2 * SLOTS counts per language reach the driver."""
-    counts = count_ngrams(labelled, text, lang).toPandas()
+    with arrow_rows(labelled.sparkSession, ARROW_ROWS):
+        counts = count_ngrams(labelled, text, lang).toPandas()
     names = tuple(sorted(counts["lang"].unique()))
     table = np.zeros((SLOTS, len(names)), dtype=np.float64)
     context = np.zeros((SLOTS, len(names)), dtype=np.float64)

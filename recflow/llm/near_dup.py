@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recflow.llm.common import arrow_rows
 from recflow.llm.graph import components
 from recflow.llm.kernels import batches, hash_words, mix64, shingle_hashes, word_offsets
 from recflow.session import cut_lineage
@@ -48,6 +49,8 @@ BUCKETS = BANDS * ROWS
 _BUCKET_BITS = 9
 MANTISSA_BITS = 10
 BLOCK_SHINGLES = 40_000
+#: rows per batch sent to Python: a batch holds whole texts or sets
+ARROW_ROWS = 1_000
 _STRIDES = np.random.default_rng(11).integers(0, BUCKETS // 2, BUCKETS) * 2 + 1
 #: pairs are compared in full unless the estimate is this many standard errors under the threshold
 SAFETY = 6.0
@@ -197,10 +200,8 @@ def _dealt(nodes: DataFrame, group: str) -> DataFrame:
     return dealt.withColumn("block", F.concat_ws("/", F.col(group).cast("string"), F.col("chunk").cast("string")))
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY_PERCENT, ident: str = "doc_id",
-                    text: str = "text") -> DataFrame:
-    """One row per document: ident, n_shingles, component_id, kept."""
-    src = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"))
+def _linked(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with their set's size and digest, nodes, classes of the linked nodes) of (id, text), all written."""
     sketched = cut_lineage(src.select("id", F.xxhash64("text").alias("hash"), sketch_udf(k)("text").alias("s"))
                            .select("id", "hash", "s.*"))
     # the row whose text stands for the set: the smallest id
@@ -241,7 +242,14 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY_P
         F.col("x.block").alias("left"), F.col("y.block").alias("right")).distinct()
     more = cut_lineage(_verify(sets.join(placed.select("node", "block"), "node"), open_, percent))
     labels = components(links.unionByName(more))
+    return sketched, nodes, labels
+
 
+def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY_PERCENT, ident: str = "doc_id",
+                    text: str = "text") -> DataFrame:
+    """One row per document: ident, n_shingles, component_id, kept."""
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        sketched, nodes, labels = _linked(docs.select(F.col(ident).alias("id"), F.col(text).alias("text")), k, percent)
     named = nodes.select("node", "d1", "d2", "first").join(labels, "node", "left").withColumn(
         "class", F.coalesce("component", "node"))
     smallest = named.groupBy("class").agg(F.min("first.id").alias("component_id"))

@@ -10,8 +10,8 @@ is confirmed on the full sets.
 Steps, all Spark jobs between written tables:
 1. one pass over the texts: set size, 128-bit set digest, band keys;
 2. texts with equal sets become one node (copies are never expanded into pairs);
-3. nodes that share a band key are grouped: a node's home is the smallest node it meets, and
-   homes are dealt into blocks of about ``BLOCK_SHINGLES`` shingles;
+3. nodes that share a band key are grouped: a node's home is the smallest node that
+   the smallest nodes it meets have met, and homes are dealt into blocks of about ``BLOCK_SHINGLES`` shingles;
 4. pairs of blocks that share a band key are tiles.  A first round takes each block against itself and
    its home's first block, which costs in proportion to the group and links most of a
    large group of copies.  The second round takes the remaining tiles, with blocks formed
@@ -214,7 +214,10 @@ def _linked(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame,
     bands = nodes.select("node", "n", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     met = cut_lineage(bands.join(shared, "key").select("key", "node", "n", "least"))
-    homes = cut_lineage(met.groupBy("node").agg(F.min("least").alias("home"), F.first("n").alias("n")))
+    nearest = cut_lineage(met.groupBy("node").agg(F.min("least").alias("home"), F.first("n").alias("n")))
+    # one step further: the smallest home of the nodes met, so small groups that touch share blocks
+    further = met.join(nearest.select(F.col("node").alias("least"), F.col("home").alias("beyond")), "least")
+    homes = cut_lineage(further.groupBy("node").agg(F.min("beyond").alias("home"), F.first("n").alias("n")))
 
     # round 1: every block with itself and with its home's first block
     blocks = cut_lineage(_dealt(homes, "home").select("node", "n", "home", "block"))

@@ -27,9 +27,8 @@ def op3_arc_to_warc(spark: SparkSession, d: str) -> DataFrame:
 
 def op4_toxicity_mil(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    labels = read_table(spark, d, "labels").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
-    labelled = docs.join(labels.where("label is not null"), F.col("doc_id") == F.col("_id"))
-    model = toxicity.train(labelled.where(~toxicity.held_out(F.col("doc_id"))))
+    labels = read_table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
     scored = toxicity.score_texts(docs, model)
     return scored.select(
         "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),

@@ -11,7 +11,7 @@ characters, chosen by a hash of the id; it runs in one task on that bounded samp
 read whole, and every sentence counts.
 
 Defined results: a null or empty text has no sentences and scores the score of one empty
-sentence, with null span; rows with a null label do not train; without labelled rows of
+sentence, with null span; rows with a null label or id do not train; without labelled rows of
 both kinds every score is 0; repeated rows are scored alike; an empty table gives
 no rows; further columns pass through.
 """
@@ -131,15 +131,16 @@ def fit_bags(texts: list[str], labels: np.ndarray) -> Model:
     return Model(zero.tobytes(), float(b))
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "label", ident: str = "doc_id",
-          max_rows: int = MAX_TRAIN_ROWS, max_chars: int = MAX_TRAIN_CHARS) -> Model:
-    """Fit on a bounded sample of rows with a label."""
-    rows = labelled.where(F.col(label).isNotNull() & (F.char_length(text) <= max_chars)).select(
-        F.xxhash64(F.col(ident), F.lit(17)).alias("h"), F.col(ident).alias("i"), F.col(text).alias("t"),
-        F.col(label).cast("int").alias("y"))
-    # the sample is drawn on thin rows; at most max_rows of them pick the texts
-    drawn = rows.select("h", "i").orderBy("h", "i").limit(max_rows).distinct()
-    sample = rows.join(F.broadcast(drawn), ["h", "i"], "left_semi")
+def train(docs: DataFrame, labels: DataFrame | None = None, text: str = "text", label: str = "label",
+          ident: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS, max_chars: int = MAX_TRAIN_CHARS) -> Model:
+    """Fit on a bounded sample of ``labels`` (ident, label; by default columns of ``docs``).  The sample is
+    drawn from the labels alone; its at most ``max_rows`` ids are sent to the texts, which stay where they are."""
+    marked = docs if labels is None else labels
+    drawn = marked.where(F.col(label).isNotNull()).select(
+        F.xxhash64(F.col(ident), F.lit(17)).alias("h"), F.col(ident).alias("i"), F.col(label).cast("int").alias("y")) \
+        .orderBy("h", "i").limit(max_rows).dropDuplicates(["i"])
+    texts = docs.select(F.col(ident).alias("_i"), F.col(text).alias("t")).where(F.char_length("t") <= max_chars)
+    sample = texts.join(F.broadcast(drawn), F.col("_i") == F.col("i")).select("h", "i", "t", "y")
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = list(frames)

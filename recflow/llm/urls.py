@@ -8,10 +8,11 @@ is calibrated on decided URLs that the models have not seen.
 
 The difference at the longest known context telescopes into one weight per
 n-gram (its difference less that of its suffix), so scoring is a join of the
-URL's n-grams with a table of weights and a sum.  Counts cover all decided URLs; the
-weight table keeps n-grams that make up at least ``SUPPORT`` of the counted
-characters, so it has at most (MAX_ORDER + 1) / SUPPORT rows at every input size,
-which is the bound behind its broadcast.
+URL's n-grams with a table of weights and a sum.  Counts cover all decided URLs and
+every n-gram has its weight, so the table grows with the input and is joined by a
+shuffle.  Only the n-grams that make up ``HOT_SHARE`` or more of the occurrences to
+score (1 / HOT_SHARE rows at most) are looked up in a broadcast part of it instead, so
+no n-gram brings more than that share of the rows to one task.
 
 Defined results: a null URL or one without "://" has empty host and path, no rule, and a
 score of 0; repeated rows give repeated result rows; an empty table gives no
@@ -30,7 +31,7 @@ from recflow.llm.common import let, lower_ascii
 from recflow.session import cut_lineage
 
 MAX_ORDER = 4
-SUPPORT = 5e-5
+HOT_SHARE = 5e-5
 STRENGTH = 4.0
 CALIBRATION_FOLDS = 5
 BIN = 0.01
@@ -89,9 +90,10 @@ def grams(text: Column, max_order: int = MAX_ORDER) -> Column:
     return let(F.split(F.concat(F.lit(START), text, F.lit(END)), ""), of)
 
 
-def fit_weights(texts: DataFrame, max_order: int = MAX_ORDER, support: float = SUPPORT,
+def fit_weights(texts: DataFrame, max_order: int = MAX_ORDER, support: float = 0.0,
                 strength: float = STRENGTH) -> DataFrame:
-    """(gram, weight) from ``texts`` (text, rule_verdict)."""
+    """(gram, weight) from ``texts`` (text, rule_verdict): all n-grams, or with ``support``
+    those that make up at least this share of the counted characters."""
     hit = F.col("rule_verdict") == "allow"
     counts = cut_lineage(texts.select(F.explode(grams(F.col("text"), max_order)).alias("gram"), hit.alias("ok"))
                          .groupBy("gram").agg(F.count_if("ok").alias("a"), F.count_if(~F.col("ok")).alias("r"))
@@ -99,8 +101,8 @@ def fit_weights(texts: DataFrame, max_order: int = MAX_ORDER, support: float = S
     base = counts.where("order = 0")
     total = base.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("ta"), F.coalesce(F.sum("r"), F.lit(0)).alias("tr"),
                      F.count(F.lit(1)).alias("v"))
-    kept = cut_lineage(counts.crossJoin(F.broadcast(total)).where(
-        F.col("a") + F.col("r") >= support * (F.col("ta") + F.col("tr"))))
+    kept = counts.crossJoin(F.broadcast(total)).where(
+        F.col("a") + F.col("r") >= support * (F.col("ta") + F.col("tr")))
     level = kept.where("order = 0").select(
         "gram", *[((F.col(c) + 1.0) / (F.col(f"t{c}") + F.col("v"))).alias(f"p{c}") for c in "ar"])
     level = level.withColumn("diff", F.log(F.col("pa") / F.col("pr"))).withColumn("weight", F.col("diff"))
@@ -129,9 +131,18 @@ def fit_weights(texts: DataFrame, max_order: int = MAX_ORDER, support: float = S
 def score_texts(texts: DataFrame, weights: DataFrame, max_order: int = MAX_ORDER) -> DataFrame:
     """(text, score) for distinct texts: summed weights per character, rounded so that the
     order of summation cannot show."""
-    parts = texts.select("text", F.explode(grams(F.col("text"), max_order)).alias("gram"))
-    found = parts.join(F.broadcast(weights), "gram").groupBy("text").agg(F.sum("weight").alias("total"))
-    return found.select("text", F.round(F.col("total") / (F.char_length("text") + 1), 9).alias("score"))
+    numbered = cut_lineage(texts.select("text", F.monotonically_increasing_id().alias("_at")))
+    parts = numbered.select("_at", F.explode(grams(F.col("text"), max_order)).alias("gram"))
+    uses = cut_lineage(parts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    every = uses.agg(F.sum("n").alias("every"))
+    hot = uses.crossJoin(F.broadcast(every)).where(F.col("n") >= HOT_SHARE * F.col("every")) \
+        .join(weights, "gram", "left").select("gram", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    hot = cut_lineage(hot)  # at most 1 / HOT_SHARE rows; n-grams without a weight are in it too
+    found = parts.join(F.broadcast(hot), "gram").select("_at", "weight").unionByName(
+        parts.join(F.broadcast(hot.select("gram")), "gram", "left_anti").join(weights, "gram").select("_at", "weight"))
+    total = found.groupBy("_at").agg(F.sum("weight").alias("total"))
+    return numbered.join(total, "_at").select(
+        "text", F.round(F.col("total") / (F.char_length("text") + 1), 9).alias("score"))
 
 
 def threshold_of(scored: DataFrame) -> DataFrame:

@@ -82,6 +82,26 @@ def test_scores_match_the_recursion(spark):
         assert abs(got.get(t, 0.0) - total / (len(t) + 1)) < 1e-6, t
 
 
+def test_rare_ngrams_keep_their_weights(spark, monkeypatch):
+    """As many n-grams as there are, also those below any share of the input; hot and cold ones sum alike."""
+    rng = random.Random(3)
+    train = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30)), rng.choice(["allow", "block"])) for _ in range(1500)]
+    train += [("\u6f22\u5b57\u6f22", "block")]
+    weights = urls.fit_weights(spark.createDataFrame(train, "text string, rule_verdict string"))
+    own = {r["gram"]: r["weight"] for r in weights.collect()}
+    assert set(own) == {s[i - o:i + 1] for t, _ in train for s in [f"\x02{t}\x03"] for o in range(5) for i in range(max(o, 1), len(s))}
+    assert own["\u6f22"] < 0
+    probes = [t for t, _ in train[:40]] + ["\u5b57\u6f22", "a" * 20]
+    df = spark.createDataFrame([(p,) for p in probes], "text string")
+    for share in (5e-5, 1e-2, 2.0):
+        monkeypatch.setattr(urls, "HOT_SHARE", share)
+        got = {r["text"]: r["score"] for r in urls.score_texts(df, weights).collect()}
+        for t in probes:
+            s = f"\x02{t}\x03"
+            want = sum(own.get(s[i - o:i + 1], 0.0) for o in range(5) for i in range(max(o, 1), len(s)))
+            assert abs(got[t] - want / (len(t) + 1)) < 1e-8
+
+
 def test_empty_and_undecided_tables(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
     got = urls.judge(spark.createDataFrame([(1, "http://a.org/x", 2)], "page_id long, url string, score long").drop("score")).collect()

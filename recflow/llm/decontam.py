@@ -2,19 +2,19 @@
 
 Texts and items become sequences of words (letters, digits, non-ASCII; lower case).  A
 window is embedded by the CGK random walk: at step j the symbol under the pointer is written
-and the pointer moves on by a random bit that depends on j and the symbol, so sequences at
-a small edit distance get embeddings at a small Hamming distance.  Bit sampling reads a few
-steps of the walk per table; windows equal on all of a table's samples are candidates.  This
-is repeated over ``WALKS`` independent walks of ``TABLES`` tables.
-
-Windows have the size of the item: the largest power of two that leaves ``STRIDE`` - 1 words
-over (32 at most, further windows then start inside the item).  Items are indexed at every
-offset, texts at every ``STRIDE``-th word, so any place of an item in a text contains
-an aligned window.  Candidates are verified by the exact edit distance of the whole item to the
-best matching stretch of the text: a match needs 1 - edits / item words >= ``SIMILARITY``.
-
-A word-for-word copy has equal windows in both, so it is always found.  ``tests`` measure
-the recall for edited copies (0.95 and more at 10 % edited words).
+and the pointer moves on by a random bit that depends on j and the symbol; past the window's
+end it writes an end mark, so the walk of ``STEPS`` x window steps depends on the window
+alone and equal windows have equal embeddings.  Windows that agree on a sample of
+``SAMPLED`` x window steps are hits.
+
+A match needs 1 - edits / item words >= the similarity, so an item of n words has at most e =
+(1 - similarity) * n edits.  Its window has n // (e + 1) words, its n // window disjoint windows
+are indexed, and texts are read at every word.  An edit touches one window of the item at most,
+so all but e of them are in the text word for word, at places whose shifts differ by e at
+most: an item with that many hits (one at least) inside such a range is a candidate.  No match
+is missed, whatever the edits are and wherever they lie (recall 1), so one walk and one
+sample are enough.  Candidates are verified by the exact edit distance of the whole item to
+the best matching stretch of the text.
 
 Items are read in blocks of at most ``BLOCK_CHARS`` characters (one longer item is a block of its
 own), each a pass over the texts; a block's index is the only thing sent to tasks.
@@ -28,6 +28,7 @@ each; an empty table on either side gives no matches; further columns pass throu
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,17 +39,16 @@ from pyspark.sql import functions as F
 
 from recflow.llm.kernels import NOT_WORD, batches, hash_words, mix64, word_offsets
 
-STRIDE = 4
-CLASSES = (4, 8, 16, 32)
-MIN_WORDS = CLASSES[0] + STRIDE - 1
+MIN_WORDS = 7
 SIMILARITY = 0.8
-WALKS = 4
-TABLES = 3
-#: sampled steps per table, by window size
-SAMPLES = {4: 4, 8: 6, 16: 6, 32: 6}
+#: largest window (reached at high similarities only)
+MAX_WINDOW = 32
+#: steps of a walk and sampled steps, per word of the window
+STEPS = 3
+SAMPLED = 2
 BLOCK_CHARS = 4 << 20
 _LUT_BITS = 20
-_PAD = CLASSES[-1] + STRIDE
+_PAD = MAX_WINDOW + 4
 MATCH = "array<struct<item_id:long,edits:int,item_words:int,similarity:double,first_word:long,last_word:long>>"
 
 
@@ -56,45 +56,36 @@ def words_of(text: str | None) -> np.ndarray:
     return hash_words(text.lower().encode("utf-8", "surrogatepass"), NOT_WORD)[0] if text else np.zeros(0, np.uint64)
 
 
-def window_class(n_words: int) -> int | None:
-    fit = [c for c in CLASSES if c + STRIDE - 1 <= n_words]
-    return fit[-1] if fit else None
-
-
-def _plan() -> dict[int, list[list[np.ndarray]]]:
-    """Sampled steps: [walk][table] -> steps, by window size; all below 1.5 * size, where the
-    pointer is still inside the window."""
-    rng = np.random.default_rng(20240607)
-    return {c: [[np.sort(rng.choice(c * 3 // 2, SAMPLES[c], replace=False)) for _ in range(TABLES)]
-                for _ in range(WALKS)] for c in CLASSES}
-
-
-_STEPS = _plan()
-_SALTS = np.random.default_rng(7).integers(1, 1 << 63, WALKS).astype(np.uint64)
-
-
-def embed(tokens: np.ndarray, starts: np.ndarray, classes: tuple[int, ...]) -> dict[tuple[int, int, int], np.ndarray]:
-    """Keys of the windows at ``starts`` for every (class, walk, table); ``tokens`` must go on for
-    1.5 * class symbols after each start."""
-    out: dict[tuple[int, int, int], np.ndarray] = {}
-    for walk in range(WALKS):
-        symbols = mix64(tokens ^ _SALTS[walk])
-        at = starts.copy()
-        keys = {(c, t): np.full(len(starts), np.uint64(c * 64 + walk * 8 + t + 1)) for c in classes for t in range(TABLES)}
-        wanted: dict[int, list[tuple[int, int]]] = {}
-        for c in classes:
-            for t in range(TABLES):
-                for j in _STEPS[c][walk][t]:
-                    wanted.setdefault(int(j), []).append((c, t))
-        for j in range(max(wanted) + 1):
-            seen = symbols[at]
-            for key in wanted.get(j, ()):
-                keys[key] *= np.uint64(0x9FB21C651E98DF25)
-                keys[key] += seen
-            at += ((seen >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
-        for (c, t), k in keys.items():
-            out[c, walk, t] = mix64(k)
-    return out
+def edit_limit(n_words: int, similarity: float) -> int:
+    return math.floor((1 - similarity) * n_words + 1e-9)
+
+
+def window_size(n_words: int, similarity: float = SIMILARITY) -> int | None:
+    """Words of an item's windows: there are more disjoint ones than edits."""
+    if n_words < MIN_WORDS:
+        return None
+    return max(1, min(MAX_WINDOW, n_words // (edit_limit(n_words, similarity) + 1)))
+
+
+#: sampled steps by window size; step 0 is among them
+_STEPS = {c: frozenset([0, *np.random.default_rng(20240607 + c).choice(np.arange(1, STEPS * c), SAMPLED * c - 1, replace=False).tolist()])
+          for c in range(1, MAX_WINDOW + 1)}
+_SALT = np.random.default_rng(7).integers(1, 1 << 63, 1).astype(np.uint64)[0]
+
+
+def embed(tokens: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """Keys of the windows at ``starts``; ``tokens`` must go on for ``window`` symbols after each start."""
+    symbols = mix64(tokens ^ _SALT)
+    at, end = starts.copy(), starts + window
+    keys = np.full(len(starts), np.uint64(window))
+    for j in range(max(_STEPS[window]) + 1):
+        inside = at < end
+        seen = np.where(inside, symbols[at], np.uint64(0))
+        if j in _STEPS[window]:
+            keys *= np.uint64(0x9FB21C651E98DF25)
+            keys += seen
+        at += ((seen >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)  # the end mark moves nothing
+    return mix64(keys)
 
 
 @dataclass
@@ -106,7 +97,10 @@ class Index:
     keys: np.ndarray
     items: np.ndarray
     offsets: np.ndarray
-    classes: tuple[int, ...]
+    windows: tuple[int, ...]
+    #: per item, the edits allowed and the hits that so many edits leave
+    limits: np.ndarray
+    needed: np.ndarray
     ranked: list[np.ndarray] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -118,26 +112,26 @@ class Index:
         return table
 
 
-def build_index(ids: list[int | None], texts: list[str | None]) -> Index:
+def build_index(ids: list[int | None], texts: list[str | None], similarity: float = SIMILARITY) -> Index:
     words = [words_of(t) for t in texts]
-    keys, items, offsets = [], [], []
-    classes = set()
-    pad = np.zeros(_PAD * 2, dtype=np.uint64)
+    keys, items, offsets = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    limits = np.array([edit_limit(len(w), similarity) for w in words], dtype=np.int64)
+    needed = np.ones(len(words), dtype=np.int64)
+    windows = set()
+    pad = np.zeros(_PAD, dtype=np.uint64)
     for i, w in enumerate(words):
-        c = window_class(len(w))
+        c = window_size(len(w), similarity)
         if c is None:
             continue
-        classes.add(c)
-        starts = np.arange(len(w) - c + 1)
-        for k in embed(np.concatenate([w, pad]), starts, (c,)).values():
-            keys.append(k)
-            items.append(np.full(len(starts), i))
-            offsets.append(starts)
-    if not keys:
-        return Index(list(ids), words, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), ())
+        windows.add(c)
+        starts = np.arange(len(w) // c) * c
+        needed[i] = max(1, len(starts) - limits[i])
+        keys.append(embed(np.concatenate([w, pad]), starts, c))
+        items.append(np.full(len(starts), i))
+        offsets.append(starts)
     key, item, offset = np.concatenate(keys), np.concatenate(items), np.concatenate(offsets)
     order = np.argsort(key, kind="stable")
-    return Index(list(ids), words, key[order], item[order], offset[order], tuple(sorted(classes)))
+    return Index(list(ids), words, key[order], item[order], offset[order], tuple(sorted(windows)), limits, needed)
 
 
 def best_stretch(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
@@ -159,51 +153,67 @@ def best_stretch(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), int(origin[end]), end
 
 
-def search(texts: list[str | None], index: Index, lut: np.ndarray, similarity: float) -> list[list[tuple]]:
+def search(texts: list[str | None], index: Index, lut: np.ndarray) -> list[list[tuple]]:
     """Matches of every text."""
     out: list[list[tuple]] = [[] for _ in texts]
-    if not index.classes:
+    if not index.windows:
         return out
     lowered = [t.lower() if t else t for t in texts]
     for first, last, buf, offsets in batches(lowered, lower=False):
         words, starts, _ = hash_words(buf, NOT_WORD)
         bounds = word_offsets(starts, offsets)
         run = [(first + i, words[bounds[i]:bounds[i + 1]]) for i in range(last - first)
-               if bounds[i + 1] - bounds[i] >= MIN_WORDS // 2]
+               if bounds[i + 1] > bounds[i]]
         if run:
-            _search_run(run, index, lut, similarity, out)
+            _search_run(run, index, lut, out)
     return out
 
 
-def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray, similarity: float,
-                out: list[list[tuple]]) -> None:
-    pad = np.zeros(_PAD * 2, dtype=np.uint64)
+def _candidates(tokens: np.ndarray, starts: np.ndarray, which: np.ndarray, places: np.ndarray, index: Index,
+                lut: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(text, item, place of the item's first word) with as many hits near it as the item needs."""
+    texts, items, at = [], [], []
+    for window in index.windows:
+        keys = embed(tokens, starts, window)
+        maybe = np.flatnonzero(lut[(keys >> np.uint64(64 - _LUT_BITS)).astype(np.int64)])
+        lo = np.searchsorted(index.keys, keys[maybe], side="left")
+        n = np.searchsorted(index.keys, keys[maybe], side="right") - lo
+        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        own = np.repeat(maybe, n)
+        texts.append(which[own])
+        items.append(index.items[entry])
+        at.append(places[own] - index.offsets[entry])
+    text, item, place = np.concatenate(texts), np.concatenate(items), np.concatenate(at)
+    order = np.lexsort((place, item, text))
+    text, item, place = text[order], item[order], place[order]
+    if len(place):
+        far = np.arange(len(place)) + index.needed[item] - 1
+        last = np.minimum(far, len(place) - 1)
+        enough = (far == last) & (text[last] == text) & (item[last] == item) & (place[last] - place <= index.limits[item])
+        yield from zip(text[enough].tolist(), item[enough].tolist(), place[enough].tolist())
+
+
+def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray, out: list[list[tuple]]) -> None:
+    pad = np.zeros(_PAD, dtype=np.uint64)
     tokens = np.concatenate([x for _, w in run for x in (w, pad)])
     begins = np.concatenate([[0], np.cumsum([len(w) + len(pad) for _, w in run])[:-1]])
-    counts = np.array([(len(w) + STRIDE - 1) // STRIDE for _, w in run])
+    counts = np.array([len(w) for _, w in run])
     which = np.repeat(np.arange(len(run)), counts)
-    starts = begins[which] + STRIDE * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
-    found: set[tuple[int, int, int]] = set()
-    for k in embed(tokens, starts, index.classes).values():
-        maybe = np.flatnonzero(lut[(k >> np.uint64(64 - _LUT_BITS)).astype(np.int64)])
-        lo = np.searchsorted(index.keys, k[maybe], side="left")
-        hi = np.searchsorted(index.keys, k[maybe], side="right")
-        for s, a, b in zip(maybe[hi > lo], lo[hi > lo], hi[hi > lo]):
-            at = int(starts[s] - begins[which[s]])
-            found.update((int(which[s]), int(index.items[x]), at - int(index.offsets[x])) for x in range(a, b))
+    places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    found = sorted(set(_candidates(tokens, begins[which] + places, which, places, index, lut)))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for d, item, at in sorted(found):  # word-for-word copies need no alignment
+    for d, item, at in found:  # word-for-word copies need no alignment
         words = index.words[item]
         if (d, item) not in best and at >= 0 and np.array_equal(words, run[d][1][at:at + len(words)]):
             best[d, item] = (0, at, at + len(words) - 1)
     last: dict[tuple[int, int], int] = {}
-    for d, item, at in sorted(found):
+    for d, item, at in found:
         words, own = index.words[item], run[d][1]
         n = len(words)
         place = best.get((d, item), (n, 0, 0))
         if place[0] == 0 or ((d, item) in last and at - last[d, item] <= 2):
             continue  # found without edits, or the same place again
-        limit = math.floor((1 - similarity) * n + 1e-9)
+        limit = int(index.limits[item])
         lo, hi = max(0, at - limit - 2), min(len(own), at + n + limit + 2)
         region = own[lo:hi]
         ranked = index.ranked[item]
@@ -219,14 +229,14 @@ def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray
         out[run[d][0]].append((index.ids[item], edits, n, 1 - edits / n, start, end))
 
 
-def match_udf(shared: Broadcast, similarity: float):
+def match_udf(shared: Broadcast):
     """Pandas UDF: text -> matches with the items of a broadcast index."""
     names = ("item_id", "edits", "item_words", "similarity", "first_word", "last_word")
 
     @F.pandas_udf(MATCH)
     def find(texts: pd.Series) -> pd.Series:
         index = shared.value
-        found = search(list(texts), index, index.lut(), similarity)
+        found = search(list(texts), index, index.lut())
         return pd.Series([[dict(zip(names, m)) for m in own] for own in found], dtype=object)
 
     return find
@@ -248,7 +258,7 @@ def match_items(docs: DataFrame, items: DataFrame, text: str = "text", ident: st
                 block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Add ``name``: the array of matches (see ``MATCH``) of each text."""
     sc = docs.sparkSession.sparkContext
-    columns = [match_udf(sc.broadcast(build_index(ids, texts)), similarity)(F.col(text))
+    columns = [match_udf(sc.broadcast(build_index(ids, texts, similarity)))(F.col(text))
                for ids, texts in item_blocks(items, ident, item_text, block_chars)]
     return docs.withColumn(name, F.concat(*columns) if len(columns) > 1 else columns[0])
 

@@ -42,6 +42,20 @@ def test_recall(spark, rate, least):
     assert got <= truth and len(got) >= least * len(truth)
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.15, 0.2])
+def test_no_match_is_missed_at_any_length(rate):
+    """Every item length, as many edits as the rate gives (up to all that the similarity allows)."""
+    rng = random.Random(int(rate * 100))
+    vocabulary = prose(rng, 3000).split()
+    for n in [*range(7, 42), 60, 100, 150]:
+        own = [" ".join(rng.choices(vocabulary, k=n)) for _ in range(25)]
+        index = decontam.build_index(list(range(len(own))), own)
+        docs = [" ".join(rng.choices(vocabulary, k=rng.randrange(40)) + edited(rng, t.split(), int(rate * n + 1e-9), vocabulary)
+                         + rng.choices(vocabulary, k=rng.randrange(40))) for t in own]
+        got = decontam.search(docs, index, index.lut())
+        assert [any(m[0] == i for m in own) for i, own in enumerate(got)] == [True] * len(docs), n
+
+
 def test_best_stretch_matches_plain_edit_distance():
     rng = np.random.default_rng(3)
 

@@ -56,6 +56,14 @@ def test_no_match_is_missed_at_any_length(rate):
         assert [any(m[0] == i for m in own) for i, own in enumerate(got)] == [True] * len(docs), n
 
 
+def test_equal_windows_have_equal_keys_whatever_follows():
+    rng = np.random.default_rng(5)
+    for window in range(1, decontam.MAX_WINDOW + 1):
+        words = rng.integers(1, 1 << 60, window).astype(np.uint64)
+        tails = [rng.integers(1, 1 << 60, window + 8).astype(np.uint64) for _ in range(20)]
+        assert len({int(decontam.embed(np.concatenate([words, t]), np.array([0]), window)[0]) for t in tails}) == 1
+
+
 def test_best_stretch_matches_plain_edit_distance():
     rng = np.random.default_rng(3)
 

@@ -1,8 +1,9 @@
 """Secret scan: key patterns, and a randomness test battery under false-discovery control.
 
 Base patterns find assignments, access keys and long hex strings.  Further
-tokens of ``MIN_TOKEN`` characters or more get an encoding (hex, base32, base64,
-base64url) and are tested in two ways:
+tokens of ``MIN_TOKEN`` characters or more get the smallest encoding that holds all their
+characters (digits, hex, one letter case, base32, base36, letters, base58, base62, base64,
+base64url; lower and upper case where they differ) and are tested in two ways:
 
 * the battery, under "drawn uniformly from the encoding's alphabet": chi-squared
   on the symbol counts, a runs test around the middle of the alphabet and the
@@ -49,14 +50,17 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 KINDS = ("assign", "access", "hex", "random")
 
-_ALPHABETS = (
-    ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), "0123456789abcdef"),
-    ("base32", re.compile(r"[A-Z2-7]+=*"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("base64", re.compile(r"[A-Za-z0-9+/]+=*"),
-     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-    ("base64url", re.compile(r"[A-Za-z0-9_-]+=*"),
-     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+_DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+_UPPER = _LOWER.upper()
+#: (name, symbols in order), smallest first
+ALPHABETS = (
+    ("digits", _DIGITS), ("hex", _DIGITS + "abcdef"), ("HEX", _DIGITS + "ABCDEF"), ("lower", _LOWER), ("upper", _UPPER),
+    ("base32", _UPPER + "234567"), ("base32_lower", _LOWER + "234567"), ("base36", _DIGITS + _LOWER),
+    ("base36_upper", _DIGITS + _UPPER), ("letters", _UPPER + _LOWER),
+    ("base58", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"), ("base62", _UPPER + _LOWER + _DIGITS),
+    ("base64", _UPPER + _LOWER + _DIGITS + "+/"), ("base64url", _UPPER + _LOWER + _DIGITS + "-_"),
 )
+_SETS = tuple((name, alphabet, frozenset(alphabet)) for name, alphabet in ALPHABETS)
 #: letters of ordinary text by frequency: each is about 0.9 times as frequent as the one before
 _LETTERS = "etaoinsrhldcumfpgwybvkxjqz"
 _SWITCH = math.log(0.04)
@@ -70,6 +74,7 @@ def _ordinary_letters() -> dict[str, float]:
 
 _LETTER_LOG = _ordinary_letters()
 _CLASS = {**{c: 0 for c in _LETTERS}, **{c.upper(): 1 for c in _LETTERS}, **{c: 2 for c in "0123456789"}}
+_SIGNS = frozenset("+/_-=")
 _CHAR_LOG = {**_LETTER_LOG, **{c.upper(): v for c, v in _LETTER_LOG.items()},
              **{c: math.log(0.1) for c in "0123456789"}, **{c: math.log(0.2) for c in "+/_-="}}
 
@@ -109,13 +114,16 @@ def battery(values: np.ndarray, size: int) -> tuple[float, float, float]:
 
 
 def encoding_of(token: str) -> tuple[str, str] | None:
-    """(name, alphabet), or none for words, numbers and strings of one letter case."""
+    """(name, alphabet) of the smallest encoding that fits, or none for words of one letter case, or
+    numbers, with signs between (random strings with signs have more than one kind of character)."""
     body = token.rstrip("=")
-    kinds = {_CLASS.get(c, 3) for c in body[1:]}
-    if len(kinds & {0, 1, 2}) < 2 or len(body) < MIN_TOKEN - 2:
+    used = set(body)
+    if len(body) < MIN_TOKEN - 2:
         return None
-    for name, pattern, alphabet in _ALPHABETS:
-        if pattern.fullmatch(token):
+    if used & _SIGNS and len({_CLASS.get(c, 3) for c in body[1:]} & {0, 1, 2}) < 2:
+        return None
+    for name, alphabet, symbols in _SETS:
+        if used <= symbols:
             return name, alphabet
     return None
 
@@ -144,9 +152,8 @@ def token_evidence(token: str) -> tuple[int, int] | None:
         return None
     body = token.rstrip("=")
     alphabet = enc[1]
-    folded = body.lower() if enc[0] == "hex" else body
     place = {c: i for i, c in enumerate(alphabet)}
-    p = battery(np.array([place[c] for c in folded]), len(alphabet))
+    p = battery(np.array([place[c] for c in body]), len(alphabet))
     if min(p) * 3 < ALPHA:
         return length_class(len(body)), 0
     return length_class(len(body)), max(0, min(MAX_BIN, int(evidence(body, len(alphabet)) / BIN)))

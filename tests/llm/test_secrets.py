@@ -68,6 +68,34 @@ def test_battery_p_values_are_uniform_for_random_tokens():
     assert min(secrets.battery(np.zeros(40, dtype=int), 16)) < 1e-6
 
 
+def test_every_alphabet_passes_the_battery():
+    rng = random.Random(12)
+    for name, alphabet in secrets.ALPHABETS:
+        for size in (24, 64, 200):
+            tokens = ["".join(rng.choices(alphabet, k=size)) for _ in range(200)]
+            got = [secrets.token_evidence(t) for t in tokens]
+            assert sum(g is not None and g[1] > 0 for g in got) >= 194, (name, size)
+
+
+def test_every_alphabet_is_found_and_redacted(spark):
+    rng = random.Random(13)
+    rows, planted = [], {}
+    for i in range(8):
+        for name, alphabet in secrets.ALPHABETS:
+            for size in (24, 64, 200):
+                token = "".join(rng.choices(alphabet, k=size))
+                planted[len(rows)] = (name, size, token)
+                rows.append((len(rows), f"{prose(rng, 20)} {token} Internationalization2 another_ordinary_name_12 antidisestablishmentarianism"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = {}
+    for r in secrets.redact(df).collect():
+        name, size, token = planted[r["doc_id"]]
+        assert r["text"].endswith(" Internationalization2 another_ordinary_name_12 antidisestablishmentarianism")
+        lost[name, size] = lost.get((name, size), 0) + (token in r["text"])
+    # random digits differ from an ordinary number by little, so short ones are no discoveries
+    assert all(n <= 1 for (name, size), n in lost.items() if (name, size) != ("digits", 24)), lost
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS + [None, ""])), "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}

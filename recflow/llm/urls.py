@@ -1,7 +1,7 @@
 """URL filter: host/path rules, and a character language-model ratio for the rest.
 
-Two variable-order Markov models over the characters of host and path are
-counted, one on the URLs that the rules allow and one on those they block.
+Two variable-order Markov models over the characters of the whole URL (with its host in
+lower case, as in the rules) are counted, one on the URLs that the rules allow and one on those they block.
 Orders 0 to ``MAX_ORDER`` are interpolated (each order is smoothed by the one below);
 a URL's score is its log-likelihood difference per character, and the threshold
 is calibrated on decided URLs that the models have not seen.
@@ -14,8 +14,8 @@ shuffle.  Only the n-grams that make up ``HOT_SHARE`` or more of the occurrences
 score (1 / HOT_SHARE rows at most) are looked up in a broadcast part of it instead, so
 no n-gram brings more than that share of the rows to one task.
 
-Defined results: a null URL or one without "://" has empty host and path, no rule, and a
-score of 0; repeated rows give repeated result rows; an empty table gives no
+Defined results: a null URL or one without "://" has empty host and path and no rule; a null
+or empty URL has a score of 0; repeated rows give repeated result rows; an empty table gives no
 rows; without decided URLs all differences and the threshold are 0, so the verdict is
 allow; very long URLs are read whole; further columns are not read.
 """
@@ -66,6 +66,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return lower_ascii(F.regexp_extract(url, pattern, 1)), F.regexp_extract(url, pattern, 2)
 
 
+def whole_url(url: Column) -> Column:
+    """What the models read: all of the URL, the host in lower case (null: empty)."""
+    url = F.coalesce(url, F.lit(""))
+    pattern = r"(?s)^(.*?://)([^/?#]*)(.*)$"
+    scheme, host, rest = (F.regexp_extract(url, pattern, i) for i in (1, 2, 3))
+    return F.when(F.contains(url, F.lit("://")), F.concat(scheme, lower_ascii(host), rest)).otherwise(url)
+
+
 def decide(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add ``rule`` and ``rule_verdict`` from the columns ``host`` and ``path`` (longest rule)."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -168,13 +176,13 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES) -
     """Add host, path, rule, rule_verdict, score, threshold and verdict to ``pages``."""
     host, path = split_url(F.col(url))
     named = decide(pages.withColumns({"host": host, "path": path}), rules) \
-        .withColumn("_text", F.concat("host", "path"))
+        .withColumn("_text", whole_url(F.col(url)))
     texts = cut_lineage(named.groupBy(F.col("_text").alias("text")).agg(
         F.min("rule_verdict").alias("rule_verdict")))
     decided = texts.where(F.col("rule_verdict").isNotNull())
     held_out = F.crc32(F.encode("text", "UTF-8")) % CALIBRATION_FOLDS == 0
     weights = fit_weights(decided.where(~held_out))
-    scores = cut_lineage(texts.join(score_texts(texts, weights), "text", "left").na.fill({"score": 0.0}))
+    scores = cut_lineage(texts.join(score_texts(texts.where("text != ''"), weights), "text", "left").na.fill({"score": 0.0}))
     threshold = threshold_of(scores.where(F.col("rule_verdict").isNotNull() & held_out))
     by_text = scores.select(F.col("text").alias("_scored"), "score")
     out = named.join(by_text, F.col("_text") == F.col("_scored"), "left").crossJoin(F.broadcast(threshold))

@@ -102,6 +102,16 @@ def test_rare_ngrams_keep_their_weights(spark, monkeypatch):
             assert abs(got[t] - want / (len(t) + 1)) < 1e-8
 
 
+def test_query_strings_and_urls_without_scheme_are_scored(spark):
+    rows = [(i, f"http://a{i}.com/x?good=yes{i}") for i in range(40)] + [(100 + i, f"http://b{i}.net/es/?spam=zzz{i}") for i in range(40)]
+    rows += [(200, "http://c.org/p?good=yes"), (201, "http://c.org/p?spam=zzz"), (202, "http://C.org/p?spam=zzz"), (203, "good=yes"),
+             (204, "spam=zzz"), (205, ""), (206, None), (207, "http://c.org/p#x\n?good=yes")]
+    got = {r["page_id"]: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[200]["score"] > got[201]["score"] == got[202]["score"] and got[207]["score"] > got[201]["score"]
+    assert got[203]["score"] > got[204]["score"] and got[205]["score"] == got[206]["score"] == 0
+    assert [got[i]["path"] for i in (200, 203)] == ["/p", ""]
+
+
 def test_empty_and_undecided_tables(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
     got = urls.judge(spark.createDataFrame([(1, "http://a.org/x", 2)], "page_id long, url string, score long").drop("score")).collect()

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recflow.session import cut_lineage
+
 #: separators of whitespace words: space and \t \n \v \f \r
 SPACES = r"[ \x09-\x0D]+"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,3 +46,13 @@ def whitespace_words(text: Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased and nothing else changed."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, share: int = 256) -> DataFrame:
+    """Inner join of ``rows`` to ``table`` (one row per key, no null keys).  Keys that hold at least one
+    ``share``-th of all rows, so at most ``share`` of them, are joined by broadcast and the others by a
+    shuffle, so no task gets the rows of a hot key."""
+    total = rows.count()
+    hot = F.broadcast(cut_lineage(rows.groupBy(key).count().where(F.col("count") * share >= total).select(key)))
+    head = rows.join(hot, key, "left_semi").join(F.broadcast(table.join(hot, key, "left_semi")), key)
+    return head.unionByName(rows.join(hot, key, "left_anti").join(table, key))

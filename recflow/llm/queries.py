@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import (decontam, langid, licenses, mixing, near_dup, quality, secrets, toxicity, urls, warc)
+from recflow.llm import (decontam, langid, licenses, mixing, near_dup, quality, secrets, simhash, toxicity, urls,
+                         warc)
 from recflow.llm.common import read_table
 
 
@@ -70,6 +71,11 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"metrics.{n}").alias(n) for n in names], "base_failed", "kept")
 
 
+def op13_simhash_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    linked = simhash.near_duplicates(read_table(spark, d, "documents"), k=3, radius=2)
+    return linked.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_arc_to_warc, op4_toxicity_mil, op5_benchmark_decontamination,
-    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules)}
+    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules, op13_simhash_near_duplicates)}

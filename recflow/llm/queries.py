@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.llm import (decontam, langid, licenses, mixing, near_dup, quality, secrets, simhash, toxicity, urls,
-                         warc)
+                         variants, warc)
 from recflow.llm.common import read_table
 
 
@@ -71,6 +71,16 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"metrics.{n}").alias(n) for n in names], "base_failed", "kept")
 
 
+def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    runs = read_table(spark, d, "documents").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.explode(variants.letter_runs(F.col("text"))).alias("run"))
+    hashed = runs.withColumn("h", F.crc32(F.concat("id", F.lit(":"), "run")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    return variants.spelling_variants(hashed.select(F.when(F.col("h") % 199 == 0, cut).otherwise(F.col("run")).alias("word")))
+
+
 def op13_simhash_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     linked = simhash.near_duplicates(read_table(spark, d, "documents"), k=3, radius=2)
     return linked.select("doc_id", "fingerprint", "component_id")
@@ -78,4 +88,4 @@ def op13_simhash_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_arc_to_warc, op4_toxicity_mil, op5_benchmark_decontamination,
-    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules, op13_simhash_near_duplicates)}
+    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules, op12_spelling_variants, op13_simhash_near_duplicates)}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm import (decontam, langid, licenses, mixing, near_dup, quality, secrets, simhash, toxicity, urls,
-                         variants, warc)
-from recflow.llm.common import read_table
+from recflow.llm import (decontam, langid, licenses, mixing, near_dup, periodic, quality, secrets, simhash, toxicity,
+                         urls, variants, warc)
+from recflow.llm.common import let, read_table, whitespace_words
 
 
 def op1_source_mixing(spark: SparkSession, d: str) -> DataFrame:
@@ -71,6 +71,34 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"metrics.{n}").alias(n) for n in names], "base_failed", "kept")
 
 
+def _planted(doc_id: Column, text: Column) -> Column:
+    """The text with the periodic tail that op11's contract gives to every tenth document."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        return F.array_join(F.transform(
+            words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p))), " ")
+
+    changed = let(whitespace_words(text), lambda words: F.when(F.size(words) > 0, planted(words)))
+    return F.when((h % 10 == 0) & text.isNotNull(), changed).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"),
+        "collapsed_sha256")
+
+
 def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
     runs = read_table(spark, d, "documents").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
@@ -88,4 +116,5 @@ def op13_simhash_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_secret_scan, op3_arc_to_warc, op4_toxicity_mil, op5_benchmark_decontamination,
-    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules, op12_spelling_variants, op13_simhash_near_duplicates)}
+    op6_url_filter, op7_near_duplicates, op8_language_id, op9_license_scan, op10_quality_rules, op11_periodic_runs, op12_spelling_variants,
+    op13_simhash_near_duplicates)}

@@ -1,4 +1,4 @@
-"""Vector search over a catalog.
+"""Vector search over a catalog.
 
 Searches run for a **table** of queries.  Attribute filters that are the
 same for every query are plain predicates on the catalog (pushed to the
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from recflow.functions import text as T
 from recflow.functions.vectors import l2_normalize
 from recflow.operators import knn as K
-from recflow.operators.quantiles import exact_percentiles
 
 FILTER_ATTRS = ("category", "style", "material", "color")
 RESULT_FIELDS = ("product_id", "title", "category", "style", "color", "material", "price", "rating",
@@ -185,93 +184,6 @@ def sample_user_profiles(catalog: DataFrame, limit: int = 3) -> DataFrame:
         F.col("category").alias("preferred_category"))
 
 
-# --- pair classes ---------------------------------------------------------------
-
-PAIR_CLASSES = ("overall", "same_category", "structured_relevance", "exact_attribute_match", "different_category")
-
-
-def pair_table(catalog: DataFrame) -> DataFrame:
-    """J9 + E13: every unordered pair with its score and the relevance flags."""
-    pairs = K.all_pairs(catalog.select("product_id", "embedding"))
-    attrs = catalog.select("product_id", "category", "material", "style", "color")
-    la = attrs.select(*[F.col(c).alias("l_" + c) for c in attrs.columns])
-    ra = attrs.select(*[F.col(c).alias("r_" + c) for c in attrs.columns])
-    p = pairs.join(la, pairs.left_id == la.l_product_id).join(ra, pairs.right_id == ra.r_product_id)
-    same = {a: F.col(f"l_{a}") == F.col(f"r_{a}") for a in ("category", "material", "style", "color")}
-    return p.select(
-        "left_id", "right_id", "score",
-        same["category"].alias("same_category"), same["material"].alias("same_material"),
-        same["style"].alias("same_style"), same["color"].alias("same_color"),
-        (same["category"] & (same["material"] | same["style"] | same["color"])).alias("structured_relevance"),
-        (same["category"] & same["material"] & same["style"] & same["color"]).alias("exact_attribute_match"),
-        (~same["category"]).alias("different_category"),
-        sum(same[a].cast("int") for a in ("category", "material", "style", "color")).alias("attribute_overlap"))
-
-
-_ATTR4 = ("category", "material", "style", "color")
-
-
-def _pair_class_fn():
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pa, pb = int(pdf["pa"].iloc[0]), int(pdf["pb"].iloc[0])
-        codes = {x: pd.factorize(pdf[x])[0] for x in _ATTR4}   # integer compare, not objects
-        ma = (pdf["blk"] == pa).to_numpy()
-        mb = ma if pa == pb else (pdf["blk"] == pb).to_numpy()
-        a, b = pdf[ma], pdf[mb]
-        A = np.stack([np.asarray(v, dtype="float64") for v in a["vec"].to_numpy()])
-        B = A if pa == pb else np.stack([np.asarray(v, dtype="float64") for v in b["vec"].to_numpy()])
-        S = A @ B.T
-        if pa == pb:
-            r, c = np.triu_indices(len(a), k=1)
-        else:
-            r, c = (x.ravel() for x in np.meshgrid(np.arange(len(a)), np.arange(len(b)), indexing="ij"))
-        # a missing attribute (code -1) equals nothing
-        same = [(codes[x][ma][r] == codes[x][mb][c]) & (codes[x][ma][r] >= 0) for x in _ATTR4]
-        mask = sum(same[i].astype("int64") << i for i in range(4))
-        return pd.DataFrame({"score": S[r, c], "mask": mask.astype("int64")})
-    return fn
-
-
-def pair_class_scores(catalog: DataFrame, nb: int | None = None) -> DataFrame:
-    """E3 + E13 for the statistics: the score of every unordered pair with a
-    4-bit agreement mask (category, material, style, color) computed inside
-    the block product -- no ids and no attribute joins on the pair rows."""
-    q = catalog.select(F.col("product_id").alias("id"), F.col("embedding").alias("vec"), *_ATTR4)
-    nb = nb or K.n_blocks_for(q.count())
-    return K._pair_groups(q, nb).groupBy("pa", "pb").applyInPandas(_pair_class_fn(), "score double, mask long")
-
-
-def pair_flags(pairs: DataFrame) -> DataFrame:
-    """Relevance flags from the agreement mask."""
-    bit = lambda i: (F.col("mask").bitwiseAND(F.lit(1 << i)) != 0)
-    cat, mat, sty, col = bit(0), bit(1), bit(2), bit(3)
-    return pairs.select("score", cat.alias("same_category"),
-                        (cat & (mat | sty | col)).alias("structured_relevance"),
-                        (cat & mat & sty & col).alias("exact_attribute_match"),
-                        (~cat).alias("different_category"))
-
-
-def pair_stats(pairs: DataFrame, digits: int = 4) -> DataFrame:
-    """E14 + A16: score distribution per pair class -- count, min, max, mean,
-    population std and p10/25/50/75/90 (linear), rounded."""
-    cls = F.array(F.lit("overall"),
-                  *[F.when(F.col(c), F.lit(c)) for c in PAIR_CLASSES[1:]])
-    longp = pairs.select(F.explode(F.array_compact(cls)).alias("pair_class"), "score")
-    base = longp.groupBy("pair_class").agg(
-        F.count(F.lit(1)).cast("bigint").alias("count"), F.min("score").alias("min"), F.max("score").alias("max"),
-        F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
-    q = exact_percentiles(longp, "score", [0.1, 0.25, 0.5, 0.75, 0.9], by=["pair_class"],
-                          names=["p10", "p25", "p50", "p75", "p90"])
-    out = base.join(q, "pair_class")
-    return out.select("pair_class", "count", *[F.round(c, digits).alias(c) for c in
-                                               ("min", "max", "mean", "std", "p10", "p25", "p50", "p75", "p90")])
-
-
-def top_pairs(pairs: DataFrame, n: int = 5) -> DataFrame:
-    """L4: the n most similar unordered pairs overall."""
-    return pairs.orderBy(F.round("score", K.SCORE_DIGITS).desc(), "left_id", "right_id").limit(n)
-
-
 def show_products(ids: DataFrame, catalog: DataFrame, fields=("product_id", "title", "category")) -> DataFrame:
     """Catalog rows of the listed ids (semi-join, no duplicates)."""
     return catalog.select(*fields).join(ids.select("product_id").distinct(), "product_id", "left_semi")

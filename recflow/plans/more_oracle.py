@@ -159,3 +159,47 @@ _FEATURES = HYBRID_FEATURES.replace("greatest(coalesce(hh.hmax, 0.0), 0.0) AS em
 _TOPK = SQL["hybrid_topk"]
 SQL["hybrid_query_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, QUERY_TEXT, _POOL, _FEATURES) + \
     _TOPK[_TOPK.rindex("SELECT user_id, rank, product_id, title"):]
+
+# --- inverted file: the same seeded start and rounds of k-means, probes by the nearest centroids ---
+
+_ROUNDS = 3
+_LLOYD = []
+for _i in range(_ROUNDS):
+    _LLOYD += [
+        f"""a{_i} AS (SELECT v.product_id, v.vec, c.cell FROM vcat v CROSS JOIN c{_i} c
+              QUALIFY row_number() OVER (PARTITION BY v.product_id ORDER BY list_inner_product(v.vec, c.vec) DESC, c.cell) = 1)""",
+        f"""m{_i} AS (SELECT cell, list(s ORDER BY j) AS vec FROM (SELECT cell, j, avg(vec[j]) AS s FROM a{_i} CROSS JOIN
+                (SELECT unnest(range(1, (SELECT max(len(vec)) + 1 FROM vcat))) AS j) GROUP BY cell, j) GROUP BY cell)""",
+        f"""c{_i + 1} AS (SELECT c.cell, coalesce(list_transform(m.vec,
+                lambda x: x / greatest(sqrt(list_inner_product(m.vec, m.vec)), 1e-12)), c.vec) AS vec
+              FROM c{_i} c LEFT JOIN m{_i} m ON m.cell = c.cell)"""]
+IVF = ("""ns AS (SELECT count(*) AS n, CAST(round(sqrt(count(*))) AS INT) AS k FROM vcat)""",
+       """c0 AS (SELECT CAST(r - 1 AS INT) AS cell, vec FROM (SELECT vec, row_number() OVER (ORDER BY md5('42:' || product_id),
+                 product_id) AS r FROM vcat) WHERE r <= (SELECT k FROM ns))""", *_LLOYD,
+       f"""probed AS MATERIALIZED (SELECT v.product_id AS id, v.vec, c.cell, row_number() OVER (PARTITION BY v.product_id
+                 ORDER BY list_inner_product(v.vec, c.vec) DESC, c.cell) - 1 AS pos FROM vcat v CROSS JOIN c{_ROUNDS} c)""",
+       """home AS (SELECT id, vec, cell FROM probed WHERE pos = 0)""",
+       """truth AS (SELECT q, n FROM (SELECT a.product_id AS q, b.product_id AS n, row_number() OVER (PARTITION BY a.product_id
+                 ORDER BY round(list_inner_product(a.vec, b.vec), 9) DESC, b.product_id) AS r
+                 FROM vcat a JOIN vcat b ON a.product_id <> b.product_id) WHERE r <= 10)""",
+       """hits AS (SELECT t.q, p.pos FROM truth t JOIN home h ON h.id = t.n JOIN probed p ON p.id = t.q AND p.cell = h.cell)""",
+       """settings AS (SELECT CAST(pow(2, i) AS BIGINT) AS probes FROM range(0, 40) r(i), ns WHERE pow(2, i) < k
+                 UNION SELECT k FROM ns)""",
+       """found AS (SELECT probes, round(avg(share), 4) AS recall FROM (SELECT s.probes, h.q,
+                 count(*) FILTER (WHERE h.pos < s.probes) / count(*) AS share FROM settings s CROSS JOIN hits h GROUP BY ALL) GROUP BY ALL)""",
+       """members AS (SELECT cell, count(*) AS m FROM home GROUP BY cell)""",
+       """work AS (SELECT s.probes, sum(m) FILTER (WHERE p.pos < s.probes) - (SELECT n FROM ns) AS pairs
+                 FROM settings s CROSS JOIN probed p JOIN members x ON x.cell = p.cell GROUP BY s.probes)""",
+       """best AS (SELECT min(probes) AS probes FROM found WHERE recall >= 0.9)""")
+
+SQL["ann_recall"] = W(VCAT, *IVF) + """
+SELECT CAST(k AS BIGINT) AS cells, CAST(f.probes AS BIGINT) AS probes, recall, CAST(pairs AS BIGINT) AS candidate_pairs,
+       round(pairs / (n * (n - 1)), 4) AS pair_share, coalesce(f.probes = best.probes, false) AS selected
+FROM found f JOIN work USING (probes) CROSS JOIN ns CROSS JOIN best"""
+
+SQL["ann_neighbours"] = W(VCAT, *IVF) + """
+SELECT query_id, neighbor_id, rank, round(s, 6) AS score FROM (
+  SELECT p.id AS query_id, h.id AS neighbor_id, list_inner_product(p.vec, h.vec) AS s,
+         CAST(row_number() OVER (PARTITION BY p.id ORDER BY round(list_inner_product(p.vec, h.vec), 9) DESC, h.id) AS BIGINT) AS rank
+  FROM probed p CROSS JOIN best b JOIN home h ON h.cell = p.cell AND h.id <> p.id
+  WHERE p.id % 20 = 0 AND p.pos < b.probes) WHERE rank <= 10"""

@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
-from recflow.operators import clean, hybrid as H, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
+from recflow.operators import clean, hybrid as H, ivf as IVF, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
 from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
-from recflow.session import ensure_checkpoint_dir
+from recflow.session import cut_lineage, ensure_checkpoint_dir
 from recflow.sources import files, tables as src
 
 
@@ -74,6 +74,25 @@ def q_text_search(spark, d):
     return rounded(TI.text_search(cat, asked, 5))
 
 
+def _inverted_file(spark, d):
+    cat = unit_catalog(spark, d).select("product_id", "embedding")
+    centroids = IVF.fit_centroids(cat, IVF.cells_for(cat.count()), seed=42)
+    return cat, cut_lineage(IVF.build(cat, centroids)), centroids
+
+
+def q_ann_recall(spark, d):
+    """What each number of probed cells finds and costs, and the smallest that finds 0.9 of the true neighbours."""
+    return IVF.recall_report(*_inverted_file(spark, d), k=10)
+
+
+def q_ann_neighbours(spark, d):
+    """E5: ten approximate neighbours of every product whose id is divisible by 20, among all products."""
+    cat, index, centroids = _inverted_file(spark, d)
+    probes = IVF.chosen_probes(IVF.recall_report(cat, index, centroids, k=10))
+    asked = cat.where(F.col("product_id") % 20 == 0).select(F.col("product_id").alias("query_id"), F.col("embedding").alias("vec"))
+    return rounded(IVF.search(asked, index, centroids, 10, probes))
+
+
 def q_group_sizes(spark, d):
     """Candidates per user of the ranking frame."""
     frame, _ = _frame_and_targets(spark, d)
@@ -122,6 +141,8 @@ MORE = {
     "sample_profiles": q_sample_profiles,
     "purchased_products": q_purchased_products,
     "text_search": q_text_search,
+    "ann_recall": q_ann_recall,
+    "ann_neighbours": q_ann_neighbours,
     "group_sizes": q_group_sizes,
     "data_summary": q_data_summary,
 }

@@ -183,7 +183,7 @@ QUERIES.update({
 
 # --- step 4: vectors and search -------------------------------------------------
 
-from recflow.operators import knn as KNN, search as SE  # noqa: E402
+from recflow.operators import knn as KNN, pairs as PR, search as SE  # noqa: E402
 
 
 def unit_catalog(spark, d):
@@ -198,11 +198,11 @@ def q_knn_exact(spark, d):
 
 def q_similar_pairs_top(spark, d):
     cat = unit_catalog(spark, d)
-    return rounded(SE.top_pairs(KNN.all_pairs(cat), 5))
+    return rounded(PR.most_similar_pairs(cat, 5))
 
 
 def q_pair_stats(spark, d):
-    return SE.pair_stats(SE.pair_flags(SE.pair_class_scores(unit_catalog(spark, d))))
+    return PR.pair_statistics(unit_catalog(spark, d))
 
 
 def q_filtered_search(spark, d):

@@ -8,14 +8,16 @@ the words from b - 2Q to b + 3Q: neighbouring tiles overlap in four fifths.  A r
 so some boundary b of it has Q/2 words that stand again q words later.  That test of the words at b against those at b + q
 is one comparison of window hashes for each pair of a boundary and a period, and tells which tiles to solve:
 
-1. one pass over the texts writes the number of words, the digest of the text without changes, and the tiles that pass
+1. one pass over the texts writes the number of words, the digest of the words without changes, and the tiles that pass
    the test, neighbouring ones of a document as one strip of at most ``STRIP_WORDS`` words (or eight times the octave);
+   a document is known by a 128-bit hash of its text, on which all results depend;
 2. strips are shuffled and solved one by one: the Z-function of the words from b on, and that of the words before b read
    backwards, give for every period how far it holds to the right and to the left of b, hence the fragment
    of the run in the tile.  Fragments with a smaller period are dropped: words with period q and
    another period that divides it have both on the same fragment;
 3. fragments are shuffled by document and period, and stitched where they share q words or more;
-4. equal stretches keep their smallest period; runs are gathered by document.
+4. equal stretches keep their smallest period, runs are gathered by document, and the texts that have runs are joined to
+   them and collapsed.  Texts cross that shuffle compressed; those with very many copies are joined by broadcast.
 
 Everything is exact: window hashes only choose tiles, and a false hit costs time, never a row.
 
@@ -26,6 +28,7 @@ give one result row each; an empty table gives no rows; further columns are not
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.llm.common import arrow_rows
+from recflow.llm.common import arrow_rows, join_hot
 from recflow.llm.kernels import mix64
 from recflow.session import cut_lineage
 
@@ -42,8 +45,8 @@ STRIP_WORDS = 1 << 15
 #: words of consecutive texts that are tested together
 BATCH_WORDS = 1 << 16
 ARROW_ROWS = 500
-STRIP = "struct<octave:int, base:int, boundaries:array<int>, words:binary>"
-SCANNED = f"row long, id string, n_words long, plain_sha256 string, words string, strips array<{STRIP}>"
+STRIP = "struct<octave:int, base:int, boundaries:array<int>, codes:binary, size:int>"
+SCANNED = f"key string, id string, n_words long, plain_sha256 string, strips array<{STRIP}>"
 
 
 def octaves(longest: int, min_exponent: int = MIN_EXPONENT) -> Iterator[int]:
@@ -90,13 +93,18 @@ def strips(codes: np.ndarray, bounds: np.ndarray, min_exponent: int = MIN_EXPONE
                 continue
             lo = max(int(bounds[of[first]]), int(at[first]) - 2 * octave)
             hi = min(int(bounds[of[first] + 1]) - 1, int(at[i - 1]) + 3 * octave)
-            words = np.unique(codes[lo:hi], return_inverse=True)[1].astype(np.int32)
-            out[of[first]].append({"octave": octave, "base": lo - int(bounds[of[first]]),
-                                   "boundaries": (at[first:i] - lo).tolist(), "words": words.tobytes()})
+            names, words = np.unique(codes[lo:hi], return_inverse=True)
+            words = words.astype(np.uint16 if len(names) <= 1 << 16 else np.int32)
+            out[of[first]].append({"octave": octave, "base": lo - int(bounds[of[first]]), "size": words.itemsize,
+                                   "boundaries": (at[first:i] - lo).tolist(), "codes": words.tobytes()})
             first = i
     return out
 
 
+def strip_words(codes: bytes, size: int) -> list[int]:
+    return np.frombuffer(codes, dtype=np.uint16 if size == 2 else np.int32).tolist()
+
+
 def z_function(s: list[int], upto: int) -> list[int]:
     """z[i]: length of the longest common prefix of ``s`` and ``s[i:]``, for 0 < i < upto (z[0] = 0)."""
     n = len(s)
@@ -148,11 +156,11 @@ def stitched(fragments: list[tuple[int, int, int]]) -> list[tuple[int, int, int]
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows, ids, texts = batch["row"].tolist(), batch["id"].tolist(), batch["text"].tolist()
+        keys, ids, texts = batch["key"].tolist(), batch["id"].tolist(), batch["text"].tolist()
         at = 0
-        while at < len(rows):
+        while at < len(keys):
             first, total, parts = at, 0, []
-            while at < len(rows) and (total < BATCH_WORDS or at == first):
+            while at < len(keys) and (total < BATCH_WORDS or at == first):
                 words = texts[at].encode("utf-8", "surrogatepass").split() if texts[at] else []
                 parts.append(words)
                 total += len(words)
@@ -164,79 +172,90 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 codes[bounds[i]:bounds[i + 1] - 1] = [number.setdefault(w, len(number)) for w in words]
                 codes[bounds[i + 1] - 1] = -1
             codes[bounds[1:] - 1] = len(number) + np.arange(len(parts))
-            found = strips(codes, bounds)
-            joined = [b" ".join(words) for words in parts]
             yield pd.DataFrame({
-                "row": rows[first:at], "id": ids[first:at], "n_words": [len(w) for w in parts],
-                "plain_sha256": [hashlib.sha256(j).hexdigest() for j in joined],
-                "words": [j.decode("utf-8", "surrogatepass") if f else None for j, f in zip(joined, found)],
-                "strips": found})
+                "key": keys[first:at], "id": ids[first:at], "n_words": [len(w) for w in parts],
+                "plain_sha256": [hashlib.sha256(b" ".join(w)).hexdigest() for w in parts],
+                "strips": strips(codes, bounds)})
 
 
 def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
-        for row, octave, base, boundaries, words in batch.itertuples(index=False):
-            s = np.frombuffer(words, dtype=np.int32).tolist()
+        for key, octave, base, boundaries, codes, size in batch.itertuples(index=False):
+            s = strip_words(codes, size)
             fragments = [f for b in boundaries for f in solve_tile(s, int(b), octave)]
-            out += [(row, q, base + start, base + end) for q, start, end in stitched(fragments)]
-        yield pd.DataFrame(out, columns=["row", "period", "start", "end"]).astype("int64")
+            out += [(key, q, base + start, base + end) for q, start, end in stitched(fragments)]
+        yield pd.DataFrame(out, columns=["key", "period", "start", "end"])
+
+
+def packed_udf():
+    """Pandas UDF: compressed UTF-8 of a text."""
+
+    @F.pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in texts])
+
+    return packed
 
 
 def collapsed_udf():
-    """Pandas UDF: digest of the words without those that any run contains after its first period."""
+    """Pandas UDF: (number of words, digest of the words without those that any run contains after its first period)."""
 
-    @F.pandas_udf("string")
-    def collapsed_sha256(words: pd.Series, starts: pd.Series, lengths: pd.Series, periods: pd.Series) -> pd.Series:
-        out = []
-        for text, start, length, period in zip(words, starts, lengths, periods):
-            parts = text.encode("utf-8", "surrogatepass").split()
+    @F.pandas_udf("n_words long, sha256 string")
+    def collapsed(texts: pd.Series, starts: pd.Series, lengths: pd.Series, periods: pd.Series) -> pd.DataFrame:
+        sizes, digests = [], []
+        for text, start, length, period in zip(texts, starts, lengths, periods):
+            parts = zlib.decompress(text).split()
             edge = np.zeros(len(parts) + 1, dtype=np.int64)
             np.add.at(edge, np.asarray(start) + np.asarray(period), 1)
             np.add.at(edge, np.asarray(start) + np.asarray(length), -1)
             kept = np.cumsum(edge)[:-1] == 0
-            out.append(hashlib.sha256(b" ".join(w for w, k in zip(parts, kept) if k)).hexdigest())
-        return pd.Series(out)
+            sizes.append(len(parts))
+            digests.append(hashlib.sha256(b" ".join(w for w, k in zip(parts, kept) if k)).hexdigest())
+        return pd.DataFrame({"n_words": sizes, "sha256": digests})
 
-    return collapsed_sha256
+    return collapsed
 
 
 def find_runs(scanned: DataFrame, min_length: int = MIN_LENGTH, min_exponent: int = MIN_EXPONENT) -> DataFrame:
-    """(row, start, length, period) of every run of the scanned documents."""
-    tiles = scanned.select("row", F.explode("strips").alias("s")).select("row", "s.*")
-    # solving is the costly part: strips go to as many tasks as a shuffle has
+    """(key, start, length, period) of every run of the scanned texts."""
+    tiles = scanned.select("key", F.explode("strips").alias("s")).select("key", "s.octave", "s.base", "s.boundaries", "s.codes", "s.size")
+    # solving is the costly part: strips go evenly to as many tasks as a shuffle has, copies of a text as well
     tasks = int(scanned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = tiles.repartition(tasks, "row", "octave", "base")
-    fragments = dealt.mapInPandas(_solve, "row long, period long, start long, end long")
-    order = Window.partitionBy("row", "period").orderBy("start", "end")
+    fragments = tiles.repartition(tasks).mapInPandas(_solve, "key string, period long, start long, end long").distinct()
+    order = Window.partitionBy("key", "period").orderBy("start", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce(F.col("start") > reached - F.col("period"), F.lit(True)).cast("int")
     numbered = fragments.withColumn("opens", opens).withColumn("piece", F.sum("opens").over(order))
-    whole = numbered.groupBy("row", "period", "piece").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    whole = numbered.groupBy("key", "period", "piece").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     long_enough = whole.withColumn("length", F.col("end") - F.col("start")).where(
         (F.col("length") >= min_length) & (F.col("length") >= min_exponent * F.col("period")))
-    return long_enough.groupBy("row", "start", "length").agg(F.min("period").alias("period"))
+    return long_enough.groupBy("key", "start", "length").agg(F.min("period").alias("period"))
 
 
 def periodic_runs(docs: DataFrame, ident: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH,
                   min_exponent: int = MIN_EXPONENT) -> DataFrame:
-    """One row per document: ident, n_words, runs (array of start, length, period, in order), plain_sha256 of the words
-    joined by one space, collapsed_sha256 of those that remain if each run keeps one period only."""
+    """One row per document: ident, n_words, runs (array of start, length, period, in order), collapsed_sha256 of the words
+    joined by one space if each run keeps one period only."""
     if min_exponent < MIN_EXPONENT:
         raise ValueError(f"tiles find runs of at least {MIN_EXPONENT} periods")
+    kind = docs.schema[ident].dataType
+    body = F.col(text)
+    key = F.concat_ws("/", F.xxhash64(body).cast("string"), F.xxhash64(F.lit(1), body).cast("string"))
+    source = docs.select(key.alias("key"), F.col(ident).cast("string").alias("id"), body.alias("text"))
     with arrow_rows(docs.sparkSession, ARROW_ROWS):
-        source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(ident).cast("string").alias("id"),
-                             F.col(text).alias("text"))
         scanned = cut_lineage(source.mapInPandas(_scan, SCANNED))
-        runs = cut_lineage(find_runs(scanned, min_length, min_exponent).groupBy("row").agg(
+        runs = cut_lineage(find_runs(scanned, min_length, min_exponent).groupBy("key").agg(
             F.sort_array(F.collect_list(F.struct("start", "length", "period"))).alias("runs")))
-        texts = scanned.where(F.size("strips") > 0).select("row", "words").join(runs, "row")
-        collapsed = cut_lineage(texts.select("row", "runs", collapsed_udf()(
-            "words", F.col("runs.start"), F.col("runs.length"), F.col("runs.period")).alias("collapsed")))
-    out = scanned.select("row", "id", "n_words", "plain_sha256").join(collapsed, "row", "left")
+        texts = source.select("key", "id", packed_udf()("text").alias("text"))
+        periodic = join_hot(texts, runs, "key", keys=scanned.where(F.size("strips") > 0).select("key"))
+        kept = cut_lineage(periodic.select("id", "runs", collapsed_udf()(
+            "text", F.col("runs.start"), F.col("runs.length"), F.col("runs.period")).alias("c")))
     none = F.array().cast("array<struct<start:bigint,length:bigint,period:bigint>>")
-    return out.select(F.col("id").cast(docs.schema[ident].dataType).alias(ident), "n_words", F.coalesce("runs", none).alias("runs"), "plain_sha256",
-                      F.coalesce("collapsed", "plain_sha256").alias("collapsed_sha256"))
+    plain = scanned.join(runs.select("key"), "key", "left_anti").select(
+        "id", "n_words", none.alias("runs"), F.col("plain_sha256").alias("collapsed_sha256"))
+    out = kept.select("id", "c.n_words", "runs", F.col("c.sha256").alias("collapsed_sha256")).unionByName(plain)
+    return out.select(F.col("id").cast(kind).alias(ident), "n_words", "runs", "collapsed_sha256")
 
 
 def strongest(runs: Column) -> Column:

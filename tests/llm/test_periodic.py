@@ -71,7 +71,7 @@ def local_runs(words):
     codes = np.array([number.setdefault(w, len(number)) for w in words] + [len(words)], dtype=np.int64)
     found = []
     for s in periodic.strips(codes, np.array([0, len(codes)]))[0]:
-        part = np.frombuffer(s["words"], np.int32).tolist()
+        part = periodic.strip_words(s["codes"], s["size"])
         found += [(q, s["base"] + a, s["base"] + b)
                   for boundary in s["boundaries"] for q, a, b in periodic.solve_tile(part, boundary, s["octave"])]
     whole = {}

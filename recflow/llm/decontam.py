@@ -1,28 +1,29 @@
 """Benchmark decontamination: find benchmark items in texts up to word edits.
 
-Texts and items become sequences of words (letters, digits, non-ASCII; lower case).  A
-window is embedded by the CGK random walk: at step j the symbol under the pointer is written
-and the pointer moves on by a random bit that depends on j and the symbol; past the window's
-end it writes an end mark, so the walk of ``STEPS`` x window steps depends on the window
-alone and equal windows have equal embeddings.  Windows that agree on a sample of
-``SAMPLED`` x window steps are hits.
-
-A match needs 1 - edits / item words >= the similarity, so an item of n words has at most e =
-(1 - similarity) * n edits.  Its window has n // (e + 1) words, its n // window disjoint windows
-are indexed, and texts are read at every word.  An edit touches one window of the item at most,
-so all but e of them are in the text word for word, at places whose shifts differ by e at
-most: an item with that many hits (one at least) inside such a range is a candidate.  No match
-is missed, whatever the edits are and wherever they lie (recall 1), so one walk and one
-sample are enough.  Candidates are verified by the exact edit distance of the whole item to
-the best matching stretch of the text.
+Texts and items become sequences of words (letters, digits, non-ASCII; lower case).  A match needs
+1 - edits / item words >= the similarity.
+
+Windows are sized to the item: the largest of ``WINDOWS`` that fits three times into it (short items: below), and
+embedded by the CGK random walk.  At step j the symbol under the pointer is written, and the pointer moves on by a random
+bit that depends on j and the symbol; past the window's end it writes an end mark.  Two windows a few
+edits apart have embeddings that differ in few places, so they agree on a sample of ``SAMPLED`` steps with good
+probability, and equal windows always agree.  Every item window is indexed; texts are read every half window, which meets
+some window of each place where the item stands.
+
+The search is repeated with other walk bits and other samples.  How often follows from ``TARGET_RECALL``: for each window size
+random items of the lengths that use it get all edits that the similarity allows, and tables are added until that share
+of them is met (``tables``; seeded, so reruns agree).  Items of up to 11 words have windows of at most 3 words,
+read at every word; the edits that a similarity of 0.8 allows always leave one of them untouched.
+
+Candidates are verified by the exact edit distance of the whole item to the best matching stretch of the text, so every
+result is a match, and word-for-word copies are always found.
 
 Items are read in blocks of at most ``BLOCK_CHARS`` characters (one longer item is a block of its
-own), each a pass over the texts; a block's index is the only thing sent to tasks.
+own).  Each block is a pass of its own over the texts, whose index is the only thing sent to tasks.
 
-Defined results: null and empty texts match nothing; items of fewer than ``MIN_WORDS`` words
-are no passages and are not searched; an item that occurs several times in a text is one
-result with its best place; repeated rows give repeated results, repeated items count
-each; an empty table on either side gives no matches; further columns pass through.
+Defined results: null and empty texts and items without words match nothing; an item that occurs several times in a
+text is one result with its best place; repeated rows give repeated results, repeated items count
+each; ids of items may have any type; an empty table on either side gives no matches; further columns pass through.
 """
 
 from __future__ import annotations
@@ -30,26 +31,26 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recflow.llm.common import free_name
 from recflow.llm.kernels import NOT_WORD, batches, hash_words, mix64, word_offsets
 
-MIN_WORDS = 7
 SIMILARITY = 0.8
-#: largest window (reached at high similarities only)
-MAX_WINDOW = 32
-#: steps of a walk and sampled steps, per word of the window
-STEPS = 3
-SAMPLED = 2
+TARGET_RECALL = 0.995
+WINDOWS = (4, 8, 16, 32)
+SAMPLED = 4
+#: random items per length that measure the recall, and the most tables of a window size
+TRIALS, MAX_TABLES = 600, 40
 BLOCK_CHARS = 4 << 20
 _LUT_BITS = 20
-_PAD = MAX_WINDOW + 4
-MATCH = "array<struct<item_id:long,edits:int,item_words:int,similarity:double,first_word:long,last_word:long>>"
+_PAD = WINDOWS[-1] + 4
 
 
 def words_of(text: str | None) -> np.ndarray:
@@ -60,34 +61,105 @@ def edit_limit(n_words: int, similarity: float) -> int:
     return math.floor((1 - similarity) * n_words + 1e-9)
 
 
-def window_size(n_words: int, similarity: float = SIMILARITY) -> int | None:
-    """Words of an item's windows: there are more disjoint ones than edits."""
-    if n_words < MIN_WORDS:
-        return None
-    return max(1, min(MAX_WINDOW, n_words // (edit_limit(n_words, similarity) + 1)))
+def window_size(n_words: int, similarity: float = SIMILARITY) -> int:
+    """Words of the windows of an item."""
+    small = min(n_words, 3) if edit_limit(n_words, similarity) == 0 or n_words > 5 else 2
+    return max([small, *(w for w in WINDOWS if 3 * w <= n_words)])
+
 
+def stride(window: int) -> int:
+    """Text windows start at every so many words."""
+    return max(1, window // 2) if window >= WINDOWS[0] else 1
 
-#: sampled steps by window size; step 0 is among them
-_STEPS = {c: frozenset([0, *np.random.default_rng(20240607 + c).choice(np.arange(1, STEPS * c), SAMPLED * c - 1, replace=False).tolist()])
-          for c in range(1, MAX_WINDOW + 1)}
-_SALT = np.random.default_rng(7).integers(1, 1 << 63, 1).astype(np.uint64)[0]
 
+def steps(window: int, table: int) -> list[int]:
+    """The sampled steps of the walk; step 0 is among them."""
+    last = window + window // 2
+    if window < WINDOWS[0]:
+        return list(range(last + 1))
+    rest = np.random.default_rng(20240607 + 1000 * table + window).choice(np.arange(1, last + 1), SAMPLED - 1, replace=False)
+    return [0, *sorted(rest.tolist())]
 
-def embed(tokens: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
-    """Keys of the windows at ``starts``; ``tokens`` must go on for ``window`` symbols after each start."""
-    symbols = mix64(tokens ^ _SALT)
+
+def embed(symbols: np.ndarray, starts: np.ndarray, window: int, table: int) -> np.ndarray:
+    """Keys of the windows at ``starts`` of mixed word hashes; ``symbols`` must go on for ``window`` after each start."""
+    sampled = steps(window, table)
     at, end = starts.copy(), starts + window
-    keys = np.full(len(starts), np.uint64(window))
-    for j in range(max(_STEPS[window]) + 1):
-        inside = at < end
-        seen = np.where(inside, symbols[at], np.uint64(0))
-        if j in _STEPS[window]:
+    keys = np.full(len(starts), np.uint64(window * 1000 + table))
+    for j in range(sampled[-1] + 1):
+        seen = np.where(at < end, symbols[at], np.uint64(0))
+        if j in sampled:
             keys *= np.uint64(0x9FB21C651E98DF25)
             keys += seen
-        at += ((seen >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)  # the end mark moves nothing
+        # every table reads other bits of a symbol; the end mark moves nothing
+        at += ((seen >> np.uint64((j + 17 * table) % 64)) & np.uint64(1)).astype(np.int64)
     return mix64(keys)
 
 
+_SALT = np.uint64(0x632BE59BD9B4E019)
+
+
+def symbols_of(words: np.ndarray) -> np.ndarray:
+    return mix64(words ^ _SALT)
+
+
+def _edited(rng: np.random.Generator, words: np.ndarray, edits: int) -> np.ndarray:
+    out = words.tolist()
+    for kind in rng.integers(0, 3, edits):
+        place, new = int(rng.integers(0, len(out))), int(rng.integers(1, 1 << 62))
+        if kind == 0:
+            out[place] = new
+        elif kind == 1 and len(out) > 1:
+            del out[place]
+        else:
+            out.insert(place, new)
+    return np.array(out, dtype=np.uint64)
+
+
+class Trials:
+    """TRIALS random items of ``n`` words, each with ``edits`` random edits in a text, and which of them are met."""
+
+    def __init__(self, window: int, n: int, edits: int, seed: int = 3):
+        rng = np.random.default_rng(seed + n)
+        pad = np.zeros(_PAD, np.uint64)
+        own, other, own_at, other_at = [], [], [], []
+        a = b = 0
+        for _ in range(TRIALS):
+            item = rng.integers(1, 1 << 62, n).astype(np.uint64)
+            text = np.concatenate([rng.integers(1, 1 << 62, int(rng.integers(0, window))).astype(np.uint64), _edited(rng, item, edits)])
+            own += [item, pad]
+            other += [text, pad]
+            own_at.append(a + np.arange(n - window + 1))
+            other_at.append(b + np.arange(0, len(text), stride(window)))
+            a, b = a + n + len(pad), b + len(text) + len(pad)
+        self.window, self.met = window, np.zeros(TRIALS, bool)
+        self.sides = [(symbols_of(np.concatenate(x)), np.concatenate(at), np.repeat(np.arange(TRIALS), [len(y) for y in at]))
+                      for x, at in ((own, own_at), (other, other_at))]
+
+    def add_table(self, table: int) -> float:
+        """Share of items met so far."""
+        # the number of the trial is part of what has to agree
+        keys = [embed(symbols, at, self.window, table) ^ mix64(trial.astype(np.uint64) + np.uint64(1))
+                for symbols, at, trial in self.sides]
+        self.met[self.sides[1][2][np.isin(keys[1], keys[0])]] = True
+        return float(self.met.mean())
+
+
+@lru_cache(maxsize=None)
+def tables(window: int, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> int:
+    """Tables that meet the target share of random items of the lengths that use the window."""
+    if window < WINDOWS[0] or similarity >= 1:
+        return 1
+    # longer items have more windows: the hardest are the shortest, and the first that allow one edit more
+    first = 3 * window
+    more = next((n for n in range(first + 1, 2 * first) if edit_limit(n, similarity) > edit_limit(first, similarity)), first)
+    trials = [Trials(window, n, edit_limit(n, similarity)) for n in {first, more} if window_size(n, similarity) == window]
+    for t in range(MAX_TABLES):
+        if min(x.add_table(t) for x in trials) >= target:
+            return t + 1
+    return MAX_TABLES
+
+
 @dataclass
 class Index:
     """Items of one block: words, and the sorted window keys with their item and offset."""
@@ -97,10 +169,10 @@ class Index:
     keys: np.ndarray
     items: np.ndarray
     offsets: np.ndarray
-    windows: tuple[int, ...]
-    #: per item, the edits allowed and the hits that so many edits leave
+    #: (window, number of tables)
+    windows: tuple[tuple[int, int], ...]
+    #: edits allowed per item
     limits: np.ndarray
-    needed: np.ndarray
     ranked: list[np.ndarray] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -112,26 +184,27 @@ class Index:
         return table
 
 
-def build_index(ids: list[int | None], texts: list[str | None], similarity: float = SIMILARITY) -> Index:
+def build_index(ids: list, texts: list[str | None], similarity: float = SIMILARITY,
+                target: float = TARGET_RECALL) -> Index:
     words = [words_of(t) for t in texts]
     keys, items, offsets = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     limits = np.array([edit_limit(len(w), similarity) for w in words], dtype=np.int64)
-    needed = np.ones(len(words), dtype=np.int64)
-    windows = set()
+    windows = {}
     pad = np.zeros(_PAD, dtype=np.uint64)
     for i, w in enumerate(words):
-        c = window_size(len(w), similarity)
-        if c is None:
+        if not len(w):
             continue
-        windows.add(c)
-        starts = np.arange(len(w) // c) * c
-        needed[i] = max(1, len(starts) - limits[i])
-        keys.append(embed(np.concatenate([w, pad]), starts, c))
-        items.append(np.full(len(starts), i))
-        offsets.append(starts)
+        c = window_size(len(w), similarity)
+        windows[c] = tables(c, similarity, target)
+        starts = np.arange(len(w) - c + 1)
+        symbols = symbols_of(np.concatenate([w, pad]))
+        for t in range(windows[c]):
+            keys.append(embed(symbols, starts, c, t))
+            items.append(np.full(len(starts), i))
+            offsets.append(starts)
     key, item, offset = np.concatenate(keys), np.concatenate(items), np.concatenate(offsets)
     order = np.argsort(key, kind="stable")
-    return Index(list(ids), words, key[order], item[order], offset[order], tuple(sorted(windows)), limits, needed)
+    return Index(list(ids), words, key[order], item[order], offset[order], tuple(sorted(windows.items())), limits)
 
 
 def best_stretch(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
@@ -169,28 +242,20 @@ def search(texts: list[str | None], index: Index, lut: np.ndarray) -> list[list[
     return out
 
 
-def _candidates(tokens: np.ndarray, starts: np.ndarray, which: np.ndarray, places: np.ndarray, index: Index,
+def _candidates(symbols: np.ndarray, starts: np.ndarray, which: np.ndarray, places: np.ndarray, index: Index,
                 lut: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(text, item, place of the item's first word) with as many hits near it as the item needs."""
-    texts, items, at = [], [], []
-    for window in index.windows:
-        keys = embed(tokens, starts, window)
-        maybe = np.flatnonzero(lut[(keys >> np.uint64(64 - _LUT_BITS)).astype(np.int64)])
-        lo = np.searchsorted(index.keys, keys[maybe], side="left")
-        n = np.searchsorted(index.keys, keys[maybe], side="right") - lo
-        entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        own = np.repeat(maybe, n)
-        texts.append(which[own])
-        items.append(index.items[entry])
-        at.append(places[own] - index.offsets[entry])
-    text, item, place = np.concatenate(texts), np.concatenate(items), np.concatenate(at)
-    order = np.lexsort((place, item, text))
-    text, item, place = text[order], item[order], place[order]
-    if len(place):
-        far = np.arange(len(place)) + index.needed[item] - 1
-        last = np.minimum(far, len(place) - 1)
-        enough = (far == last) & (text[last] == text) & (item[last] == item) & (place[last] - place <= index.limits[item])
-        yield from zip(text[enough].tolist(), item[enough].tolist(), place[enough].tolist())
+    """(text, item, place of the item's first word) of every window met."""
+    for window, n_tables in index.windows:
+        asked = np.flatnonzero(places % stride(window) == 0)
+        begin = starts[asked]
+        for table in range(n_tables):
+            keys = embed(symbols, begin, window, table)
+            maybe = np.flatnonzero(lut[(keys >> np.uint64(64 - _LUT_BITS)).astype(np.int64)])
+            lo = np.searchsorted(index.keys, keys[maybe], side="left")
+            n = np.searchsorted(index.keys, keys[maybe], side="right") - lo
+            entry = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            own = asked[np.repeat(maybe, n)]
+            yield from zip(which[own].tolist(), index.items[entry].tolist(), (places[own] - index.offsets[entry]).tolist())
 
 
 def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray, out: list[list[tuple]]) -> None:
@@ -200,7 +265,7 @@ def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray
     counts = np.array([len(w) for _, w in run])
     which = np.repeat(np.arange(len(run)), counts)
     places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    found = sorted(set(_candidates(tokens, begins[which] + places, which, places, index, lut)))
+    found = sorted(set(_candidates(symbols_of(tokens), begins[which] + places, which, places, index, lut)))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for d, item, at in found:  # word-for-word copies need no alignment
         words = index.words[item]
@@ -229,11 +294,16 @@ def _search_run(run: list[tuple[int, np.ndarray]], index: Index, lut: np.ndarray
         out[run[d][0]].append((index.ids[item], edits, n, 1 - edits / n, start, end))
 
 
-def match_udf(shared: Broadcast):
+def match_type(items: DataFrame, ident: str) -> str:
+    kind = items.schema[ident].dataType.simpleString()
+    return f"array<struct<item_id:{kind},edits:int,item_words:int,similarity:double,first_word:long,last_word:long>>"
+
+
+def match_udf(shared: Broadcast, kind: str):
     """Pandas UDF: text -> matches with the items of a broadcast index."""
     names = ("item_id", "edits", "item_words", "similarity", "first_word", "last_word")
 
-    @F.pandas_udf(MATCH)
+    @F.pandas_udf(kind)
     def find(texts: pd.Series) -> pd.Series:
         index = shared.value
         found = search(list(texts), index, index.lut())
@@ -253,23 +323,48 @@ def item_blocks(items: DataFrame, ident: str = "item_id", text: str = "text", bl
         yield [r["i"] for r in rows], [r["t"] for r in rows]
 
 
-def match_items(docs: DataFrame, items: DataFrame, text: str = "text", ident: str = "item_id",
-                item_text: str = "text", similarity: float = SIMILARITY, name: str = "matches",
-                block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Add ``name``: the array of matches (see ``MATCH``) of each text."""
-    sc = docs.sparkSession.sparkContext
-    columns = [match_udf(sc.broadcast(build_index(ids, texts, similarity)))(F.col(text))
-               for ids, texts in item_blocks(items, ident, item_text, block_chars)]
-    return docs.withColumn(name, F.concat(*columns) if len(columns) > 1 else columns[0])
+def _passes(docs: DataFrame, items: DataFrame, ident: str, item_text: str, similarity: float, block_chars: int) -> list:
+    """One match UDF per block of items."""
+    sc, kind = docs.sparkSession.sparkContext, match_type(items, ident)
+    return [match_udf(sc.broadcast(build_index(ids, texts, similarity)), kind)
+            for ids, texts in item_blocks(items, ident, item_text, block_chars)]
+
+
+def _text_key(text: str) -> Column:
+    """128 bits of the text, on which all matches depend (null: a key of its own)."""
+    return F.concat_ws("/", F.xxhash64(F.col(text)).cast("string"), F.xxhash64(F.lit(1), F.col(text)).cast("string"),
+                       F.col(text).isNull().cast("string"))
+
+
+def _matches_by_text(docs: DataFrame, passes: list, text: str) -> DataFrame:
+    """(key, item): one row per different text and match; each block is a job of its own, written before the next."""
+    from recflow.session import cut_lineage
+    out = None
+    for find in passes:
+        hits = docs.select(_text_key(text).alias("key"), F.explode(find(F.col(text))).alias("m")).distinct()
+        out = cut_lineage(hits) if out is None else out.unionByName(cut_lineage(hits))
+    return out
 
 
-def contaminated_pairs(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def contaminated_pairs(docs: DataFrame, items: DataFrame, ident: str = "doc_id", text: str = "text",
+                       item_ident: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY,
+                       block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per (document, item): ident, item_id, edits, item_words, similarity, first_word, last_word."""
-    found = match_items(docs.select(F.col(ident).alias(ident), F.col(text).alias(text)), items, text, **options)
-    return found.select(ident, F.explode("matches").alias("m")).select(ident, "m.*")
+    passes = _passes(docs, items, item_ident, item_text, similarity, block_chars)
+    own = docs.select(F.col(ident).alias("id"), F.col(text).alias("t"))
+    out = None
+    for find in passes:
+        hits = own.select("id", F.explode(find(F.col("t"))).alias("m"))
+        out = hits if out is None else out.unionByName(hits)
+    return out.select(F.col("id").alias(ident), "m.*")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_ident: str = "item_id",
+                      item_text: str = "text", similarity: float = SIMILARITY, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents without a match, columns unchanged."""
-    found = match_items(docs, items, text, name="_matches", **options)
-    return found.where(F.size("_matches") == 0).drop("_matches")
+    passes = _passes(docs, items, item_ident, item_text, similarity, block_chars)
+    if len(passes) == 1:
+        return docs.where(F.size(passes[0](F.col(text))) == 0)
+    gone = _matches_by_text(docs, passes, text).select("key").distinct()
+    name = free_name(docs, "key")
+    return docs.withColumn(name, _text_key(text)).join(gone.withColumnRenamed("key", name), name, "left_anti").select(*docs.columns)

@@ -177,8 +177,10 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES) -
     host, path = split_url(F.col(url))
     named = decide(pages.withColumns({"host": host, "path": path}), rules) \
         .withColumn("_text", whole_url(F.col(url)))
+    # a url has about a hundred n-grams: the texts go to as many tasks as a shuffle has before they are exploded
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = cut_lineage(named.groupBy(F.col("_text").alias("text")).agg(
-        F.min("rule_verdict").alias("rule_verdict")))
+        F.min("rule_verdict").alias("rule_verdict")).repartition(tasks))
     decided = texts.where(F.col("rule_verdict").isNotNull())
     held_out = F.crc32(F.encode("text", "UTF-8")) % CALIBRATION_FOLDS == 0
     weights = fit_weights(decided.where(~held_out))

@@ -14,7 +14,7 @@ base64url; lower and upper case where they differ) and are tested in two ways:
   of exp(e) or more has probability at most exp(-e), which is the p-value.
 
 Tokens are discoveries by the Benjamini-Hochberg rule at level ``FDR``, applied per length
-class over all random-like and other candidate tokens of the corpus, so short tokens need more
+class over all candidate tokens of the corpus outside base spans, so short tokens need more
 evidence than long ones.  The first pass reduces candidates to a histogram (length
 class, evidence bin) of fixed size; the second pass applies the thresholds.
 Texts are never shuffled and rows need no key.
@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recflow.llm.common import free_name
+
 MIN_TOKEN = 20
 ALPHA = 0.001
 FDR = 0.01
@@ -178,6 +180,15 @@ def random_tokens(text: str) -> Iterator[tuple[int, int, int, int]]:
             yield m.start(), m.end(), *got
 
 
+def further_tokens(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """The candidate tokens that touch no base span: the only ones that the method may add, hence the
+    only tests that its false-discovery rule counts."""
+    taken = [(s, e) for s, _, e in base_spans(text)]
+    for s, e, cls, at in random_tokens(text):
+        if not any(s < b and a < e for a, b in taken):
+            yield s, e, cls, at
+
+
 def corpus_thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) -> dict[int, int]:
     """Smallest evidence bin that is a discovery, by length class (at most
     ``LENGTH_CLASSES`` entries reach the driver)."""
@@ -186,7 +197,7 @@ def corpus_thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) ->
         seen: dict[tuple[int, int], int] = {}
         for frame in frames:
             for t in frame["t"]:
-                for _, _, cls, at in random_tokens(t or ""):
+                for _, _, cls, at in further_tokens(t or ""):
                     seen[cls, at] = seen.get((cls, at), 0) + 1
         yield pd.DataFrame([(c, b, n) for (c, b), n in seen.items()], columns=["cls", "bin", "n"])
 
@@ -208,12 +219,8 @@ def span_udf(thresholds: dict[int, int]):
     touch a base span are left out."""
 
     def of(text: str) -> list[tuple[int, int, int]]:
-        spans = base_spans(text)
-        taken = [(s, e) for s, _, e in spans]
-        for s, e, cls, at in random_tokens(text):
-            if at >= thresholds.get(cls, MAX_BIN + 1) and not any(s < b and a < e for a, b in taken):
-                spans.append((s, 3, e))
-        return sorted(spans)
+        added = [(s, 3, e) for s, e, cls, at in further_tokens(text) if at >= thresholds.get(cls, MAX_BIN + 1)]
+        return sorted(base_spans(text) + added)
 
     @F.pandas_udf("array<struct<start:int,kind:int,end:int>>")
     def spans(texts: pd.Series) -> pd.Series:
@@ -228,14 +235,14 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR) -> DataFrame:
-    """Add ``secret_spans`` (array of start, kind number, end)."""
-    return docs.withColumn("secret_spans", span_udf(corpus_thresholds(docs, text, fdr))(F.col(text)))
+def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR, name: str = "secret_spans") -> DataFrame:
+    """Add ``name`` (array of start, kind number, end); a column of that name is replaced."""
+    return docs.withColumn(name, span_udf(corpus_thresholds(docs, text, fdr))(F.col(text)))
 
 
-def digest_columns(found: DataFrame) -> DataFrame:
-    """n_assign, n_access, n_hex, n_random, base_sha256 and spans from ``secret_spans``."""
-    spans = F.col("secret_spans")
+def digest_columns(found: DataFrame, name: str = "secret_spans") -> DataFrame:
+    """n_assign, n_access, n_hex, n_random, base_sha256 and spans from the spans in ``name``."""
+    spans = F.col(name)
     kinds = F.transform(spans, lambda s: s["kind"])
     counts = {f"n_{k}": (F.size(spans) - F.size(F.array_remove(kinds, i))).cast("long") for i, k in enumerate(KINDS)}
     base = F.filter(spans, lambda s: s["kind"] < 3)
@@ -261,5 +268,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", fdr: flo
             out.append("".join(parts) + t[at:])
         return pd.Series(out, dtype=object)
 
-    found = find_secrets(docs, text, fdr)
-    return found.withColumn(text, cut(F.col(text), F.col("secret_spans"))).drop("secret_spans")
+    name = free_name(docs, "secret_spans")
+    found = find_secrets(docs, text, fdr, name)
+    return found.withColumn(text, cut(F.col(text), F.col(name))).drop(name)

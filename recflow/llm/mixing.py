@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.llm.common import SPACES
+from recflow.llm.common import SPACES, free_name
 from recflow.plans.ranking import prefix_sums
 
 RANGE_BITS = 12
@@ -78,6 +78,7 @@ def mix(docs: DataFrame, size: Column | None = None, ident: str = "doc_id", sour
     """One row per document: ident, ``keep``, source, size, source_size, target,
     mix_key, mix_start (words of its source before it in an epoch), taken.
 
+    A kept column that has the name of another one here gets underscores after its own.
     ``taken`` counts repeats: whole epochs, plus the part of the last epoch up to the
     cut; the document on the cut is taken in part."""
     size = word_count(F.col("text")) if size is None else size
@@ -104,9 +105,12 @@ def mix(docs: DataFrame, size: Column | None = None, ident: str = "doc_id", sour
     cut = budget - epochs * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(F.lit(0), cut - F.col("mix_start")))
     out = placed.withColumn("taken", (epochs * F.col("size") + part).cast("long"))
-    kept = [F.col(f"_keep.{c}").alias(c) for c in keep]
-    return out.select(F.col("_id").alias(ident), *kept, "source", "size", "source_size", "target",
-                      "mix_key", "mix_start", "taken")
+    own = ["source", "size", "source_size", "target", "mix_key", "mix_start", "taken"]
+    result = out.select(F.col("_id").alias(ident), *own, "_keep")
+    for c in keep:
+        result = result.withColumn(free_name(result, c), F.col(f"_keep.{c}"))
+    kept = result.columns[len(own) + 2:]
+    return result.select(ident, *kept, *own)
 
 
 def expand(mixed: DataFrame, text: str = "text") -> DataFrame:

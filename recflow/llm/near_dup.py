@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import arrow_rows
+from recflow.llm.common import arrow_rows, free_name
 from recflow.llm.graph import components
 from recflow.llm.kernels import batches, hash_words, mix64, shingle_hashes, word_offsets
 from recflow.session import cut_lineage
@@ -268,6 +268,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILAR
                          text: str = "text") -> DataFrame:
     """The documents that represent their class, all columns unchanged.  Documents
     without an id are kept: no other document can stand for them by name."""
+    name = free_name(docs, "gone")
     gone = near_duplicates(docs, k, percent, ident, text).where(
-        ~F.col("kept") & F.col(ident).isNotNull()).select(F.col(ident).alias("_gone")).distinct()
-    return docs.join(gone, F.col(ident) == F.col("_gone"), "left_anti")
+        ~F.col("kept") & F.col(ident).isNotNull()).select(F.col(ident).alias(name)).distinct()
+    return docs.join(gone, F.col(ident) == F.col(name), "left_anti")

@@ -18,7 +18,7 @@ def op1_source_mixing(spark: SparkSession, d: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents").select("doc_id", "text")
     return secrets.digest_columns(secrets.find_secrets(docs)).select(
-        "doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
 def op3_arc_to_warc(spark: SparkSession, d: str) -> DataFrame:

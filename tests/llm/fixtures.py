@@ -7,7 +7,8 @@ import random
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: further columns whose names clash with what operators compute
 CLASHES = {"size": 1, "taken": "x", "n": 2, "node": 3, "key": "k", "h": 4, "label": 5, "score": "s", "id": 9, "t": "t",
-           "_id": 8, "hash": 7, "language": "l", "spans": "p", "source_size": 0}
+           "_id": 8, "_gone": 1, "gone": 2, "secret_spans": 3, "_matches": 4, "_language": 5, "target": 6, "mix_key": 7, "runs": 1,
+           "fp": 2, "word": "w", "variant": 3, "hash": 7, "language": "l", "spans": "p", "source_size": 0}
 
 
 def prose(rng: random.Random, words: int, vocabulary: int = 400) -> str:

@@ -64,11 +64,32 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 
 def test_awkward_and_empty_tables(spark, tmp_path):
-    for name, rows in (("awkward", awkward_rows()), ("empty", [])):
-        d = str(tmp_path / name)
-        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{d}/documents.parquet")
-        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
-        assert corpus_pipeline.run(spark, d).count() >= 0
+    d = str(tmp_path / "empty")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, d).count() == 0
+    # rows of one source and language, repeated so that the language is learned and nothing else stands out
+    d = str(tmp_path / "awkward")
+    rng = random.Random(9)
+    body = [text(rng, "xx", 60) for _ in range(24)]
+    rows = [(100 + i, t, "xx", "a", 1) for i, t in enumerate(body)] + [r for r in awkward_rows() if r[0] in (1, 2, 3, 13)]
+    rows += [(200, body[0].upper(), "xx", "a", 1), (None, body[1], None, "a", 1), (103, body[3], "xx", "a", 1)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(body[5].split()[10:40])), (8, None)], "item_id long, text string").write.parquet(
+        f"{d}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{d}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, d).write.parquet(f"{d}/out{i}")
+        docs = spark.read.parquet(f"{d}/out{i}")
+        kept.append(sorted((r["doc_id"] for r in docs.select("doc_id").collect()), key=lambda x: (x is None, x)))
+    everybody = sorted([100 + i for i in range(24)] + [200, 103])
+    assert kept[0] == everybody + [None]  # texts without a letter go
+    # the copy in capitals goes; rows that repeat an id are one document; a row without an id stays
+    assert kept[1] == [i for i in everybody if i != 200] + [None]
+    assert kept[2] == [i for i in kept[1] if i != 105]
+    assert kept[3] == kept[2]
+    # one source takes all of its words once
+    assert kept[4] == kept[3]
 
 
 def test_unlabelled_corpus_goes(spark):

@@ -3,6 +3,10 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``.  Between stages the documents are written to shared storage, so a
 lost executor costs a read, not the stages before.
+
+Defined results: texts without a letter (null and empty ones too) go in the first stage; a document without an id is
+never dropped as a copy; rows that repeat an id are one document; further columns pass through all stages but the
+last; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.llm import decontam, langid, mixing, near_dup, secrets
-from recflow.llm.common import read_table
+from recflow.llm.common import free_name, read_table
 from recflow.session import cut_lineage, ship_package
 
 
@@ -19,8 +23,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; ``lang`` is only read to learn."""
     ship_package(spark)
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))).select("text", "lang"))
-    named = langid.identify(docs, model, name="_language")
-    return named.where(langid.accepted(F.col("_language"))).drop("_language")
+    name = free_name(docs, "language")
+    named = langid.identify(docs, model, name=name)
+    return named.where(langid.accepted(F.col(name))).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

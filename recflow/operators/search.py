@@ -1,29 +1,33 @@
 """Vector search over a catalog.
 
-Searches run for a **table** of queries.  Attribute filters that are the
-same for every query are plain predicates on the catalog (pushed to the
-scan); per-query filters (category / style / material / color equality after
-trim+lower, inclusive price range, similarity threshold, exclusions) are
-applied as masks inside the blocked query x catalog product, so no query x
-catalog pair row is ever materialised.  Search is exact, so no over-fetch is
-needed.
+Searches run for a **table** of queries.  A query's filters (category / style / material / color equality after
+trim+lower, inclusive price range) are join keys: queries that filter by the same attributes meet only the
+catalog rows with their values, and a price range only the price buckets that it touches.  Inside a key,
+queries and rows are dealt into blocks and multiplied; the exact price bounds, the similarity threshold and the
+exclusions are masks there, and only each query's best rows leave a task.  Queries without any filter meet the whole
+catalog.  Search is exact, so no over-fetch is needed.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
 from recflow.functions.vectors import l2_normalize
 from recflow.operators import knn as K
+from recflow.session import cut_lineage
 
+# The attributes that can be filtered and the columns of a result row.
 FILTER_ATTRS = ("category", "style", "material", "color")
 RESULT_FIELDS = ("product_id", "title", "category", "style", "color", "material", "price", "rating",
                  "description", "catalog_description")
-_OUT = "query_id long, product_id long, score double, rank long"
+QUERIES_PER_BLOCK, ROWS_PER_BLOCK = 1024, 4096
+#: most price buckets, and rows that a bucket has at least
+PRICE_BUCKETS, ROWS_PER_BUCKET = 64, 2048
+_PRICED = 1 << len(FILTER_ATTRS)
 
 
 def unit_catalog(catalog_with_vectors: DataFrame) -> DataFrame:
@@ -31,42 +35,28 @@ def unit_catalog(catalog_with_vectors: DataFrame) -> DataFrame:
     return catalog_with_vectors.withColumn("embedding", l2_normalize("embedding"))
 
 
-def _search_fn(k: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs = pdf[pdf["side"] == 0]
-        cs = pdf[pdf["side"] == 1]
-        if qs.empty or cs.empty:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "product_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int64")})
-        Q = np.stack([np.asarray(v, dtype="float64") for v in qs["vec"].to_numpy()])
-        C = np.stack([np.asarray(v, dtype="float64") for v in cs["vec"].to_numpy()])
-        S = Q @ C.T
-        ok = np.ones(S.shape, dtype=bool)
-        for a in FILTER_ATTRS:
-            fv = qs[f"f_{a}"].to_numpy(dtype=object)
-            cv = cs[a].to_numpy(dtype=object)
-            has = np.array([x is not None for x in fv])
-            if has.any():
-                ok &= ~has[:, None] | (fv[:, None] == cv[None, :])
-        price = cs["price"].to_numpy(dtype="float64")
-        lo = qs["f_min_price"].to_numpy(dtype="float64")
-        hi = qs["f_max_price"].to_numpy(dtype="float64")
-        ok &= np.isnan(lo)[:, None] | (price[None, :] >= lo[:, None])
-        ok &= np.isnan(hi)[:, None] | (price[None, :] <= hi[:, None])
-        th = qs["f_threshold"].to_numpy(dtype="float64")
-        ok &= np.isnan(th)[:, None] | (S >= th[:, None])
-        qid = qs["id"].to_numpy(dtype="int64")
-        cid = cs["id"].to_numpy(dtype="int64")
-        ex = qs["exclude_ids"].to_numpy(dtype=object)
-        for r in range(len(qid)):
-            if ex[r] is not None and len(ex[r]):
-                ok[r] &= ~np.isin(cid, np.asarray(ex[r], dtype="int64"))
-        S = np.where(ok, S, -np.inf)
-        oq, oc, os_ = K._topk_rows(qid, cid, S, k, exclude_self=False)
-        orank = [0] * len(oq)
-        return pd.DataFrame({"query_id": np.asarray(oq, dtype="int64"), "product_id": np.asarray(oc, dtype="int64"),
-                             "score": np.asarray(os_, dtype="float64"), "rank": np.asarray(orank, dtype="int64")})
-    return fn
+def _search_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    qs = pdf[pdf["side"] == 0]
+    cs = pdf[pdf["side"] == 1].sort_values("id")
+    if qs.empty or cs.empty:
+        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "product_id": pd.Series([], dtype="int64"),
+                             "score": pd.Series([], dtype="float64"), "k": pd.Series([], dtype="int64")})
+    score = np.stack(qs["vec"].to_numpy()) @ np.stack(cs["vec"].to_numpy()).T
+    price = cs["price"].to_numpy(dtype="float64")
+    lo, hi, least = (qs[c].to_numpy(dtype="float64")[:, None] for c in ("f_min_price", "f_max_price", "f_threshold"))
+    ok = (np.isnan(lo) | (price >= lo)) & (np.isnan(hi) | (price <= hi)) & (np.isnan(least) | (score >= least))
+    qid, cid = qs["id"].to_numpy(dtype="int64"), cs["id"].to_numpy(dtype="int64")
+    for r, out in enumerate(qs["exclude_ids"]):
+        if out is not None and len(out):
+            ok[r] &= ~np.isin(cid, np.asarray(out, dtype="int64"))
+    rounded = np.where(ok, np.round(score, K.SCORE_DIGITS), -np.inf)
+    wanted = qs["k"].to_numpy(dtype="int64")
+    top = min(int(wanted.max()), len(cid))
+    order = np.argsort(-rounded, axis=1, kind="stable")[:, :top]
+    keep = (np.arange(top) < wanted[:, None]) & np.isfinite(np.take_along_axis(rounded, order, axis=1))
+    r, at = np.nonzero(keep)
+    c = order[r, at]
+    return pd.DataFrame({"query_id": qid[r], "product_id": cid[c], "score": score[r, c], "k": wanted[r]})
 
 
 def _norm_or_null(c):
@@ -74,32 +64,77 @@ def _norm_or_null(c):
     return F.when(F.col(c).isNull() | (v == ""), F.lit(None).cast("string")).otherwise(v)
 
 
+def _price_cuts(catalog: DataFrame) -> list[float]:
+    """At most PRICE_BUCKETS - 1 prices that deal the rows evenly."""
+    rows = catalog.count()
+    n = min(PRICE_BUCKETS, rows // ROWS_PER_BUCKET)
+    if n < 2:
+        return []
+    cuts = catalog.agg(F.percentile_approx(F.col("price").cast("double"), [i / n for i in range(1, n)])).first()[0]
+    return sorted(set(cuts or []))
+
+
+def _bucket(price: Column, cuts: list[float]) -> Column:
+    """Number of cuts below the price (null: null)."""
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<double>"), lambda c: c < price))
+    return F.when(price.isNotNull() & ~F.isnan(price), below)
+
+
+def _key(pattern, attributes: dict[str, Column], bucket: Column) -> Column:
+    """Text of the attributes that a pattern filters by (null if one of them is missing)."""
+    parts = [F.when(F.lit(pattern).bitwiseAND(F.lit(1 << i)) == 0, F.lit("")).otherwise(attributes[a])
+             for i, a in enumerate(FILTER_ATTRS)]
+    parts.append(F.when(F.lit(pattern).bitwiseAND(F.lit(_PRICED)) == 0, F.lit("")).otherwise(bucket.cast("string")))
+    return F.concat(F.lit(pattern).cast("string"), *[x for p in parts for x in (F.lit("\u0001"), p)])
+
+
 def vector_search(queries: DataFrame, catalog: DataFrame, k: int) -> DataFrame:
     """``queries`` has query_id, vec and optional filter columns
-    category/style/material/color/min_price/max_price/threshold and
-    exclude_ids (ARRAY<BIGINT>); ``catalog`` has product_id, embedding,
+    category/style/material/color/min_price/max_price/threshold (null or blank: no filter),
+    exclude_ids (ARRAY<BIGINT>) and k (that query's own number of results); ``catalog`` has product_id, embedding,
     attributes and price.  Returns (query_id, product_id, score, rank)."""
-    q = queries
-    for a in FILTER_ATTRS:
-        q = q.withColumn(f"f_{a}", _norm_or_null(a) if a in queries.columns else F.lit(None).cast("string"))
-    for a in ("min_price", "max_price", "threshold"):
-        q = q.withColumn(f"f_{a}", F.col(a).cast("double") if a in queries.columns else F.lit(None).cast("double"))
-    if "exclude_ids" not in queries.columns:
-        q = q.withColumn("exclude_ids", F.lit(None).cast("array<bigint>"))
-    # both sides carry their key in ``id`` (never null), so Arrow keeps it int64
-    qsel = q.select(F.col("query_id").alias("id"), "vec", *[f"f_{a}" for a in FILTER_ATTRS], "f_min_price",
-                    "f_max_price", "f_threshold", "exclude_ids")
-    csel = catalog.select(F.col("product_id").alias("id"), F.col("embedding").alias("vec"),
-                          *[T.filter_value(a).alias(a) for a in FILTER_ATTRS], F.col("price").cast("double"))
-    nq = K.n_blocks_for(qsel.count(), 1024)
-    nc = K.n_blocks_for(csel.count())
-    qb = qsel.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")) \
-        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1)))).withColumn("side", F.lit(0))
-    cb = csel.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1)))).withColumn("side", F.lit(1))
-    partial = qb.unionByName(cb, allowMissingColumns=True).groupBy("qb", "cb").applyInPandas(_search_fn(k), _OUT)
+    has = lambda c: c in queries.columns
+    number = {a: F.col(a).cast("double") if has(a) else F.lit(None).cast("double") for a in ("min_price", "max_price", "threshold")}
+    asked = queries.select(
+        F.col("query_id").alias("id"), F.col("vec").cast("array<double>").alias("vec"),
+        *[(_norm_or_null(a) if has(a) else F.lit(None).cast("string")).alias(f"f_{a}") for a in FILTER_ATTRS],
+        *[c.alias(f"f_{a}") for a, c in number.items()],
+        (F.col("exclude_ids") if has("exclude_ids") else F.lit(None).cast("array<bigint>")).alias("exclude_ids"),
+        (F.coalesce(F.col("k").cast("long"), F.lit(k)) if has("k") else F.lit(k)).cast("long").alias("k"))
+    priced = F.col("f_min_price").isNotNull() | F.col("f_max_price").isNotNull()
+    pattern = sum((F.when(F.col(f"f_{a}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, a in enumerate(FILTER_ATTRS)),
+                  F.when(priced, F.lit(_PRICED)).otherwise(F.lit(0)))
+    asked = cut_lineage(asked.withColumn("pattern", pattern))
+    patterns = [r[0] for r in asked.select("pattern").distinct().collect()]  # at most 32
+    cuts = _price_cuts(catalog) if any(p & _PRICED for p in patterns) else []
+
+    first = F.coalesce(_bucket(F.col("f_min_price"), cuts), F.lit(0))
+    last = F.coalesce(_bucket(F.col("f_max_price"), cuts), F.lit(len(cuts)))
+    touched = F.when(F.col("pattern").bitwiseAND(F.lit(_PRICED)) == 0, F.array(F.lit(0))).when(
+        first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    per_pattern = None
+    for p in patterns:
+        part = asked.where(F.col("pattern") == p).withColumn("bucket", F.explode(touched)).withColumn(
+            "key", _key(p, {a: F.col(f"f_{a}") for a in FILTER_ATTRS}, F.col("bucket")))
+        per_pattern = part if per_pattern is None else per_pattern.unionByName(part)
+    q = (asked.withColumn("key", F.lit("")) if per_pattern is None else per_pattern).drop("pattern", "bucket")
+    rows = catalog.select(F.col("product_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"),
+                          *[T.filter_value(a).alias(a) for a in FILTER_ATTRS], F.col("price").cast("double").alias("price"))
+    keys = F.array_compact(F.array(*[_key(p, {a: F.col(a) for a in FILTER_ATTRS}, _bucket(F.col("price"), cuts))
+                                     for p in patterns])) if patterns else F.array().cast("array<string>")
+    c = rows.withColumn("key", F.explode(keys)).select("key", "id", "vec", "price")
+
+    parts = lambda df, size, name: df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    sizes = cut_lineage(parts(q, QUERIES_PER_BLOCK, "qp").join(parts(c, ROWS_PER_BLOCK, "cp"), "key"))
+    deal = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    left = q.join(sizes, "key").withColumns({"qb": deal("qp"), "side": F.lit(0)}).withColumn("cb", every("cp"))
+    right = c.join(sizes, "key").withColumns({"cb": deal("cp"), "side": F.lit(1)}).withColumn("qb", every("qp"))
+    both = left.drop("qp", "cp").unionByName(right.drop("qp", "cp"), allowMissingColumns=True).drop(*[f"f_{a}" for a in FILTER_ATTRS])
+    partial = both.groupBy("key", "qb", "cb").applyInPandas(_search_block, "query_id long, product_id long, score double, k long")
     w = Window.partitionBy("query_id").orderBy(F.round("score", K.SCORE_DIGITS).desc(), F.col("product_id"))
-    return partial.drop("rank").withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
+    ranked = partial.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= F.col("k"))
+    return ranked.select("query_id", "product_id", "score", "rank")
 
 
 def result_records(hits: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -127,39 +162,57 @@ def similar_products(queries: DataFrame, catalog: DataFrame, k: int = 5) -> Data
     return vector_search(q.drop("product_id"), catalog, k)
 
 
-def user_content_recs(purchases: DataFrame, catalog: DataFrame, k: int = 5) -> DataFrame:
+#: ranks of the first level of a source's list; every further level doubles it
+FIRST_LEVEL = 64
+USER_FILTERS = ("category", "style", "material", "color", "min_price", "max_price", "threshold")
+
+
+def recommend_for_users(purchases: DataFrame, catalog: DataFrame, k: int = 5, filters: DataFrame | None = None,
+                        unknown: str = "error") -> DataFrame:
     """Content recommendations from a purchase list per user.
 
-    For each (user, purchased source) the first ``pool = min(n, max(10k, k+m))``
-    catalog products by similarity, all the user's purchases excluded; then
-    per candidate max, sum, count, mean and the source list; ordered by max
-    desc, count desc, mean desc, product id (catalog position).
+    ``purchases``: user_id, position, product_id; a product listed twice counts twice (T22).  ``filters``: user_id and
+    any of USER_FILTERS.  For each position the first ``pool = min(n, max(10k, k+m))`` catalog products by
+    similarity that pass the filters, all m purchases excluded; then per candidate max, sum, count, mean and the sources
+    in the order of their positions; ordered by max desc, count desc, mean desc, product id (catalog position).
+    Purchases without a catalog vector raise, or with ``unknown="drop"`` are excluded but no source.
+
+    A source's list is searched once for all users with the same filters, as deep as its most demanding user may need (the
+    pool plus as many exclusions).  Lists are cut into levels of doubling length and a user joins only the levels up to
+    their own need, so a heavy buyer makes nobody else's lists longer.
 
-    Each source's neighbour list is computed once (shared across users) to
-    depth ``pool_max + m_max``, which is exact: a user excludes at most
-    ``m_max`` of them."""
-    src = purchases.select("user_id", F.col("product_id").alias("source_id")).distinct()
-    m = src.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
+    Returns user_id, rank, product_id, score, mean_score, support_count, matched_from_product_ids (array)."""
+    if unknown == "error":
+        check_known_products(purchases, catalog)
+    given = [c for c in USER_FILTERS if filters is not None and c in filters.columns]
+    src = purchases.select("user_id", "position", F.col("product_id").alias("source_id"))
     n_cat = catalog.count()
-    m_max = int(m.agg(F.max("m")).first()[0] or 0)
-    pool_max = min(n_cat, max(10 * k, k + m_max))
-    depth = min(n_cat, pool_max + m_max)
-    sources = src.select("source_id").distinct()
-    vec = catalog.select("product_id", F.col("embedding").alias("vec"))
-    qs = sources.join(vec, sources.source_id == vec.product_id).select(F.col("source_id").alias("query_id"), "vec")
-    nbrs = vector_search(qs, catalog, depth).select(F.col("query_id").alias("source_id"),
-                                                    F.col("product_id").alias("candidate_id"), "score", "rank")
-    per = src.join(m, "user_id").join(nbrs, "source_id")
-    per = per.join(src.select("user_id", F.col("source_id").alias("candidate_id")), ["user_id", "candidate_id"],
-                   "left_anti")
-    pool = F.least(F.lit(n_cat), F.greatest(F.lit(10 * k), F.lit(k) + F.col("m")))
-    w = Window.partitionBy("user_id", "source_id").orderBy("rank")
-    per = per.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= pool)
+    sizes = src.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("source_id").alias("excluded"))
+    sizes = sizes.withColumn("pool", F.least(F.lit(n_cat), F.greatest(F.lit(10 * k), F.lit(k) + F.col("m"))))
+    sizes = sizes.withColumn("need", F.least(F.lit(n_cat), F.col("pool") + F.col("excluded")))
+    if given:
+        sizes = sizes.join(filters.select("user_id", *given), "user_id", "left")
+    wanted = src.join(sizes, "user_id").withColumn("asks", F.to_json(F.struct(*given)) if given else F.lit("{}"))
+    # the level of a rank: 0 for the first FIRST_LEVEL, then one more with each doubling
+    level = lambda rank: F.greatest(F.lit(0), F.ceil(F.round(F.log2(rank / F.lit(float(FIRST_LEVEL))), 9))).cast("int")
+    wanted = cut_lineage(wanted.withColumn("levels", level(F.col("need"))))
+    lists = wanted.groupBy("source_id", "asks").agg(F.max("need").alias("k"), *[F.first(c).alias(c) for c in given])
+    vec = catalog.select(F.col("product_id").alias("source_id"), F.col("embedding").alias("vec"))
+    lists = cut_lineage(lists.join(vec, "source_id").withColumn("query_id", F.monotonically_increasing_id()))
+    hits = vector_search(lists.select("query_id", "vec", "k", *given), catalog, 1)
+    near = hits.join(lists.select("query_id", "source_id", "asks"), "query_id").select(
+        "source_id", "asks", level(F.col("rank")).alias("level"), F.col("product_id").alias("candidate_id"), "score", "rank")
+    per = wanted.select("user_id", "position", "source_id", "asks", "pool", "need",
+                        F.explode(F.sequence(F.lit(0), F.col("levels"))).alias("level"))
+    per = per.join(near, ["source_id", "asks", "level"]).where(F.col("rank") <= F.col("need"))
+    own = src.select("user_id", F.col("source_id").alias("candidate_id")).distinct()
+    per = per.join(own, ["user_id", "candidate_id"], "left_anti")
+    w = Window.partitionBy("user_id", "position").orderBy("rank")
+    per = per.withColumn("place", F.row_number().over(w)).where(F.col("place") <= F.col("pool"))
     agg = per.groupBy("user_id", "candidate_id").agg(
         F.max("score").alias("score_max"), F.sum("score").alias("score_sum"),
         F.count(F.lit(1)).cast("bigint").alias("support_count"),
-        F.array_join(F.sort_array(F.collect_list(F.col("source_id").cast("string"))), ",")
-        .alias("matched_from_product_ids"))
+        F.sort_array(F.collect_list(F.struct("position", "source_id"))).alias("sources"))
     agg = agg.withColumn("mean_score", F.col("score_sum") / F.col("support_count"))
     w2 = Window.partitionBy("user_id").orderBy(F.round("score_max", K.SCORE_DIGITS).desc(),
                                                F.col("support_count").desc(),
@@ -167,7 +220,15 @@ def user_content_recs(purchases: DataFrame, catalog: DataFrame, k: int = 5) -> D
     top = agg.withColumn("rank", F.row_number().over(w2).cast("bigint")).where(F.col("rank") <= k)
     return top.select("user_id", "rank", F.col("candidate_id").alias("product_id"),
                       F.round("score_max", 4).alias("score"), F.round("mean_score", 4).alias("mean_score"),
-                      "support_count", "matched_from_product_ids")
+                      "support_count", F.col("sources.source_id").alias("matched_from_product_ids"))
+
+
+def user_content_recs(purchases: DataFrame, catalog: DataFrame, k: int = 5) -> DataFrame:
+    """R8 for the distinct purchases of each user, those without a vector being no source; the source ids as one text."""
+    once = purchases.select("user_id", "product_id").distinct().withColumn("position", F.col("product_id"))
+    out = recommend_for_users(once, catalog, k, unknown="drop")
+    text = F.array_join(F.sort_array(F.transform("matched_from_product_ids", lambda x: x.cast("string"))), ",")
+    return out.withColumn("matched_from_product_ids", text)
 
 
 def sample_user_profiles(catalog: DataFrame, limit: int = 3) -> DataFrame:

@@ -160,6 +160,45 @@ _TOPK = SQL["hybrid_topk"]
 SQL["hybrid_query_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, QUERY_TEXT, _POOL, _FEATURES) + \
     _TOPK[_TOPK.rindex("SELECT user_id, rank, product_id, title"):]
 
+SQL["attribute_search"] = W(VCAT, """fs AS (
+  SELECT q.product_id AS qid, c.product_id, list_inner_product(q.vec, c.vec) AS sc
+  FROM vcat q JOIN vcat c ON c.product_id <> q.product_id
+  WHERE CASE q.product_id % 4
+    WHEN 0 THEN lower(trim(c.style)) = lower(trim(q.style)) AND lower(trim(c.color)) = lower(trim(q.color))
+                AND list_inner_product(q.vec, c.vec) >= 0.0
+    WHEN 1 THEN lower(trim(c.material)) = lower(trim(q.material)) AND c.price >= q.price - 20
+    WHEN 2 THEN list_inner_product(q.vec, c.vec) >= 0.2
+    ELSE lower(trim(c.category)) = lower(trim(q.category)) AND lower(trim(c.style)) = lower(trim(q.style))
+         AND lower(trim(c.material)) = lower(trim(q.material)) AND lower(trim(c.color)) = lower(trim(q.color))
+         AND c.price <= q.price + 200 END)""",
+    """fr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(sc, 9) DESC, product_id) AS rank FROM fs)""") + """
+SELECT fr.qid AS query_id, CAST(fr.rank AS BIGINT) AS rank, round(fr.sc, 4) AS score, c.product_id, c.title, c.category,
+       c.style, c.color, c.material, round(c.price, 6) AS price, round(c.rating, 6) AS rating, c.description,
+       c.catalog_description
+FROM fr JOIN catalog c ON c.product_id = fr.product_id WHERE fr.rank <= 5"""
+
+SQL["user_content_recs_filtered"] = W(VCAT,
+    """pur AS (SELECT b.user_id, b.product_id AS source_id, v.vec, v.category AS cat0,
+                      row_number() OVER (PARTITION BY b.user_id ORDER BY b.timestamp, b.product_id) AS pos
+               FROM behavior b JOIN vcat v ON v.product_id = b.product_id WHERE b.event_type = 'purchase')""",
+    """um AS (SELECT user_id, count(*) AS m, min(cat0) FILTER (WHERE pos = 1) AS cat0 FROM pur GROUP BY user_id)""",
+    """ncat AS (SELECT count(*) AS n FROM vcat)""",
+    """sc AS (SELECT p.user_id, p.pos, p.source_id, c.product_id AS cand, list_inner_product(p.vec, c.vec) AS s, um.m
+              FROM pur p JOIN um ON um.user_id = p.user_id JOIN vcat c
+                ON (p.user_id % 2 <> 0 OR lower(trim(c.category)) = lower(trim(um.cat0)))
+               AND (p.user_id % 3 <> 0 OR c.price >= 100)
+               AND (p.user_id % 5 <> 0 OR list_inner_product(p.vec, c.vec) >= 0.05))""",
+    """exs AS (SELECT a.* FROM sc a ANTI JOIN pur x ON x.user_id = a.user_id AND x.source_id = a.cand)""",
+    """rk AS (SELECT *, row_number() OVER (PARTITION BY user_id, pos ORDER BY round(s, 9) DESC, cand) AS at_ FROM exs)""",
+    """agg AS (SELECT user_id, cand, max(s) AS smax, count(*) AS cnt, sum(s) / count(*) AS mean,
+                      string_agg(CAST(source_id AS VARCHAR), ',' ORDER BY pos) AS srcs
+               FROM rk CROSS JOIN ncat WHERE at_ <= least(n, greatest(50, 5 + m)) GROUP BY user_id, cand)""",
+    """fin AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(smax, 9) DESC, cnt DESC, round(mean, 9) DESC,
+                      cand) AS rank FROM agg)""") + """
+SELECT user_id, CAST(rank AS BIGINT) AS rank, cand AS product_id, round(smax, 4) AS score, round(mean, 4) AS mean_score,
+       CAST(cnt AS BIGINT) AS support_count, srcs AS matched_from_product_ids
+FROM fin WHERE rank <= 5"""
+
 # --- inverted file: the same seeded start and rounds of k-means, probes by the nearest centroids ---
 
 _ROUNDS = 3

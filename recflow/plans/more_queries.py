@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
@@ -74,6 +75,36 @@ def q_text_search(spark, d):
     return rounded(TI.text_search(cat, asked, 5))
 
 
+def q_attribute_search(spark, d):
+    """Every product searches by its own values of some attributes, blank ones, price bounds and a threshold."""
+    cat = unit_catalog(spark, d)
+    turn = F.col("product_id") % 4
+    own = lambda column, *turns: F.when(turn.isin(*turns), F.upper(F.col(column))).otherwise(F.lit("  "))
+    asked = cat.select(
+        F.col("product_id").alias("query_id"), F.col("embedding").alias("vec"), own("category", 3).alias("category"),
+        own("style", 0, 3).alias("style"), own("material", 1, 3).alias("material"), own("color", 0, 3).alias("color"),
+        F.when(turn == 1, F.col("price") - 20).alias("min_price"), F.when(turn == 3, F.col("price") + 200).alias("max_price"),
+        F.when(turn == 0, F.lit(0.0)).when(turn == 2, F.lit(0.2)).alias("threshold"),
+        F.array(F.col("product_id")).alias("exclude_ids"))
+    return rounded(SE.result_records(SE.vector_search(asked, cat, 5), cat))
+
+
+def q_user_content_recs_filtered(spark, d):
+    """R8 with filters, threshold and duplicate purchases (T22): a user's purchases in time order, some users asking for the
+    category of their first one, from a price on, or above a similarity."""
+    cat = unit_catalog(spark, d)
+    bought = src.behavior(spark, d).where(F.col("event_type") == "purchase").join(
+        cat.select("product_id", "category"), "product_id")
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("timestamp", "product_id"))
+    bought = bought.select("user_id", "product_id", "category", place.alias("position"))
+    asks = bought.where("position = 1").select(
+        "user_id", F.when(F.col("user_id") % 2 == 0, F.col("category")).alias("category"),
+        F.when(F.col("user_id") % 3 == 0, F.lit(100.0)).alias("min_price"),
+        F.when(F.col("user_id") % 5 == 0, F.lit(0.05)).alias("threshold"))
+    recs = SE.recommend_for_users(bought.drop("category"), cat, 5, asks)
+    return recs.withColumn("matched_from_product_ids", F.array_join("matched_from_product_ids", ","))
+
+
 def _inverted_file(spark, d):
     cat = unit_catalog(spark, d).select("product_id", "embedding")
     centroids = IVF.fit_centroids(cat, IVF.cells_for(cat.count()), seed=42)
@@ -141,6 +172,8 @@ MORE = {
     "sample_profiles": q_sample_profiles,
     "purchased_products": q_purchased_products,
     "text_search": q_text_search,
+    "attribute_search": q_attribute_search,
+    "user_content_recs_filtered": q_user_content_recs_filtered,
     "ann_recall": q_ann_recall,
     "ann_neighbours": q_ann_neighbours,
     "group_sizes": q_group_sizes,

@@ -7,9 +7,11 @@ chunks of keys and returns the non-zero sums, which a ``groupBy(a, b).sum`` comb
 pair rows are emitted, so a hot key costs one dense vector per tile, not deg^2 rows, and
 no task holds a whole side.
 
-``tiled_product`` computes the rows of ``left x right`` per (row block, column tile) with
-every key in the task, and hands the dense tile to a function that keeps what is
-wanted of it (a top-n, single cells, a range), so the full product is never a table.
+``tiled_product`` computes the rows of ``left x right`` per (row block, column tile).  A row block receives the right
+rows of those keys only that its own cells have, each once, so what is shuffled is at most one right row per left cell,
+and a hub key costs one copy per block.  Inside a tile the sparse cells are multiplied pair by pair where that is less work than a
+dense product.  The tile goes to a function that keeps what is wanted of it (a top-n, single cells, a range), so
+the full product is never a table.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ KEYS_PER_CHUNK = 1024
 SIDE_PER_TILE = 2048
 ROWS_PER_TILE = 2048
 
+#: cells multiplied pair by pair at once, and the dense multiplications that cost as much as one such pair
+PAIRS_PER_CHUNK = 1 << 21
+DENSE_PER_PAIR = 64
+
 _SCHEMA = "a long, b long, v double"
 
 
@@ -97,6 +103,39 @@ def gram(left: DataFrame, right: DataFrame, key: str, left_col: str, right_col:
     return partial.groupBy("a", "b").agg(F.sum("v").alias("v"))
 
 
+def _multiply(n_rows: int, n_cols: int, n_keys: int, left: tuple, right: tuple) -> np.ndarray:
+    """Dense sum over keys of the sparse cells (key, row, x) and (key, col, x)."""
+    product = np.zeros((n_rows, n_cols))
+    (lk, ri, lx), (rk, ci, rx) = ([v[order] for v in side] for side in (left, right)
+                                  for order in [np.argsort(side[0], kind="stable")])
+    first = np.searchsorted(rk, np.arange(n_keys + 1))
+    size = np.diff(first)[lk]  # right cells that each left cell meets
+    for start in range(0, n_keys, KEYS_PER_CHUNK):
+        stop = min(start + KEYS_PER_CHUNK, n_keys)
+        lo, hi = np.searchsorted(lk, [start, stop])
+        pairs = int(size[lo:hi].sum())
+        if not pairs:
+            continue
+        if pairs * DENSE_PER_PAIR >= n_rows * (stop - start) * n_cols:
+            a, b = np.zeros((n_rows, stop - start)), np.zeros((stop - start, n_cols))
+            np.add.at(a, (ri[lo:hi], lk[lo:hi] - start), lx[lo:hi])
+            mine = slice(first[start], first[stop])
+            np.add.at(b, (rk[mine] - start, ci[mine]), rx[mine])
+            product += a @ b
+            continue
+        upto = np.cumsum(size[lo:hi])
+        at = lo
+        while at < hi:  # at least one left cell at a time
+            done = int(upto[at - lo - 1]) if at > lo else 0
+            to = max(at + 1, lo + int(np.searchsorted(upto, done + PAIRS_PER_CHUNK, side="right")))
+            n = size[at:to]
+            cell = np.repeat(np.arange(at, to), n)
+            other = np.repeat(first[lk[at:to]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            np.add.at(product, (ri[cell], ci[other]), lx[cell] * rx[other])
+            at = to
+    return product
+
+
 def tiled_product(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int, keep: Callable, schema: str,
                   marks: DataFrame | None = None) -> DataFrame:
     """``left`` (row, key, x, and any of y, z, d) times ``right`` (key, col, v), per tile.
@@ -109,8 +148,9 @@ def tiled_product(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int, k
     parts = left.select(F.lit(0).alias("side"), "row", F.col("key").alias("other"), "x", *wide) \
         .withColumn("ti", _tile("row", tr)).withColumn("tj", _every(tc))
     zero = [F.lit(0.0).alias(c) for c in ("y", "z", "d")]
+    needed = left.select(F.col("key").alias("other"), _tile("row", tr).alias("ti")).distinct()
     r = right.select(F.lit(1).alias("side"), F.col("col").alias("row"), F.col("key").alias("other"), F.col("v").alias("x"), *zero)
-    parts = parts.unionByName(r.withColumn("tj", _tile("row", tc)).withColumn("ti", _every(tr)).select(*parts.columns))
+    parts = parts.unionByName(r.join(needed, "other").withColumn("tj", _tile("row", tc)).select(*parts.columns))
     if marks is not None:
         m = marks.select(F.lit(2).alias("side"), "row", F.col("col").alias("other"), F.col("mark").cast("double").alias("x"), *zero)
         parts = parts.unionByName(m.withColumn("ti", _tile("row", tr)).withColumn("tj", _tile("other", tc)).select(*parts.columns))
@@ -123,17 +163,7 @@ def tiled_product(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int, k
         keys, ki = np.unique(np.concatenate([own["other"].to_numpy(), g["other"].to_numpy()]), return_inverse=True)
         lk, rk = ki[:len(own)], ki[len(own):]
         lx, rx = own["x"].to_numpy(dtype="float64"), g["x"].to_numpy(dtype="float64")
-        product = np.zeros((len(rows), len(cols)))
-        for start in range(0, len(keys), KEYS_PER_CHUNK):
-            lm = (lk >= start) & (lk < start + KEYS_PER_CHUNK)
-            rm = (rk >= start) & (rk < start + KEYS_PER_CHUNK)
-            if not lm.any() or not rm.any():
-                continue
-            width = min(KEYS_PER_CHUNK, len(keys) - start)
-            a, b = np.zeros((len(rows), width)), np.zeros((width, len(cols)))
-            np.add.at(a, (ri[lm], lk[lm] - start), lx[lm])
-            np.add.at(b, (rk[rm] - start, ci[rm]), rx[rm])
-            product += a @ b
+        product = _multiply(len(rows), len(cols), len(keys), (lk, ri, lx), (rk, ci, rx))
         return keep(rows, cols, product, own, ri, m)
 
     return parts.groupBy("ti", "tj").applyInPandas(fn, schema)

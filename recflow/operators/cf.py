@@ -183,6 +183,25 @@ def predicted_cells(model: CFModel, cells: DataFrame | None = None) -> tuple[Dat
     return both.where("user_id is not null").select("user_id", "product_id", "pred"), span.select(lo.alias("lo"), hi.alias("hi"))
 
 
+def cf_predictions(model: CFModel) -> DataFrame:
+    """R6 for every cell that has a prediction: (user_id, product_id, cf_score) of all unseen cells whose prediction is not
+    zero, scaled by the global range.  Its size is that of the sparse product, not users x items."""
+    def every(rows, cols, product, own, ri, marks):
+        pred, unseen = _predictions(rows, cols, product, own, ri)
+        i, j = np.nonzero(unseen & (pred != 0))
+        return pd.DataFrame({"user_id": rows[i], "product_id": cols[j], "pred": pred[i, j]})
+
+    found = cut_lineage(blocks.tiled_product(model.left, model.gram, model.n_users, model.n_items, every,
+                                             "user_id long, product_id long, pred double"))
+    own = found.agg(F.min("pred").alias("lo"), F.max("pred").alias("hi"), F.count(F.lit(1)).alias("cells"))
+    seen = model.matrix.agg((F.lit(model.n_users * model.n_items) - F.count_if(F.col("value") > 0)).alias("unseen"))
+    # cells without a prediction predict zero
+    zero = F.when(F.col("unseen") > F.col("cells"), 0.0)
+    span = own.crossJoin(F.broadcast(seen)).select(F.least("lo", zero).alias("lo"), F.greatest("hi", zero).alias("hi"))
+    scaled = F.when(F.col("hi") <= F.col("lo"), F.lit(0.0)).otherwise((F.col("pred") - F.col("lo")) / (F.col("hi") - F.col("lo")))
+    return found.crossJoin(F.broadcast(span)).select("user_id", "product_id", scaled.alias("cf_score"))
+
+
 def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFrame | None = None) -> DataFrame:
     """Unseen items by prediction desc (ties by id) minus excluded, first
     n; short lists complete with zero-prediction unseen items in id order.
@@ -216,20 +235,16 @@ def cf_recommend(model: CFModel, users: DataFrame, n: int = 20, exclude: DataFra
 
 def popularity_recommend(pop: DataFrame, users: DataFrame, n: int, exclude: DataFrame | None) -> DataFrame:
     """Popularity order (score desc, id) minus each user's exclusions, first n."""
-    from recflow.plans.ranking import global_rank
-    ranked = global_rank(pop, ["popularity", "product_id"], [True, False], name="g")
+    from recflow.plans.ranking import global_rank, take_positions
+    ranked = global_rank(pop, ["popularity", "product_id"], [True, False], name="g") \
+        .select("g", F.struct("product_id", "popularity").alias("item"))
     if exclude is None:
-        head = ranked.where(F.col("g") <= n)
-        slots = users.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(n).cast("bigint")))
-                             .alias("g"))
-        return slots.join(head, "g").select(
-            "user_id", "product_id", F.col("g").alias("rank"), F.col("popularity").alias("score"))
+        return take_positions(users.select("user_id", F.lit(n).alias("_upto")), ranked, "item", "g").select(
+            "user_id", "item.product_id", F.col("g").alias("rank"), F.col("item.popularity").alias("score"))
     ex = exclude.select("user_id", "product_id").distinct().join(users, "user_id", "left_semi")
     ec = users.join(ex.groupBy("user_id").agg(F.count(F.lit(1)).alias("e")), "user_id", "left").fillna({"e": 0})
-    head = ranked
-    slots = ec.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                      (F.lit(n) + F.col("e")).cast("bigint"))).alias("g"))
-    cand = slots.join(head, "g").join(ex, ["user_id", "product_id"], "left_anti")
+    cand = take_positions(ec.select("user_id", (F.lit(n) + F.col("e")).alias("_upto")), ranked, "item", "g") \
+        .select("user_id", "g", "item.*").join(ex, ["user_id", "product_id"], "left_anti")
     w = Window.partitionBy("user_id").orderBy("g")
     return cand.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n) \
         .select("user_id", "product_id", "rank", F.col("popularity").alias("score"))

@@ -54,10 +54,10 @@ def item_stats_recommend(stats: DataFrame, users: DataFrame, n: int = 20,
     ids (J8), first n.
 
     A user with ``e`` excluded ids can only receive items of global position
-    ``<= n + e``, so each user expands exactly that many positions
-    (``sequence``), joins the ranked list on the position (an equi-join), and
+    ``<= n + e``, so each user takes exactly that many positions
+    (``ranking.take_positions``) and
     drops excluded pairs with an anti-join -- no user x catalog grid."""
-    from recflow.plans.ranking import global_rank
+    from recflow.plans.ranking import global_rank, take_positions
     users = users.select("user_id").distinct()
     if exclude is None:
         ex_counts = users.withColumn("n_ex", F.lit(0).cast("bigint"))
@@ -68,9 +68,7 @@ def item_stats_recommend(stats: DataFrame, users: DataFrame, n: int = 20,
     ranked = global_rank(stats.select("product_id", "historical_ctr", "purchase_rate", "interaction_score"),
                          ["historical_ctr", "purchase_rate", "interaction_score", "product_id"],
                          [True, True, True, False], name="g").select("g", "product_id")
-    slots = ex_counts.select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                             (F.lit(n) + F.col("n_ex")).cast("bigint"))).alias("g"))
-    cand = slots.join(ranked, "g")
+    cand = take_positions(ex_counts.select("user_id", (F.lit(n) + F.col("n_ex")).alias("_upto")), ranked, "product_id", "g")
     if exclude is not None:
         cand = cand.join(ex, ["user_id", "product_id"], "left_anti")
     w = Window.partitionBy("user_id").orderBy("g")

@@ -3,9 +3,8 @@
 A query ``q`` that found fewer than ``n`` items by score is completed with
 the first items of a universe in id order that it has not "knocked out"
 (own finds, seen items, exclusions).  Such an item has id position at most
-``need + knocked``, so each query expands exactly that many positions with
-``sequence`` and joins the id-ranked universe on the position (equi-join),
-then removes knocked pairs with an anti-join.
+``need + knocked``, so each query takes exactly that many positions of the id-ranked universe
+(``ranking.take_positions``), and knocked pairs go with an anti-join.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.plans.ranking import global_rank
+from recflow.plans.ranking import global_rank, take_positions
 
 
 def complete_in_id_order(need: DataFrame, knocked: DataFrame, universe: DataFrame,
@@ -28,11 +27,10 @@ def complete_in_id_order(need: DataFrame, knocked: DataFrame, universe: DataFram
     kn = knocked.select(q, item).distinct()
     kc = kn.groupBy(q).agg(F.count(F.lit(1)).alias("_kc"))
     nd = need.where(F.col("need") > 0).join(kc, q, "left").fillna({"_kc": 0})
-    # the universe is id-ranked once; slots join it on the position (no action on ``need``)
+    # the universe is id-ranked once
     ranked = global_rank(universe.select(item).distinct(), [item], name="_g")
-    slots = nd.select(q, "need", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                      (F.col("need") + F.col("_kc")).cast("bigint"))).alias("_g"))
-    cand = slots.join(ranked, "_g").join(kn, [q, item], "left_anti")
+    asked = nd.select(q, "need", (F.col("need") + F.col("_kc")).alias("_upto"))
+    cand = take_positions(asked, ranked, item, "_g").join(kn, [q, item], "left_anti")
     w = Window.partitionBy(q).orderBy("_g")
     return cand.withColumn("fill_pos", F.row_number().over(w).cast("bigint")) \
         .where(F.col("fill_pos") <= F.col("need")).select(q, item, "fill_pos")

@@ -160,6 +160,10 @@ _TOPK = SQL["hybrid_topk"]
 SQL["hybrid_query_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, QUERY_TEXT, _POOL, _FEATURES) + \
     _TOPK[_TOPK.rindex("SELECT user_id, rank, product_id, title"):]
 
+SQL["cf_predictions"] = W(CF_PRED, """rng AS (SELECT min(p) AS lo, max(p) AS hi FROM pred WHERE NOT seen)""") + """
+SELECT user_id, product_id, round(CASE WHEN hi <= lo THEN 0.0 ELSE (p - lo) / (hi - lo) END, 6) AS cf_score
+FROM pred CROSS JOIN rng WHERE NOT seen AND p <> 0"""
+
 SQL["attribute_search"] = W(VCAT, """fs AS (
   SELECT q.product_id AS qid, c.product_id, list_inner_product(q.vec, c.vec) AS sc
   FROM vcat q JOIN vcat c ON c.product_id <> q.product_id

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
-from recflow.operators import clean, hybrid as H, ivf as IVF, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
+from recflow.operators import cf as CF, clean, hybrid as H, ivf as IVF, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
 from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
 from recflow.session import cut_lineage, ensure_checkpoint_dir
 from recflow.sources import files, tables as src
@@ -75,6 +75,11 @@ def q_text_search(spark, d):
     return rounded(TI.text_search(cat, asked, 5))
 
 
+def q_cf_predictions(spark, d):
+    """The scaled prediction of every unseen cell that has one."""
+    return rounded(CF.cf_predictions(CF.fit_cf(_interactions(spark, d))))
+
+
 def q_attribute_search(spark, d):
     """Every product searches by its own values of some attributes, blank ones, price bounds and a threshold."""
     cat = unit_catalog(spark, d)
@@ -172,6 +177,7 @@ MORE = {
     "sample_profiles": q_sample_profiles,
     "purchased_products": q_purchased_products,
     "text_search": q_text_search,
+    "cf_predictions": q_cf_predictions,
     "attribute_search": q_attribute_search,
     "user_content_recs_filtered": q_user_content_recs_filtered,
     "ann_recall": q_ann_recall,

@@ -42,6 +42,34 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) ->
     return out.drop("_pid", *[f"_s_{c}" for c in sums], *[f"_o_{c}" for c in sums])
 
 
+#: positions that are sent to every task as one array; further ones are joined
+HEAD = 1024
+SALTS = 16
+
+
+def take_positions(asked: DataFrame, ranked: DataFrame, item: str, position: str) -> DataFrame:
+    """The rows of ``asked`` (with a column ``_upto``) once for each of the positions 1.._upto of ``ranked``
+    (position, item), with both columns.
+
+    All lists start with the same items, so a join on the position would send everybody's rows to a few keys.
+    The first ``HEAD`` items travel as an array instead; only the rows that ask for more join the rest, on the position and
+    a salt."""
+    last = ranked.where(F.col(position) <= HEAD).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(position).alias("g"), F.col(item).alias("i")))).alias("_head"))
+    cut = F.slice("_head", 1, F.greatest(F.lit(0), F.least(F.col("_upto"), F.lit(HEAD))).cast("int"))
+    near = asked.crossJoin(F.broadcast(last)).withColumn("_at", F.explode(cut)).withColumns(
+        {position: F.col("_at.g"), item: F.col("_at.i")}).drop("_head", "_at")
+    more = asked.where(F.col("_upto") > HEAD)
+    if more.isEmpty():
+        return near.drop("_upto")
+    far = more.withColumn(position, F.explode(F.sequence(F.lit(HEAD + 1).cast("bigint"), F.col("_upto").cast("bigint"))))
+    far = far.withColumn("_salt", F.pmod(F.xxhash64(*asked.columns), F.lit(SALTS)))
+    deepest = more.agg(F.max("_upto")).first()[0]
+    rest = ranked.select(position, item).where((F.col(position) > HEAD) & (F.col(position) <= deepest)).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return near.unionByName(far.join(rest, [position, "_salt"]).drop("_salt")).drop("_upto")
+
+
 def global_rank(df: DataFrame, sort_cols: Sequence[str], descending: Sequence[bool] | None = None,
                 name: str = "grank") -> DataFrame:
     """Exact 1-based position of every row in the total order of

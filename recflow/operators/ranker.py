@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +89,15 @@ def fit_pointwise_gbt(frame: DataFrame, max_depth: int = 4, max_iter: int = 50,
     return va, gbt.fit(va.transform(x))
 
 
+def gbt_scored(fitted, frame: DataFrame, out: str = "ranker_score") -> DataFrame:
+    """``frame`` with the probability that the fitted ``fit_pointwise_gbt`` gives to label 1."""
+    assembler, model = fitted
+    x = prepare_inputs(frame, tuple(assembler.getInputCols()))
+    scored = model.transform(assembler.transform(x)).select(
+        "user_id", "product_id", vector_to_array("probability")[1].alias(out))
+    return frame.join(scored, ["user_id", "product_id"])
+
+
 def feature_importance(ranker: PairwiseRanker, frame: DataFrame, digits: int = 6) -> DataFrame:
     """O3: |coefficient| x feature std (population, from the training
     frame), normalised to sum 1, ranked; rows (rank, feature, importance)."""

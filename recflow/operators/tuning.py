@@ -1,7 +1,7 @@
 """Tuning, serving and stored models.
 
-``tune``   best blend by ndcg@5 on the validation users, ranker refit on train + val with it, one comparison
-           on the test users, ranker refit on everybody;
+``tune``   best blend by ndcg@5 on the validation users, with it the ranker's parameters by successive halving,
+           ranker refit on train + val, one comparison on the test users, ranker refit on everybody;
 ``save`` / ``load``   the fitted tables, the blend, the threshold and the ranker as Parquet tables in one folder;
 ``serve``  hybrid top-k from a stored model, ordered by its ranker.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.functions.weights import SIGNAL_KEYS
-from recflow.operators import cf as CF, hybrid as H, ranker as RK, sweep as SW
+from recflow.operators import cf as CF, hybrid as H, ranker as RK, ranker_search as RS, sweep as SW
 
 #: tables of a fitted model, by the name of the folder they are stored in
 MODEL_TABLES = ("interactions", "catalog", "stats", "price_profile", "shares", "counts", "seeds", "purchased")
@@ -28,21 +28,24 @@ class Tuned:
     ranker: RK.PairwiseRanker
     validation: DataFrame | None = None
     test: DataFrame | None = None
+    trials: DataFrame | None = None
+    setting: dict | None = None
 
 
 def blended(frame: DataFrame, weights: dict[str, float], threshold: float) -> DataFrame:
     return frame.withColumn("hybrid_signal_score", H.hybrid_signal(weights, threshold))
 
 
-def tune(frame: DataFrame, catalog: DataFrame, trials: int = 20, seed: int = 42) -> Tuned:
-    """``frame``: the ranking frame with ``split`` and ``label``."""
+def tune(frame: DataFrame, catalog: DataFrame, trials: int = 20, seed: int = 42, ranker_trials: int = 8) -> Tuned:
+    """``frame``: the ranking frame with ``split`` and ``label``; ``trials`` blends, ``ranker_trials`` ranker settings."""
     results = SW.evaluate_configs(frame.where(F.col("split") == "val"), SW.draw_configs(trials, seed))
     best = SW.best_config(results)
     weights, threshold = {k: best[f"w_{k}"] for k in SIGNAL_KEYS}, best["similarity_threshold"]
     mixed = blended(frame, weights, threshold)
-    first = RK.fit_pairwise(mixed.where(F.col("split") != "test"))
+    setting, tried = RS.successive_halving(mixed, RS.draw_parameters(ranker_trials, seed), seed=seed)
+    first = RS.fit_ranker(mixed.where(F.col("split") != "test"), setting)
     test = SW.compare_models(first.score(mixed.where(F.col("split") == "test")), catalog, "ranker_score")
-    return Tuned(weights, threshold, RK.fit_pairwise(mixed), results, test)
+    return Tuned(weights, threshold, RS.fit_ranker(mixed, setting), results, test, tried, setting)
 
 
 def save(models: H.FittedModels, tuned: Tuned, folder: str) -> None:

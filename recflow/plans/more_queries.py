@@ -11,7 +11,7 @@ from recflow.functions import text as T
 from recflow.operators import ann as ANN, cf as CF, clean, hybrid as H, ivf as IVF, profile as V, ranker as RK, ranker_search as RS, \
     ranking_data as RD, search as SE, text_index as TI, tuning as TU
 from recflow.operators.metrics import grouped_ranking
-from recflow.plans.queries import QUERIES, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
+from recflow.plans.queries import QUERIES, SEED, _interactions, _frame_and_targets, _ranking_setup, rounded, unit_catalog
 from recflow.session import cut_lineage, ensure_checkpoint_dir
 from recflow.sources import files, tables as src
 
@@ -182,8 +182,8 @@ def q_group_sizes(spark, d):
 
 def q_data_summary(spark, d):
     """Facts about the ranking data."""
-    _, targets, observed, cat, _ = _ranking_setup(spark, d)
-    frame, _ = _frame_and_targets(spark, d)
+    _, targets, observed, cat, models = _ranking_setup(spark, d)
+    frame = H.ranking_frame(models, targets, cat.select("product_id"), SEED)
     return rounded(RD.data_summary(targets, observed, frame, cat))
 
 
@@ -200,8 +200,7 @@ def q_hybrid_query_topk(spark, d):
 
 def q_tuned_hybrid_topk(spark, d):
     """Tune, refit, store, load, and serve everybody with the stored ranker."""
-    _, _, _, cat, _ = _ranking_setup(spark, d)
-    frame, _ = _frame_and_targets(spark, d)
+    frame, cat = _frame_and_targets(spark, d)
     tuned = TU.tune(frame, cat)
     inter = _interactions(spark, d)
     folder = f"{ensure_checkpoint_dir(spark)}/tuned-{uuid.uuid4().hex}"

@@ -288,19 +288,8 @@ from recflow.operators import hybrid as H, ranker as RK, ranking_data as RD, swe
 SEED = 42
 
 
-_SETUP_CACHE: dict = {}
-
-
 def _ranking_setup(spark, d):
-    """Fitted ranking inputs, built once per application and table folder:
-    the ranking queries share them (their tables are persisted/checkpointed)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _SETUP_CACHE:
-        _SETUP_CACHE[key] = _build_ranking_setup(spark, d)
-    return _SETUP_CACHE[key]
-
-
-def _build_ranking_setup(spark, d):
+    """Fitted ranking inputs; every query builds its own, so none depends on what ran before it."""
     beh = src.behavior(spark, d)
     targets = RD.assign_splits(RD.holdout_targets(beh), SEED)
     observed = RD.truncate_history(beh, targets)
@@ -350,11 +339,8 @@ def q_hybrid_topk(spark, d):
 
 
 def _frame_and_targets(spark, d):
-    key = ("frame", spark.sparkContext.applicationId, d)
-    if key not in _SETUP_CACHE:
-        beh, targets, observed, cat, models = _ranking_setup(spark, d)
-        _SETUP_CACHE[key] = (H.ranking_frame(models, targets, cat.select("product_id"), SEED), cat)
-    return _SETUP_CACHE[key]
+    beh, targets, observed, cat, models = _ranking_setup(spark, d)
+    return H.ranking_frame(models, targets, cat.select("product_id"), SEED), cat
 
 
 def q_signal_sweep(spark, d):

@@ -4,6 +4,10 @@ There is no hashed feature space: two words never share a weight.  Postings are
 (document, token, unit weight); a query is a set of postings too, and scores are one equi-join and a
 sum.  A token in every document weighs log(1) = 0 and is left out of the join, so the most
 frequent words cost nothing.
+
+Top-n retrieval does not read all postings of frequent tokens (``top_scores``): the rare tokens of a query give a lower
+bound of its n-th score, and frequent ones whose greatest possible contributions add up to less than that cannot
+bring in a new document, so they are looked up for the documents already found only.
 """
 
 from __future__ import annotations
@@ -67,6 +71,62 @@ def all_scores(index: TextIndex, queries: DataFrame, ident: str) -> DataFrame:
         F.sum(F.col("w") * F.col("qw")).alias("score"))
 
 
+#: tokens with more postings than this are frequent; the parts that such postings are dealt into
+HOT_POSTINGS = 4096
+SALTS = 16
+#: scores are sums in any order
+MARGIN = 1e-9
+
+
+def _without(scores: DataFrame, exclude: DataFrame | None, ident: str) -> DataFrame:
+    return scores if exclude is None else scores.join(exclude.select(ident, "product_id"), [ident, "product_id"], "left_anti")
+
+
+def frequent_tokens(index: TextIndex, hot_postings: int) -> DataFrame:
+    """(token, peak): tokens with more postings than that and their greatest weight in a document."""
+    sizes = index.postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.max("w").alias("peak"))
+    return sizes.where(F.col("df") > hot_postings).select("token", "peak")
+
+
+def skippable(hard: DataFrame, found: DataFrame, ident: str, n: int) -> DataFrame:
+    """``hard`` (ident, token, qw, peak) with ``least``, the n-th best score of ``found`` (ident, product_id, score), null if there
+    are fewer, and ``skip``: the weakest frequent tokens whose bounds together stay below it."""
+    order = Window.partitionBy(ident).orderBy(F.col("score").desc())
+    least = found.withColumn("r", F.row_number().over(order)).where(F.col("r") == n).select(ident, F.col("score").alias("least"))
+    bound = F.col("qw") * F.col("peak")
+    upto = F.sum(bound).over(Window.partitionBy(ident).orderBy(bound, "token"))
+    return hard.join(least, ident, "left").withColumn("bound", bound).withColumn(
+        "skip", F.coalesce(upto < F.col("least") - MARGIN, F.lit(False)))
+
+
+def top_scores(index: TextIndex, queries: DataFrame, ident: str, n: int, exclude: DataFrame | None = None) -> DataFrame:
+    """(ident, product_id, score) that holds each query's first n products by cosine with their exact scores, excluded
+    pairs left out; a query with fewer than n products with a score gets all of them."""
+    asked = cut_lineage(index.encode(queries, ident))
+    hot = cut_lineage(frequent_tokens(index, HOT_POSTINGS))
+    weighed = (F.col("w") * F.col("qw")).alias("score")
+    if hot.isEmpty():
+        return _without(asked.join(index.postings, "token").select(ident, "product_id", weighed).groupBy(
+            ident, "product_id").agg(F.sum("score").alias("score")), exclude, ident)
+    rare = asked.join(hot, "token", "left_anti").join(index.postings, "token").select(ident, "product_id", weighed)
+    rare = cut_lineage(_without(rare.groupBy(ident, "product_id").agg(F.sum("score").alias("score")), exclude, ident))
+    hard = cut_lineage(skippable(asked.join(hot, "token"), rare, ident, n))
+    # frequent tokens that may bring in documents: all their postings, dealt by document
+    salt = F.pmod(F.xxhash64("product_id"), F.lit(SALTS))
+    dealt = index.postings.join(hot.select("token"), "token", "left_semi").withColumn("salt", salt)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    more = hard.where(~F.col("skip")).withColumn("salt", every).join(dealt, ["token", "salt"]).select(ident, "product_id", weighed)
+    found = rare.unionByName(_without(more, exclude, ident)).groupBy(ident, "product_id").agg(F.sum("score").alias("score"))
+    # what the skipped ones may still add decides which documents have to be completed
+    left = hard.groupBy(ident).agg(F.sum(F.when(F.col("skip"), F.col("bound")).otherwise(0.0)).alias("left"), F.first("least").alias("least"))
+    alive = found.join(left, ident, "left").where(
+        F.col("least").isNull() | (F.col("score") + F.col("left") >= F.col("least") - MARGIN)).select(ident, "product_id", "score")
+    alive = cut_lineage(alive)
+    late = alive.select(ident, "product_id").join(hard.where("skip").select(ident, "token", "qw"), ident).join(
+        index.postings, ["product_id", "token"]).select(ident, "product_id", weighed)
+    return alive.unionByName(late).groupBy(ident, "product_id").agg(F.sum("score").alias("score"))
+
+
 def candidate_scores(index: TextIndex, queries: DataFrame, candidates: DataFrame, ident: str = "user_id") -> DataFrame:
     """(ident, product_id, query_similarity) for given pairs; 0 without a shared token."""
     pairs = candidates.select(ident, "product_id").distinct()
@@ -80,9 +140,7 @@ def recommend_from_query(index: TextIndex, queries: DataFrame, n: int = 20, excl
     """R15 for a table (ident, text): first n products by cosine (ties by id), excluded pairs removed, none
     under min_similarity: (ident, product_id, score, rank).  At min_similarity 0 or less short lists
     complete with score 0 in id order."""
-    scores = all_scores(index, queries, ident).where(F.col("score") >= min_similarity)
-    if exclude is not None:
-        scores = scores.join(exclude.select(ident, "product_id"), [ident, "product_id"], "left_anti")
+    scores = top_scores(index, queries, ident, n, exclude).where(F.col("score") >= min_similarity)
     order = Window.partitionBy(ident).orderBy(F.round("score", SCORE_DIGITS).desc(), "product_id")
     top = cut_lineage(scores.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= n)
                       .select(ident, "product_id", "score", "rank"))

@@ -56,13 +56,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 
 
-def join_hot(rows: DataFrame, table: DataFrame, key: str, share: int = 256, keys: DataFrame | None = None) -> DataFrame:
-    """Inner join of ``rows`` to ``table`` (one row per key, no null keys).  Keys that hold at least one
+def join_hot(rows: DataFrame, table: DataFrame, key: str, share: int = 256, keys: DataFrame | None = None,
+             how: str = "inner") -> DataFrame:
+    """Inner or left join of ``rows`` to ``table`` (one row per key, no null keys).  Keys that hold at least one
     ``share``-th of all rows, so at most ``share`` of them, are joined by broadcast and the others by a
     shuffle, so no task gets the rows of a hot key.  ``keys``: a written table with the key of each row, if
     ``rows`` itself is dear to read."""
     keys = rows if keys is None else keys
     total = keys.count()
     hot = F.broadcast(cut_lineage(keys.groupBy(key).count().where(F.col("count") * share >= total).select(key)))
-    head = rows.join(hot, key, "left_semi").join(F.broadcast(table.join(hot, key, "left_semi")), key)
-    return head.unionByName(rows.join(hot, key, "left_anti").join(table, key))
+    head = rows.join(hot, key, "left_semi").join(F.broadcast(table.join(hot, key, "left_semi")), key, how)
+    return head.unionByName(rows.join(hot, key, "left_anti").join(table, key, how))

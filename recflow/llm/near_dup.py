@@ -15,7 +15,7 @@ Steps, all Spark jobs between written tables:
 4. pairs of blocks that share a band key are tiles.  A first round takes each block against itself and
    its home's first block, which costs in proportion to the group and links most of a
    large group of copies.  The second round takes the remaining tiles, with blocks formed
-   anew within the linked classes, and leaves out tiles inside one class;
+   anew within the linked classes, and pairs blocks across classes only;
 5. a tile compares its candidates on full sets, after a collision-corrected
    Jaccard estimate from the registers has ruled out far pairs, and returns a spanning forest of the
    links it confirms (at most one link per node);
@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import arrow_rows, free_name
+from recflow.llm.common import arrow_rows, free_name, join_hot
 from recflow.llm.graph import components
 from recflow.llm.kernels import batches, hash_words, mix64, shingle_hashes, word_offsets
 from recflow.session import cut_lineage
@@ -49,6 +49,8 @@ BUCKETS = BANDS * ROWS
 _BUCKET_BITS = 9
 MANTISSA_BITS = 10
 BLOCK_SHINGLES = 40_000
+#: about as many texts are in a block of short ones
+BLOCK_NODES = 400
 #: rows per batch sent to Python: a batch holds whole texts or sets
 ARROW_ROWS = 1_000
 _STRIDES = np.random.default_rng(11).integers(0, BUCKETS // 2, BUCKETS) * 2 + 1
@@ -194,12 +196,31 @@ def _verify(sets: DataFrame, tiles: DataFrame, percent: int) -> DataFrame:
 
 
 def _dealt(nodes: DataFrame, group: str) -> DataFrame:
-    """(node, group, block): each group's nodes dealt into blocks of about BLOCK_SHINGLES shingles."""
-    sizes = nodes.groupBy(group).agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    dealt = nodes.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    """(node, group, block): each group's nodes (written) dealt into blocks of about BLOCK_SHINGLES shingles, in which
+    a node counts for at least BLOCK_SHINGLES / BLOCK_NODES of them."""
+    weight = F.greatest(F.col("n"), F.lit(BLOCK_SHINGLES // BLOCK_NODES))
+    sizes = nodes.groupBy(group).agg(F.ceil(F.sum(weight) / BLOCK_SHINGLES).alias("blocks"))
+    dealt = join_hot(nodes, sizes, group).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("blocks")))
     return dealt.withColumn("block", F.concat_ws("/", F.col(group).cast("string"), F.col("chunk").cast("string")))
 
 
+def _open_tiles(seen: DataFrame) -> DataFrame:
+    """Tiles (left, right) of blocks that share a band key and are not inside one class; ``seen`` (written): (key, block,
+    lo, hi) with the smallest and largest class that a block has under a key.
+
+    Under a key the blocks of its most frequent class (its host) meet the other blocks only, never each other, so a
+    group that the first round has linked costs its blocks and not their pairs."""
+    several = seen.groupBy("key").agg(F.min("lo").alias("low"), F.max("hi").alias("high")).where("low < high").select("key")
+    seen = cut_lineage(seen.join(several, "key", "left_semi"))
+    hosts = seen.where("lo = hi").groupBy("key", F.col("lo").alias("host")).count().groupBy("key").agg(
+        F.max_by("host", F.struct("count", "host")).alias("host"))
+    rows = seen.join(hosts, "key", "left").withColumn("guest", F.coalesce(
+        (F.col("lo") < F.col("hi")) | (F.col("lo") != F.col("host")), F.lit(True)))
+    pairs = rows.where("guest").alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (
+        ~F.col("y.guest") | (F.col("x.block") <= F.col("y.block"))) & (F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")))
+    return pairs.select(F.least("x.block", "y.block").alias("left"), F.greatest("x.block", "y.block").alias("right")).distinct()
+
+
 def _linked(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows with their set's size and digest, nodes, classes of the linked nodes) of (id, text), all written."""
     sketched = cut_lineage(src.select("id", F.xxhash64("text").alias("hash"), sketch_udf(k)("text").alias("s"))
@@ -232,17 +253,15 @@ def _linked(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame,
     classes = components(links)
 
     # round 2: tiles with a shared band key that are not inside one class
-    again = blocks.select("node", "n", "home").join(classes, "node", "left").withColumn(
-        "class", F.coalesce("component", "node"))
+    again = cut_lineage(blocks.select("node", "n", "home").join(classes, "node", "left").withColumn(
+        "class", F.coalesce("component", "node")))
     big = again.groupBy("class").agg(F.sum("n").alias("size")).where(F.col("size") >= BLOCK_SHINGLES).select("class")
-    grouped = again.join(big.withColumn("big", F.lit(True)), "class", "left").withColumn(
-        "group", F.when(F.col("big"), F.col("class")).otherwise(-1 - F.col("home")))
-    placed = cut_lineage(_dealt(grouped, "group").select("node", "class", "block", "big"))
+    grouped = cut_lineage(join_hot(again, big.withColumn("big", F.lit(True)), "class", how="left").withColumn(
+        "group", F.when(F.col("big"), F.col("class")).otherwise(-1 - F.col("home"))))
+    placed = cut_lineage(_dealt(grouped, "group").select("node", "class", "block"))
     seen = met.select("key", "node").join(placed, "node").groupBy("key", "block").agg(
         F.min("class").alias("lo"), F.max("class").alias("hi"))
-    pairs = seen.alias("x").join(seen.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block")))
-    open_ = pairs.where(F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi")).select(
-        F.col("x.block").alias("left"), F.col("y.block").alias("right")).distinct()
+    open_ = _open_tiles(cut_lineage(seen))
     more = cut_lineage(_verify(sets.join(placed.select("node", "block"), "node"), open_, percent))
     labels = components(links.unionByName(more))
     return sketched, nodes, labels

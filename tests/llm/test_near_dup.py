@@ -116,3 +116,26 @@ def test_components_on_a_long_chain(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_tiles_across_classes_only(spark):
+    """Against all pairs of blocks that share a key and do not lie inside one class."""
+    rng = random.Random(3)
+    rows = {}
+    for key in range(30):
+        for block in rng.sample(range(20), rng.randrange(1, 12)):
+            lo = rng.choice([1, 1, 1, 2, 3])
+            rows[key, f"b{block}"] = (lo, lo + rng.choice([0, 0, 0, 1]))
+    rows.update({(99, f"b{i}"): (7, 7) for i in range(20)})
+    want = {tuple(sorted((a, b))) for (k, a), x in rows.items() for (m, b), y in rows.items()
+            if k == m and min(x[0], y[0]) < max(x[1], y[1])}
+    seen = spark.createDataFrame([(*k, *v) for k, v in rows.items()], "key long, block string, lo long, hi long")
+    assert sorted(tuple(r) for r in near_dup._open_tiles(seen).collect()) == sorted(want)
+
+
+def test_short_texts_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", 5)
+    rows = [(i, f"{prose(random.Random(i % 7), 12)} t{i % 3}") for i in range(150)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in got} == brute(rows, 4)

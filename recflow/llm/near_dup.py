@@ -272,10 +272,10 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = SIMILARITY_P
     """One row per document: ident, n_shingles, component_id, kept."""
     with arrow_rows(docs.sparkSession, ARROW_ROWS):
         sketched, nodes, labels = _linked(docs.select(F.col(ident).alias("id"), F.col(text).alias("text")), k, percent)
-    named = nodes.select("node", "d1", "d2", "first").join(labels, "node", "left").withColumn(
-        "class", F.coalesce("component", "node"))
-    smallest = named.groupBy("class").agg(F.min("first.id").alias("component_id"))
-    of_set = cut_lineage(named.join(smallest, "class").select("d1", "d2", "component_id"))
+    named = cut_lineage(nodes.select("node", "d1", "d2", "first.id").join(labels, "node", "left").select(
+        "d1", "d2", "id", F.coalesce("component", "node").alias("class")))
+    smallest = named.groupBy("class").agg(F.min("id").alias("component_id"))
+    of_set = cut_lineage(join_hot(named, smallest, "class").select("d1", "d2", "component_id"))
     out = sketched.select("id", "n", "d1", "d2").where("n > 0").join(of_set, ["d1", "d2"]).select("id", "n", "component_id")
     alone = sketched.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return out.unionByName(alone).select(

@@ -45,7 +45,9 @@ def cell_order(centroids: np.ndarray, depth: int):
     def order(vec: pd.Series) -> pd.Series:
         if not len(vec):
             return pd.Series([], dtype=object)
-        near = np.argsort(-(np.stack(vec.to_numpy()).astype("float64") @ centroids.T), axis=1, kind="stable")
+        score = np.stack(vec.to_numpy()).astype("float64") @ centroids.T
+        # the nearest one needs no order of all cells
+        near = score.argmax(axis=1)[:, None] if depth == 1 else np.argsort(-score, axis=1, kind="stable")
         return pd.Series(list(near[:, :depth].astype(np.int32)))
 
     return order
@@ -83,12 +85,10 @@ def _best_in_part(k: int, exclude_self: bool):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         q, m = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if q.empty or m.empty:
-            found = ([], [], [])
-        else:
-            score = np.stack(q["vec"].to_numpy()) @ np.stack(m["vec"].to_numpy()).T
-            found = K._topk_rows(q["id"].to_numpy(), m["id"].to_numpy(), score, k, exclude_self)
-        return pd.DataFrame(dict(zip(("query_id", "neighbor_id", "score"), found))).astype(
-            {"query_id": "int64", "neighbor_id": "int64", "score": "float64"})
+            return pd.DataFrame(columns=["query_id", "neighbor_id", "score"]).astype(
+                {"query_id": "int64", "neighbor_id": "int64", "score": "float64"})
+        vec = lambda x: np.stack(x["vec"].to_numpy()).astype("float64")
+        return K.top_rows(q["id"].to_numpy(), vec(q), m["id"].to_numpy(), vec(m), k, exclude_self)
     return fn
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.operators.knn import SCORE_DIGITS
+from recflow.operators.search import rank_level
 from recflow.plans.fill import complete_in_id_order
 from recflow.session import cut_lineage
 
@@ -31,6 +32,16 @@ def term_counts(texts: DataFrame, ident: str, text: str = "text") -> DataFrame:
         .groupBy(ident, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+#: rows of a written table up to which it is sent to all tasks
+BROADCAST_ROWS = 100_000
+
+
+def by_size(written: DataFrame) -> DataFrame:
+    """A written table as a side of a join, by its number of rows: estimates from compressed files are often too small, and a table
+    that is sent to all tasks goes through the driver."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written.hint("merge")
+
+
 def inverse_frequencies(counts: DataFrame, texts: DataFrame) -> DataFrame:
     """(token, idf) = ln((documents + 1) / (documents with the token + 1))."""
     n = texts.agg(F.count(F.lit(1)).alias("n"))
@@ -40,9 +51,10 @@ def inverse_frequencies(counts: DataFrame, texts: DataFrame) -> DataFrame:
 
 def unit_postings(counts: DataFrame, idf: DataFrame, ident: str) -> DataFrame:
     """(ident, token, w): tf * idf scaled to unit length per document; zero weights left out."""
-    w = counts.join(idf.where("idf > 0"), "token").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(F.col(ident).alias("_id")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, F.col(ident) == F.col("_id")).select(ident, "token", (F.col("w") / F.col("norm")).alias("w"))
+    w = counts.where(F.col(ident).isNotNull()).join(by_size(idf.where("idf > 0")), "token").withColumn("w", F.col("tf") * F.col("idf"))
+    # the window holds the words of one text
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(ident)))
+    return w.withColumn("norm", norm).select(ident, "token", (F.col("w") / F.col("norm")).alias("w"))
 
 
 @dataclass
@@ -88,34 +100,40 @@ def frequent_tokens(index: TextIndex, hot_postings: int) -> DataFrame:
     return sizes.where(F.col("df") > hot_postings).select("token", "peak")
 
 
-def skippable(hard: DataFrame, found: DataFrame, ident: str, n: int) -> DataFrame:
-    """``hard`` (ident, token, qw, peak) with ``least``, the n-th best score of ``found`` (ident, product_id, score), null if there
+def skippable(hard: DataFrame, found: DataFrame, ident: str, n: int, depth: DataFrame | None = None) -> DataFrame:
+    """``hard`` (ident, token, qw, peak) with ``least``, the n-th best (``depth``: that of each query's own number) score of ``found`` (ident, product_id, score), null if there
     are fewer, and ``skip``: the weakest frequent tokens whose bounds together stay below it."""
     order = Window.partitionBy(ident).orderBy(F.col("score").desc())
-    least = found.withColumn("r", F.row_number().over(order)).where(F.col("r") == n).select(ident, F.col("score").alias("least"))
+    ranked = found.withColumn("r", F.row_number().over(order))
+    ranked = ranked.withColumn("depth", F.lit(n)) if depth is None else ranked.join(depth.select(ident, "depth"), ident)
+    least = ranked.where(F.col("r") == F.col("depth")).select(ident, F.col("score").alias("least"))
     bound = F.col("qw") * F.col("peak")
     upto = F.sum(bound).over(Window.partitionBy(ident).orderBy(bound, "token"))
     return hard.join(least, ident, "left").withColumn("bound", bound).withColumn(
         "skip", F.coalesce(upto < F.col("least") - MARGIN, F.lit(False)))
 
 
-def top_scores(index: TextIndex, queries: DataFrame, ident: str, n: int, exclude: DataFrame | None = None) -> DataFrame:
-    """(ident, product_id, score) that holds each query's first n products by cosine with their exact scores, excluded
+def top_scores(index: TextIndex, queries: DataFrame, ident: str, n: int, exclude: DataFrame | None = None,
+               depth: DataFrame | None = None) -> DataFrame:
+    """(ident, product_id, score) that holds each query's first n products (``depth``: its own number of them) by cosine with their exact scores, excluded
     pairs left out; a query with fewer than n products with a score gets all of them."""
     asked = cut_lineage(index.encode(queries, ident))
     hot = cut_lineage(frequent_tokens(index, HOT_POSTINGS))
     weighed = (F.col("w") * F.col("qw")).alias("score")
+    postings = index.postings.hint("merge")
     if hot.isEmpty():
-        return _without(asked.join(index.postings, "token").select(ident, "product_id", weighed).groupBy(
+        return _without(by_size(asked).join(index.postings, "token").select(ident, "product_id", weighed).groupBy(
             ident, "product_id").agg(F.sum("score").alias("score")), exclude, ident)
-    rare = asked.join(hot, "token", "left_anti").join(index.postings, "token").select(ident, "product_id", weighed)
+    rare = cut_lineage(asked.join(hot, "token", "left_anti"))
+    rare = by_size(rare).join(index.postings, "token").select(ident, "product_id", weighed)
     rare = cut_lineage(_without(rare.groupBy(ident, "product_id").agg(F.sum("score").alias("score")), exclude, ident))
-    hard = cut_lineage(skippable(asked.join(hot, "token"), rare, ident, n))
+    hard = cut_lineage(skippable(asked.join(hot, "token"), rare, ident, n, depth))
     # frequent tokens that may bring in documents: all their postings, dealt by document
     salt = F.pmod(F.xxhash64("product_id"), F.lit(SALTS))
-    dealt = index.postings.join(hot.select("token"), "token", "left_semi").withColumn("salt", salt)
+    dealt = postings.join(hot.select("token"), "token", "left_semi").withColumn("salt", salt)
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    more = hard.where(~F.col("skip")).withColumn("salt", every).join(dealt, ["token", "salt"]).select(ident, "product_id", weighed)
+    needed = cut_lineage(hard.where(~F.col("skip")).select(ident, "token", "qw").withColumn("salt", every))
+    more = by_size(needed).join(dealt, ["token", "salt"]).select(ident, "product_id", weighed)
     found = rare.unionByName(_without(more, exclude, ident)).groupBy(ident, "product_id").agg(F.sum("score").alias("score"))
     # what the skipped ones may still add decides which documents have to be completed
     left = hard.groupBy(ident).agg(F.sum(F.when(F.col("skip"), F.col("bound")).otherwise(0.0)).alias("left"), F.first("least").alias("least"))
@@ -123,14 +141,15 @@ def top_scores(index: TextIndex, queries: DataFrame, ident: str, n: int, exclude
         F.col("least").isNull() | (F.col("score") + F.col("left") >= F.col("least") - MARGIN)).select(ident, "product_id", "score")
     alive = cut_lineage(alive)
     late = alive.select(ident, "product_id").join(hard.where("skip").select(ident, "token", "qw"), ident).join(
-        index.postings, ["product_id", "token"]).select(ident, "product_id", weighed)
+        postings, ["product_id", "token"]).select(ident, "product_id", weighed)
     return alive.unionByName(late).groupBy(ident, "product_id").agg(F.sum("score").alias("score"))
 
 
 def candidate_scores(index: TextIndex, queries: DataFrame, candidates: DataFrame, ident: str = "user_id") -> DataFrame:
     """(ident, product_id, query_similarity) for given pairs; 0 without a shared token."""
     pairs = candidates.select(ident, "product_id").distinct()
-    hits = pairs.join(index.encode(queries, ident), ident).join(index.postings, ["product_id", "token"]).groupBy(
+    hits = pairs.join(index.encode(queries, ident), ident).join(
+        index.postings.hint("merge"), ["product_id", "token"]).groupBy(
         ident, "product_id").agg(F.sum(F.col("w") * F.col("qw")).alias("query_similarity"))
     return pairs.join(hits, [ident, "product_id"], "left").fillna({"query_similarity": 0.0})
 
@@ -139,11 +158,34 @@ def recommend_from_query(index: TextIndex, queries: DataFrame, n: int = 20, excl
                          min_similarity: float = 0.0, ident: str = "user_id") -> DataFrame:
     """R15 for a table (ident, text): first n products by cosine (ties by id), excluded pairs removed, none
     under min_similarity: (ident, product_id, score, rank).  At min_similarity 0 or less short lists
-    complete with score 0 in id order."""
-    scores = top_scores(index, queries, ident, n, exclude).where(F.col("score") >= min_similarity)
-    order = Window.partitionBy(ident).orderBy(F.round("score", SCORE_DIGITS).desc(), "product_id")
-    top = cut_lineage(scores.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= n)
-                      .select(ident, "product_id", "score", "rank"))
+    complete with score 0 in id order.
+
+    A text is searched once for everybody who asks for it, as deep as the one with the most excluded products of the index
+    needs; each joins the levels of its list (``search.rank_level``) up to their own need."""
+    # the words of all texts of a key are one query
+    wanted = queries.groupBy(ident).agg(F.concat_ws(" ", F.sort_array(F.collect_list("text"))).alias("text"))
+    wanted = wanted.withColumn("need", F.lit(n).cast("long"))
+    if exclude is not None:
+        out = exclude.select(ident, "product_id").distinct()
+        places = out.join(index.ids, "product_id").groupBy(ident).agg(F.count(F.lit(1)).alias("places"))
+        wanted = wanted.join(places, ident, "left").withColumn("need", F.col("need") + F.coalesce("places", F.lit(0))).drop("places")
+    wanted = cut_lineage(wanted)
+    lists = wanted.where(F.col(ident).isNotNull() & (F.col("text") != "")).groupBy("text").agg(F.max("need").alias("depth"))
+    # one written table, so the numbers stay with their rows
+    lists = cut_lineage(lists.withColumn("text_id", F.monotonically_increasing_id()))
+    scores = top_scores(index, lists.select("text_id", "text"), "text_id", n, depth=lists).where(F.col("score") >= min_similarity)
+    order = Window.partitionBy("text_id").orderBy(F.round("score", SCORE_DIGITS).desc(), "product_id")
+    near = scores.withColumn("place", F.row_number().over(order).cast("bigint")).join(
+        F.broadcast(lists.select("text_id", "depth")) if lists.count() <= BROADCAST_ROWS else lists.select("text_id", "depth"),
+        "text_id").where(F.col("place") <= F.col("depth"))
+    near = cut_lineage(near.select("text_id", "product_id", "score", "place", rank_level(F.col("place")).alias("level")))
+    per = wanted.where(F.col(ident).isNotNull()).join(by_size(lists.select("text_id", "text")), "text").withColumn(
+        "level", F.explode(F.sequence(F.lit(0), rank_level(F.col("need")))))
+    per = per.join(by_size(near), ["text_id", "level"]).where(F.col("place") <= F.col("need")).select(ident, "product_id", "score", "place")
+    if exclude is not None:
+        per = per.join(out, [ident, "product_id"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy(ident).orderBy("place")).cast("bigint")
+    top = cut_lineage(per.withColumn("rank", rank).where(F.col("rank") <= n).select(ident, "product_id", "score", "rank"))
     if min_similarity > 0:
         return top
     found = top.groupBy(ident).agg(F.count(F.lit(1)).alias("k"))

@@ -131,24 +131,41 @@ def fit_cf(interactions: DataFrame) -> CFModel:
                    popularity(interactions), dims["u"], dims["i"])
 
 
-def _predictions(rows, cols, product, own, ri):
-    """(predictions, unseen mask) of a tile."""
+#: share of a tile's cells from which on its best are taken from the dense tile
+DENSE_SHARE = 1 / 8
+
+
+def _predictions(rows, cols, product, own, ri, at=None):
+    """(row numbers, column numbers, predictions, unseen) of the cells ``at`` of a tile, or of all those whose prediction
+    can differ from zero: work follows these, not the tile."""
     value, nonzero, den = np.zeros(product.shape), np.zeros(len(rows)), np.ones(len(rows))
     i, j, ok = blocks.cells_at(rows, cols, own["row"].to_numpy(), own["other"].to_numpy())
     value[i, j] = own["y"].to_numpy(dtype="float64")[ok]
     nonzero[ri], den[ri] = own["z"].to_numpy(dtype="float64"), own["d"].to_numpy(dtype="float64")
-    return (product - nonzero[:, None] * value) / den[:, None], value <= 0
+    i, j = np.nonzero((product != 0) | (value != 0)) if at is None else at
+    y = value[i, j]
+    return i, j, (product[i, j] - nonzero[i] * y) / den[i], y <= 0
 
 
 def predicted_top(model: CFModel, n: int, exclude: DataFrame | None = None) -> DataFrame:
     """(user_id, product_id, pred): each user's n best unseen, not excluded cells with a prediction,
     per item tile (a window over these gives the overall best n)."""
     def best(rows, cols, product, own, ri, marks):
-        pred, unseen = _predictions(rows, cols, product, own, ri)
-        i, j, _ = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())
-        unseen[i, j] = False
-        i, j = blocks.top_cells(rows, cols, pred, unseen & (pred != 0), n, ORDER_DIGITS)
-        return pd.DataFrame({"user_id": rows[i], "product_id": cols[j], "pred": pred[i, j]})
+        i, j, pred, unseen = _predictions(rows, cols, product, own, ri)
+        out = np.zeros(product.shape, dtype=bool)
+        mi, mj, _ = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())
+        out[mi, mj] = True
+        ok = unseen & (pred != 0) & ~out[i, j]
+        i, j, pred = i[ok], j[ok], pred[ok]
+        if len(i) >= DENSE_SHARE * product.size:
+            dense, allowed = np.zeros(product.shape), np.zeros(product.shape, dtype=bool)
+            dense[i, j], allowed[i, j] = pred, True
+            i, j = blocks.top_cells(rows, cols, dense, allowed, n, ORDER_DIGITS)
+            pred = dense[i, j]
+        else:
+            best_at = blocks.first_cells(i, cols[j], pred, n, ORDER_DIGITS)
+            i, j, pred = i[best_at], j[best_at], pred[best_at]
+        return pd.DataFrame({"user_id": rows[i], "product_id": cols[j], "pred": pred})
 
     marks = None if exclude is None else exclude.select(
         F.col("user_id").alias("row"), F.col("product_id").alias("col"), F.lit(1).alias("mark")).distinct()
@@ -159,10 +176,10 @@ def predicted_top(model: CFModel, n: int, exclude: DataFrame | None = None) -> D
 def predicted_cells(model: CFModel, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(predictions of the unseen ones of ``cells``, one row (lo, hi): the range of all unseen cells)."""
     def pick(rows, cols, product, own, ri, marks):
-        pred, unseen = _predictions(rows, cols, product, own, ri)
-        i, j, _ = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())
-        ok = unseen[i, j]
-        out = pd.DataFrame({"user_id": rows[i[ok]], "product_id": cols[j[ok]], "pred": pred[i[ok], j[ok]]})
+        asked = blocks.cells_at(rows, cols, marks["row"].to_numpy(), marks["other"].to_numpy())[:2]
+        i, j, pred, ok = _predictions(rows, cols, product, own, ri, asked)
+        out = pd.DataFrame({"user_id": rows[i[ok]], "product_id": cols[j[ok]], "pred": pred[ok]})
+        _, _, pred, unseen = _predictions(rows, cols, product, own, ri)
         some = pred[unseen & (pred != 0)]
         if len(some):
             out = pd.concat([out, pd.DataFrame({"lo": [some.min()], "hi": [some.max()], "cells": [len(some)]})])
@@ -187,9 +204,9 @@ def cf_predictions(model: CFModel) -> DataFrame:
     """R6 for every cell that has a prediction: (user_id, product_id, cf_score) of all unseen cells whose prediction is not
     zero, scaled by the global range.  Its size is that of the sparse product, not users x items."""
     def every(rows, cols, product, own, ri, marks):
-        pred, unseen = _predictions(rows, cols, product, own, ri)
-        i, j = np.nonzero(unseen & (pred != 0))
-        return pd.DataFrame({"user_id": rows[i], "product_id": cols[j], "pred": pred[i, j]})
+        i, j, pred, unseen = _predictions(rows, cols, product, own, ri)
+        ok = unseen & (pred != 0)
+        return pd.DataFrame({"user_id": rows[i[ok]], "product_id": cols[j[ok]], "pred": pred[ok]})
 
     found = cut_lineage(blocks.tiled_product(model.left, model.gram, model.n_users, model.n_items, every,
                                              "user_id long, product_id long, pred double"))

@@ -15,8 +15,9 @@ from recflow.plans.fill import complete_in_id_order
 from recflow.session import cut_lineage
 
 
-#: candidate rows of a block of users, and pairs that are multiplied at once
-ROWS_PER_BLOCK, PAIRS_PER_CHUNK = 32768, 1 << 16
+#: candidate rows of a block of users (every block gets its own copy of the vectors it needs), and pairs that are multiplied
+#: at once
+ROWS_PER_BLOCK, PAIRS_PER_CHUNK = 131072, 1 << 16
 
 
 def _similar_to_seeds(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -53,7 +54,7 @@ def history_similarity(seeds: DataFrame, candidates: DataFrame, vectors: DataFra
     multiplies inside, so there are no seed x candidate rows.  ``candidates`` is asked for its size: it should come from a
     written table."""
     rows = candidates.count()
-    blocks = max(1, math.ceil(rows / ROWS_PER_BLOCK), min(16, math.ceil(rows / 2048)))
+    blocks = max(1, math.ceil(rows / ROWS_PER_BLOCK), min(48, math.ceil(rows / 4096)))
     pair = lambda df, side: df.where("user_id is not null and product_id is not null").select(
         F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(blocks)).cast("int").alias("block"), F.lit(side).alias("side"),
         F.col("user_id").cast("bigint").alias("user_id"), F.col("product_id").cast("bigint").alias("product_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.plans.ranking import global_rank
+from recflow.session import cut_lineage
 
 
 def holdout_targets(behavior: DataFrame) -> DataFrame:
@@ -31,6 +32,8 @@ def assign_splits(targets: DataFrame, seed: int = 42, train_ratio: float = 0.70,
     """Exact split by shuffled position with floor bounds
     (counts equal the reference's; membership comes from a seeded hash order,
     repeatable under any partitioning, T9)."""
+    # counted and ranked: computed once
+    targets = cut_lineage(targets)
     n = targets.count()
     train_end = int(n * train_ratio)
     val_end = train_end + int(n * val_ratio)
@@ -108,8 +111,10 @@ def random_negatives(users: DataFrame, catalog_ids: DataFrame, knocked: DataFram
     a = _draw(seed, "a") % F.lit(p - 1) + 1
     b = _draw(seed, "b") % F.lit(p)
     steps = F.least(F.lit(p), F.lit(size) + F.col("e") + F.lit(p - n)).cast("bigint")
-    walk = kc.select("user_id", a.alias("a"), b.alias("b"),
-                     F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("j"))
+    # dealt before the walks grow: a user's numbers are drawn once, not per step, and all cores walk
+    n_parts = max(int(users.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")), 1)
+    drawn = kc.select("user_id", a.alias("a"), b.alias("b"), steps.alias("steps")).repartition(n_parts, "user_id")
+    walk = drawn.select("user_id", "a", "b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("steps") - 1)).alias("j"))
     walk = walk.select("user_id", "j", F.pmod(F.col("a") * F.col("j") + F.col("b"), F.lit(p)).alias("_g0")) \
         .where(F.col("_g0") < n).withColumn("_g", F.col("_g0") + 1)
     ranked = global_rank(catalog_ids.select("product_id").distinct(), ["product_id"], name="_g")

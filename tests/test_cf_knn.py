@@ -96,3 +96,35 @@ def test_knn_blocked_matches_bruteforce(spark):
     pairs = K.all_pairs(df, nb=3)
     assert pairs.count() == 40 * 39 // 2
     assert pairs.where(F.col("left_id") >= F.col("right_id")).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_best_cells_of_a_tile_do_not_depend_on_how_full_it_is(spark, monkeypatch, share):
+    """Taken from the dense tile or from its cells alone."""
+    inter, rows = _random_interactions(spark)
+    monkeypatch.setattr(CF, "DENSE_SHARE", share)
+    want = _weighted_means(rows)
+    items = sorted({r[1] for r in rows})
+    got = {}
+    for r in CF.predicted_top(CF.fit_cf(inter), len(items)).collect():
+        got.setdefault(r["user_id"], {})[r["product_id"]] = r["pred"]
+    for user, own in want.items():
+        assert got.get(user, {}) == pytest.approx({i: v for i, v in own.items() if v != 0}, abs=1e-12)
+
+
+def test_gram_of_sparse_keys_builds_no_dense_sides():
+    """A block of many keys with a cell each: only the sums are a dense array."""
+    import tracemalloc
+
+    import pandas as pd
+
+    from recflow.operators import blocks
+    n = 2048
+    ids = np.arange(n)
+    cells = pd.concat([pd.DataFrame({"k": ids, "c": ids, "x": 2.0, "side": side}) for side in (0, 1)])
+    tracemalloc.start()
+    out = blocks._block_product(cells)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (out["a"] == out["b"]).all() and (out["v"] == 4.0).all() and len(out) == n
+    assert peak < 1.5 * 8 * n * n

@@ -63,3 +63,50 @@ def test_relevance_counts_bruteforce(spark):
         h = [sum(1 for o in others if sum(same(o, k) for k in (1, 2, 3, 4)) == L) for L in range(5)]
         r = got[q[0]]
         assert (r["n_structured"], r["n_exact"], [r[f"h{L}"] for L in range(5)]) == (struct, exact, h)
+
+
+def test_targets_are_computed_once_for_the_split(spark):
+    """Counting and ranking read what was written, not the holdout again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for frame in rows:
+            seen.add(len(frame))
+            yield frame
+
+    users = spark.range(20).withColumnRenamed("id", "user_id").mapInPandas(count, "user_id long")
+    assert RD.assign_splits(users).count() == 20
+    assert seen.value == 20
+
+
+def test_ranking_setup_parses_the_events_once(spark, tmp_path):
+    """What the setup returns is read from written tables, not from the sources again."""
+    from recflow.plans.queries import _ranking_setup
+    at = lambda name: str(tmp_path / f"{name}.parquet")
+    spark.range(40).selectExpr(
+        "id % 4 as user_id", "concat('{\"k\": ', id % 7, '}') as props", "if(id % 3 = 0, 'purchase', 'view') as event_type",
+        "timestamp_seconds(id * 1000) as ts").write.parquet(at("events"))
+    spark.range(9).selectExpr("id as p_partkey", "'red bolt' as p_name", "'ECONOMY' as p_type", "'Brand#1' as p_brand",
+                              "900.0D + id as p_retailprice", "3 as p_size").write.parquet(at("part"))
+    spark.range(9).selectExpr("id as vec_id", "array(float(id), 1f) as embedding", "id as label").write.parquet(at("embeddings"))
+    beh, _, observed, cat, _ = _ranking_setup(spark, str(tmp_path))
+    assert beh.count() == 40 and cat.count() == 9
+    for df in (beh, observed, cat):
+        assert not df.inputFiles()
+
+
+def test_norm_is_evaluated_once_per_vector(spark):
+    from recflow.functions.vectors import l2_normalize
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,)], "v array<double>").select(l2_normalize("v").alias("u"))
+    assert [r["u"] for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None]
+    assert "/ greatest(" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_random_negatives_draw_once_per_user(spark):
+    """The digests are drawn below the steps of the walk, in rows dealt over all partitions."""
+    users = spark.range(50).withColumnRenamed("id", "user_id")
+    out = RD.random_negatives(users, spark.range(30).withColumnRenamed("id", "product_id"),
+                              users.selectExpr("user_id", "user_id % 30 as product_id"), 5)
+    assert out.count() == 250
+    above, below = out._jdf.queryExecution().optimizedPlan().toString().split("Generate explode", 1)
+    assert "md5" not in above and "md5" in below and "RepartitionByExpression" in below

@@ -15,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recflow.llm import decontam, langid, mixing, near_dup, secrets
-from recflow.llm.common import free_name, read_table
+from recflow.llm.common import arrow_rows, free_name, read_table
 from recflow.session import cut_lineage, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; ``lang`` is only read to learn."""
+    """Documents in one of the learned languages; ``lang`` is only read to learn.  Written here, because the size of the
+    batches sent to Python counts when the plan runs."""
     ship_package(spark)
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))).select("text", "lang"))
     name = free_name(docs, "language")
-    named = langid.identify(docs, model, name=name)
-    return named.where(langid.accepted(F.col(name))).drop(name)
+    with arrow_rows(spark, langid.ARROW_ROWS):
+        named = langid.identify(docs, model, name=name)
+        return cut_lineage(named.where(langid.accepted(F.col(name))).drop(name))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

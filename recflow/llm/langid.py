@@ -35,7 +35,7 @@ STRENGTH = 2.0
 ROUNDS = 8
 PENALTY = 2.0
 UNKNOWN_BITS = 6.0
-#: rows per batch sent to Python while counting
+#: rows per batch sent to Python while counting, and in the pipeline
 ARROW_ROWS = 1_000
 _LETTER = re.compile(r"[^\W\d_]")
 #: letters (ASCII, lower-cased by the caller) and bytes of non-ASCII characters

@@ -1,5 +1,8 @@
 import random
 
+import pandas as pd
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from recflow.llm import langid
 from tests.llm.fixtures import SCHEMA, awkward_rows
@@ -95,3 +98,20 @@ def test_awkward_and_empty_tables(spark, tmp_path):
 def test_unlabelled_corpus_goes(spark):
     model = langid.train(spark.createDataFrame([], SCHEMA))
     assert model.languages == ()
+
+
+def test_language_stage_sends_bounded_batches(spark, monkeypatch):
+    """Whole texts go to Python at most ARROW_ROWS rows at once; the session's own setting stays."""
+    own = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def stub(model):
+        @F.pandas_udf("lang string, score double, bits double")
+        def rows_at_once(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame({"lang": "en", "score": float(len(texts)), "bits": 0.0}, index=range(len(texts)))
+        return rows_at_once
+
+    monkeypatch.setattr(langid, "identify_udf", stub)
+    monkeypatch.setattr(langid, "accepted", lambda language: language["score"] <= langid.ARROW_ROWS)
+    docs = spark.range(0, 3500, 1, 1).selectExpr("id as doc_id", "'some words' as text", "'en' as lang")
+    assert corpus_pipeline.language_id(spark, docs, "").count() == 3500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == own

@@ -37,15 +37,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.  Written here, as in ``language_id``."""
     ship_package(spark)
-    return decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    with arrow_rows(spark, decontam.ARROW_ROWS):
+        return cut_lineage(decontam.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with every secret replaced by a mark; n_chars follows the text."""
+    """The same documents with every secret replaced by a mark; n_chars follows the text.  Written here, as in
+    ``language_id``."""
     ship_package(spark)
-    clean = secrets.redact(docs)
+    with arrow_rows(spark, secrets.ARROW_ROWS):
+        clean = cut_lineage(secrets.redact(docs))
     return clean.withColumn("n_chars", F.char_length("text").cast("long"))
 
 

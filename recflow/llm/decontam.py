@@ -49,6 +49,8 @@ SAMPLED = 4
 #: random items per length that measure the recall, and the most tables of a window size
 TRIALS, MAX_TABLES = 600, 40
 BLOCK_CHARS = 4 << 20
+#: texts to send to Python at once where whole texts are searched
+ARROW_ROWS = 1_000
 _LUT_BITS = 20
 _PAD = WINDOWS[-1] + 4
 

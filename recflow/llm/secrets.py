@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recflow.llm.common import free_name
+from recflow.llm.common import arrow_rows
 
 MIN_TOKEN = 20
 ALPHA = 0.001
@@ -43,6 +43,8 @@ FDR = 0.01
 BIN = 0.25
 MAX_BIN = 2000
 LENGTH_CLASSES = 24
+#: texts that are sent to Python at once
+ARROW_ROWS = 1_000
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -201,8 +203,10 @@ def corpus_thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) ->
                     seen[cls, at] = seen.get((cls, at), 0) + 1
         yield pd.DataFrame([(c, b, n) for (c, b), n in seen.items()], columns=["cls", "bin", "n"])
 
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(count, "cls int, bin int, n long") \
-        .groupBy("cls", "bin").agg(F.sum("n").alias("n")).collect()  # at most LENGTH_CLASSES * MAX_BIN rows
+    counts = docs.select(F.col(text).alias("t")).mapInPandas(count, "cls int, bin int, n long") \
+        .groupBy("cls", "bin").agg(F.sum("n").alias("n"))
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        rows = counts.collect()  # at most LENGTH_CLASSES * MAX_BIN rows
     out: dict[int, int] = {}
     for cls in {r["cls"] for r in rows}:
         own = sorted(((r["bin"], r["n"]) for r in rows if r["cls"] == cls), reverse=True)
@@ -214,17 +218,19 @@ def corpus_thresholds(docs: DataFrame, text: str = "text", fdr: float = FDR) ->
     return out
 
 
-def span_udf(thresholds: dict[int, int]):
-    """Pandas UDF: text -> array of (start, kind number, end), sorted; tokens that
-    touch a base span are left out."""
+def _spans_of(text: str, thresholds: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(start, kind number, end), sorted; tokens that touch a base span are left out."""
+    added = [(s, 3, e) for s, e, cls, at in further_tokens(text) if at >= thresholds.get(cls, MAX_BIN + 1)]
+    return sorted(base_spans(text) + added)
+
 
-    def of(text: str) -> list[tuple[int, int, int]]:
-        added = [(s, 3, e) for s, e, cls, at in further_tokens(text) if at >= thresholds.get(cls, MAX_BIN + 1)]
-        return sorted(base_spans(text) + added)
+def span_udf(thresholds: dict[int, int]):
+    """Pandas UDF: text -> array of (start, kind number, end), sorted."""
 
     @F.pandas_udf("array<struct<start:int,kind:int,end:int>>")
     def spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": s, "kind": k, "end": e} for s, k, e in of(t or "")] for t in texts], dtype=object)
+        return pd.Series([[{"start": s, "kind": k, "end": e} for s, k, e in _spans_of(t or "", thresholds)] for t in texts],
+                         dtype=object)
 
     return spans
 
@@ -249,25 +255,24 @@ def digest_columns(found: DataFrame, name: str = "secret_spans") -> DataFrame:
     return found.withColumns({**counts, "base_sha256": F.sha2(_joined(base).cast("binary"), 256), "spans": _joined(spans)})
 
 
+def _cut(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
+    """The text with every span replaced by ``mark``, overlapping ones by one."""
+    parts, at = [], 0
+    for start, _, end in sorted(spans, key=lambda x: (x[0], -x[2])):
+        if end <= at:
+            continue
+        parts += [text[at:max(start, at)], mark if start >= at else ""]
+        at = end
+    return "".join(parts) + text[at:]
+
+
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
-    """Replace every span by ``mark``; texts without spans stay as they are (null stays null)."""
+    """Replace every span by ``mark``; texts without spans stay as they are (null stays null).  Spans are found and cut in
+    one call, so a task keeps one Python worker."""
+    thresholds = corpus_thresholds(docs, text, fdr)
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for t, found in zip(texts, spans):
-            if t is None or not len(found):
-                out.append(t)
-                continue
-            parts, at = [], 0
-            for s in sorted(found, key=lambda x: (x["start"], -x["end"])):
-                if s["end"] <= at:
-                    continue
-                parts += [t[at:max(s["start"], at)], mark if s["start"] >= at else ""]
-                at = s["end"]
-            out.append("".join(parts) + t[at:])
-        return pd.Series(out, dtype=object)
-
-    name = free_name(docs, "secret_spans")
-    found = find_secrets(docs, text, fdr, name)
-    return found.withColumn(text, cut(F.col(text), F.col(name))).drop(name)
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None else _cut(t, _spans_of(t, thresholds), mark) for t in texts], dtype=object)
+
+    return docs.withColumn(text, cut(F.col(text)))

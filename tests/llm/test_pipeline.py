@@ -4,7 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recflow.llm import langid
+from recflow.llm import decontam, langid, secrets
 from tests.llm.fixtures import SCHEMA, awkward_rows
 from tests.llm.test_langid import text
 from tests.llm.test_near_dup import brute as brute_classes
@@ -115,3 +115,38 @@ def test_language_stage_sends_bounded_batches(spark, monkeypatch):
     docs = spark.range(0, 3500, 1, 1).selectExpr("id as doc_id", "'some words' as text", "'en' as lang")
     assert corpus_pipeline.language_id(spark, docs, "").count() == 3500
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == own
+
+
+def test_later_stages_send_bounded_batches(spark, monkeypatch, tmp_path):
+    """Decontamination and both passes of the secret scan bound what a Python worker holds; the setting stays."""
+    own = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    limit = 100
+    monkeypatch.setattr(decontam, "ARROW_ROWS", limit)
+    monkeypatch.setattr(secrets, "ARROW_ROWS", limit)
+
+    def stub(shared, kind):
+        @F.pandas_udf("array<int>")
+        def many(texts: pd.Series) -> pd.Series:
+            return pd.Series([[1] if len(texts) > limit else [] for _ in texts], dtype=object)
+        return many
+
+    monkeypatch.setattr(decontam, "match_udf", stub)
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(0, 350, 1, 1).selectExpr("id as doc_id", "'some words' as text", "'en' as lang")
+    assert corpus_pipeline.decontamination(spark, docs, str(tmp_path)).count() == 350
+
+    seen = []
+    thresholds = secrets.corpus_thresholds
+
+    def asked(rows, *args):
+        out = thresholds(rows, *args)
+        seen.append(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return out
+
+    monkeypatch.setattr(secrets, "corpus_thresholds", asked)
+    cut = corpus_pipeline.secret_scan(spark, docs.selectExpr("doc_id", f"concat(text, ' {SECRET}') as text", "lang"), "")
+    assert seen == [str(limit)]
+    assert {r["text"] for r in cut.collect()} == {"some words [SECRET]"}
+    plan = secrets.redact(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # one Python worker a task
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == own

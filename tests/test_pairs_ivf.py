@@ -45,6 +45,29 @@ def test_pair_statistics(spark, monkeypatch, rows_per_block, max_values, buckets
             assert r[column] == pytest.approx(value, abs=2e-9), (name, column)
 
 
+@pytest.mark.parametrize("buckets,max_values,per_block", [(4096, 50, 40), (16, 10, 64), (64, 200_000, 64)])
+def test_pair_statistics_in_pieces(spark, monkeypatch, buckets, max_values, per_block):
+    """Several blocks, pieces smaller than a category, rounding settled by buckets or by value: the same rows, and no more
+    than three products of all pairs at two levels."""
+    for name, value in (("ROWS_PER_BLOCK", per_block), ("WIDEST", 1), ("CHUNK_ROWS", 7), ("CHUNK_COLS", 11),
+                        ("HELD_SCORES", 100), ("MAX_VALUES", max_values), ("BUCKETS", buckets)):
+        monkeypatch.setattr(PR, name, value)
+    passes = []
+    own = PR._pass
+    monkeypatch.setattr(PR, "_pass", lambda *a: passes.append(a[2]) or own(*a))
+    x, attrs, df = catalog(spark, 180, groups=20)
+    got = {r["pair_class"]: r for r in PR.pair_statistics(df).collect()}
+    want = {k: v for k, v in class_scores(x, attrs).items() if len(v)}
+    assert set(got) == set(want)
+    for name, s in want.items():
+        assert got[name]["count"] == len(s)
+        for column, value in (("min", s.min()), ("max", s.max()), ("mean", s.mean()), ("std", s.std()), *(
+                (f"p{p}", np.percentile(s, p)) for p in (10, 25, 50, 75, 90))):
+            assert got[name][column] == round(float(value), 4), (name, column)
+    if buckets == 4096:
+        assert len(passes) <= 2  # and the first one, which also finds the moments
+
+
 def test_equal_scores_and_too_few_rows(spark):
     rows = [(i, [1.0, 0.0], "a", "b", "c", "d") for i in range(40)]
     r = {x["pair_class"]: x for x in PR.pair_statistics(spark.createDataFrame(rows, SCHEMA)).collect()}

@@ -119,8 +119,9 @@ def fit_cf(interactions: DataFrame) -> CFModel:
     dims = m.agg(F.count_distinct("product_id").alias("i"), F.count_distinct("user_id").alias("u"),
                  F.count(F.lit(1)).alias("cells")).first()
     nm = cut_lineage(_normalized_rows(m))
+    tiles = blocks.tiles_for(dims["i"])
     g = blocks.gram(nm, m, "user_id", "product_id", "product_id", "n", "value",
-                    n_blocks=blocks.blocks_for_rows(2 * dims["cells"], nm.sparkSession), tiles=blocks.tiles_for(dims["i"]))
+                    n_blocks=blocks.blocks_for_rows(2 * dims["cells"], nm.sparkSession, tiles=tiles), tiles=tiles)
     colsum = nm.groupBy("product_id").agg(F.sum("n").alias("c"))
     den = nm.join(colsum, "product_id").groupBy("user_id").agg(
         (F.sum(F.col("n") * F.col("c")) - F.max(F.col("nonzero").cast("double"))).alias("d"))

@@ -41,10 +41,11 @@ def _similar_to_seeds(pdf: pd.DataFrame) -> pd.DataFrame:
             np.maximum.at(best, ci[p], sim)
             total += np.bincount(ci[p], weights=sim, minlength=len(cand))
             count += np.bincount(ci[p], minlength=len(cand))
-    some = count > 0
+    mean = total / np.maximum(count, 1)
+    known = lambda x: np.where((count > 0) & ~np.isnan(x), x, 0.0)
     return pd.DataFrame({
-        "user_id": cand["user_id"].to_numpy(dtype="int64")[some], "product_id": cand["product_id"].to_numpy(dtype="int64")[some],
-        "embedding_similarity": best[some], "embedding_mean_similarity": total[some] / count[some]})
+        "user_id": cand["user_id"].to_numpy(dtype="int64"), "product_id": cand["product_id"].to_numpy(dtype="int64"),
+        "embedding_similarity": known(best), "embedding_mean_similarity": known(mean)})
 
 
 def history_similarity(seeds: DataFrame, candidates: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -53,20 +54,27 @@ def history_similarity(seeds: DataFrame, candidates: DataFrame, vectors: DataFra
     (T15).  Users are dealt into blocks of about ROWS_PER_BLOCK candidates; a block receives each vector it needs once and
     multiplies inside, so there are no seed x candidate rows.  ``candidates`` is asked for its size: it should come from a
     written table."""
-    rows = candidates.count()
+    once = candidates.select("user_id", "product_id").distinct()
+    return candidates.select("user_id", "product_id").join(
+        pair_similarity(seeds, once, vectors, candidates.count()), ["user_id", "product_id"], "left").fillna(
+        {"embedding_similarity": 0.0, "embedding_mean_similarity": 0.0})
+
+
+def pair_similarity(seeds: DataFrame, pairs: DataFrame, vectors: DataFrame, rows: int) -> DataFrame:
+    """R12 for distinct pairs, about ``rows`` of them: one row for each that has both ids."""
     blocks = max(1, math.ceil(rows / ROWS_PER_BLOCK), min(48, math.ceil(rows / 4096)))
     pair = lambda df, side: df.where("user_id is not null and product_id is not null").select(
         F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(blocks)).cast("int").alias("block"), F.lit(side).alias("side"),
         F.col("user_id").cast("bigint").alias("user_id"), F.col("product_id").cast("bigint").alias("product_id"))
-    asked = pair(candidates.select("user_id", "product_id").distinct(), 0)
-    both = asked.unionByName(pair(seeds.select("user_id", "product_id"), 1))
+    both = pair(pairs, 0).unionByName(pair(seeds.select("user_id", "product_id"), 1))
     v = vectors.where(F.col("embedding").isNotNull()).select(
         F.col("product_id").cast("bigint").alias("product_id"), F.col("embedding").cast("array<double>").alias("vec"))
-    needed = both.select("block", "product_id").distinct().join(v, "product_id").withColumn("side", F.lit(2))
-    agg = both.unionByName(needed, allowMissingColumns=True).groupBy("block").applyInPandas(
+    needed = both.select("block", "product_id").distinct().join(v, "product_id").select(
+        "block", F.lit(2).alias("side"), F.lit(0).cast("bigint").alias("user_id"), "product_id", "vec")
+    # rows without a vector carry an empty one: the time to send a group to Python grows with the square of a run of null arrays
+    both = both.withColumn("vec", F.array().cast("array<double>"))
+    return both.unionByName(needed).groupBy("block").applyInPandas(
         _similar_to_seeds, "user_id long, product_id long, embedding_similarity double, embedding_mean_similarity double")
-    return candidates.select("user_id", "product_id").join(agg, ["user_id", "product_id"], "left") \
-        .fillna({"embedding_similarity": 0.0, "embedding_mean_similarity": 0.0})
 
 
 def recommend_from_history(seeds: DataFrame, users: DataFrame, catalog: DataFrame, n: int = 20,
@@ -106,7 +114,7 @@ def recommend_from_history(seeds: DataFrame, users: DataFrame, catalog: DataFram
         place = F.row_number().over(Window.partitionBy("user_id", "query_id").orderBy("rank"))
         per = per.withColumn("place", place).where(F.col("place") <= n)
     cands = cut_lineage(per.select("user_id", "product_id").distinct())
-    sims = history_similarity(seeds, cands, catalog)
+    sims = pair_similarity(seeds, cands, catalog, cands.count())
     ranked = sims.where(F.col("embedding_similarity") >= min_similarity)
     w = Window.partitionBy("user_id").orderBy(F.round("embedding_similarity", K.SCORE_DIGITS).desc(),
                                               F.round("embedding_mean_similarity", K.SCORE_DIGITS).desc(),

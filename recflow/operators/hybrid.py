@@ -84,14 +84,13 @@ def feature_frame(models: FittedModels, candidates: DataFrame, weights: dict[str
                   threshold: float = 0.0, query_scores: DataFrame | None = None) -> DataFrame:
     """Candidate rows (user_id, product_id, ...) with the catalog fields
     (J6: unknown ids keep null fields), the 11 features and query_similarity.
-    Every input is joined on its key; all per-candidate work stays in the
-    candidate table (pool-sized per user)."""
-    cands = candidates
+    Every input is joined on its key, those of the pair first and the wide ones of the product and the user once each; all
+    per-candidate work stays in the candidate table (pool-sized per user)."""
+    pairs = candidates.select("user_id", "product_id")
     cat = models.catalog.select("product_id", "title", "category", "material", "color", "style", "price", "rating",
                                 "description", "catalog_description")
-    f = cands.join(cat, "product_id", "left")
-    f = f.join(CF.cf_scores(models.cf, cands.select("user_id", "product_id")), ["user_id", "product_id"], "left")
-    hist = C.history_similarity(models.seeds, cands.select("user_id", "product_id"), models.catalog)
+    f = candidates.join(CF.cf_scores(models.cf, pairs), ["user_id", "product_id"], "left")
+    hist = C.pair_similarity(models.seeds, pairs, models.catalog, pairs.count())
     f = f.join(hist.select("user_id", "product_id", F.col("embedding_similarity").alias("_hist")),
                ["user_id", "product_id"], "left")
     if query_scores is not None:
@@ -101,8 +100,8 @@ def feature_frame(models: FittedModels, candidates: DataFrame, weights: dict[str
         f = f.withColumn("query_similarity", F.lit(0.0))
     f = f.withColumn("embedding_similarity", F.greatest(F.coalesce("_hist", F.lit(0.0)), F.col("query_similarity"))) \
         .drop("_hist")
+    f = S.ctr_for_candidates(models.stats, f.join(cat, "product_id", "left"))
     f = P.profile_features(f, models.price_profile, models.shares, models.counts, models.global_avg_price)
-    f = S.ctr_for_candidates(models.stats, f)
     return f.withColumn("hybrid_signal_score", hybrid_signal(weights, threshold))
 
 

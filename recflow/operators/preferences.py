@@ -123,16 +123,18 @@ def profile_features(candidates: DataFrame, price_profile: DataFrame, shares: Da
     ``(user_id, product_id, price, category, material, style)``; unknown users
     get the catalog mean and tolerance ``max(0.15*avg, 1)``; unknown
     attribute values 0; counts 0."""
-    c = candidates.join(price_profile, "user_id", "left")
+    matches = {"category": "category_match_score", "material": "material_preference_score", "style": "style_affinity_score"}
+    value_share = F.struct("value", "share")
+    # everything about a user in one row, so that the candidates are shuffled to their users once
+    own = shares.where(F.col("value").isNotNull()).groupBy("user_id").agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("attribute") == attr, value_share))).alias(f"_{attr}") for attr in matches])
+    own = price_profile.join(counts, "user_id", "full").join(own, "user_id", "full")
+    c = candidates.join(own, "user_id", "left")
     avg = F.coalesce(F.col("avg_price"), F.lit(g_avg))
     tol = F.coalesce(F.col("price_std"), F.greatest(avg * 0.15, F.lit(1.0)))
-    c = c.withColumn("_avg", avg).withColumn("_tol", tol)
-    for attr, out in (("category", "category_match_score"), ("material", "material_preference_score"),
-                      ("style", "style_affinity_score")):
-        s = shares.where(F.col("attribute") == attr).select(
-            "user_id", F.col("value").alias(attr), F.col("share").alias(out))
-        c = c.join(s, ["user_id", attr], "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
-    c = c.join(counts, "user_id", "left").fillna({"purchase_history_count": 0, "interaction_history_count": 0})
+    c = c.withColumns({"_avg": avg, "_tol": tol, **{out: F.coalesce(F.try_element_at(f"_{attr}", F.col(attr)), F.lit(0.0))
+                                                    for attr, out in matches.items()}}).drop(*[f"_{attr}" for attr in matches])
+    c = c.fillna({"purchase_history_count": 0, "interaction_history_count": 0})
     return c.withColumn("price_delta_from_user_avg", F.col("price") - F.col("_avg")) \
         .withColumn("price_sensitivity_match", price_match("price", "_avg", "_tol")).drop("_avg", "_tol",
                                                                                             "avg_price", "price_std")

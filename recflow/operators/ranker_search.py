@@ -13,7 +13,7 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,12 +51,14 @@ def _sums(rows: DataFrame, betas: np.ndarray, hard: np.ndarray) -> tuple[np.ndar
     """Per setting: summed weights, gradient and Hessian of the logistic loss."""
     n, width = betas.shape
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n, 1 + width + width * width))
         for b in batches:
             if not len(b):
                 continue
-            d, h = np.stack(b["d"].to_numpy()), b["h"].to_numpy(dtype="float64")
+            # the values of all rows as one array, not an array per row
+            d = b.column("d").flatten().to_numpy(zero_copy_only=False).reshape(len(b), width)
+            h = b.column("h").to_numpy(zero_copy_only=False)
             p = 1 / (1 + np.exp(np.clip(d @ betas.T, -500, 500)))
             for s in range(n):
                 w = 1 + hard[s] * h
@@ -64,10 +66,10 @@ def _sums(rows: DataFrame, betas: np.ndarray, hard: np.ndarray) -> tuple[np.ndar
                 total[s, 1:1 + width] -= (w * p[:, s]) @ d
                 total[s, 1 + width:] += ((d * (w * p[:, s] * (1 - p[:, s]))[:, None]).T @ d).ravel()
         s, j = np.indices(total.shape)
-        yield pd.DataFrame({"s": s.ravel(), "j": j.ravel(), "v": total.ravel()}).astype({"s": "int64", "j": "int64"})
+        yield pa.RecordBatch.from_pydict({"s": s.ravel().astype("int64"), "j": j.ravel().astype("int64"), "v": total.ravel()})
 
     out = np.zeros((n, 1 + width + width * width))
-    for r in rows.mapInPandas(partial, "s long, j long, v double").groupBy("s", "j").agg(F.sum("v").alias("v")).collect():
+    for r in rows.mapInArrow(partial, "s long, j long, v double").groupBy("s", "j").agg(F.sum("v").alias("v")).collect():
         out[r["s"], r["j"]] = r["v"]
     return out[:, 0], out[:, 1:1 + width], out[:, 1 + width:].reshape(n, width, width)
 

@@ -89,6 +89,22 @@ def test_most_similar_pairs(spark, monkeypatch, groups, rows_per_block, n):
     assert got == [(3 * a + 1, 3 * b + 1) for a, b in zip(i[order], j[order])]
 
 
+def test_most_similar_pairs_of_stored_tables(spark, tmp_path):
+    """Normalised vectors joined from files: the cell of a row is a join key."""
+    from recflow.plans.queries import QUERIES
+    x = np.random.default_rng(5).normal(size=(120, 8)).astype("float32")
+    spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label long") \
+        .write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([(i, f"red round item {i}", "BRAND", "TYPE", i % 50, 1.0 + i) for i in range(120)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double") \
+        .write.parquet(f"{tmp_path}/part.parquet")
+    got = [(r["left_id"], r["right_id"]) for r in QUERIES["similar_pairs_top"](spark, str(tmp_path)).collect()]
+    x = x.astype("float64") / np.linalg.norm(x.astype("float64"), axis=1, keepdims=True)
+    i, j = np.triu_indices(len(x), k=1)
+    order = np.argsort(-(x @ x.T)[i, j], kind="stable")[:5]
+    assert got == [(a, b) for a, b in zip(i[order], j[order])]
+
+
 def dense_neighbours(x, k):
     s = np.round(x @ x.T, 9)
     np.fill_diagonal(s, -9)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from recflow.operators import blocks, knn
 from recflow.operators.interactions import popularity, user_item_matrix
+from recflow.operators.near_rows import most_similar_rows
 from recflow.plans.fill import complete_in_id_order
 from recflow.session import cut_lineage
 
@@ -45,23 +46,16 @@ def user_based(interactions: DataFrame, n: int = 10, neighbours: int = 5) -> Dat
     """R2: the 5 most cosine-similar other users (ties by user id), the union
     of their items with value > 0, first n by product id (T4: the set order
     of the reference is replaced by id order; own items are kept)."""
-    m = user_item_matrix(interactions, "mean")
-    nm = _normalized_rows(m)
-    left = nm.select(F.col("user_id").alias("row"), F.col("product_id").alias("key"), F.col("n").alias("x"))
-    users = m.agg(F.count_distinct("user_id")).first()[0]
-
-    def best(rows, cols, product, own, ri, marks):
-        i, j = blocks.top_cells(rows, cols, product, rows[:, None] != cols[None, :], neighbours, ORDER_DIGITS)
-        return pd.DataFrame({"user_id": rows[i], "neighbor_id": cols[j], "score": product[i, j]})
-
-    near = blocks.tiled_product(left, left.select("key", F.col("row").alias("col"), F.col("x").alias("v")), users, users, best,
-                                "user_id long, neighbor_id long, score double")
-    w = Window.partitionBy("user_id").orderBy(F.round("score", ORDER_DIGITS).desc(), "neighbor_id")
-    nb = near.withColumn("r", F.row_number().over(w)).where(F.col("r") <= neighbours)
-    liked = m.where(F.col("value") > 0).select(F.col("user_id").alias("neighbor_id"), "product_id")
-    items = nb.select("user_id", "neighbor_id").join(liked, "neighbor_id").select("user_id", "product_id").distinct()
+    m = cut_lineage(user_item_matrix(interactions, "mean"))
+    near = most_similar_rows(m, "user_id", "product_id", "value", neighbours)
+    # of a neighbour only the first n items can be among the first n of a union
     w = Window.partitionBy("user_id").orderBy("product_id")
-    return items.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
+    liked = m.where(F.col("value") > 0).withColumn("r", F.row_number().over(w)).where(F.col("r") <= n) \
+        .groupBy(F.col("user_id").alias("neighbor_id")).agg(F.collect_list(F.struct("product_id")).alias("liked"))
+    items = near.select(F.col("row").alias("user_id"), F.explode("others").alias("neighbor_id")).join(liked, "neighbor_id") \
+        .groupBy("user_id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("liked")))).alias("items"))
+    return items.select("user_id", F.posexplode(F.slice("items", 1, n)).alias("at", "item")).select(
+        "user_id", "item.product_id", (F.col("at") + 1).cast("bigint").alias("rank"))
 
 
 # --- R3: item-based (W2) ------------------------------------------------------
